@@ -1,5 +1,8 @@
 """DuckDB oracle SQL for the registered queries."""
 
-from oracle.sql import ORACLE
+from oracle.requests_sql import REQUEST_ORACLE
+from oracle.sql import ORACLE as PANEL_ORACLE
+
+ORACLE = {**PANEL_ORACLE, **REQUEST_ORACLE}
 
 __all__ = ["ORACLE"]

@@ -26,9 +26,6 @@ def request_date(c: Column) -> Column:
     Accepts ``2023-1-5`` and ``2023-01-05``; rejects blanks around the value, year 0 and
     impossible days such as ``2023-02-30``. Non-matching text gives null.
     """
-    ok = c.rlike(REQUEST_DATE_PATTERN)
-    y = F.regexp_extract(c, REQUEST_DATE_PATTERN, 1)
-    m = F.regexp_extract(c, REQUEST_DATE_PATTERN, 2)
-    d = F.trim(F.regexp_extract(c, REQUEST_DATE_PATTERN, 3))
-    canonical = F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-    return F.when(ok & (y != F.lit("0000")), F.try_to_date(canonical, "yyyy-MM-dd"))
+    ok = c.rlike(REQUEST_DATE_PATTERN) & ~c.startswith("0000")
+    # the pattern lets a day be written as a blank and one digit
+    return F.when(ok, F.try_to_date(F.regexp_replace(c, "- ", "-"), "yyyy-M-d"))

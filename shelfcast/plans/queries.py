@@ -25,7 +25,8 @@ from shelfcast.operators.impute import apply_imputer, fill_categorical, fill_num
 from shelfcast.operators.metrics import row_metrics_frame
 from shelfcast.operators.shaping import assemble_output, cast_numeric, drop_leaky, parse_date, prepare_raw
 from shelfcast.operators.split import drop_incomplete, split_train, split_validation
-from shelfcast.sources.fixtures import demand_panel, demand_panel_raw
+from shelfcast.plans import scoring as S
+from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests
 from shelfcast.spec import RETAIL
 
 # Fixed value: the split date used with the panel derived from the supplied tables
@@ -236,6 +237,96 @@ def q_validation_matrix(spark, sf):
     return _round_inexact(assemble_output(drop_unseen(_encoded(spark, sf)[1], SPEC), SPEC))
 
 
+# ------------------------------------------------------------------ 2.11 request scoring
+
+def stand_in_forecast(d):
+    """Deterministic stand-in for a model: day of month + month / 100."""
+    return F.dayofmonth(d).cast("double") + F.month(d) / F.lit(100.0)
+
+
+def stand_in_replies(valid: DataFrame) -> DataFrame:
+    """Newline-separated reply text per valid request, as an external scorer returns it.
+    Every 11th request gets one value fewer than days, every 13th a non-number first."""
+    h = F.col("horizon").cast("int")
+    vals = F.transform(F.sequence(F.lit(1), h), lambda i: stand_in_forecast(F.date_add(F.col("date"), i)).cast("string"))
+    rid = F.col("request_id")
+    vals = F.when(F.pmod(rid, F.lit(11)) == 0, F.slice(vals, 1, h - 1)).otherwise(vals)
+    n = F.size(vals)
+    vals = F.when((F.pmod(rid, F.lit(13)) == 0) & (n > 0),
+                  F.concat(F.array(F.lit("n/a")), F.slice(vals, 2, n - 1))).otherwise(vals)
+    return valid.select("request_id", F.concat(F.array_join(vals, "\n"), F.lit("\n")).alias("reply"))
+
+
+def _validated(spark, sf):
+    return S.validate_requests(forecast_requests(spark, sf))
+
+
+def _valid(spark, sf):
+    return S.valid_requests(_validated(spark, sf))
+
+
+def q_parse_requests(spark, sf):
+    return S.parse_requests(forecast_requests(spark, sf)).select("request_id", "parse_status", "parse_error")
+
+
+def q_validate_requests(spark, sf):
+    return _validated(spark, sf).select("request_id", "status", "error", "store_id", "item_id", "date", "horizon",
+                                        "horizon_defaulted")
+
+
+def q_default_horizon(spark, sf):
+    return _valid(spark, sf).where(F.col("horizon_defaulted")).select("request_id", "horizon")
+
+
+def q_rejected_requests(spark, sf):
+    return S.rejected_requests(_validated(spark, sf)).select("request_id", "status", "error")
+
+
+def q_horizon_expand(spark, sf):
+    return S.expand_horizon(_valid(spark, sf)).select("request_id", "day", "forecast_date")
+
+
+def q_serving_calendar(spark, sf):
+    cal = S.serving_calendar(F.col("forecast_date"))
+    return S.expand_horizon(_valid(spark, sf)).select("request_id", "day", *[v.alias(k) for k, v in cal.items()])
+
+
+def q_serving_features(spark, sf):
+    return S.serving_features(S.expand_horizon(_valid(spark, sf))).select("request_id", "day", *S.SERVING_FEATURES)
+
+
+def q_payload_csv(spark, sf):
+    return S.payload_csv(_valid(spark, sf))
+
+
+def q_parse_predictions(spark, sf):
+    parsed = S.parse_predictions(stand_in_replies(_valid(spark, sf)))
+    return parsed.select("request_id", "prediction_error", F.posexplode_outer("predictions").alias("pos", "forecast"))
+
+
+def _reply_responses(spark, sf):
+    validated = _validated(spark, sf)
+    return S.assemble_responses(S.attach_replies(validated, stand_in_replies(S.valid_requests(validated))))
+
+
+def q_zip_predictions(spark, sf):
+    resp = _reply_responses(spark, sf).where(F.col("status") == 200)
+    return resp.select("request_id", F.inline("predictions"))
+
+
+def q_responses(spark, sf):
+    resp = _reply_responses(spark, sf)
+    return resp.select("request_id", "status", "error", "store_id", "item_id",
+                       F.size("predictions").alias("n_predictions"), "response_body")
+
+
+def q_scored_responses(spark, sf):
+    scorer = S.ExpressionScorer(stand_in_forecast(F.col("forecast_date")))
+    resp = S.score_requests(forecast_requests(spark, sf), scorer)
+    return resp.select("request_id", "status", "error", "store_id", "item_id",
+                       F.size("predictions").alias("n_predictions"), "response_body")
+
+
 QUERIES = {
     "demand_panel": q_demand_panel,
     "drop_leaky": q_drop_leaky,
@@ -268,4 +359,16 @@ QUERIES = {
     "encode_validation_drop": q_encode_validation_drop,
     "training_matrix": q_training_matrix,
     "validation_matrix": q_validation_matrix,
+    "parse_requests": q_parse_requests,
+    "validate_requests": q_validate_requests,
+    "default_horizon": q_default_horizon,
+    "rejected_requests": q_rejected_requests,
+    "horizon_expand": q_horizon_expand,
+    "serving_calendar": q_serving_calendar,
+    "serving_features": q_serving_features,
+    "payload_csv": q_payload_csv,
+    "parse_predictions": q_parse_predictions,
+    "zip_predictions": q_zip_predictions,
+    "responses": q_responses,
+    "scored_responses": q_scored_responses,
 }
