@@ -326,6 +326,7 @@ FROM (SELECT "Date", (""" + " AND ".join(_present(c) for c in REQUIRED) + """) A
     "encode_train": with_(*ENCODED) + rounded_select(FEAT_COLS, "enc_train"),
     "encode_validation": with_(*ENCODED) + rounded_select(FEAT_COLS, "enc_val"),
     "encode_validation_drop": with_(*ENCODED_DROP) + rounded_select(FEAT_COLS, "enc_val_drop"),
+    "rmse_baseline": with_(*ENCODED) + 'SELECT sqrt(avg(("Demand" - demand_lag_7) * ("Demand" - demand_lag_7))) AS rmse_baseline FROM enc_val WHERE demand_lag_7 IS NOT NULL',
     "training_matrix": with_(*ENCODED) + rounded_select(OUTPUT, "enc_train"),
     "validation_matrix": with_(*ENCODED) + rounded_select(OUTPUT, "enc_val"),
 }

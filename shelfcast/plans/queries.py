@@ -237,6 +237,32 @@ def q_validation_matrix(spark, sf):
     return _round_inexact(assemble_output(drop_unseen(_encoded(spark, sf)[1], SPEC), SPEC))
 
 
+# ------------------------------------------------------------------ 2.10 training / evaluation
+
+def q_rmse_baseline(spark, sf):
+    """RMSE of the naive forecast ``demand_lag_7`` on the validation matrix."""
+    from shelfcast.plans.model import rmse_frame
+
+    val = assemble_output(drop_unseen(_encoded(spark, sf)[1], SPEC), SPEC)
+    return rmse_frame(val, SPEC.target, "demand_lag_7", "rmse_baseline")
+
+
+def q_model_rmse(spark, sf):
+    """Train boosted trees on the training matrix; RMSE on train and validation (one row)."""
+    from shelfcast.plans.model import evaluate, train_model
+
+    train, val, _ = _encoded(spark, sf)
+    train, val = assemble_output(train, SPEC), assemble_output(drop_unseen(val, SPEC), SPEC)
+    model = train_model(train, SPEC)
+    ev = evaluate(model, train, val, SPEC)
+    return model.transform(val).agg(
+        F.lit(ev.train_rmse).alias("train_rmse"),
+        F.sqrt(F.avg((F.col(SPEC.target) - F.col("prediction")) ** 2)).alias("validation_rmse"),
+        F.lit(ev.baseline_rmse).alias("baseline_rmse"),
+        F.count(F.lit(1)).alias("validation_rows"),
+    )
+
+
 # ------------------------------------------------------------------ 2.11 request scoring
 
 def stand_in_forecast(d):
@@ -359,6 +385,8 @@ QUERIES = {
     "encode_validation_drop": q_encode_validation_drop,
     "training_matrix": q_training_matrix,
     "validation_matrix": q_validation_matrix,
+    "rmse_baseline": q_rmse_baseline,
+    "model_rmse": q_model_rmse,
     "parse_requests": q_parse_requests,
     "validate_requests": q_validate_requests,
     "default_horizon": q_default_horizon,
