@@ -51,15 +51,17 @@ def _panel_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     # part and supplier grow with the scale factor: the planner picks the join strategy
-    # from their size (AQE turns a small side into a broadcast at run time).
+    # from their size (AQE turns a small side into a broadcast at run time). Region is
+    # joined after the aggregation (a nation determines its region).
     j = (
         li.join(part, li.l_partkey == part.p_partkey)
         .join(supp, li.l_suppkey == supp.s_suppkey)
         .join(nation, supp.s_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
     )
-    # Partial aggregation runs before the shuffle, so a hot (nation, brand, day) costs one row per task.
-    g = j.groupBy("n_nationkey", "n_name", "p_brand", F.to_date("l_shipdate").alias("d")).agg(
+    # Level 1: numeric measures only, so it is a hash aggregate with partial aggregation
+    # before the shuffle (a hot nation/brand/day costs one row per map task).
+    keys = ["n_nationkey", "n_name", "n_regionkey", "p_brand", "d"]
+    g1 = j.groupBy(*keys[:4], "p_type", F.to_date("l_shipdate").alias("d")).agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("q"),
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("l_linenumber").cast("bigint")).alias("ln"),
@@ -67,9 +69,13 @@ def _panel_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(_cents(F.col("l_discount"))).alias("disc_c"),
         F.max(_cents(F.col("l_discount"))).alias("disc_max"),
         F.sum(_cents(F.col("p_retailprice"))).alias("rp_c"),
-        F.min("p_type").alias("ptype"),
-        F.min("r_name").alias("rname"),
     )
+    # Level 2: the (much smaller) per-type rows folded to one row per nation/brand/day.
+    g = g1.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in ("q", "n", "ln", "ep_c", "disc_c", "rp_c")],
+        F.max("disc_max").alias("disc_max"),
+        F.min("p_type").alias("ptype"),
+    ).join(region, F.col("n_regionkey") == region.r_regionkey).withColumnRenamed("r_name", "rname")
     k = F.dayofyear("d") + F.col("n_nationkey")
     return g.select(
         "*",
