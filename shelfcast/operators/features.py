@@ -64,5 +64,77 @@ def feature_columns(spec: PanelSpec = RETAIL, w: WindowSpec | None = None) -> di
 
 
 def engineer_features(df: DataFrame, spec: PanelSpec = RETAIL) -> DataFrame:
-    """Append the 17 engineered columns (one Window node over the series)."""
+    """Append the 17 engineered columns (one Window node over the series).
+
+    With ``spec.hot_series_rows`` set, series longer than that are cut into chunks first
+    (see ``chunk_hot_series``) so no single task holds a hot series.
+    """
+    if spec.hot_series_rows:
+        return _chunked_features(df, spec)
     return df.withColumns(feature_columns(spec))
+
+
+# ---------------------------------------------------------------- hot series
+
+_PART, _OWN, _HALO = "__series_part", "__series_chunk", "__series_halo"
+
+
+def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL) -> DataFrame | None:
+    """Chunk assignment for the series with more than ``spec.hot_series_rows`` rows.
+
+    Returns ``(keys..., date, chunk, halo)`` rows for hot series only (None when there are
+    none). A chunk holds whole dates; ``halo`` lists the later chunks that need this
+    date's rows as history, i.e. whose first row is within the date's rows plus the
+    look-back (``spec.max_lookback``). Built from per-(series, date) counts -- metadata
+    far smaller than the data, checkpointed once.
+    """
+    m = int(spec.hot_series_rows)
+    look = spec.max_lookback
+    keys = [_q(k) for k in spec.series_keys]
+    d = _q(spec.date)
+    counts = df.groupBy(*keys, d).agg(F.count(F.lit(1)).alias("_n"))
+    by_series = Window.partitionBy(*keys)
+    ordered = by_series.orderBy(F.asc_nulls_first(spec.date))
+    counts = counts.select(
+        "*",
+        F.coalesce(F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
+        F.sum("_n").over(by_series).alias("_total"),
+    )
+    hot = counts.where(F.col("_total") > m).withColumn("_chunk", F.floor(F.col("_start") / F.lit(m)))
+    # A date lends its rows to a later chunk whose first row lies within the date's rows
+    # plus the look-back. Every date holds at least one row, so only the next
+    # ``look + 1`` dates can start such a chunk: a bounded frame, no pairing of dates.
+    first = F.coalesce(F.lag("_chunk").over(ordered) != F.col("_chunk"), F.lit(True))
+    hot = hot.withColumn("_first", first)
+    ahead = F.collect_list(F.struct("_start", "_chunk", "_first")).over(ordered.rowsBetween(1, look + 1))
+    reach = F.col("_start") + F.col("_n") + F.lit(look)
+    halo = F.transform(
+        F.filter(ahead, lambda x: x["_first"] & (x["_chunk"] != F.col("_chunk")) & (x["_start"] < reach)),
+        lambda x: x["_chunk"],
+    )
+    hot = hot.select(*keys, d, "_chunk", halo.alias("_halo")).checkpoint(eager=True)
+    if hot.isEmpty():
+        return None
+    return hot
+
+
+def _chunked_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    assign = chunk_hot_series(df, spec)
+    if assign is None:
+        return df.withColumns(feature_columns(spec))
+    names = list(spec.series_keys) + [spec.date]
+    a = assign.select(*[_q(c).alias(f"_a{i}") for i, c in enumerate(names)],
+                      F.col("_chunk").alias(_OWN), F.col("_halo").alias(_HALO))
+    if a.count() <= spec.broadcast_rows:
+        a = F.broadcast(a)
+    cond = F.lit(True)
+    for i, c in enumerate(names):
+        cond = cond & _q(c).eqNullSafe(F.col(f"_a{i}"))
+    joined = df.join(a, cond, "left").drop(*[f"_a{i}" for i in range(len(names))])
+    own = F.coalesce(F.col(_OWN), F.lit(0)).cast("bigint")
+    parts = F.array_union(F.array(own), F.coalesce(F.col(_HALO), F.array().cast("array<bigint>")).cast("array<bigint>"))
+    rows = joined.select("*", F.explode(parts).alias(_PART))
+    w = series_window(spec, partition_extra=(_PART,))
+    out = rows.withColumns(feature_columns(spec, w))
+    # halo copies only lend history to the next chunk: keep each row once, in its own chunk
+    return out.where(F.col(_PART) == own).drop(_PART, _OWN, _HALO)

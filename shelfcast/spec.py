@@ -50,6 +50,11 @@ class PanelSpec:
     week_start: str = "monday0"
     # Extra order columns that break ties between rows of one series on one date.
     tie_breakers: tuple[str, ...] = field(default_factory=tuple)
+    # Series with more rows than this are cut into chunks (with a look-back halo) before
+    # the window, so one hot series never lands in one task. None: plain window.
+    hot_series_rows: int | None = 2_000_000
+    # Largest metadata table (rows) that is broadcast; larger ones are shuffle-joined.
+    broadcast_rows: int = 2_000_000
 
     def with_(self, **kw) -> "PanelSpec":
         return replace(self, **kw)

@@ -281,3 +281,30 @@ def test_training_matrix_layout(spark):
     # 40 days per series from 2023-11-25: the first 28 are warm-up, 2024-01-01..03 validate
     assert res.validation.count() == 4 * 3
     assert res.train.count() == 4 * (40 - 28 - 3)
+
+
+# ---------------------------------------------------------------- hot series
+
+@pytest.mark.parametrize("chunk_rows", [5, 40, 1000])
+def test_chunked_hot_series_equals_plain_window(spark, chunk_rows):
+    ties = ("seq",)
+    rows = raw_rows(60, stores=("S01", "S02"), products=("P01",), demand=lambda i: (i * 7) % 23)
+    # duplicate days in S01 (a dense hot series) with a tie-breaker
+    rows += raw_rows(60, stores=("S01",), products=("P01",), demand=lambda i: (i * 5) % 17)
+    df = prepare_raw(raw_df(spark, rows)).withColumn("seq", F.monotonically_increasing_id()).checkpoint()
+    plain = engineer_features(df, RETAIL.with_(tie_breakers=ties, hot_series_rows=None))
+    chunked = engineer_features(df, RETAIL.with_(tie_breakers=ties, hot_series_rows=chunk_rows))
+    assert chunked.columns == plain.columns
+    assert chunked.count() == plain.count() == 180
+    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
+
+
+def test_hot_series_assignment_has_halo(spark):
+    from shelfcast.operators.features import chunk_hot_series
+
+    df = prepare_raw(raw_df(spark, raw_rows(100)))
+    a = chunk_hot_series(df, RETAIL.with_(hot_series_rows=40)).orderBy("Date").collect()
+    assert {r["_chunk"] for r in a} == {0, 1, 2}
+    # the 30 rows before each chunk start lend history to it
+    lend = [r["Date"] for r in a if r["_halo"]]
+    assert len(lend) == 60 and all(len(r["_halo"]) == 1 for r in a if r["_halo"])
