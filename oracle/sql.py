@@ -107,8 +107,6 @@ panel_fixture AS (
   FROM pk
 )"""
 
-_RAW_KEEP = ["Store ID", "Product ID", "Category", "Region", "Weather Condition", "Seasonality"]
-
 PANEL_TYPED = """
 panel_typed AS (
   SELECT CAST(TRY_STRPTIME("Date", '%Y-%m-%d') AS DATE) AS "Date",

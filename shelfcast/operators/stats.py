@@ -7,8 +7,6 @@ costs one row per map task). Only per-column scalars ever reach the driver.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +48,15 @@ def approx_medians(df: DataFrame, cols, relative_error: float = MEDIAN_RELATIVE_
     return {c: (float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(cols)}
 
 
+def approx_medians_frame(df: DataFrame, cols, relative_error: float = MEDIAN_RELATIVE_ERROR) -> DataFrame:
+    """Lazy ``(column, median)`` rows: approximate lower median per column (all-null -> 0.0)."""
+    accuracy = int(round(1.0 / relative_error))
+    v = F.col("value")
+    return to_long(df, cols, "double").groupBy(F.col("name").alias("column")).agg(
+        F.coalesce(F.percentile_approx(F.when(~F.isnan(v), v), F.lit(0.5), F.lit(accuracy)), F.lit(0.0)).alias("median")
+    )
+
+
 def exact_medians(
     df: DataFrame,
     cols,
@@ -166,7 +173,3 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.desc("count"), F.asc_nulls_first(col))
     )
-
-
-def lower_median_rank(n: int) -> int:
-    return int(math.ceil(n / 2))

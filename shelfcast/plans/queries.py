@@ -46,10 +46,6 @@ def _round_inexact(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(_q(c), 6) for c in ROUNDED if c in df.columns})
 
 
-def _keyed(df: DataFrame, cols) -> DataFrame:
-    return df.select(*[_q(c) for c in KEYS], *[_q(c) for c in cols])
-
-
 # ------------------------------------------------------------------ shared stages
 
 def typed_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,8 +112,7 @@ def q_median_exact(spark, sf):
 
 
 def q_median_approx(spark, sf):
-    typed = typed_panel(spark, sf)
-    return _stat_frame(spark, stats.approx_medians(typed, list(SPEC.typed_numerics)))
+    return stats.approx_medians_frame(typed_panel(spark, sf), list(SPEC.typed_numerics))
 
 
 def q_modes(spark, sf):

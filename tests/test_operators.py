@@ -5,14 +5,13 @@ import math
 import random
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from shelfcast.operators import stats
 from shelfcast.operators.encode import apply_labels, drop_unseen, fit_labels
 from shelfcast.operators.features import engineer_features
 from shelfcast.operators.impute import apply_imputer, fit_imputer, impute_missing
-from shelfcast.operators.shaping import assemble_output, cast_numeric, drop_leaky, parse_date, prepare_raw
+from shelfcast.operators.shaping import cast_numeric, drop_leaky, parse_date, prepare_raw
 from shelfcast.operators.split import drop_incomplete, split_train, split_validation
 from shelfcast.sources.panel import RAW_SCHEMA
 from shelfcast.spec import RAW_COLUMN_ORDER, RETAIL
