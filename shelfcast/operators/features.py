@@ -63,14 +63,15 @@ def feature_columns(spec: PanelSpec = RETAIL, w: WindowSpec | None = None) -> di
     return {name: cols[name] for name in spec.engineered}
 
 
-def engineer_features(df: DataFrame, spec: PanelSpec = RETAIL) -> DataFrame:
+def engineer_features(df: DataFrame, spec: PanelSpec = RETAIL, series_totals: DataFrame | None = None) -> DataFrame:
     """Append the 17 engineered columns (one Window node over the series).
 
     With ``spec.hot_series_rows`` set, series longer than that are cut into chunks first
-    (see ``chunk_hot_series``) so no single task holds a hot series.
+    (see ``chunk_hot_series``) so no single task holds a hot series. ``series_totals``
+    (rows per series, e.g. from the imputer fit) lets the check skip its counting pass.
     """
     if spec.hot_series_rows:
-        return _chunked_features(df, spec)
+        return _chunked_features(df, spec, series_totals)
     return df.withColumns(feature_columns(spec))
 
 
@@ -79,7 +80,14 @@ def engineer_features(df: DataFrame, spec: PanelSpec = RETAIL) -> DataFrame:
 _PART, _OWN, _HALO = "__series_part", "__series_chunk", "__series_halo"
 
 
-def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL) -> DataFrame | None:
+def _null_safe(left_cols, right_names) -> Column:
+    cond = F.lit(True)
+    for c, r in zip(left_cols, right_names):
+        cond = cond & _q(c).eqNullSafe(F.col(r))
+    return cond
+
+
+def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL, series_totals: DataFrame | None = None) -> DataFrame | None:
     """Chunk assignment for the series with more than ``spec.hot_series_rows`` rows.
 
     Returns ``(keys..., date, chunk, halo)`` rows for hot series only (None when there are
@@ -90,9 +98,18 @@ def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL) -> DataFrame | Non
     """
     m = int(spec.hot_series_rows)
     look = spec.max_lookback
-    keys = [_q(k) for k in spec.series_keys]
+    names = list(spec.series_keys)
+    keys = [_q(k) for k in names]
     d = _q(spec.date)
-    counts = df.groupBy(*keys, d).agg(F.count(F.lit(1)).alias("_n"))
+    src = df
+    if series_totals is not None:
+        # hot series are known from the fit's counts: at most (rows / m) of them
+        hot_keys = series_totals.where(F.col("_total") > m).select(
+            *[_q(k).alias(f"_h{i}") for i, k in enumerate(names)])
+        if hot_keys.isEmpty():
+            return None
+        src = df.join(F.broadcast(hot_keys), _null_safe(names, [f"_h{i}" for i in range(len(names))]), "left_semi")
+    counts = src.groupBy(*keys, d).agg(F.count(F.lit(1)).alias("_n"))
     by_series = Window.partitionBy(*keys)
     ordered = by_series.orderBy(F.asc_nulls_first(spec.date))
     counts = counts.select(
@@ -118,8 +135,8 @@ def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL) -> DataFrame | Non
     return hot
 
 
-def _chunked_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    assign = chunk_hot_series(df, spec)
+def _chunked_features(df: DataFrame, spec: PanelSpec, series_totals: DataFrame | None = None) -> DataFrame:
+    assign = chunk_hot_series(df, spec, series_totals)
     if assign is None:
         return df.withColumns(feature_columns(spec))
     names = list(spec.series_keys) + [spec.date]

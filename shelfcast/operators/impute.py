@@ -21,6 +21,8 @@ from shelfcast.spec import MEDIAN_RELATIVE_ERROR, RETAIL, PanelSpec
 class ImputerStats:
     medians: dict[str, float] = field(default_factory=dict)
     modes: dict[str, str] = field(default_factory=dict)
+    # rows per series after key filling (small DataFrame; not persisted with the stats)
+    series_totals: DataFrame | None = None
 
     def to_json(self) -> str:
         return json.dumps({"medians": self.medians, "modes": self.modes}, sort_keys=True)
@@ -42,9 +44,26 @@ def fit_categorical(df: DataFrame, spec: PanelSpec = RETAIL) -> dict[str, str]:
     return stats.modes(df, cols)
 
 
+def fit_categorical_with_series(df: DataFrame, spec: PanelSpec = RETAIL) -> tuple[dict[str, str], DataFrame | None]:
+    """Modes plus per-series row totals (after key filling) from one aggregation.
+
+    The value counts are checkpointed (reliable, small: distinct categories + series),
+    then modes (a few rows) are collected and the series totals stay a DataFrame.
+    """
+    cols = [c for c in spec.categoricals if c in df.columns]
+    keys = [k for k in spec.series_keys if k in df.columns]
+    if not spec.hot_series_rows or len(keys) != len(spec.series_keys):
+        return stats.modes(df, cols), None
+    counts = stats.category_counts(df, cols, keys).checkpoint(eager=True)
+    modes = stats.collect_modes(stats.modes_from_counts(counts), cols)
+    totals = stats.series_totals(counts, df.schema, keys, {k: v for k, v in modes.items() if k in keys})
+    return modes, totals
+
+
 def fit_imputer(df: DataFrame, spec: PanelSpec = RETAIL, method: str = "approx",
                 relative_error: float = MEDIAN_RELATIVE_ERROR) -> ImputerStats:
-    return ImputerStats(fit_numeric(df, spec, method, relative_error), fit_categorical(df, spec))
+    modes, totals = fit_categorical_with_series(df, spec)
+    return ImputerStats(fit_numeric(df, spec, method, relative_error), modes, totals)
 
 
 def fill_values(df: DataFrame, values: dict) -> DataFrame:

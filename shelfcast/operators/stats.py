@@ -145,11 +145,27 @@ def medians(df: DataFrame, cols, method: str = "approx", relative_error: float =
 
 # ---------------------------------------------------------------- modes
 
-def modes_frame(df: DataFrame, cols, unknown: str = UNKNOWN_CATEGORY) -> DataFrame:
-    """Rows ``(column, mode)``: most frequent non-null value, ties -> smallest value,
-    all-null -> ``unknown``. Two aggregation levels, both partial before the shuffle."""
-    counts = to_long(df, cols, "string").groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("name").agg(
+SERIES_ENTRY = "__series__"
+
+
+def category_counts(df: DataFrame, cols, series_keys=()) -> DataFrame:
+    """``(name, value, n)``: row count of every value (null included) of every column.
+
+    With ``series_keys``, the same aggregation also counts rows per series (name
+    ``__series__``, value = JSON of the key tuple), which the feature step uses to find
+    hot series without another pass over the data.
+    """
+    entries = [F.struct(F.lit(c).alias("name"), _q(c).cast("string").alias("value")) for c in cols]
+    if series_keys:
+        key = F.to_json(F.struct(*[_q(k).alias(f"k{i}") for i, k in enumerate(series_keys)]))
+        entries.append(F.struct(F.lit(SERIES_ENTRY).alias("name"), key.alias("value")))
+    return df.select(F.inline(F.array(*entries))).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def modes_from_counts(counts: DataFrame, unknown: str = UNKNOWN_CATEGORY) -> DataFrame:
+    """Rows ``(column, mode)`` from ``category_counts``: most frequent non-null value,
+    ties -> smallest value, all-null -> ``unknown``."""
+    best = counts.where(F.col("name") != SERIES_ENTRY).groupBy("name").agg(
         F.min(F.struct(F.col("value").isNull().alias("is_null"), (-F.col("n")).alias("neg_n"), F.col("value").alias("v"))).alias("b")
     )
     return best.select(
@@ -158,12 +174,35 @@ def modes_frame(df: DataFrame, cols, unknown: str = UNKNOWN_CATEGORY) -> DataFra
     )
 
 
+def modes_frame(df: DataFrame, cols, unknown: str = UNKNOWN_CATEGORY) -> DataFrame:
+    """Rows ``(column, mode)``. Two aggregation levels, both partial before the shuffle."""
+    return modes_from_counts(category_counts(df, cols), unknown)
+
+
 def modes(df: DataFrame, cols, unknown: str = UNKNOWN_CATEGORY) -> dict[str, str]:
-    rows = modes_frame(df, cols, unknown).collect()
-    found = {r["column"]: r["mode"] for r in rows}
+    return collect_modes(modes_frame(df, cols, unknown), cols, unknown)
+
+
+def collect_modes(frame: DataFrame, cols, unknown: str = UNKNOWN_CATEGORY) -> dict[str, str]:
+    found = {r["column"]: r["mode"] for r in frame.collect()}
     return {c: found.get(c, unknown) for c in cols}
 
 
+def series_totals(counts: DataFrame, df_schema, series_keys, fill: dict) -> DataFrame:
+    """Rows per series *after* null keys are filled with ``fill`` (their modes), from the
+    ``__series__`` entries of ``category_counts`` -- a small table, no pass over the data."""
+    fields = ", ".join(f"k{i} {df_schema[k].dataType.simpleString()}" for i, k in enumerate(series_keys))
+    parsed = counts.where(F.col("name") == SERIES_ENTRY).select(
+        F.from_json("value", f"struct<{fields}>").alias("k"), "n")
+    keys = []
+    for i, k in enumerate(series_keys):
+        c = F.col(f"k.k{i}")
+        if k in fill:
+            c = F.coalesce(c, F.lit(fill[k]).cast(df_schema[k].dataType))
+        keys.append(c.alias(k))
+    return parsed.groupBy(*keys).agg(F.sum("n").alias("_total"))
+
+
 # ---------------------------------------------------------------- value counts
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

@@ -52,13 +52,19 @@ def typed_panel(spark: SparkSession, sf: str) -> DataFrame:
     return prepare_raw(demand_panel_raw(spark, sf), SPEC)
 
 
-def imputed_panel(spark: SparkSession, sf: str, method: str = "exact") -> DataFrame:
+def _imputed(spark: SparkSession, sf: str, method: str = "exact"):
     typed = typed_panel(spark, sf)
-    return apply_imputer(typed, fit_imputer(typed, SPEC, method))
+    fitted = fit_imputer(typed, SPEC, method)
+    return apply_imputer(typed, fitted), fitted
+
+
+def imputed_panel(spark: SparkSession, sf: str, method: str = "exact") -> DataFrame:
+    return _imputed(spark, sf, method)[0]
 
 
 def featured_panel(spark: SparkSession, sf: str, spec=SPEC) -> DataFrame:
-    return engineer_features(imputed_panel(spark, sf), spec)
+    imputed, fitted = _imputed(spark, sf)
+    return engineer_features(imputed, spec, fitted.series_totals)
 
 
 def complete_panel(spark: SparkSession, sf: str) -> DataFrame:

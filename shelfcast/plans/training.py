@@ -33,6 +33,7 @@ def featured_panel(raw: DataFrame, spec: PanelSpec = RETAIL, median_method: str
                    fit_on: str = "all", imputer: ImputerStats | None = None) -> tuple[DataFrame, ImputerStats]:
     """Shape, impute and engineer features (before the completeness filter)."""
     typed = prepare_raw(raw, spec)
+    totals = None
     if imputer is None:
         if fit_on == "all":
             basis = typed
@@ -41,7 +42,9 @@ def featured_panel(raw: DataFrame, spec: PanelSpec = RETAIL, median_method: str
         else:
             raise ValueError(f"fit_on must be 'all' or 'train', got {fit_on!r}")
         imputer = fit_imputer(basis, spec, median_method)
-    return engineer_features(apply_imputer(typed, imputer), spec), imputer
+        # series totals count every row only when the fit saw every row
+        totals = imputer.series_totals if fit_on == "all" else None
+    return engineer_features(apply_imputer(typed, imputer), spec, totals), imputer
 
 
 def build_training_matrix(

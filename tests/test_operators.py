@@ -307,3 +307,21 @@ def test_hot_series_assignment_has_halo(spark):
     # the 30 rows before each chunk start lend history to it
     lend = [r["Date"] for r in a if r["_halo"]]
     assert len(lend) == 60 and all(len(r["_halo"]) == 1 for r in a if r["_halo"])
+
+
+def test_hot_series_from_filled_null_keys(spark):
+    """Null store ids filled with the mode pile onto one series; the chunked window, found
+    from the fit's series totals, equals the plain window."""
+    rows = raw_rows(50, stores=("S01", "S02"), products=("P01",), demand=lambda i: (i * 3) % 11)
+    rows += raw_rows(50, stores=("S01",), products=("P01",), demand=lambda i: (i * 7) % 13,
+                     Store_ID=lambda s, p, i, r: None)
+    typed = prepare_raw(raw_df(spark, rows)).withColumn("seq", F.monotonically_increasing_id()).checkpoint()
+    spec = RETAIL.with_(tie_breakers=("seq",), hot_series_rows=40)
+    fitted = fit_imputer(typed, spec, method="exact")
+    totals = {tuple(r[:2]): r["_total"] for r in fitted.series_totals.collect()}
+    assert totals == {("S01", "P01"): 100, ("S02", "P01"): 50}
+    imputed = apply_imputer(typed, fitted)
+    chunked = engineer_features(imputed, spec, fitted.series_totals)
+    plain = engineer_features(imputed, spec.with_(hot_series_rows=None))
+    assert chunked.count() == plain.count() == 150
+    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
