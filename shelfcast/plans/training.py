@@ -10,12 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfcast.operators.encode import LabelModel, apply_labels, drop_unseen, fit_labels
 from shelfcast.operators.features import engineer_features
 from shelfcast.operators.impute import ImputerStats, apply_imputer, fit_imputer
 from shelfcast.operators.metrics import RowMetrics
-from shelfcast.operators.shaping import assemble_output, prepare_raw
+from shelfcast.operators.shaping import assemble_output, output_columns, prepare_raw
 from shelfcast.operators.split import drop_incomplete, split_train, split_validation
 from shelfcast.spec import RETAIL, PanelSpec
 
@@ -80,3 +81,27 @@ def build_training_matrix(
     train = metrics.observe(assemble_output(train, spec), "train")
     val = metrics.observe(assemble_output(val, spec), "validation")
     return MatrixResult(train, val, imputer, labels, metrics)
+
+
+def apply_training_matrix(
+    raw: DataFrame,
+    imputer: ImputerStats,
+    labels: LabelModel,
+    spec: PanelSpec = RETAIL,
+    unseen: str = "index",
+    keep: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Matrices from an already fitted imputer and label table (no fitting): the same
+    transforms as ``build_training_matrix`` with frozen statistics. ``keep`` carries extra
+    columns (e.g. a partition column) through to the output."""
+    featured, _ = featured_panel(raw, spec, imputer=imputer)
+    complete = drop_incomplete(featured, spec)
+    train = apply_labels(split_train(complete, spec), labels, "index")
+    val = apply_labels(split_validation(complete, spec), labels, unseen)
+    if unseen == "index":
+        val = drop_unseen(val, spec)
+
+    def out(df):
+        return df.select(*[F.col(f"`{c}`") for c in output_columns(df, spec) + list(keep)])
+
+    return out(train), out(val)

@@ -1,11 +1,18 @@
-"""File-arrival job: new raw panel files under a folder re-run the pipeline.
+"""File-arrival job: new raw panel files under a folder update the model matrices.
 
 A file-source stream watches the input folder. Each micro-batch holds the rows of the
-newly arrived files; ``foreachBatch`` appends them to a history table (one folder per
-batch id, overwritten on retry, so a replayed batch is idempotent) and rebuilds the
-train / validation matrices over the whole history -- the same result as a batch run
-over every file that has arrived. Row-frame windows are not supported on streaming
-frames, which is why the feature work runs in batch inside ``foreachBatch``.
+newly arrived files; ``foreachBatch`` first appends them to a history table (one folder
+per batch id, overwritten on retry, so a replayed batch is idempotent). Row-frame
+windows are not supported on streaming frames, which is why the feature work runs in
+batch inside ``foreachBatch``. Two modes:
+
+* ``full`` -- refit and rebuild both matrices over the whole history: the same result
+  as one batch run over every file that has arrived.
+* ``incremental`` -- statistics (medians, modes, labels) are fitted once, on the first
+  batch, and frozen (stored next to the output, reused after a restart). The matrices
+  are partitioned by a hash bucket of the series key; a batch recomputes only the
+  buckets its rows touch (lags need each touched series' whole history) and overwrites
+  just those partitions. Refit by starting over with a new output folder.
 
 The stream's progress is kept in ``checkpoint`` (a shared, reliable folder), so a
 restarted job resumes at the first unprocessed file.
@@ -15,43 +22,105 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfcast.plans.training import build_training_matrix
+from shelfcast.operators.encode import LabelModel
+from shelfcast.operators.impute import ImputerStats
+from shelfcast.plans.training import apply_training_matrix, build_training_matrix
 from shelfcast.sources.panel import RAW_SCHEMA, write_matrices
 from shelfcast.spec import RETAIL, PanelSpec
 
 log = logging.getLogger("shelfcast.stream")
 
+BUCKET_COL = "series_bucket"
+
 
 def history_path(output: str) -> str:
     return f"{output.rstrip('/')}/_history"
 
 
-def _process_batch(spark: SparkSession, output: str, spec: PanelSpec, median_method: str, fmt: str):
+def fit_path(output: str) -> str:
+    return f"{output.rstrip('/')}/_fit"
+
+
+def series_bucket(spec: PanelSpec, buckets: int, modes: dict | None = None):
+    """Hash bucket of the series key, with null keys filled by ``modes`` first (the series
+    a row joins after imputation)."""
+    modes = modes or {}
+    keys = [F.coalesce(F.col(f"`{k}`"), F.lit(modes[k])) if k in modes else F.col(f"`{k}`") for k in spec.series_keys]
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _append_history(batch: DataFrame, output: str, batch_id: int) -> None:
+    # idempotent append: a retried batch overwrites its own folder
+    batch.write.mode("overwrite").parquet(f"{history_path(output)}/batch_id={batch_id}")
+
+
+def _read_history(spark: SparkSession, output: str) -> DataFrame:
+    return spark.read.schema(RAW_SCHEMA).parquet(history_path(output)).drop("batch_id")
+
+
+def _full_batch(spark, output, spec, median_method, fmt):
     def process(batch: DataFrame, batch_id: int) -> None:
-        hist = history_path(output)
-        # idempotent append: a retried batch overwrites its own folder
-        batch.write.mode("overwrite").parquet(f"{hist}/batch_id={batch_id}")
-        history = spark.read.schema(RAW_SCHEMA).parquet(hist).drop("batch_id")
-        result = build_training_matrix(history, spec, median_method=median_method, materialize="checkpoint")
+        _append_history(batch, output, batch_id)
+        result = build_training_matrix(_read_history(spark, output), spec, median_method=median_method,
+                                       materialize="checkpoint")
         write_matrices(result.train, result.validation, output, fmt)
         log.info("batch %s rebuilt matrices: %s", batch_id, result.metrics.get())
 
     return process
 
 
+def load_frozen_fit(spark: SparkSession, output: str, spec: PanelSpec) -> tuple[ImputerStats, LabelModel] | None:
+    path = fit_path(output)
+    try:
+        text = spark.read.text(f"{path}/imputer").first()["value"]
+    except AnalysisException:  # nothing stored yet
+        return None
+    labels = LabelModel.load(spark, f"{path}/labels", [c for c in spec.categoricals])
+    return ImputerStats.from_json(text), labels
+
+
+def _incremental_batch(spark, output, spec, median_method, fmt, buckets):
+    def process(batch: DataFrame, batch_id: int) -> None:
+        _append_history(batch, output, batch_id)
+        history = _read_history(spark, output)
+        frozen = load_frozen_fit(spark, output, spec)
+        if frozen is None:
+            fitted = build_training_matrix(history, spec, median_method=median_method)
+            fitted.labels.save(f"{fit_path(output)}/labels")
+            spark.createDataFrame([(fitted.imputer.to_json(),)], "value string").coalesce(1).write.mode(
+                "overwrite").text(f"{fit_path(output)}/imputer")
+            frozen = load_frozen_fit(spark, output, spec)
+        imputer, labels = frozen
+        bucket = series_bucket(spec, buckets, imputer.modes)
+        touched = batch.select(bucket.alias(BUCKET_COL)).distinct()  # at most ``buckets`` rows
+        hist = history.withColumn(BUCKET_COL, bucket).join(F.broadcast(touched), BUCKET_COL, "left_semi")
+        train, val = apply_training_matrix(hist, imputer, labels, spec, keep=(BUCKET_COL,))
+        for df, name in ((train, "train"), (val, "validation")):
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET_COL).format(fmt).save(f"{output.rstrip('/')}/{name}"))
+        log.info("batch %s updated buckets", batch_id)
+
+    return process
+
+
 def on_arrival(spark: SparkSession, input_dir: str, output: str, checkpoint: str, spec: PanelSpec = RETAIL,
                median_method: str = "approx", fmt: str = "parquet", available_now: bool = True,
-               max_files_per_trigger: int | None = None) -> StreamingQuery:
+               max_files_per_trigger: int | None = None, mode: str = "full", buckets: int = 256) -> StreamingQuery:
     """Start the file-arrival stream; ``available_now`` processes what is there and stops."""
+    if mode == "full":
+        fn = _full_batch(spark, output, spec, median_method, fmt)
+    elif mode == "incremental":
+        fn = _incremental_batch(spark, output, spec, median_method, fmt, buckets)
+    else:
+        raise ValueError(f"mode must be 'full' or 'incremental', got {mode!r}")
     reader = spark.readStream.schema(RAW_SCHEMA).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(input_dir)
-    writer = stream.writeStream.foreachBatch(_process_batch(spark, output, spec, median_method, fmt)).option(
-        "checkpointLocation", checkpoint
-    )
+    writer = reader.csv(input_dir).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -27,3 +27,27 @@ def test_stream_equals_batch(spark, scratch):
     for got, want in ((streamed_train, batch.train), (streamed_val, batch.validation)):
         assert got.count() == want.count()
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_incremental_stream_recomputes_touched_buckets(spark, scratch):
+    from shelfcast.plans.training import apply_training_matrix
+    from shelfcast.streaming.arrival import BUCKET_COL, load_frozen_fit
+
+    raw = demand_panel_raw(spark, SF_SMALL)
+    inbox = os.path.join(scratch, "inbox")
+    raw.where("Date < '1999-01-01'").coalesce(1).write.option("header", True).csv(os.path.join(inbox, "a"))
+    raw.where("Date >= '1999-01-01'").coalesce(1).write.option("header", True).csv(os.path.join(inbox, "b"))
+    out = os.path.join(scratch, "out")
+    q = on_arrival(spark, os.path.join(inbox, "*"), out, os.path.join(scratch, "ckpt"), SPEC,
+                   median_method="exact", max_files_per_trigger=1, mode="incremental", buckets=8)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    imputer, labels = load_frozen_fit(spark, out, SPEC)
+    # the statistics were fitted on the first arrival only, then frozen
+    first = build_training_matrix(read_panel(spark, os.path.join(inbox, "a")), SPEC, median_method="exact")
+    assert imputer.medians == first.imputer.medians and imputer.modes == first.imputer.modes
+    want_train, want_val = apply_training_matrix(read_panel(spark, os.path.join(inbox, "*")), imputer, labels, SPEC)
+    for name, want in (("train", want_train), ("validation", want_val)):
+        got = spark.read.parquet(os.path.join(out, name)).drop(BUCKET_COL).select(*want.columns)
+        assert got.count() == want.count()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
