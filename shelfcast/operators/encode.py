@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.stats import to_long
 from shelfcast.spec import RETAIL, PanelSpec
+from shelfcast.session import reliable_checkpoint
 
 DEFAULT_BROADCAST_LIMIT = 1_000_000
 
@@ -66,7 +67,7 @@ def fit_labels(train: DataFrame, spec: PanelSpec = RETAIL, cols=None,
     if materialize:
         # Reliable checkpoint in the shared checkpoint folder: the label table is
         # computed once, and later joins do not re-run the training lineage.
-        labels = labels.checkpoint(eager=True)
+        labels = reliable_checkpoint(labels)
     sizes = {r["column"]: r["n"] for r in labels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     return LabelModel(labels, {c: sizes.get(c, 0) for c in cols}, cols, broadcast_limit)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.calendar import calendar_columns
 from shelfcast.functions.price import discount_pct, price_vs_competitor
 from shelfcast.spec import RETAIL, PanelSpec
+from shelfcast.session import reliable_checkpoint
 
 
 def _q(name: str) -> Column:
@@ -129,7 +130,7 @@ def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL, series_totals: Dat
         F.filter(ahead, lambda x: x["_first"] & (x["_chunk"] != F.col("_chunk")) & (x["_start"] < reach)),
         lambda x: x["_chunk"],
     )
-    hot = hot.select(*keys, d, "_chunk", halo.alias("_halo")).checkpoint(eager=True)
+    hot = reliable_checkpoint(hot.select(*keys, d, "_chunk", halo.alias("_halo")))
     if hot.isEmpty():
         return None
     return hot

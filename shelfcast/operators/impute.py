@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import stats
 from shelfcast.spec import MEDIAN_RELATIVE_ERROR, RETAIL, PanelSpec
+from shelfcast.session import reliable_checkpoint
 
 
 @dataclass
@@ -54,7 +55,7 @@ def fit_categorical_with_series(df: DataFrame, spec: PanelSpec = RETAIL) -> tupl
     keys = [k for k in spec.series_keys if k in df.columns]
     if not spec.hot_series_rows or len(keys) != len(spec.series_keys):
         return stats.modes(df, cols), None
-    counts = stats.category_counts(df, cols, keys).checkpoint(eager=True)
+    counts = reliable_checkpoint(stats.category_counts(df, cols, keys))
     modes = stats.collect_modes(stats.modes_from_counts(counts), cols)
     totals = stats.series_totals(counts, df.schema, keys, {k: v for k, v in modes.items() if k in keys})
     return modes, totals

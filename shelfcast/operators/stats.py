@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.spec import MEDIAN_RELATIVE_ERROR, UNKNOWN_CATEGORY
+from shelfcast.session import reliable_checkpoint
 
 
 def _q(name: str) -> Column:
@@ -118,7 +119,7 @@ def exact_medians(
             keep = keep | F.col("name").isin(done)
         if not narrowed:
             break
-        cand = cand.where(keep).checkpoint()
+        cand = reliable_checkpoint(cand.where(keep))
     # final: rank distinct values of the (small) candidate set per column
     per_value = cand.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -19,6 +19,7 @@ from shelfcast.operators.metrics import RowMetrics
 from shelfcast.operators.shaping import assemble_output, output_columns, prepare_raw
 from shelfcast.operators.split import drop_incomplete, split_train, split_validation
 from shelfcast.spec import RETAIL, PanelSpec
+from shelfcast.session import reliable_checkpoint
 
 
 @dataclass
@@ -68,7 +69,7 @@ def build_training_matrix(
     featured = metrics.observe(featured, "before_drop")
     complete = metrics.observe(drop_incomplete(featured, spec), "after_drop")
     if materialize == "checkpoint":
-        complete = complete.checkpoint(eager=True)
+        complete = reliable_checkpoint(complete)
     elif materialize != "none":
         raise ValueError(f"materialize must be 'checkpoint' or 'none', got {materialize!r}")
     train_raw = split_train(complete, spec)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "shelfcast") -> SparkSession:
@@ -30,8 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; set a scratch one only when none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only an unconfigured (test / laptop) session gets a fresh local scratch folder.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; if it
+    is missing there, this raises instead of falling back to a machine-local folder.
+    Only an unconfigured local-mode session (tests, laptop) gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -39,11 +40,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared, reliable folder")
     path = tempfile.mkdtemp(prefix="shelfcast-ckpt-", dir=os.environ.get("SHELFCAST_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Materialize ``df`` in the session's checkpoint folder and cut its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
