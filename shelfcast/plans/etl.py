@@ -26,10 +26,10 @@ log = logging.getLogger("shelfcast.etl")
 
 def run(spark: SparkSession, input_uri: str, output_uri: str, spec: PanelSpec = RETAIL,
         median_method: str = "approx", fmt: str = "csv", single_file: bool = False,
-        materialize: str = "checkpoint") -> dict:
+        materialize: str = "checkpoint", order: str = "none") -> dict:
     ensure_checkpoint_dir(spark)
     raw = read_panel(spark, input_uri)
-    result = build_training_matrix(raw, spec, median_method=median_method, materialize=materialize)
+    result = build_training_matrix(raw, spec, median_method=median_method, materialize=materialize, order=order)
     train_path, val_path = write_matrices(result.train, result.validation, output_uri, fmt, single_file)
     report = {
         "train": train_path,
@@ -53,12 +53,13 @@ def main(argv=None) -> None:
     ap.add_argument("--median", default="approx", choices=["approx", "exact"])
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--single-file", action="store_true")
+    ap.add_argument("--order", default="none", choices=["none", "partition", "global"])
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = SparkSession.builder.appName("shelfcast-etl").getOrCreate()
     spec = RETAIL.with_(cutoff=args.cutoff, week_start=args.week_start)
-    print(json.dumps(run(spark, args.input, args.output, spec, args.median, args.format, args.single_file),
-                     default=str))
+    print(json.dumps(run(spark, args.input, args.output, spec, args.median, args.format, args.single_file,
+                         order=args.order), default=str))
 
 
 if __name__ == "__main__":

@@ -17,7 +17,7 @@ from shelfcast.operators.features import engineer_features
 from shelfcast.operators.impute import ImputerStats, apply_imputer, fit_imputer
 from shelfcast.operators.metrics import RowMetrics
 from shelfcast.operators.shaping import assemble_output, output_columns, prepare_raw
-from shelfcast.operators.split import drop_incomplete, split_train, split_validation
+from shelfcast.operators.split import drop_incomplete, sort_by_date, split_train, split_validation
 from shelfcast.spec import RETAIL, PanelSpec
 from shelfcast.session import reliable_checkpoint
 
@@ -57,11 +57,14 @@ def build_training_matrix(
     unseen: str = "index",
     materialize: str = "none",
     metrics: RowMetrics | None = None,
+    order: str = "none",
 ) -> MatrixResult:
     """Raw text panel -> (train, validation) model matrices in output column order.
 
     ``materialize``: ``"checkpoint"`` writes the complete panel to the session's
     checkpoint folder once (reliable, survives executor loss); ``"none"`` keeps one lazy plan.
+    ``order``: ``"none"``; ``"partition"`` sorts rows by date inside each output partition
+    (no shuffle); ``"global"`` sorts each split by date (a range-partitioned shuffle).
     """
     metrics = metrics or RowMetrics()
     raw = metrics.observe(raw, "raw")
@@ -79,11 +82,22 @@ def build_training_matrix(
     val = apply_labels(val_raw, labels, unseen)
     if unseen == "index":
         val = drop_unseen(val, spec)
+    train, val = _ordered(train, spec, order), _ordered(val, spec, order)
     train = metrics.observe(assemble_output(train, spec), "train")
     val = metrics.observe(assemble_output(val, spec), "validation")
     return MatrixResult(train, val, imputer, labels, metrics)
 
 
+def _ordered(df: DataFrame, spec: PanelSpec, order: str) -> DataFrame:
+    if order == "none":
+        return df
+    if order == "partition":
+        return df.sortWithinPartitions(F.asc_nulls_first(spec.date))
+    if order == "global":
+        return sort_by_date(df, spec)
+    raise ValueError(f"order must be 'none', 'partition' or 'global', got {order!r}")
+
+
 def apply_training_matrix(
     raw: DataFrame,
     imputer: ImputerStats,

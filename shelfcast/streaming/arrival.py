@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.encode import LabelModel
 from shelfcast.operators.impute import ImputerStats
+from shelfcast.plans.model import train_job
 from shelfcast.plans.training import apply_training_matrix, build_training_matrix
 from shelfcast.sources.panel import RAW_SCHEMA, write_matrices
 from shelfcast.spec import RETAIL, PanelSpec
@@ -63,13 +64,18 @@ def _read_history(spark: SparkSession, output: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(history_path(output)).drop("batch_id")
 
 
-def _full_batch(spark, output, spec, median_method, fmt):
+def _full_batch(spark, output, spec, median_method, fmt, model_output, model_params):
     def process(batch: DataFrame, batch_id: int) -> None:
         _append_history(batch, output, batch_id)
         result = build_training_matrix(_read_history(spark, output), spec, median_method=median_method,
                                        materialize="checkpoint")
-        write_matrices(result.train, result.validation, output, fmt)
+        train_path, val_path = write_matrices(result.train, result.validation, output, fmt)
         log.info("batch %s rebuilt matrices: %s", batch_id, result.metrics.get())
+        if model_output:
+            # the arrival also retrains: one model version per processed batch
+            report = train_job(spark, train_path, val_path, model_output, spec, fmt,
+                               version=f"batch-{batch_id:06d}", **(model_params or {}))
+            log.info("batch %s model: %s", batch_id, report.get("model_path") or report.get("skipped"))
 
     return process
 
@@ -110,10 +116,15 @@ def _incremental_batch(spark, output, spec, median_method, fmt, buckets):
 
 def on_arrival(spark: SparkSession, input_dir: str, output: str, checkpoint: str, spec: PanelSpec = RETAIL,
                median_method: str = "approx", fmt: str = "parquet", available_now: bool = True,
-               max_files_per_trigger: int | None = None, mode: str = "full", buckets: int = 256) -> StreamingQuery:
-    """Start the file-arrival stream; ``available_now`` processes what is there and stops."""
+               max_files_per_trigger: int | None = None, mode: str = "full", buckets: int = 256,
+               model_output: str | None = None, model_params: dict | None = None) -> StreamingQuery:
+    """Start the file-arrival stream; ``available_now`` processes what is there and stops.
+
+    With ``model_output`` (full mode), each processed batch also trains and saves a model
+    version (``<model_output>/batch-<id>``), as the arrival event's training step.
+    """
     if mode == "full":
-        fn = _full_batch(spark, output, spec, median_method, fmt)
+        fn = _full_batch(spark, output, spec, median_method, fmt, model_output, model_params)
     elif mode == "incremental":
         fn = _incremental_batch(spark, output, spec, median_method, fmt, buckets)
     else:

@@ -66,3 +66,26 @@ def test_model_train_evaluate_save_load(spark, scratch):
     a = model.transform(val).select("prediction").collect()
     b = again.transform(val).select("prediction").collect()
     assert a == b
+
+
+def test_train_job_reads_matrices_and_saves_version(spark, scratch):
+    from shelfcast.plans.model import train_job
+    from shelfcast.plans.queries import q_training_matrix, q_validation_matrix
+    from shelfcast.sources.panel import write_matrices
+
+    tr, va = write_matrices(q_training_matrix(spark, "/root/testdata/sf0.01"),
+                            q_validation_matrix(spark, "/root/testdata/sf0.01"), os.path.join(scratch, "m"))
+    report = train_job(spark, tr, va, os.path.join(scratch, "models"), rounds=5, depth=4, version="v1")
+    assert report["model_path"].endswith("/v1")
+    assert len(report["train_rmse_per_round"]) == 5
+    assert report["train_rmse_per_round"][-1] < report["train_rmse_per_round"][0]
+    assert os.path.isdir(os.path.join(scratch, "models", "v1", "model"))
+
+
+def test_ordered_export(spark):
+    from shelfcast.plans.queries import SPEC
+    from shelfcast.plans.training import build_training_matrix
+
+    res = build_training_matrix(demand_panel_raw(spark, SF_SMALL), SPEC, median_method="exact", order="global")
+    years = [r["year"] for r in res.validation.collect()]
+    assert years == sorted(years)

@@ -17,10 +17,14 @@ def test_stream_equals_batch(spark, scratch):
     raw.where("Date < '1998-07-01'").write.option("header", True).csv(os.path.join(inbox, "part1"))
     raw.where("Date >= '1998-07-01'").write.option("header", True).csv(os.path.join(inbox, "part2"))
     out = os.path.join(scratch, "out")
+    models = os.path.join(scratch, "models")
     q = on_arrival(spark, os.path.join(inbox, "*"), out, os.path.join(scratch, "ckpt"), SPEC,
-                   median_method="exact", max_files_per_trigger=1)
+                   median_method="exact", max_files_per_trigger=1, fmt="parquet",
+                   model_output=models, model_params={"rounds": 3, "depth": 3})
     q.awaitTermination(600)
     assert q.exception() is None
+    versions = sorted(os.listdir(models))
+    assert versions and all(v.startswith("batch-") for v in versions)  # one model per processed batch
     streamed_train = spark.read.parquet(os.path.join(out, "train"))
     streamed_val = spark.read.parquet(os.path.join(out, "validation"))
     batch = build_training_matrix(read_panel(spark, os.path.join(inbox, "*")), SPEC, median_method="exact")
