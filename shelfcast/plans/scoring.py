@@ -238,15 +238,17 @@ def score_days(validated: DataFrame, scorer: Scorer) -> DataFrame:
     the grouping key (they depend on ``request_id`` only), so there is no join back.
     """
     valid = F.col("status").isNull()
-    days = validated.select(
-        *REQUEST_COLS,
-        F.explode_outer(F.when(valid, F.sequence(F.lit(1), F.col("horizon").cast("int")))).alias("day"),
+    # A row id assigned before the explode keys the regroup: each group is one request
+    # (at most 30 day rows) even when many requests share a request_id.
+    keyed = validated.select(*REQUEST_COLS, F.monotonically_increasing_id().alias("_row"))
+    days = keyed.select(
+        "*", F.explode_outer(F.when(valid, F.sequence(F.lit(1), F.col("horizon").cast("int")))).alias("day"),
     ).withColumn("forecast_date", F.date_add(F.col("date"), F.col("day")))
     scored = scorer(serving_features(days))
     pair = F.when(F.col("day").isNotNull(), F.struct("day", F.col("prediction").cast("double").alias("p")))
-    return scored.groupBy(*REQUEST_COLS).agg(
+    return scored.groupBy("_row", *REQUEST_COLS).agg(
         F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["p"]).alias("predictions")
-    ).withColumn("prediction_error", F.lit(None).cast("string"))
+    ).drop("_row").withColumn("prediction_error", F.lit(None).cast("string"))
 
 
 def attach_replies(validated: DataFrame, replies: DataFrame, text_col: str = "reply") -> DataFrame:

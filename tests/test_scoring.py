@@ -106,3 +106,10 @@ def test_rejected_requests_keep_their_status(spark):
     out = S.score_requests(reqs, S.ExpressionScorer(F.lit(1.0))).orderBy("request_id").collect()
     assert [r["status"] for r in out] == [400, 400, 200]
     assert json.loads(out[0]["response_body"]) == {"error": "Invalid request body"}
+
+
+def test_duplicate_request_ids_are_scored_separately(spark):
+    reqs = spark.createDataFrame([(7, body(horizon=2)), (7, body(horizon=3)), (7, "not json")],
+                                 "request_id long, body string")
+    out = S.score_requests(reqs, S.ExpressionScorer(F.lit(1.0))).collect()
+    assert sorted((r["status"], len(r["predictions"] or [])) for r in out) == [(200, 2), (200, 3), (400, 0)]
