@@ -39,32 +39,29 @@ def main() -> None:
 
     from shelfcast.plans import queries as Q
     from shelfcast.plans import scoring as S
-    from shelfcast.plans.model import train_model
-    from shelfcast.plans.training import build_training_matrix
+    from shelfcast.plans.etl import run as etl_run
+    from shelfcast.plans.model import train_job
     from shelfcast.sources.fixtures import demand_panel_raw, forecast_requests
 
+    raw_csv = os.path.join(scratch, "raw_panel")
+    out = {}
+
     def run(df):
         df.write.format("noop").mode("overwrite").save()
 
     def q_panel():
-        run(demand_panel_raw(spark, sf_dir))
+        # derive the raw panel from the TPC-H tables and land it as header CSV (the job's input)
+        demand_panel_raw(spark, sf_dir).write.mode("overwrite").option("header", True).csv(raw_csv)
 
-    def q_features():
-        run(Q.q_engineer_features(spark, sf_dir))
+    def q_etl_csv():
+        # the whole batch job: raw CSV -> impute -> features -> split -> encode -> CSV matrices
+        out["etl"] = etl_run(spark, raw_csv, os.path.join(scratch, "matrices"), Q.SPEC, median_method="approx")
 
-    def q_training_matrix():
-        # production defaults: approximate medians, complete panel checkpointed once
-        res = build_training_matrix(demand_panel_raw(spark, sf_dir), Q.SPEC, median_method="approx",
-                                    materialize="checkpoint")
-        run(res.train)
-        run(res.validation)
+    def q_etl_csv_exact():
+        etl_run(spark, raw_csv, os.path.join(scratch, "matrices_exact"), Q.SPEC, median_method="exact")
 
-    def q_training_matrix_exact():
-        # exact medians (the oracle-checkable mode), one fit for both matrices
-        res = build_training_matrix(demand_panel_raw(spark, sf_dir), Q.SPEC, median_method="exact",
-                                    materialize="checkpoint")
-        run(res.train)
-        run(res.validation)
+    def q_features():
+        run(Q.q_engineer_features(spark, sf_dir))
 
     def q_median_exact():
         Q.q_median_exact(spark, sf_dir).collect()
@@ -76,23 +73,23 @@ def main() -> None:
     def q_responses_from_replies():
         run(Q.q_responses(spark, sf_dir))
 
-    def q_gbt_20_rounds():
-        res = build_training_matrix(demand_panel_raw(spark, sf_dir), Q.SPEC, median_method="approx",
-                                    materialize="checkpoint")
-        train = res.train.checkpoint()
-        train_model(train, Q.SPEC, rounds=20)
+    def q_train_job_20_rounds():
+        etl = out.get("etl") or etl_run(spark, raw_csv, os.path.join(scratch, "matrices"), Q.SPEC)
+        train_job(spark, etl["train"], etl["validation"], os.path.join(scratch, "models"), Q.SPEC, rounds=20)
 
     plan = [
         ("panel", q_panel),
+        ("etl_csv", q_etl_csv),
+        ("etl_csv_exact", q_etl_csv_exact),
         ("features", q_features),
-        ("training_matrix", q_training_matrix),
-        ("training_matrix_exact", q_training_matrix_exact),
         ("median_exact", q_median_exact),
         ("requests", q_requests),
         ("responses_from_replies", q_responses_from_replies),
-        ("gbt_20_rounds", q_gbt_20_rounds),
+        ("train_job_20_rounds", q_train_job_20_rounds),
     ]
     only = set(sys.argv[1:])
+    if only and "panel" not in only:
+        only.add("panel")  # the later steps read the landed CSV
     # warm-up: JVM, class loading, parquet footers
     run(demand_panel_raw(spark, sf_dir).limit(1))
     times = {}
