@@ -107,9 +107,12 @@ def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL, series_totals: Dat
         # hot series are known from the fit's counts: at most (rows / m) of them
         hot_keys = series_totals.where(F.col("_total") > m).select(
             *[_q(k).alias(f"_h{i}") for i, k in enumerate(names)])
-        if hot_keys.isEmpty():
+        n_hot = hot_keys.count()  # a job over the small totals table
+        if n_hot == 0:
             return None
-        src = df.join(F.broadcast(hot_keys), _null_safe(names, [f"_h{i}" for i in range(len(names))]), "left_semi")
+        if n_hot <= spec.broadcast_rows:
+            hot_keys = F.broadcast(hot_keys)
+        src = df.join(hot_keys, _null_safe(names, [f"_h{i}" for i in range(len(names))]), "left_semi")
     counts = src.groupBy(*keys, d).agg(F.count(F.lit(1)).alias("_n"))
     by_series = Window.partitionBy(*keys)
     ordered = by_series.orderBy(F.asc_nulls_first(spec.date))
