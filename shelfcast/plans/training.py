@@ -32,7 +32,8 @@ class MatrixResult:
 
 
 def featured_panel(raw: DataFrame, spec: PanelSpec = RETAIL, median_method: str = "approx",
-                   fit_on: str = "all", imputer: ImputerStats | None = None) -> tuple[DataFrame, ImputerStats]:
+                   fit_on: str = "all", imputer: ImputerStats | None = None,
+                   metrics: RowMetrics | None = None) -> tuple[DataFrame, ImputerStats]:
     """Shape, impute and engineer features (before the completeness filter)."""
     typed = prepare_raw(raw, spec)
     totals = None
@@ -46,7 +47,10 @@ def featured_panel(raw: DataFrame, spec: PanelSpec = RETAIL, median_method: str
         imputer = fit_imputer(basis, spec, median_method)
         # series totals count every row only when the fit saw every row
         totals = imputer.series_totals if fit_on == "all" else None
-    return engineer_features(apply_imputer(typed, imputer), spec, totals), imputer
+    imputed = apply_imputer(typed, imputer)
+    if metrics is not None:
+        imputed = metrics.observe(imputed, "imputed")
+    return engineer_features(imputed, spec, totals), imputer
 
 
 def build_training_matrix(
@@ -68,15 +72,15 @@ def build_training_matrix(
     """
     metrics = metrics or RowMetrics()
     raw = metrics.observe(raw, "raw")
-    featured, imputer = featured_panel(raw, spec, median_method, fit_on)
+    featured, imputer = featured_panel(raw, spec, median_method, fit_on, metrics=metrics)
     featured = metrics.observe(featured, "before_drop")
     complete = metrics.observe(drop_incomplete(featured, spec), "after_drop")
     if materialize == "checkpoint":
         complete = reliable_checkpoint(complete)
     elif materialize != "none":
         raise ValueError(f"materialize must be 'checkpoint' or 'none', got {materialize!r}")
-    train_raw = split_train(complete, spec)
-    val_raw = split_validation(complete, spec)
+    train_raw = metrics.observe(split_train(complete, spec), "train_before_encoding")
+    val_raw = metrics.observe(split_validation(complete, spec), "validation_before_encoding")
     labels = fit_labels(train_raw, spec)
     train = apply_labels(train_raw, labels, "index")
     val = apply_labels(val_raw, labels, unseen)

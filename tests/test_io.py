@@ -45,7 +45,12 @@ def test_etl_run_end_to_end(spark, scratch):
     assert os.path.isdir(os.path.join(scratch, "out", "validation"))
     train = read_matrix(spark, report["train"])
     assert train.count() == 35 and len(train.columns) == 30
-    assert report["rows"]["after_drop"]["rows"] == 415
+    rows = {k: v["rows"] for k, v in report["rows"].items()}
+    assert rows["raw"] == rows["imputed"] == rows["before_drop"] == 5963
+    assert rows["after_drop"] == 415
+    assert rows["train_before_encoding"] == rows["train"] == 35
+    assert rows["validation_before_encoding"] == rows["validation"] == 380
+    assert report["rows"]["train"]["columns"] == 30
 
 
 def test_model_train_evaluate_save_load(spark, scratch):
