@@ -31,7 +31,9 @@ def run(spark: SparkSession, input_uri: str, output_uri: str, spec: PanelSpec =
     raw = read_panel(spark, input_uri)
     result = build_training_matrix(raw, spec, median_method=median_method, materialize=materialize, order=order)
     train_path, val_path = write_matrices(result.train, result.validation, output_uri, fmt, single_file)
+    fit_dir = save_fit(spark, result, output_uri)
     report = {
+        "fit": fit_dir,
         "train": train_path,
         "validation": val_path,
         "medians": result.imputer.medians,
@@ -44,6 +46,16 @@ def run(spark: SparkSession, input_uri: str, output_uri: str, spec: PanelSpec =
     return report
 
 
+def save_fit(spark: SparkSession, result, output_uri: str) -> str:
+    """Persist the fitted state next to the matrices: imputer statistics (JSON text) and
+    the label table (Parquet), so scoring and later runs can reuse them."""
+    base = f"{output_uri.rstrip('/')}/_fit"
+    spark.createDataFrame([(result.imputer.to_json(),)], "value string").coalesce(1).write.mode(
+        "overwrite").text(f"{base}/imputer")
+    result.labels.save(f"{base}/labels")
+    return base
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="Demand-forecasting feature pipeline")
     ap.add_argument("--input", required=True, help="raw panel CSV file or folder")

@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.encode import LabelModel
 from shelfcast.operators.impute import ImputerStats
+from shelfcast.plans.etl import save_fit
 from shelfcast.plans.model import train_job
 from shelfcast.plans.training import apply_training_matrix, build_training_matrix
 from shelfcast.sources.panel import RAW_SCHEMA, write_matrices
@@ -96,10 +97,7 @@ def _incremental_batch(spark, output, spec, median_method, fmt, buckets):
         history = _read_history(spark, output)
         frozen = load_frozen_fit(spark, output, spec)
         if frozen is None:
-            fitted = build_training_matrix(history, spec, median_method=median_method)
-            fitted.labels.save(f"{fit_path(output)}/labels")
-            spark.createDataFrame([(fitted.imputer.to_json(),)], "value string").coalesce(1).write.mode(
-                "overwrite").text(f"{fit_path(output)}/imputer")
+            save_fit(spark, build_training_matrix(history, spec, median_method=median_method), output)
             frozen = load_frozen_fit(spark, output, spec)
         imputer, labels = frozen
         bucket = series_bucket(spec, buckets, imputer.modes)

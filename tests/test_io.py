@@ -94,3 +94,20 @@ def test_ordered_export(spark):
     res = build_training_matrix(demand_panel_raw(spark, SF_SMALL), SPEC, median_method="exact", order="global")
     years = [r["year"] for r in res.validation.collect()]
     assert years == sorted(years)
+
+
+def test_etl_cli_and_saved_fit(spark, scratch):
+    from shelfcast.operators.encode import LabelModel
+    from shelfcast.operators.impute import ImputerStats
+    from shelfcast.plans.etl import main
+
+    src = os.path.join(scratch, "data")
+    demand_panel_raw(spark, SF_SMALL).write.option("header", True).csv(src)
+    out = os.path.join(scratch, "out")
+    main(["--input", src, "--output", out, "--cutoff", "2000-01-01", "--median", "exact", "--format", "parquet"])
+    assert spark.read.parquet(os.path.join(out, "train")).count() == 35
+    stats = ImputerStats.from_json(spark.read.text(os.path.join(out, "_fit", "imputer")).first()["value"])
+    assert set(stats.medians) == {"Inventory Level", "Price", "Discount", "Promotion", "Competitor Pricing",
+                                  "Epidemic", "Demand"}
+    labels = LabelModel.load(spark, os.path.join(out, "_fit", "labels"), ["Store ID", "Product ID"])
+    assert labels.sizes["Store ID"] > 0
