@@ -50,6 +50,39 @@ def train_model(train: DataFrame, spec: PanelSpec = RETAIL, **params) -> Pipelin
     return training_pipeline(spec, **params).fit(train)
 
 
+# The matrix column that feeds each of the 12 serving features, in payload order.
+SERVING_FROM_MATRIX = {
+    "store_id_encoded": "Store ID",
+    "item_id_encoded": "Product ID",
+    "day_of_week": "day_of_week",
+    "day_of_month": "day_of_month",
+    "month": "month",
+    "year": "year",
+    "is_weekend": "is_weekend",
+    "lag_1_sales": "demand_lag_1",
+    "lag_7_sales": "demand_lag_7",
+    "rolling_mean_7": "demand_roll_mean_7",
+    "price": "Price",
+    "promo": "Promotion",
+}
+
+
+def serving_frame(matrix: DataFrame, spec: PanelSpec = RETAIL) -> DataFrame:
+    """The training matrix seen through the 12-feature serving schema (target kept)."""
+    return matrix.select(F.col(f"`{spec.target}`"),
+                         *[F.col(f"`{src}`").cast("double").alias(dst) for dst, src in SERVING_FROM_MATRIX.items()])
+
+
+def train_serving_model(matrix: DataFrame, spec: PanelSpec = RETAIL, rounds: int = NUM_ROUNDS,
+                        depth: int = MAX_DEPTH, step: float = STEP_SIZE, seed: int = 42) -> PipelineModel:
+    """A model over exactly the features the request path sends, so request scoring can
+    use a trained Spark model (the 29-feature matrix model cannot read serving rows)."""
+    assembler = VectorAssembler(inputCols=list(SERVING_FROM_MATRIX), outputCol="features", handleInvalid="keep")
+    gbt = GBTRegressor(labelCol=spec.target, featuresCol="features", predictionCol="prediction",
+                       maxIter=rounds, maxDepth=depth, stepSize=step, lossType="squared", seed=seed)
+    return Pipeline(stages=[assembler, gbt]).fit(serving_frame(matrix, spec))
+
+
 def rmse(scored: DataFrame, label: str, prediction: str = "prediction") -> float:
     return RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName="rmse").evaluate(scored)
 

@@ -354,6 +354,15 @@ def q_scored_responses(spark, sf):
                        F.size("predictions").alias("n_predictions"), "response_body")
 
 
+def q_model_scored_responses(spark, sf):
+    """Requests scored by a boosted-tree model trained on the serving view of the matrix."""
+    from shelfcast.plans.model import train_serving_model
+
+    model = train_serving_model(q_training_matrix(spark, sf), SPEC)
+    resp = S.score_requests(forecast_requests(spark, sf), S.ModelScorer(model))
+    return resp.select("request_id", "status", "error", F.size("predictions").alias("n_predictions"))
+
+
 QUERIES = {
     "demand_panel": q_demand_panel,
     "drop_leaky": q_drop_leaky,
@@ -400,4 +409,5 @@ QUERIES = {
     "zip_predictions": q_zip_predictions,
     "responses": q_responses,
     "scored_responses": q_scored_responses,
+    "model_scored_responses": q_model_scored_responses,
 }

@@ -113,3 +113,14 @@ def test_duplicate_request_ids_are_scored_separately(spark):
                                  "request_id long, body string")
     out = S.score_requests(reqs, S.ExpressionScorer(F.lit(1.0))).collect()
     assert sorted((r["status"], len(r["predictions"] or [])) for r in out) == [(200, 2), (200, 3), (400, 0)]
+
+
+def test_requests_scored_by_trained_serving_model(spark):
+    from shelfcast.plans.model import train_serving_model
+    from shelfcast.plans.queries import q_training_matrix
+
+    model = train_serving_model(q_training_matrix(spark, "/root/testdata/sf0.001"), rounds=3, depth=3)
+    out = S.score_requests(requests(spark, [body(horizon=3), "not json"]), S.ModelScorer(model)).orderBy("request_id").collect()
+    assert out[0]["status"] == 200 and len(out[0]["predictions"]) == 3
+    assert all(isinstance(p["forecast"], float) for p in out[0]["predictions"])
+    assert out[1]["status"] == 400
