@@ -19,6 +19,8 @@ MSG_INFERENCE_FAILED = "Inference failed: "
 MSG_NULL_BODY = "the JSON object must be str, bytes or bytearray, not NoneType"
 STATUS_OK, STATUS_BAD_REQUEST, STATUS_FAILED = 200, 400, 500
 HORIZON_MIN, HORIZON_MAX, HORIZON_DEFAULT = 1, 30, 1
+MSG_DATE_OVERFLOW = "date value out of range"
+MAX_DATE = "9999-12-31"
 
 INTEGER_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 

@@ -95,16 +95,20 @@ def validate_requests(requests: DataFrame, body_col: str = "body") -> DataFrame:
         .when(~F.col("_item_ok"), F.lit(2))
         .when(F.col("_date_v").isNull(), F.lit(3))
         .when(~h_ok, F.lit(4))
+        # forecast days past 9999-12-31 overflow a Python date: the handler's outer guard answers 500
+        .when(F.date_add(F.col("_date_v"), h.cast("int")) > F.lit(R.MAX_DATE).cast("date"), F.lit(5))
     )
     ruled = checks.withColumn("_rule", rule)
     r = F.col("_rule")
-    status = F.when(r == 0, F.col("parse_status")).when(r.isNotNull(), F.lit(R.STATUS_BAD_REQUEST))
+    status = (F.when(r == 0, F.col("parse_status")).when(r == 5, F.lit(R.STATUS_FAILED))
+              .when(r.isNotNull(), F.lit(R.STATUS_BAD_REQUEST)))
     error = (
         F.when(r == 0, F.col("parse_error"))
         .when(r == 1, F.lit(R.MSG_STORE_REQUIRED))
         .when(r == 2, F.lit(R.MSG_ITEM_REQUIRED))
         .when(r == 3, F.lit(R.MSG_BAD_DATE))
         .when(r == 4, F.lit(R.MSG_BAD_HORIZON))
+        .when(r == 5, F.lit(R.MSG_INFERENCE_FAILED + R.MSG_DATE_OVERFLOW))
     )
     outcome = F.struct(
         status.cast("int").alias("status"),

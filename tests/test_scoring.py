@@ -61,6 +61,9 @@ def test_default_horizon_is_one(spark):
     (body(horizon=True), (None, None)),
     (body(horizon=False), (400, MSG_HORIZON)),
     (body(store_id=7), (None, None)),
+    (body(date="9999-12-31"), (500, "Inference failed: date value out of range")),
+    (body(date="9999-12-02", horizon=30), (500, "Inference failed: date value out of range")),
+    (body(date="9999-12-01", horizon=30), (None, None)),
     ("not json", (400, "Invalid request body")),
     ("[1, 2]", (500, "Inference failed: 'list' object has no attribute 'get'")),
     (None, (500, "Inference failed: the JSON object must be str, bytes or bytearray, not NoneType")),
