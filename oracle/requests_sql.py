@@ -64,7 +64,8 @@ validated AS (
          WHEN NOT store_ok THEN 400
          WHEN NOT item_ok THEN 400
          WHEN date_v IS NULL THEN 400
-         WHEN h_v IS NULL OR h_v < 1 OR h_v > 30 THEN 400 END AS INTEGER) AS status,
+         WHEN h_v IS NULL OR h_v < 1 OR h_v > 30 THEN 400
+         WHEN date_v + CAST(h_v AS INTEGER) > DATE '9999-12-31' THEN 500 END AS INTEGER) AS status,
     CASE WHEN NOT ok THEN 'Invalid request body'
          WHEN t <> 'OBJECT' THEN 'Inference failed: ''' ||
               CASE t WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'str' WHEN 'BOOLEAN' THEN 'bool'
@@ -73,7 +74,8 @@ validated AS (
          WHEN NOT store_ok THEN 'store_id is required'
          WHEN NOT item_ok THEN 'item_id is required'
          WHEN date_v IS NULL THEN 'date must be in YYYY-MM-DD format'
-         WHEN h_v IS NULL OR h_v < 1 OR h_v > 30 THEN 'horizon must be an integer between 1 and 30' END AS error,
+         WHEN h_v IS NULL OR h_v < 1 OR h_v > 30 THEN 'horizon must be an integer between 1 and 30'
+         WHEN date_v + CAST(h_v AS INTEGER) > DATE '9999-12-31' THEN 'Inference failed: date value out of range' END AS error,
     CASE WHEN ok AND t = 'OBJECT' THEN CASE WHEN st = 'VARCHAR' THEN store_s ELSE CAST(store_j AS VARCHAR) END END AS store_id,
     CASE WHEN ok AND t = 'OBJECT' THEN CASE WHEN it = 'VARCHAR' THEN item_s ELSE CAST(item_j AS VARCHAR) END END AS item_id,
     CAST(store_j AS VARCHAR) AS store_json, CAST(item_j AS VARCHAR) AS item_json,
