@@ -67,6 +67,12 @@ def main() -> None:
         Q.q_median_exact(spark, sf_dir).collect()
 
     def q_requests():
+        # expression scorer evaluated inside each request row: no explode, no shuffle
+        scorer = S.FeatureExpressionScorer(lambda f: f["day_of_month"] + f["month"] / F.lit(100.0))
+        run(S.score_requests(forecast_requests(spark, sf_dir), scorer))
+
+    def q_requests_by_row():
+        # day rows through a row scorer and one regroup (the path a Spark ML model takes)
         scorer = S.ExpressionScorer(Q.stand_in_forecast(F.col("forecast_date")))
         run(S.score_requests(forecast_requests(spark, sf_dir), scorer))
 
@@ -102,6 +108,7 @@ def main() -> None:
         ("features", q_features),
         ("median_exact", q_median_exact),
         ("requests", q_requests),
+        ("requests_by_row", q_requests_by_row),
         ("responses_from_replies", q_responses_from_replies),
         ("train_job_20_rounds", q_train_job_20_rounds),
         ("features_hot_series", q_features_hot_series),

@@ -203,4 +203,5 @@ FROM pred_err p, LATERAL (SELECT generate_subscripts(p.preds, 1) AS pos, unnest(
     "zip_predictions": _with(*BASE, REPLIES) + 'SELECT request_id, "date", forecast FROM zipped',
     "responses": _with(*BASE, REPLIES) + "SELECT * FROM responses",
     "scored_responses": _with(*BASE, SCORED) + "SELECT * FROM scored",
+    "scored_responses_by_row": _with(*BASE, SCORED) + "SELECT * FROM scored",
 }

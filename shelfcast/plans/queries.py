@@ -348,6 +348,15 @@ def q_responses(spark, sf):
 
 
 def q_scored_responses(spark, sf):
+    # the stand-in as an expression of the serving features: scored inside each request row
+    scorer = S.FeatureExpressionScorer(lambda f: f["day_of_month"] + f["month"] / F.lit(100.0))
+    resp = S.score_requests(forecast_requests(spark, sf), scorer)
+    return resp.select("request_id", "status", "error", "store_id", "item_id",
+                       F.size("predictions").alias("n_predictions"), "response_body")
+
+
+def q_scored_responses_by_row(spark, sf):
+    """The same stand-in scored day by day as rows (the path a row-based model takes)."""
     scorer = S.ExpressionScorer(stand_in_forecast(F.col("forecast_date")))
     resp = S.score_requests(forecast_requests(spark, sf), scorer)
     return resp.select("request_id", "status", "error", "store_id", "item_id",
@@ -409,5 +418,6 @@ QUERIES = {
     "zip_predictions": q_zip_predictions,
     "responses": q_responses,
     "scored_responses": q_scored_responses,
+    "scored_responses_by_row": q_scored_responses_by_row,
     "model_scored_responses": q_model_scored_responses,
 }

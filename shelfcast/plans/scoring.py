@@ -156,13 +156,15 @@ def serving_calendar(d: Column) -> dict[str, Column]:
     }
 
 
+def serving_feature_columns(d: Column) -> dict[str, Column]:
+    """The 12 serving features of forecast date ``d``, in payload order."""
+    cal = serving_calendar(d)
+    return {n: cal[n] if n in cal else F.lit(SERVING_PLACEHOLDERS[n]).cast("double") for n in SERVING_FEATURES}
+
+
 def serving_features(expanded: DataFrame, date_col: str = "forecast_date") -> DataFrame:
     """The 12 serving features in payload order (placeholders where no history is used)."""
-    cal = serving_calendar(F.col(date_col))
-    cols = {}
-    for name in SERVING_FEATURES:
-        cols[name] = cal[name] if name in cal else F.lit(SERVING_PLACEHOLDERS[name]).cast("double")
-    return expanded.withColumns(cols)
+    return expanded.withColumns(serving_feature_columns(F.col(date_col)))
 
 
 def feature_row_text(cols=SERVING_FEATURES) -> Column:
@@ -198,6 +200,24 @@ class ExpressionScorer:
         return features.withColumn("prediction", self.expr.cast("double"))
 
 
+@dataclass
+class FeatureExpressionScorer:
+    """Scores each forecast day with a column function of that day's 12 serving features.
+
+    Evaluated inside the request row (``transform`` over the horizon): no explode and no
+    shuffle, unlike a row-based model.
+    """
+
+    fn: Callable[[dict], Column]
+
+    def predictions(self) -> Column:
+        def day(i):
+            feats = serving_feature_columns(F.date_add(F.col("date"), i))
+            return self.fn(feats).cast("double")
+
+        return F.transform(F.sequence(F.lit(1), F.col("horizon").cast("int")), day)
+
+
 @dataclass
 class ModelScorer:
     """Scores with a fitted Spark ML ``PipelineModel`` that writes ``prediction``."""
@@ -288,9 +308,21 @@ def assemble_responses(scored: DataFrame) -> DataFrame:
     return out.withColumn("response_body", body).drop("store_json", "item_json")
 
 
-def score_requests(requests: DataFrame, scorer: Scorer) -> DataFrame:
+def score_in_row(validated: DataFrame, scorer: FeatureExpressionScorer) -> DataFrame:
+    """Per request: predictions computed inside the row (narrow, no shuffle)."""
+    return validated.select(
+        *REQUEST_COLS,
+        F.when(F.col("status").isNull(), scorer.predictions()).alias("predictions"),
+        F.lit(None).cast("string").alias("prediction_error"),
+    )
+
+
+def score_requests(requests: DataFrame, scorer) -> DataFrame:
     """End to end: requests -> responses (status, error, store_id, item_id, predictions, body)."""
-    return assemble_responses(score_days(validate_requests(requests), scorer))
+    validated = validate_requests(requests)
+    if isinstance(scorer, FeatureExpressionScorer):
+        return assemble_responses(score_in_row(validated, scorer))
+    return assemble_responses(score_days(validated, scorer))
 
 
 def score_requests_with_replies(requests: DataFrame, replies: DataFrame, text_col: str = "reply") -> DataFrame:

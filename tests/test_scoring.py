@@ -127,3 +127,12 @@ def test_requests_scored_by_trained_serving_model(spark):
     assert out[0]["status"] == 200 and len(out[0]["predictions"]) == 3
     assert all(isinstance(p["forecast"], float) for p in out[0]["predictions"])
     assert out[1]["status"] == 400
+
+
+def test_in_row_scorer_matches_row_scorer(spark):
+    reqs = requests(spark, [body(horizon=3), body(horizon=30), "not json", body(horizon=0)])
+    in_row = S.score_requests(reqs, S.FeatureExpressionScorer(lambda f: f["day_of_month"] * 2 + f["price"]))
+    by_row = S.score_requests(reqs, S.ExpressionScorer(F.dayofmonth("forecast_date") * 2 + F.lit(50.0)))
+    assert in_row.exceptAll(by_row).count() == 0 and by_row.exceptAll(in_row).count() == 0
+    plan = in_row._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # no shuffle on the in-row path
