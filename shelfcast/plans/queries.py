@@ -284,6 +284,11 @@ def stand_in_replies(valid: DataFrame) -> DataFrame:
     return valid.select("request_id", F.concat(F.array_join(vals, "\n"), F.lit("\n")).alias("reply"))
 
 
+def _n_predictions():
+    # null for requests without predictions, whatever the session's legacy size(null) setting
+    return F.when(F.col("predictions").isNotNull(), F.size("predictions")).alias("n_predictions")
+
+
 def _validated(spark, sf):
     return S.validate_requests(forecast_requests(spark, sf))
 
@@ -344,7 +349,7 @@ def q_zip_predictions(spark, sf):
 def q_responses(spark, sf):
     resp = _reply_responses(spark, sf)
     return resp.select("request_id", "status", "error", "store_id", "item_id",
-                       F.size("predictions").alias("n_predictions"), "response_body")
+                       _n_predictions(), "response_body")
 
 
 def q_scored_responses(spark, sf):
@@ -352,7 +357,7 @@ def q_scored_responses(spark, sf):
     scorer = S.FeatureExpressionScorer(lambda f: f["day_of_month"] + f["month"] / F.lit(100.0))
     resp = S.score_requests(forecast_requests(spark, sf), scorer)
     return resp.select("request_id", "status", "error", "store_id", "item_id",
-                       F.size("predictions").alias("n_predictions"), "response_body")
+                       _n_predictions(), "response_body")
 
 
 def q_scored_responses_by_row(spark, sf):
@@ -360,7 +365,7 @@ def q_scored_responses_by_row(spark, sf):
     scorer = S.ExpressionScorer(stand_in_forecast(F.col("forecast_date")))
     resp = S.score_requests(forecast_requests(spark, sf), scorer)
     return resp.select("request_id", "status", "error", "store_id", "item_id",
-                       F.size("predictions").alias("n_predictions"), "response_body")
+                       _n_predictions(), "response_body")
 
 
 def q_model_scored_responses(spark, sf):
@@ -369,7 +374,7 @@ def q_model_scored_responses(spark, sf):
 
     model = train_serving_model(q_training_matrix(spark, sf), SPEC)
     resp = S.score_requests(forecast_requests(spark, sf), S.ModelScorer(model))
-    return resp.select("request_id", "status", "error", F.size("predictions").alias("n_predictions"))
+    return resp.select("request_id", "status", "error", _n_predictions())
 
 
 QUERIES = {
