@@ -6,7 +6,8 @@ alphabetical order), and an unseen or null value gets one extra index ``n``.
 
 The fitted labels stay a DataFrame ``(column, value, count, index)``. Counting is one
 distributed aggregate over all categoricals at once; numbering sorts the distinct
-labels of each column. Applying is a left join per column: broadcast when that
+labels of each column (in one task per column up to ``rank_in_one_task`` labels, by a
+distributed rank beyond that). Applying is a left join per column: broadcast when that
 column's label count is under ``broadcast_limit`` (checked at fit time), a shuffle
 join otherwise, so the encoded table never passes through the driver.
 """
@@ -43,27 +44,67 @@ class LabelModel:
         return cls(labels, {c: sizes.get(c, 0) for c in columns}, list(columns), broadcast_limit)
 
 
-def label_frame(df: DataFrame, cols) -> DataFrame:
-    """``(column, value, count, index)`` for every non-null value of every column."""
+DEFAULT_RANK_IN_ONE_TASK = 2_000_000
+
+
+def _label_order(prefix: str = ""):
+    return [F.desc(f"{prefix}count"), F.asc(f"{prefix}value")]
+
+
+def _rank_per_column(counts: DataFrame) -> DataFrame:
+    """Number each column's labels in one task per column (for columns of bounded size)."""
+    w = Window.partitionBy("name").orderBy(*_label_order())
+    return counts.select("name", "value", "count", (F.row_number().over(w) - 1).cast("bigint").alias("index"))
+
+
+def _rank_distributed(counts: DataFrame, rows_per_part: int) -> DataFrame:
+    """Number labels of very large columns without one task per column.
+
+    Range-partition by (column, count desc, value) and checkpoint (stable partition ids);
+    number rows inside each (partition, column); add the count of that column's labels in
+    earlier partitions, taken from a small per-partition count table.
+    """
+    total = counts.count()
+    parts = max(1, -(-total // rows_per_part))
+    ranged = counts.repartitionByRange(parts, F.col("name"), *_label_order()).withColumn("_pid", F.spark_partition_id())
+    ranged = reliable_checkpoint(ranged)
+    local = Window.partitionBy("_pid", "name").orderBy(*_label_order())
+    numbered = ranged.withColumn("_local", F.row_number().over(local) - 1)
+    sizes = ranged.groupBy("name", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("name").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("name", "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # offsets: one row per (column, range partition) -- bounded by the partition count
+    return numbered.join(F.broadcast(offsets), ["name", "_pid"]).select(
+        "name", "value", "count", (F.col("_offset") + F.col("_local")).cast("bigint").alias("index"))
+
+
+def label_frame(df: DataFrame, cols, rank_in_one_task: int = DEFAULT_RANK_IN_ONE_TASK) -> DataFrame:
+    """``(column, value, count, index)`` for every non-null value of every column.
+
+    Columns with at most ``rank_in_one_task`` labels are numbered by a window per column;
+    larger ones by a distributed rank (see ``_rank_distributed``).
+    """
     counts = (
         to_long(df, cols, "string")
         .where(F.col("value").isNotNull())
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    w = Window.partitionBy("name").orderBy(F.desc("count"), F.asc("value"))
-    return counts.select(
-        F.col("name").alias("column"),
-        "value",
-        "count",
-        (F.row_number().over(w) - 1).cast("bigint").alias("index"),
-    )
+    counts = reliable_checkpoint(counts)
+    sizes = {r["name"]: r["n"] for r in counts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    big = [c for c, n in sizes.items() if n > rank_in_one_task]
+    small = counts.where(~F.col("name").isin(big)) if big else counts
+    ranked = _rank_per_column(small)
+    if big:
+        ranked = ranked.unionByName(_rank_distributed(counts.where(F.col("name").isin(big)), rank_in_one_task))
+    return ranked.withColumnRenamed("name", "column")
 
 
 def fit_labels(train: DataFrame, spec: PanelSpec = RETAIL, cols=None,
-               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, materialize: bool = True) -> LabelModel:
+               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, materialize: bool = True,
+               rank_in_one_task: int = DEFAULT_RANK_IN_ONE_TASK) -> LabelModel:
     cols = [c for c in (spec.categoricals if cols is None else cols) if c in train.columns]
-    labels = label_frame(train, cols)
+    labels = label_frame(train, cols, rank_in_one_task)
     if materialize:
         # Reliable checkpoint in the shared checkpoint folder: the label table is
         # computed once, and later joins do not re-run the training lineage.

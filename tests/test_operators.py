@@ -325,3 +325,14 @@ def test_hot_series_from_filled_null_keys(spark):
     plain = engineer_features(imputed, spec.with_(hot_series_rows=None))
     assert chunked.count() == plain.count() == 150
     assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
+
+
+def test_distributed_label_rank_equals_window_rank(spark):
+    rng = random.Random(3)
+    vals = [f"v{rng.randint(0, 400)}" for _ in range(5000)] + ["hot"] * 1500
+    df = spark.createDataFrame([(v, f"c{i % 7}") for i, v in enumerate(vals)], "Category string, Region string")
+    spec = RETAIL.with_(categoricals=("Category", "Region"))
+    one_task = fit_labels(df, spec).labels
+    spread = fit_labels(df, spec, rank_in_one_task=50).labels  # Category (402 labels) takes the distributed path
+    assert one_task.count() == spread.count() == 402 + 7
+    assert one_task.exceptAll(spread).count() == 0 and spread.exceptAll(one_task).count() == 0
