@@ -1,8 +1,9 @@
 """Missing-value imputation as a fit/apply pair.
 
-``fit_imputer`` runs two distributed aggregates (medians, modes) and returns a few
-scalars; ``apply_imputer`` turns them into literals inside one projection, so the
-apply step is a narrow, codegen'd map with no join and no shuffle.
+``fit_imputer`` runs two distributed aggregates (medians; modes plus per-series row
+totals) and returns a few scalars (and the small totals table); ``apply_imputer`` turns
+the scalars into literals inside one projection, so the apply step is a narrow,
+codegen'd map with no join and no shuffle.
 """
 
 from __future__ import annotations

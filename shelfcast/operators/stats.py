@@ -1,4 +1,4 @@
-"""Fit-time statistics: medians, modes and value counts, each in one distributed pass.
+"""Fit-time statistics: medians, modes and value counts.
 
 All columns are handled together in *long* form ``(name, value)``: one scan, one
 shuffle, partial aggregation before the shuffle (a value held by a third of all rows

@@ -1,8 +1,10 @@
 """The whole feature pipeline: raw text panel -> encoded train / validation matrices.
 
-Jobs at scale: one aggregate for the medians, one for the modes, one for the label
-table, then the two matrix writes. The post-filter panel, which feeds the label fit and
-both splits, can be cut from its lineage by a reliable checkpoint in the shared folder.
+Jobs at scale: one aggregate for the medians; one for the modes, which also yields the
+rows per series used to find hot series; one for the label table; then the two matrix
+writes. The post-filter panel, which feeds the label fit and both splits, can be cut
+from its lineage by a reliable checkpoint in the shared folder. Row counts ride along
+as observations (no extra jobs).
 """
 
 from __future__ import annotations
