@@ -336,3 +336,10 @@ def test_distributed_label_rank_equals_window_rank(spark):
     spread = fit_labels(df, spec, rank_in_one_task=50).labels  # Category (402 labels) takes the distributed path
     assert one_task.count() == spread.count() == 402 + 7
     assert one_task.exceptAll(spread).count() == 0 and spread.exceptAll(one_task).count() == 0
+
+
+def test_exact_median_low_cardinality_skips_narrowing(spark):
+    vals = [0.0] * 20000 + [1.0] * 9000 + [2.0] * 1001   # many rows, three distinct values
+    df = spark.createDataFrame([(v,) for v in vals], "flag double")
+    s = sorted(vals)
+    assert stats.exact_medians(df, ["flag"], finish_rows=500, accuracy=200) == {"flag": s[(len(s) + 1) // 2 - 1]}
