@@ -228,7 +228,7 @@ class ModelScorer:
         return self.model.transform(features)
 
 
-def parse_predictions(replies: DataFrame, text_col: str = "reply", key: str = "request_id") -> DataFrame:
+def parse_predictions(replies: DataFrame, text_col: str = "reply", key: str = "request_id", keep=()) -> DataFrame:
     """Reply text -> ``predictions`` array<double>: strip, split on newlines, cast each.
     A value that is not a number sets ``prediction_error`` (the request then fails with 500)."""
     stripped = F.regexp_replace(F.col(text_col), r"^\s+|\s+$", "")
@@ -237,6 +237,7 @@ def parse_predictions(replies: DataFrame, text_col: str = "reply", key: str = "r
     first_bad = F.try_element_at(F.filter(parts, lambda s: s.try_cast("double").isNull()), F.lit(1))
     return replies.select(
         key,
+        *keep,
         values.alias("predictions"),
         F.when(first_bad.isNotNull(), F.concat(F.lit(R.MSG_INFERENCE_FAILED + "could not convert string to float: '"),
                                                 first_bad, F.lit("'"))).alias("prediction_error"),
@@ -276,8 +277,22 @@ def score_days(validated: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def attach_replies(validated: DataFrame, replies: DataFrame, text_col: str = "reply") -> DataFrame:
-    """Per request: predictions parsed from an external scorer's reply text (left join)."""
-    return validated.select(*REQUEST_COLS).join(parse_predictions(replies, text_col), "request_id", "left")
+    """Per request: predictions parsed from an external scorer's reply text (left join).
+
+    Replies are first reduced to one row per request id (partial aggregation, so a hot id
+    costs one row per task), which keeps the join one-to-one per reply: duplicate ids never
+    multiply into pairs. An id with several replies is ambiguous and fails with 500.
+    """
+    one = replies.groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("_replies"), F.first(text_col).alias(text_col))
+    parsed = parse_predictions(one, text_col, keep=("_replies",))
+    parsed = parsed.select(
+        "request_id",
+        F.when(F.col("_replies") == 1, F.col("predictions")).alias("predictions"),
+        F.when(F.col("_replies") > 1, F.lit(R.MSG_INFERENCE_FAILED + "more than one reply for this request"))
+        .otherwise(F.col("prediction_error")).alias("prediction_error"),
+    )
+    return validated.select(*REQUEST_COLS).join(parsed, "request_id", "left")
 
 
 def assemble_responses(scored: DataFrame) -> DataFrame:

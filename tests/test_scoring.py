@@ -136,3 +136,12 @@ def test_in_row_scorer_matches_row_scorer(spark):
     assert in_row.exceptAll(by_row).count() == 0 and by_row.exceptAll(in_row).count() == 0
     plan = in_row._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan  # no shuffle on the in-row path
+
+
+def test_duplicate_replies_fail_instead_of_pairing(spark):
+    reqs = requests(spark, [body(horizon=1), body(horizon=1)])
+    replies = spark.createDataFrame([(0, "1.0"), (0, "2.0"), (1, "3.0")], "request_id long, reply string")
+    out = S.score_requests_with_replies(reqs, replies).orderBy("request_id").collect()
+    assert len(out) == 2
+    assert out[0]["status"] == 500 and "more than one reply" in out[0]["error"]
+    assert out[1]["status"] == 200 and out[1]["predictions"][0]["forecast"] == 3.0
