@@ -133,7 +133,7 @@ def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL, series_totals: Dat
         F.filter(ahead, lambda x: x["_first"] & (x["_chunk"] != F.col("_chunk")) & (x["_start"] < reach)),
         lambda x: x["_chunk"],
     )
-    hot = reliable_checkpoint(hot.select(*keys, d, "_chunk", halo.alias("_halo")))
+    hot = reliable_checkpoint(hot.select(*keys, d, "_n", "_chunk", halo.alias("_halo")))
     if hot.isEmpty():
         return None
     return hot
@@ -143,6 +143,11 @@ def _chunked_features(df: DataFrame, spec: PanelSpec, series_totals: DataFrame |
     assign = chunk_hot_series(df, spec, series_totals)
     if assign is None:
         return df.withColumns(feature_columns(spec))
+    biggest_day = assign.agg(F.max("_n")).first()[0]
+    if biggest_day * 2 > spec.hot_series_rows:
+        # some (series, date) group -- e.g. many copies of one row -- is too big for
+        # date-aligned chunks: place every hot row exactly and cut by row position
+        return _row_exact_features(df, spec, assign.select(*[_q(k) for k in spec.series_keys]).distinct())
     names = list(spec.series_keys) + [spec.date]
     a = assign.select(*[_q(c).alias(f"_a{i}") for i, c in enumerate(names)],
                       F.col("_chunk").alias(_OWN), F.col("_halo").alias(_HALO))
@@ -159,3 +164,50 @@ def _chunked_features(df: DataFrame, spec: PanelSpec, series_totals: DataFrame |
     out = rows.withColumns(feature_columns(spec, w))
     # halo copies only lend history to the next chunk: keep each row once, in its own chunk
     return out.where(F.col(_PART) == own).drop(_PART, _OWN, _HALO)
+
+
+def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame) -> DataFrame:
+    """Features with hot series cut at exact row positions (any skew, copies included).
+
+    Hot rows get their position in the series from a distributed rank: a range partition
+    on (series, date, tie-breakers, content hash, row id) -- the row id splits even
+    identical copies -- checkpointed so partition ids are stable, numbered inside each
+    partition, plus the counts of earlier partitions. Chunks then hold exactly
+    ``hot_series_rows`` rows, and each row is also lent to the chunks whose first
+    ``max_lookback`` positions follow it. Cold series take the plain window.
+    """
+    m, look = int(spec.hot_series_rows), spec.max_lookback
+    names = list(spec.series_keys)
+    keys = [_q(k) for k in names]
+    hk = hot_keys.select(*[_q(k).alias(f"_h{i}") for i, k in enumerate(names)])
+    n_hot = hk.count()
+    hk = F.broadcast(hk) if n_hot <= spec.broadcast_rows else hk
+    cond = _null_safe(names, [f"_h{i}" for i in range(len(names))])
+    cold = df.join(hk, cond, "left_anti").withColumns(feature_columns(spec))
+    hot = df.join(hk, cond, "left_semi")
+    order = [F.asc_nulls_first(spec.date)] + [F.asc_nulls_first(c) for c in spec.tie_breakers] + [
+        F.asc("__row_hash"), F.asc("__row_id")]
+    hot = hot.withColumns({
+        "__row_hash": F.xxhash64(*[_q(c) for c in df.columns]),
+        "__row_id": F.monotonically_increasing_id(),
+    })
+    total = hot.count()
+    parts = max(1, -(-total // m))
+    ranged = hot.repartitionByRange(parts, *keys, *order).withColumn("__pid", F.spark_partition_id())
+    ranged = reliable_checkpoint(ranged)
+    local = Window.partitionBy("__pid", *keys).orderBy(*order)
+    numbered = ranged.withColumn("__local", F.row_number().over(local) - 1)
+    sizes = ranged.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "__pid", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    # one row per (hot series, range partition): bounded by the partition count
+    placed = numbered.join(F.broadcast(offsets), names + ["__pid"]).withColumn(
+        "__pos", F.col("__offset") + F.col("__local"))
+    own = F.floor(F.col("__pos") / F.lit(m)).cast("bigint")
+    last = F.floor((F.col("__pos") + F.lit(look)) / F.lit(m)).cast("bigint")
+    lend = F.when(last > own, F.sequence(own + 1, last)).otherwise(F.array().cast("array<bigint>"))
+    rows = placed.withColumn(_OWN, own).select("*", F.explode(F.concat(F.array(F.col(_OWN)), lend)).alias(_PART))
+    w = Window.partitionBy(*keys, F.col(_PART)).orderBy("__pos")
+    feats = rows.withColumns(feature_columns(spec, w)).where(F.col(_PART) == F.col(_OWN))
+    helper = ["__row_hash", "__row_id", "__pid", "__local", "__offset", "__pos", _OWN, _PART]
+    return cold.unionByName(feats.drop(*helper))

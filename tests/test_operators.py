@@ -14,6 +14,7 @@ from shelfcast.operators.impute import apply_imputer, fit_imputer, impute_missin
 from shelfcast.operators.shaping import cast_numeric, drop_leaky, parse_date, prepare_raw
 from shelfcast.operators.split import drop_incomplete, split_train, split_validation
 from shelfcast.sources.panel import RAW_SCHEMA
+from shelfcast.session import reliable_checkpoint
 from shelfcast.spec import RAW_COLUMN_ORDER, RETAIL
 
 BASE = dt.date(2023, 12, 1)
@@ -343,3 +344,30 @@ def test_exact_median_low_cardinality_skips_narrowing(spark):
     df = spark.createDataFrame([(v,) for v in vals], "flag double")
     s = sorted(vals)
     assert stats.exact_medians(df, ["flag"], finish_rows=500, accuracy=200) == {"flag": s[(len(s) + 1) // 2 - 1]}
+
+
+def test_row_exact_chunks_split_a_group_of_copies(spark):
+    """One (series, date) holds most rows, many of them identical copies: chunks are cut at
+    row positions, and the result equals the plain window."""
+    base = raw_rows(40, stores=("S01", "S02"), products=("P01",), demand=lambda i: (i * 3) % 11)
+    day10 = [r for r in base if r[0] == (BASE + dt.timedelta(days=10)).isoformat() and r[1] == "S01"]
+    copies = day10 * 150  # 151 identical rows on one (series, date)
+    df = prepare_raw(raw_df(spark, base + copies))
+    df = reliable_checkpoint(df)
+    spec = RETAIL.with_(hot_series_rows=25)
+    plain = engineer_features(df, spec.with_(hot_series_rows=None))
+    chunked = engineer_features(df, spec)
+    assert chunked.count() == plain.count() == 80 + 150
+    # identical copies are interchangeable, so the multisets of rows must agree
+    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
+
+
+def test_row_exact_chunks_with_tie_breakers(spark):
+    rows = raw_rows(30, stores=("S01",), products=("P01",), demand=lambda i: (i * 5) % 13)
+    rows += raw_rows(30, stores=("S01",), products=("P01",), start=BASE + dt.timedelta(days=3),
+                     demand=lambda i: (i * 7) % 17) * 3
+    df = reliable_checkpoint(prepare_raw(raw_df(spark, rows)).withColumn("seq", F.monotonically_increasing_id()))
+    spec = RETAIL.with_(tie_breakers=("seq",), hot_series_rows=6)  # 4-row days > half a chunk: row-exact path
+    plain = engineer_features(df, spec.with_(hot_series_rows=None))
+    chunked = engineer_features(df, spec)
+    assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
