@@ -143,11 +143,12 @@ def _chunked_features(df: DataFrame, spec: PanelSpec, series_totals: DataFrame |
     assign = chunk_hot_series(df, spec, series_totals)
     if assign is None:
         return df.withColumns(feature_columns(spec))
-    biggest_day = assign.agg(F.max("_n")).first()[0]
+    biggest_day, hot_rows = assign.agg(F.max("_n"), F.sum("_n")).first()
     if biggest_day * 2 > spec.hot_series_rows:
         # some (series, date) group -- e.g. many copies of one row -- is too big for
         # date-aligned chunks: place every hot row exactly and cut by row position
-        return _row_exact_features(df, spec, assign.select(*[_q(k) for k in spec.series_keys]).distinct())
+        hot_keys = assign.select(*[_q(k) for k in spec.series_keys]).distinct()
+        return _row_exact_features(df, spec, hot_keys, int(hot_rows))
     names = list(spec.series_keys) + [spec.date]
     a = assign.select(*[_q(c).alias(f"_a{i}") for i, c in enumerate(names)],
                       F.col("_chunk").alias(_OWN), F.col("_halo").alias(_HALO))
@@ -166,7 +167,7 @@ def _chunked_features(df: DataFrame, spec: PanelSpec, series_totals: DataFrame |
     return out.where(F.col(_PART) == own).drop(_PART, _OWN, _HALO)
 
 
-def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame) -> DataFrame:
+def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame, total: int) -> DataFrame:
     """Features with hot series cut at exact row positions (any skew, copies included).
 
     Hot rows get their position in the series from a distributed rank: a range partition
@@ -191,8 +192,7 @@ def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame) ->
         "__row_hash": F.xxhash64(*[_q(c) for c in df.columns]),
         "__row_id": F.monotonically_increasing_id(),
     })
-    total = hot.count()
-    parts = max(1, -(-total // m))
+    parts = max(1, -(-total // m))  # ``total``: hot rows, from the per-date counts
     ranged = hot.repartitionByRange(parts, *keys, *order).withColumn("__pid", F.spark_partition_id())
     ranged = reliable_checkpoint(ranged)
     local = Window.partitionBy("__pid", *keys).orderBy(*order)
