@@ -84,6 +84,10 @@ def label_frame(df: DataFrame, cols, rank_in_one_task: int = DEFAULT_RANK_IN_ONE
     Columns with at most ``rank_in_one_task`` labels are numbered by a window per column;
     larger ones by a distributed rank (see ``_rank_distributed``).
     """
+    return _labels_and_sizes(df, cols, rank_in_one_task)[0]
+
+
+def _labels_and_sizes(df: DataFrame, cols, rank_in_one_task: int) -> tuple[DataFrame, dict[str, int]]:
     counts = (
         to_long(df, cols, "string")
         .where(F.col("value").isNotNull())
@@ -97,19 +101,18 @@ def label_frame(df: DataFrame, cols, rank_in_one_task: int = DEFAULT_RANK_IN_ONE
     ranked = _rank_per_column(small)
     if big:
         ranked = ranked.unionByName(_rank_distributed(counts.where(F.col("name").isin(big)), rank_in_one_task))
-    return ranked.withColumnRenamed("name", "column")
+    return ranked.withColumnRenamed("name", "column"), sizes
 
 
 def fit_labels(train: DataFrame, spec: PanelSpec = RETAIL, cols=None,
                broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, materialize: bool = True,
                rank_in_one_task: int = DEFAULT_RANK_IN_ONE_TASK) -> LabelModel:
     cols = [c for c in (spec.categoricals if cols is None else cols) if c in train.columns]
-    labels = label_frame(train, cols, rank_in_one_task)
+    labels, sizes = _labels_and_sizes(train, cols, rank_in_one_task)
     if materialize:
-        # Reliable checkpoint in the shared checkpoint folder: the label table is
-        # computed once, and later joins do not re-run the training lineage.
+        # Reliable checkpoint in the shared checkpoint folder: the numbered label table is
+        # computed once, and the label joins do not re-run the training lineage.
         labels = reliable_checkpoint(labels)
-    sizes = {r["column"]: r["n"] for r in labels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     return LabelModel(labels, {c: sizes.get(c, 0) for c in cols}, cols, broadcast_limit)
 
 
