@@ -3,9 +3,10 @@
 requests(request_id, body)
   -> parse + validate (narrow projection over a VARIANT; first failing rule wins)
   -> rejected: status 400 / 500 with the error text
-  -> valid: one row per forecast day (explode of sequence(1, horizon)), serving
-     features, scorer, then predictions regrouped per request (at most 30 rows per
-     request, keyed by the unique request id, so the regroup shuffle has no hot key)
+  -> valid, expression scorer: predictions computed inside the request row (no shuffle)
+  -> valid, row scorer (e.g. a Spark ML model): one row per forecast day (explode of
+     sequence(1, horizon)), serving features, scorer, then predictions regrouped per
+     request by a per-request row id (at most 30 rows per group, collapsed map-side)
   -> responses: status, error, store_id, item_id, predictions[{date, forecast}], JSON body
 
 A request that fails never fails the batch: it becomes a row with status 500.
