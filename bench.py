@@ -24,8 +24,14 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     scratch = tempfile.mkdtemp(prefix="shelfcast-bench-")
+    builder = SparkSession.builder
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage and task times without the UI: Spark's event log in the scratch folder
+        os.makedirs(os.path.join(scratch, "events"), exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config(
+            "spark.eventLog.dir", "file://" + os.path.join(scratch, "events"))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("shelfcast-bench")
         .config("spark.sql.shuffle.partitions", str(max(8, int(cpus) * 2) if cpus.isdigit() else 16))
         .config("spark.sql.adaptive.enabled", "true")
@@ -132,6 +138,8 @@ def main() -> None:
         fn()
         times[name] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    if os.environ.get("BENCH_EVENT_LOG"):
+        print(f"event log: {os.path.join(scratch, 'events')}", file=sys.stderr)
     print(json.dumps({
         "metric": "total_query_time",
         "value": round(sum(times.values()), 3),
