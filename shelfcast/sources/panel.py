@@ -22,8 +22,9 @@ def matrix_schema(spec: PanelSpec = RETAIL) -> StructType:
 def read_panel(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
     """Header CSV files under ``path``; every column is text, empty fields are null.
 
-    The header is checked against the expected names (``enforceSchema=false``), so a file
-    with renamed or reordered columns fails instead of being read into the wrong columns.
+    The header is checked against the expected names (``enforceSchema=false``) whenever
+    columns are read, so a file with renamed or reordered columns fails instead of being
+    read into the wrong columns.
     """
     return (
         spark.read.schema(schema)

@@ -111,3 +111,35 @@ def test_etl_cli_and_saved_fit(spark, scratch):
                                   "Epidemic", "Demand"}
     labels = LabelModel.load(spark, os.path.join(out, "_fit", "labels"), ["Store ID", "Product ID"])
     assert labels.sizes["Store ID"] > 0
+
+
+def test_single_file_export(spark, scratch):
+    from shelfcast.plans.queries import q_training_matrix
+
+    path = os.path.join(scratch, "one")
+    write_matrix(q_training_matrix(spark, SF_SMALL), path, single_file=True)
+    parts = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(parts) == 1
+
+
+def test_read_panel_rejects_renamed_header(spark, scratch):
+    import pytest
+
+    raw = demand_panel_raw(spark, SF_SMALL).withColumnRenamed("Price", "Unit Price")
+    path = os.path.join(scratch, "renamed")
+    raw.write.option("header", True).csv(path)
+    with pytest.raises(Exception):
+        read_panel(spark, path).collect()  # the header is checked whenever columns are read
+
+
+def test_unseen_drop_changes_validation_counts(spark):
+    from shelfcast.plans.queries import SPEC
+    from shelfcast.plans.training import build_training_matrix
+
+    res = build_training_matrix(demand_panel_raw(spark, "/root/testdata/sf0.01"), SPEC, median_method="exact",
+                                unseen="drop")
+    res.train.write.format("noop").mode("overwrite").save()
+    res.validation.write.format("noop").mode("overwrite").save()
+    rows = {k: v["rows"] for k, v in res.metrics.get().items()}
+    assert rows["validation_before_encoding"] == 15295
+    assert rows["validation"] == 15276  # rows with a category unseen in training are dropped

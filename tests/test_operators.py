@@ -11,7 +11,7 @@ from shelfcast.operators import stats
 from shelfcast.operators.encode import apply_labels, drop_unseen, fit_labels
 from shelfcast.operators.features import engineer_features
 from shelfcast.operators.impute import apply_imputer, fit_imputer, impute_missing
-from shelfcast.operators.shaping import cast_numeric, drop_leaky, parse_date, prepare_raw
+from shelfcast.operators.shaping import assemble_output, cast_numeric, drop_leaky, parse_date, prepare_raw
 from shelfcast.operators.split import drop_incomplete, split_train, split_validation
 from shelfcast.sources.panel import RAW_SCHEMA
 from shelfcast.session import reliable_checkpoint
@@ -371,3 +371,30 @@ def test_row_exact_chunks_with_tie_breakers(spark):
     plain = engineer_features(df, spec.with_(hot_series_rows=None))
     chunked = engineer_features(df, spec)
     assert chunked.exceptAll(plain).count() == 0 and plain.exceptAll(chunked).count() == 0
+
+
+def test_approx_median_within_rank_error_of_approx_quantile(spark):
+    """Same contract as ``DataFrame.approxQuantile(c, [0.5], 0.001)``: the answer is an
+    observed value whose rank is within 0.1% of the middle."""
+    from shelfcast.plans.queries import typed_panel
+
+    typed = typed_panel(spark, "/root/testdata/sf0.01")
+    ours = stats.approx_medians(typed, ["Price", "Demand"])
+    for c in ("Price", "Demand"):
+        theirs = typed.approxQuantile(c, [0.5], 0.001)[0]
+        vals = sorted(r[0] for r in typed.select(c).where(F.col(c).isNotNull()).collect())
+        n = len(vals)
+        for v in (ours[c], theirs):
+            lo = sum(1 for x in vals if x < v)
+            hi = sum(1 for x in vals if x <= v)
+            target = (n + 1) // 2
+            assert lo - 0.002 * n <= target <= hi + 0.002 * n
+
+
+def test_assemble_output_skips_missing_columns(spark, caplog):
+    df = engineer_features(prepare_raw(raw_df(spark, raw_rows(3)))).drop("Region", "quarter")
+    with caplog.at_level("WARNING"):
+        out = assemble_output(df)
+    assert "Region" not in out.columns and "quarter" not in out.columns
+    assert out.columns[0] == "Demand" and len(out.columns) == 28
+    assert "not found" in caplog.text
