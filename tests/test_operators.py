@@ -398,3 +398,18 @@ def test_assemble_output_skips_missing_columns(spark, caplog):
     assert "Region" not in out.columns and "quarter" not in out.columns
     assert out.columns[0] == "Demand" and len(out.columns) == 28
     assert "not found" in caplog.text
+
+
+def test_exact_median_narrowing_matches_sql_oracle(spark):
+    """Force the narrowing path (small finish_rows) on the panel and compare with SQL."""
+    import duckdb
+
+    from oracle import ORACLE
+    from shelfcast.plans.queries import SPEC, typed_panel
+
+    sf = "/root/testdata/sf0.01"
+    ours = stats.exact_medians(typed_panel(spark, sf), list(SPEC.typed_numerics), finish_rows=500, accuracy=1000)
+    con = duckdb.connect()
+    for t in ["region", "nation", "supplier", "part", "lineitem"]:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    assert ours == dict(con.execute(ORACLE["median_exact"]).fetchall())
