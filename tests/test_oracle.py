@@ -59,3 +59,13 @@ def test_median_approx_close_to_exact(spark):
     assert approx.keys() == exact.keys()
     for k in exact:
         assert abs(approx[k] - exact[k]) <= 0.01 * max(1.0, abs(exact[k])) + 1e-9
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+def test_rows_only_queries_run(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    assert df.count() > 0
+
+
+def test_entry_schema_is_stable(spark):
+    assert E.entry(spark).schema == E.entry(spark).schema
