@@ -143,3 +143,16 @@ def test_unseen_drop_changes_validation_counts(spark):
     rows = {k: v["rows"] for k, v in res.metrics.get().items()}
     assert rows["validation_before_encoding"] == 15295
     assert rows["validation"] == 15276  # rows with a category unseen in training are dropped
+
+
+def test_partition_ordered_export_sorts_within_partitions_without_shuffle(spark):
+    from shelfcast.plans.queries import SPEC
+    from shelfcast.plans.training import build_training_matrix
+
+    res = build_training_matrix(demand_panel_raw(spark, SF_SMALL), SPEC, median_method="exact", order="partition")
+    plan = res.validation._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    parts = res.validation.select("year", "month", "day_of_month").rdd.glom().collect()
+    for rows in parts:
+        keys = [(r["year"], r["month"], r["day_of_month"]) for r in rows]
+        assert keys == sorted(keys)
