@@ -22,7 +22,8 @@ class RowMetrics:
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     def get(self) -> dict[str, dict[str, int]]:
-        """Counters of the observations whose plans have run (after an action)."""
+        """Counters of every observation. Call after the actions that run the plans (the
+        matrix writes): an observation waits for the first action over its plan."""
         out = {}
         for name, (obs, ncols) in self._obs.items():
             try:
