@@ -74,7 +74,7 @@ def _panel_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = g1.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in ("q", "n", "ln", "ep_c", "disc_c", "rp_c")],
         F.max("disc_max").alias("disc_max"),
-        F.min("p_type").alias("ptype"),
+        F.array_min(F.collect_set("p_type")).alias("ptype"),  # hash-based (a string min sorts)
     ).join(region, F.col("n_regionkey") == region.r_regionkey).withColumnRenamed("r_name", "rname")
     k = F.dayofyear("d") + F.col("n_nationkey")
     return g.select(
