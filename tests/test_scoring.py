@@ -67,6 +67,13 @@ def test_default_horizon_is_one(spark):
     ("not json", (400, "Invalid request body")),
     ("[1, 2]", (500, "Inference failed: 'list' object has no attribute 'get'")),
     (None, (500, "Inference failed: the JSON object must be str, bytes or bytearray, not NoneType")),
+    ("true", (500, "Inference failed: 'bool' object has no attribute 'get'")),
+    ("3.5", (500, "Inference failed: 'float' object has no attribute 'get'")),
+    ('"text"', (500, "Inference failed: 'str' object has no attribute 'get'")),
+    ("null", (500, "Inference failed: 'NoneType' object has no attribute 'get'")),
+    ("{}", (400, "store_id is required")),
+    ('{"store_id": "S", "item_id": "I", "date": " 2023-01-15"}', (400, "date must be in YYYY-MM-DD format")),
+    ('{"store_id": "S", "item_id": "I", "date": "2023-01- 5"}', (None, None)),
 ])
 def test_validation_rules(spark, b, expected):
     assert outcome(spark, [b]) == [expected]
