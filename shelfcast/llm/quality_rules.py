@@ -23,7 +23,7 @@ from shelfcast.llm.textops import Slice, grams, slices
 MIN_GROUP, FENCE = 200, 3.0
 #: measure -> (smallest range that counts, least threshold). Each measure is a share or a mean
 #: for which higher is worse, so only upper fences are used.
-RULES = {"symbol_share": (0.01, 0.05), "dup_line_share": (0.05, 0.3), "repeat_share": (0.05, 0.2),
+RULES = {"symbol_share": (0.01, 0.05), "dup_line_share": (0.05, 0.3), "repeat_share": (0.05, 0.3),
          "same_next_share": (0.02, 0.2), "upper_share": (0.05, 0.4), "mean_word": (0.5, 9.0)}
 #: Texts with fewer words are too short for the sketches and for the adaptive rules.
 MIN_WORDS = 20
