@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from shelfcast.llm.common import n_words, stage
 
-CELL_BITS = 12
+CELL_BITS, BROADCAST_PATTERNS = 12, 20_000
 
 
 def water_fill(sizes: dict, weights: dict, total: float, cap: float = 2.0) -> dict:
@@ -142,16 +142,18 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.
     plan = [(list(p), int(min(max_copies, sum(f.values()) // n)) if (n := patterns[p]) else 0) for p, f in flows.items()]
     plan = [(p, c, float(sum(flows[tuple(p)].values()) - c * patterns[tuple(p)])) for p, c in plan]
     plan_df = spark.createDataFrame(plan, "_pat array<string>, _copies long, _rest double")
-    rows = rows.join(plan_df, "_pat")
+    # tables of one row a pattern; their number is known, so the hint has a bound
+    small = F.broadcast if len(plan) <= BROADCAST_PATTERNS else (lambda d: d)
+    rows = rows.join(small(plan_df), "_pat")
 
     # three histograms of the seeded hash narrow the last partial copy down to one small cell
     top = F.shiftrightunsigned("_h", 64 - CELL_BITS).cast("int")
     mid = F.shiftrightunsigned("_h", 64 - 2 * CELL_BITS).bitwiseAND((1 << CELL_BITS) - 1).cast("int")
     rows = rows.withColumn("_c1", top).withColumn("_c2", mid)
     first = _boundary(rows.groupBy("_pat", "_rest", "_c1").agg(F.sum("_size").alias("_size")), "_c1", "_rest")
-    inner = rows.join(first, ["_pat", "_c1"])
+    inner = rows.join(small(first), ["_pat", "_c1"])
     second = _boundary(inner.groupBy("_pat", "_rest_in", "_c2").agg(F.sum("_size").alias("_size")), "_c2", "_rest_in")
-    cell = inner.join(second, ["_pat", "_c2"])
+    cell = inner.join(small(second), ["_pat", "_c2"])
     low = F.col("_h").bitwiseAND((1 << (64 - 2 * CELL_BITS)) - 1)
     w = Window.partitionBy("_pat").orderBy(low, "_rid").rowsBetween(Window.unboundedPreceding, 0)
     # a row belongs to the part if that brings the sum nearer to what is wanted
@@ -161,7 +163,7 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.
     edge = stage(first.select("_pat", F.col("_c1").alias("_b1"))
                  .join(second.select("_pat", F.col("_c2").alias("_b2")), "_pat", "left")
                  .join(last, "_pat", "left"), "mix-edge")
-    out = rows.join(edge, "_pat", "left")
+    out = rows.join(small(edge), "_pat", "left")
     here = F.struct(low.alias("l"), F.col("_rid").alias("r"))
     extra = F.when(F.col("_rest") <= 0, F.lit(False)).when(F.col("_b1").isNull(), F.lit(True)).otherwise(
         (F.col("_c1") < F.col("_b1")) | ((F.col("_c1") == F.col("_b1")) & (
