@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import stage
+
 #: Share of a host's pages above which a line is boilerplate, and the pages it must be on at least.
 MAX_RATIO, MIN_PAGES = 0.1, 5
 
@@ -67,8 +69,10 @@ def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_ratio: fl
         F.collect_list(F.when(F.col("_key").isNotNull(), F.struct("_n", "_key"))).alias("_seen"))
         .select("_host", F.transform(F.filter("_seen", lambda s: s["_n"] > F.lit(max_ratio) * F.col("_total")),
                                      lambda s: s["_key"]).alias("_boilerplate")))
+    # a table of its own: the join below can then be broadcast, or split where a host is hot
+    site = stage(site.where(F.size("_boilerplate") > 0), "site-lines")
     joined = base.withColumn("_all", lines).join(site, "_host", "left")
-    kept = F.filter("_all", lambda l: (F.trim(l) == "") | ~F.array_contains("_boilerplate", _key(l)))
+    kept = F.filter("_all", lambda l: (F.trim(l) == "") | ~F.coalesce(F.array_contains("_boilerplate", _key(l)), F.lit(False)))
     full = lambda c: F.size(F.filter(c, lambda l: F.trim(l) != "")).cast("long")
     return (joined.withColumn("_lines", kept).withColumn("_n_lines", full("_all"))
             .withColumn("_n_dropped", F.col("_n_lines") - full("_lines")).drop("_all", "_boilerplate", "_host"))
