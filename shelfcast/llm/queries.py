@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import ctw, knn_quality, lines, mixing, quality_rules
+from shelfcast.llm import ctw, decontaminate, knn_quality, lines, mixing, quality_rules
 from shelfcast.llm.common import table
 
 QUERIES = {
     "op4_quality_rules": lambda spark, d: quality_rules.op4(table(spark, d, "documents")),
     "op6_mixing": lambda spark, d: mixing.op6(table(spark, d, "documents")),
+    "op7_decontaminate": lambda spark, d: decontaminate.op7(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op8_knn_quality": lambda spark, d: knn_quality.op8(table(spark, d, "documents"), table(spark, d, "labels")),
     "op10_ctw": lambda spark, d: ctw.op10(table(spark, d, "documents")),
     "op9_line_dedup": lambda spark, d: lines.op9(table(spark, d, "pages")),

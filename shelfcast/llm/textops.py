@@ -22,6 +22,12 @@ _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+_IS_ALNUM = np.zeros(256, bool)
+_IS_ALNUM[128:] = True
+for _a, _z in (("a", "z"), ("A", "Z"), ("0", "9")):
+    _IS_ALNUM[ord(_a):ord(_z) + 1] = True
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A"):ord("Z") + 1] += 32
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -83,8 +89,18 @@ class Slice:
         self.data, self.off = raw[off[0] : off[-1]], off - off[0]
         self._words()
 
-    def _words(self) -> None:
-        word = _IS_WORD[self.data]
+    def folded(self) -> Slice:
+        """Lower-case the ASCII and Latin-1 letters and cut words at everything but letters and digits."""
+        d = _FOLD[self.data]
+        accent = np.flatnonzero(d[:-1] == 0xC3) + 1 if len(d) else np.zeros(0, np.int64)
+        accent = accent[(d[accent] >= 0x80) & (d[accent] <= 0x9E) & (d[accent] != 0x97)]
+        d[accent] += 0x20
+        self.data = d
+        self._words(_IS_ALNUM)
+        return self
+
+    def _words(self, kinds: np.ndarray = _IS_WORD) -> None:
+        word = kinds[self.data]
         m = len(word)
         begin, stop = word.copy(), word.copy()
         if m:
