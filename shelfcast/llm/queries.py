@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import ctw, decontaminate, knn_quality, lines, mixing, quality_rules
+from shelfcast.llm import ctw, decontaminate, knn_quality, lines, mixing, near_dups, quality_rules
 from shelfcast.llm.common import table
 
 QUERIES = {
+    "op3_near_dups": lambda spark, d: near_dups.op3(table(spark, d, "documents")),
     "op4_quality_rules": lambda spark, d: quality_rules.op4(table(spark, d, "documents")),
     "op6_mixing": lambda spark, d: mixing.op6(table(spark, d, "documents")),
     "op7_decontaminate": lambda spark, d: decontaminate.op7(table(spark, d, "documents"), table(spark, d, "benchmark")),
