@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import ctw, decontaminate, knn_quality, lines, mixing, near_dups, phrases, quality_rules
+from shelfcast.llm import ctw, decontaminate, knn_quality, lines, mixing, near_dups, phrases, pii, quality_rules
 from shelfcast.llm.common import table
 
 QUERIES = {
+    "op1_pii": lambda spark, d: pii.op1(table(spark, d, "documents")),
     "op2_phrases": lambda spark, d: phrases.op2(table(spark, d, "documents")),
     "op3_near_dups": lambda spark, d: near_dups.op3(table(spark, d, "documents")),
     "op4_quality_rules": lambda spark, d: quality_rules.op4(table(spark, d, "documents")),
