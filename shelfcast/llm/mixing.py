@@ -104,8 +104,8 @@ def _boundary(cells: DataFrame, cell: str, rest: str) -> DataFrame:
 
 def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.0, 1.0), total_share: float = 1.5,
                 max_copies: int = 2, seed: int = 17, key: tuple[str, ...] = ("doc_id", "text"),
-                max_patterns: int = 200_000) -> DataFrame:
-    """Columns of ``docs`` plus ``_size``, ``_source_sizes``, ``_targets`` (maps by source) and
+                max_patterns: int = 200_000, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """The ``keep`` columns (default all) of ``docs`` plus ``_size``, ``_source_sizes``, ``_targets`` (maps by source) and
     ``_taken`` (words the mix takes of the row, repeats counted).
 
     ``members``: array of the sources that hold the row (null stands for a row without one; a
@@ -114,13 +114,12 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.
     rows that agree in all of them are told apart by their position in the input.
     An empty table gives no rows. Rows of size 0 are taken 0 times.
     """
-    own = [c for c in docs.columns]
+    own = list(docs.columns if keep is None else keep)
     rows = stage(docs.select(
-        "*", F.array_sort(F.array_distinct(F.coalesce(members, F.array(F.lit(None).cast("string"))))).alias("_members"),
+        *[F.col(f"`{c}`") for c in own], F.array_sort(F.array_distinct(F.coalesce(members, F.array(F.lit(None).cast("string"))))).alias("_members"),
         F.coalesce(size, F.lit(0)).cast("long").alias("_size"),
         F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key]).alias("_h"),
-        F.monotonically_increasing_id().alias("_rid")).drop("text"), "mix")
-    kept = [c for c in own if c != "text"]
+        F.monotonically_increasing_id().alias("_rid")), "mix")
 
     # the null source becomes a marker that no name equals: names get a prefix
     mark = F.transform("_members", lambda m: F.when(m.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), m)))
@@ -170,20 +169,19 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.
             (F.col("_c2") < F.col("_b2")) | ((F.col("_c2") == F.col("_b2")) & F.coalesce(here <= F.col("_last"), F.lit(False))))))
     pairs = lambda d: F.create_map(*[F.lit(x) for s in order for x in (s, float(d[s]))]) if order else F.create_map()
     copies = F.least(F.col("_copies") + F.coalesce(extra, F.lit(False)).cast("long"), F.lit(max_copies))
-    return out.select(*[F.col(f"`{c}`") for c in kept], "_pat", F.col("_size"), pairs(sizes).alias("_source_sizes"),
+    return out.select(*[F.col(f"`{c}`") for c in own], "_pat", F.col("_size"), pairs(sizes).alias("_source_sizes"),
                       pairs(targets).alias("_targets"), (F.col("_size") * copies).alias("_taken"))
 
 
-def mix_documents(docs: DataFrame, **params) -> DataFrame:
-    """Mix a ``documents`` table whose rows each belong to their ``source``."""
-    return mix_sources(docs.select("doc_id", "text", "source"), F.array("source"), n_words("text"), **params)
+def mix_documents(docs: DataFrame, keep: tuple[str, ...] | None = None, **params) -> DataFrame:
+    """Mix a ``documents`` table whose rows each belong to their ``source``: the ``keep`` columns,
+    size, source_size, target (of the row's source) and taken (words, repeats counted)."""
+    m = mix_sources(docs, F.array("source"), n_words("text"), keep=keep, **params)
+    own = F.element_at("_pat", 1)
+    return m.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)], F.col("_size").alias("size"),
+                    F.element_at("_source_sizes", own).cast("long").alias("source_size"),
+                    F.element_at("_targets", own).alias("target"), F.col("_taken").alias("taken"))
 
 
 def op6(docs: DataFrame) -> DataFrame:
-    """Digest of the mix: doc_id, size, source_size, target, taken, copies."""
-    m = mix_documents(docs)
-    own = F.element_at("_pat", 1)
-    taken = F.col("_taken")
-    return m.select("doc_id", F.col("_size").alias("size"),
-                    F.element_at("_source_sizes", own).cast("long").alias("source_size"),
-                    F.element_at("_targets", own).alias("target"), taken.alias("taken"))
+    return mix_documents(docs, keep=("doc_id",))
