@@ -155,20 +155,26 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.
     cell = inner.join(small(second), ["_pat", "_c2"])
     low = F.col("_h").bitwiseAND((1 << (64 - 2 * CELL_BITS)) - 1)
     w = Window.partitionBy("_pat").orderBy(low, "_rid").rowsBetween(Window.unboundedPreceding, 0)
-    # a row belongs to the part if that brings the sum nearer to what is wanted
-    last = (cell.withColumn("_upto", F.sum("_size").over(w))
-            .where(F.col("_upto") - F.col("_size") / 2 <= F.col("_rest_in_in"))
-            .groupBy("_pat").agg(F.max(F.struct(low.alias("l"), F.col("_rid").alias("r"))).alias("_last")))
+    last = (cell.withColumn("_upto", F.sum("_size").over(w)).where(F.col("_upto") <= F.col("_rest_in_in"))
+            .groupBy("_pat").agg(F.max(F.struct(low.alias("l"), F.col("_rid").alias("r"))).alias("_last"), F.max("_upto").alias("_got")))
     edge = stage(first.select("_pat", F.col("_c1").alias("_b1"))
-                 .join(second.select("_pat", F.col("_c2").alias("_b2")), "_pat", "left")
-                 .join(last, "_pat", "left"), "mix-edge")
-    out = rows.join(small(edge), "_pat", "left")
+                 .join(second.select("_pat", F.col("_c2").alias("_b2"), F.col("_rest_in_in").alias("_open")), "_pat", "left")
+                 .join(last, "_pat", "left")
+                 .withColumn("_gap", F.coalesce("_open", F.lit(0.0)) - F.coalesce("_got", F.lit(0))), "mix-edge")
     here = F.struct(low.alias("l"), F.col("_rid").alias("r"))
     extra = F.when(F.col("_rest") <= 0, F.lit(False)).when(F.col("_b1").isNull(), F.lit(True)).otherwise(
         (F.col("_c1") < F.col("_b1")) | ((F.col("_c1") == F.col("_b1")) & (
             (F.col("_c2") < F.col("_b2")) | ((F.col("_c2") == F.col("_b2")) & F.coalesce(here <= F.col("_last"), F.lit(False))))))
+    out = rows.join(small(edge), "_pat", "left").withColumn("_extra", F.coalesce(extra, F.lit(False)))
+    # the next row in order was too large: what is open goes to the row whose size is nearest to it
+    off = F.abs(F.col("_size") - F.col("_gap"))
+    close = stage(out.where(~F.col("_extra") & (off < F.col("_gap")))
+                  .groupBy("_pat").agg(F.min(F.struct(off.alias("o"), F.col("_h").alias("h"), F.col("_rid").alias("r"))).alias("m"))
+                  .select("_pat", F.col("m.r").alias("_closing")), "mix-close")
+    out = out.join(small(close), "_pat", "left")
+    extra = F.col("_extra") | F.coalesce(F.col("_rid") == F.col("_closing"), F.lit(False))
     pairs = lambda d: F.create_map(*[F.lit(x) for s in order for x in (s, float(d[s]))]) if order else F.create_map()
-    copies = F.least(F.col("_copies") + F.coalesce(extra, F.lit(False)).cast("long"), F.lit(max_copies))
+    copies = F.least(F.col("_copies") + extra.cast("long"), F.lit(max_copies))
     return out.select(*[F.col(f"`{c}`") for c in own], "_pat", F.col("_size"), pairs(sizes).alias("_source_sizes"),
                       pairs(targets).alias("_targets"), (F.col("_size") * copies).alias("_taken"))
 
