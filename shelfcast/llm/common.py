@@ -31,6 +31,19 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, *columns: Column, keep=None) -> DataFrame:
+    """The ``keep`` columns (default all) in one struct, ``_row``, beside columns of our own: names
+    in ``docs`` then never meet ours."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("_row"), *columns)
+
+
+def unpacked(df: DataFrame, *columns: Column, replace: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``_row`` again, less those that ``columns`` replace, then ``columns``."""
+    taken = {c.lower() for c in replace}
+    own = [F.col("_row").getField(f.name).alias(f.name) for f in df.schema["_row"].dataType if f.name.lower() not in taken]
+    return df.select(*own, *columns)
+
+
 def n_words(text: str | Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(JAVA_WORD)), F.lit(0)).cast("long")

@@ -17,7 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from shelfcast.llm.common import packed, unpacked
 from shelfcast.llm.textops import Slice, slices
 
 TRIGRAM_BITS = 12
@@ -143,7 +145,7 @@ def vote(z: np.ndarray, ref: np.ndarray, y: np.ndarray, prior: float, k: int) ->
 
 def knn_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rank: int = RANK,
                 k: int = NEIGHBOURS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns plus ``score`` (0 to 1) of every row of ``docs``.
+    """``_row`` (a struct of the ``keep`` columns) and ``_score`` (0 to 1) of every row of ``docs``.
 
     Only texts are read for a score. Null and empty texts get the labelled share of label 1, as
     does every text when nothing is labelled (then 0.5).
@@ -156,29 +158,27 @@ def knn_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABE
     space = latent_space(x, rank)
     ref = unit(x @ space) if len(y) else np.zeros((0, 1), np.float32)
     sent = docs.sparkSession.sparkContext.broadcast((idf, space, ref, y, prior, k))
-    own = list(dict.fromkeys(keep))
-    kinds = dict(docs.dtypes)
-    source = docs.select(*[F.col(f"`{c}`") for c in own], F.col("text").alias("_text_"))
+    source = packed(docs, F.col("text"), keep=keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, space, ref, y, prior, k = sent.value
         for b in batches:
-            for s in slices(b.column("_text_")):
+            for s in slices(b.column("text")):
                 score = np.empty(s.n)
                 c = counts(s)
                 for i in range(0, s.n, 256):
                     score[i:i + 256] = vote(unit(weighted(c[i:i + 256], idf) @ space), ref, y, prior, k)
                 score[np.diff(s.off) == 0] = prior
-                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(s.first, s.n) for c in own), pa.array(score)], names=[*own, "score"])
+                yield pa.RecordBatch.from_arrays([b.column("_row").slice(s.first, s.n), pa.array(score)], names=["_row", "_score"])
 
-    return source.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in own), "score double"]))
+    return source.mapInArrow(run, StructType([source.schema["_row"], StructField("_score", DoubleType())]))
 
 
 def op8(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    scored = knn_quality(docs, labels)
+    scored = unpacked(knn_quality(docs, labels), F.col("_score").alias("score"))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with their columns."""
-    return knn_quality(docs, labels, keep=tuple(docs.columns)).where(F.col("score") >= threshold).drop("score")
+    return unpacked(knn_quality(docs, labels, keep=tuple(docs.columns)).where(F.col("_score") >= threshold))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stage
+from shelfcast.llm.common import packed, stage
 
 #: Share of a host's pages above which a line is boilerplate, and the pages it must be on at least.
 MAX_RATIO, MIN_PAGES = 0.1, 5
@@ -71,7 +71,7 @@ def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_ratio: fl
                                      lambda s: s["_key"]).alias("_boilerplate")))
     # a table of its own: the join below can then be broadcast, or split where a host is hot
     site = stage(site.where(F.size("_boilerplate") > 0), "site-lines")
-    joined = base.withColumn("_all", lines).join(site, "_host", "left")
+    joined = base.join(site, "_host", "left").withColumn("_all", lines)
     kept = F.filter("_all", lambda l: (F.trim(l) == "") | ~F.coalesce(F.array_contains("_boilerplate", _key(l)), F.lit(False)))
     full = lambda c: F.size(F.filter(c, lambda l: F.trim(l) != "")).cast("long")
     return (joined.withColumn("_lines", kept).withColumn("_n_lines", full("_all"))
@@ -81,8 +81,7 @@ def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_ratio: fl
 def dedup_page_lines(pages: DataFrame, **params) -> DataFrame:
     """page_id, url, text (lines left), n_lines, n_dropped of raw ``pages``."""
     lines = F.filter(F.transform(html_lines(F.col("html")), lambda l: F.trim(l)), lambda l: l != "")
-    one = pages.select("page_id", "url", lines.alias("_page_lines"))
-    out = drop_site_lines(one, host_of(F.col("url")), F.col("_page_lines"), **params)
+    out = drop_site_lines(pages.select("page_id", "url", "html"), host_of(F.col("url")), lines, **params)
     return out.select("page_id", "url", F.array_join("_lines", "\n").alias("text"),
                       F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
 
@@ -92,11 +91,12 @@ def dedup_document_lines(docs: DataFrame, **params) -> DataFrame:
 
     A null text stays null. All rows are kept, also those whose every line goes.
     """
-    out = drop_site_lines(docs, F.col("source"), text_lines(F.col("text")), **params)
-    text = F.when(F.col("text").isNotNull(), F.array_join("_lines", "\n"))
-    cols = [text.alias("text") if c == "text" else F.length(text).cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`")
-            for c in docs.columns]
-    return out.select(*cols)
+    row = packed(docs)
+    field = F.col("_row").getField
+    out = drop_site_lines(row, field("source"), text_lines(field("text")), **params)
+    text = F.when(field("text").isNotNull(), F.array_join("_lines", "\n"))
+    new = {"text": text.alias("text"), "n_chars": F.length(text).cast("long").alias("n_chars")}
+    return out.select(*[new.get(c, field(c).alias(c)) for c in docs.columns])
 
 
 def op9(pages: DataFrame) -> DataFrame:

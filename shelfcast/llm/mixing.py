@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfcast.llm.common import n_words, stage
+from shelfcast.llm.common import n_words, packed, stage, unpacked
 
 CELL_BITS, BROADCAST_PATTERNS = 12, 20_000
 
@@ -105,7 +105,7 @@ def _boundary(cells: DataFrame, cell: str, rest: str) -> DataFrame:
 def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.0, 1.0), total_share: float = 1.5,
                 max_copies: int = 2, seed: int = 17, key: tuple[str, ...] = ("doc_id", "text"),
                 max_patterns: int = 200_000, keep: tuple[str, ...] | None = None) -> DataFrame:
-    """The ``keep`` columns (default all) of ``docs`` plus ``_size``, ``_source_sizes``, ``_targets`` (maps by source) and
+    """``_row`` (a struct of the ``keep`` columns, default all), ``_pat`` (sources), ``_size``, ``_source_sizes``, ``_targets`` (maps by source) and
     ``_taken`` (words the mix takes of the row, repeats counted).
 
     ``members``: array of the sources that hold the row (null stands for a row without one; a
@@ -114,12 +114,11 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.
     rows that agree in all of them are told apart by their position in the input.
     An empty table gives no rows. Rows of size 0 are taken 0 times.
     """
-    own = list(docs.columns if keep is None else keep)
-    rows = stage(docs.select(
-        *[F.col(f"`{c}`") for c in own], F.array_sort(F.array_distinct(F.coalesce(members, F.array(F.lit(None).cast("string"))))).alias("_members"),
+    rows = stage(packed(
+        docs, F.array_sort(F.array_distinct(F.coalesce(members, F.array(F.lit(None).cast("string"))))).alias("_members"),
         F.coalesce(size, F.lit(0)).cast("long").alias("_size"),
         F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in key]).alias("_h"),
-        F.monotonically_increasing_id().alias("_rid")), "mix")
+        F.monotonically_increasing_id().alias("_rid"), keep=keep), "mix")
 
     # the null source becomes a marker that no name equals: names get a prefix
     mark = F.transform("_members", lambda m: F.when(m.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), m)))
@@ -175,7 +174,7 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, weights=(5.0, 2.
     extra = F.col("_extra") | F.coalesce(F.col("_rid") == F.col("_closing"), F.lit(False))
     pairs = lambda d: F.create_map(*[F.lit(x) for s in order for x in (s, float(d[s]))]) if order else F.create_map()
     copies = F.least(F.col("_copies") + extra.cast("long"), F.lit(max_copies))
-    return out.select(*[F.col(f"`{c}`") for c in own], "_pat", F.col("_size"), pairs(sizes).alias("_source_sizes"),
+    return out.select("_row", "_pat", F.col("_size"), pairs(sizes).alias("_source_sizes"),
                       pairs(targets).alias("_targets"), (F.col("_size") * copies).alias("_taken"))
 
 
@@ -184,9 +183,9 @@ def mix_documents(docs: DataFrame, keep: tuple[str, ...] | None = None, **params
     size, source_size, target (of the row's source) and taken (words, repeats counted)."""
     m = mix_sources(docs, F.array("source"), n_words("text"), keep=keep, **params)
     own = F.element_at("_pat", 1)
-    return m.select(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)], F.col("_size").alias("size"),
-                    F.element_at("_source_sizes", own).cast("long").alias("source_size"),
-                    F.element_at("_targets", own).alias("target"), F.col("_taken").alias("taken"))
+    names = ("size", "source_size", "target", "taken")
+    return unpacked(m, F.col("_size").alias("size"), F.element_at("_source_sizes", own).cast("long").alias("source_size"),
+                    F.element_at("_targets", own).alias("target"), F.col("_taken").alias("taken"), replace=names)
 
 
 def op6(docs: DataFrame) -> DataFrame:

@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from shelfcast.llm.common import stage
+from shelfcast.llm.common import packed, stage, unpacked
 from shelfcast.llm.textops import Ranges, Slice, slices
 
 WINDOW, GRAM = 35, 8
@@ -213,10 +214,10 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
             .groupBy("_rid").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("ranges")))
 
 
-def _remove(keep: list[str], digest: bool):
+def _remove(digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, ranges = b.column("_text_").to_pylist(), b.column("ranges").to_pylist()
+            texts, ranges = b.column("text").to_pylist(), b.column("ranges").to_pylist()
             words, removed, out = [], [], []
             for text, rs in zip(texts, ranges):
                 w = (text or "").encode().split()
@@ -232,8 +233,8 @@ def _remove(keep: list[str], digest: bool):
                 removed.append(gone)
                 joined = b" ".join(kept)
                 out.append(hashlib.sha256(joined).hexdigest() if digest else joined.decode())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())],
-                                             names=[*keep, "n_words", "n_removed", "kept_sha256" if digest else "kept_text"])
+            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())],
+                                             names=["_row", "_words", "_removed", "_out"])
 
     return run
 
@@ -243,15 +244,15 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), digest:
     or that text's SHA-256 (``kept_sha256``), for every row of ``docs``.
 
     Null and empty texts have no words. Repeated rows are texts of their own, so each is a
-    repetition of the other.
+    repetition of the other. Columns of ``docs`` named like a result are replaced by it.
     """
-    rows = stage(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("text"))
-                 .withColumn("_rid", F.monotonically_increasing_id()), "phrase-docs")
-    ranges = stage(repeated_ranges(rows), "ranges")
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_words long, n_removed long", f"{'kept_sha256' if digest else 'kept_text'} string"])
-    joined = rows.withColumnRenamed("text", "_text_").join(ranges, "_rid", "left").select(*[F.col(f"`{c}`") for c in keep], "_text_", "ranges")
-    return joined.mapInArrow(_remove(list(keep), digest), schema)
+    rows = stage(packed(docs, F.col("text"), F.monotonically_increasing_id().alias("_rid"), keep=keep), "phrase-docs")
+    ranges = stage(repeated_ranges(rows.select("_rid", "text")), "ranges")
+    joined = rows.join(ranges, "_rid", "left").select("_row", "text", "ranges")
+    schema = StructType([rows.schema["_row"], StructField("_words", LongType()), StructField("_removed", LongType()), StructField("_out", StringType())])
+    names = ("n_words", "n_removed", "kept_sha256" if digest else "kept_text")
+    return unpacked(joined.mapInArrow(_remove(digest), schema),
+                    *[F.col(c).alias(n) for c, n in zip(("_words", "_removed", "_out"), names)], replace=names)
 
 
 def op2(docs: DataFrame) -> DataFrame:
