@@ -1,21 +1,22 @@
 """Substring dedup with repeated-phrase automata.
 
 A window is WINDOW successive words of one text. A word goes if a window that covers it also
-starts anywhere else, in the same text or another.
+starts anywhere else, in the same text or another. Equal texts are handled once, with their number.
 
 1. Anchors. Every window names the 8-word gram in it with the least hash (the leftmost of
    equals); equal windows name equal grams at equal places. Only anchors are counted over the
-   corpus, about one word in fourteen. An anchor found once lies in no recurring window.
-2. Confirmation. Around each recurring anchor the windows that name it are hashed from the text
-   and counted. A window counted twice is a recurring passage; its first occurrence stands for it.
-   Successive windows that occur around the same occurrences of the anchor are one phrase.
+   corpus, about one word in fourteen. An anchor found once lies in no recurring window. The
+   stretch of an anchor is the words of all windows that name it; equal stretches are one kind.
+2. Confirmation. The windows of each kind around a recurring anchor are hashed from its text and
+   counted. A window counted twice is a recurring passage; the first kind that has it stands for
+   it. Successive windows that the same kinds have are one phrase.
 3. Automata. Phrases are sharded by their anchor; an Aho-Corasick automaton is compiled for each
-   shard. All recurring stretches of all texts are streamed through the automaton of their
-   anchor, and every occurrence of every phrase is located. The shard of a frequent anchor is
-   dealt to several tasks, each with its own copy of that anchor's phrases.
+   shard. The stretches of the corpus are streamed through the automaton of their anchor, and
+   every occurrence of every phrase is located. An anchor with many kinds is dealt to several
+   tasks, each with its own copy of that anchor's phrases.
 4. The words that occurrences cover are removed.
 
-Windows shorter texts cannot hold are none, so texts below WINDOW words stay whole.
+Texts below WINDOW words hold no window and stay whole.
 """
 
 from __future__ import annotations
@@ -31,13 +32,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from shelfcast.llm.common import packed, stage, unpacked
-from shelfcast.llm.textops import Ranges, Slice, slices
+from shelfcast.llm.textops import Ranges, Slice, grams, slices
 
 WINDOW, GRAM = 35, 8
-#: Stretches of one anchor that one task takes; a more frequent anchor is dealt to several.
+#: Kinds of one anchor that one task takes; an anchor with more is dealt to several.
 DEAL = 2000
 #: Recurring anchors of a shard, so about this many phrases an automaton.
 ANCHORS_A_SHARD = 1000
+#: Texts that stand for kinds, up to which their keys are broadcast (with their stretches, some
+#: 400 bytes each) to the scan that fetches them; beyond, the join shuffles.
+BROADCAST_TEXTS = 100_000
+KEY = ["k1", "k2"]
 _U = np.uint64
 
 
@@ -70,45 +75,53 @@ def anchors(s: Slice, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The anchors of each text that has any: gram hash, hash of the stretch, first window, windows."""
     for b in batches:
         for s in slices(b.column("text")):
-            h, doc, first, n = anchors(s, s.word_hash())
+            codes = s.word_hash()
+            h, doc, first, n = anchors(s, codes)
+            begin = s.woff[doc] + first
+            kind = Ranges(codes, second=True)(begin, begin + n + WINDOW - 1)
+            spots = pa.StructArray.from_arrays(
+                [pa.array(h.view(np.int64)), pa.array(kind.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
+                names=["h", "kind", "first", "n"])
             off = np.searchsorted(doc, np.arange(s.n + 1)).astype(np.int32)
-            spots = pa.StructArray.from_arrays([pa.array(h.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
-                                               names=["h", "first", "n"])
-            yield pa.RecordBatch.from_arrays([b.column("_rid").slice(s.first, s.n), pa.ListArray.from_arrays(pa.array(off), spots)],
-                                             names=["_rid", "spots"])
+            full = pa.array(np.diff(off) > 0)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(k).slice(s.first, s.n).filter(full) for k in KEY), pa.ListArray.from_arrays(pa.array(off), spots).filter(full)],
+                names=[*KEY, "spots"])
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words around each recurring anchor, and a hash of each window that names it."""
+    """The text of each kind, from the text that stands for it."""
     for b in batches:
-        done = 0
-        for s in slices(b.column("text"), 1 << 20):
+        for s in slices(b.column("text")):
             spots = b.column("spots").slice(s.first, s.n)
-            size = np.diff(spots.offsets.to_numpy())
+            doc = np.repeat(np.arange(s.n), np.diff(spots.offsets.to_numpy()))
             flat = spots.flatten()
-            doc = np.repeat(np.arange(s.n), size)
-            first, n = flat.field("first").to_numpy().astype(np.int64), flat.field("n").to_numpy().astype(np.int64)
-            begin = s.woff[doc] + first
-            last = begin + n + WINDOW - 2
-            codes = s.word_hash()
-            at = np.repeat(begin, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            windows = Ranges(codes, second=True)(at, at + WINDOW).view(np.int64)
+            begin = s.woff[doc] + flat.field("first").to_numpy()
+            last = begin + flat.field("n").to_numpy() + WINDOW - 2
             raw = s.data.tobytes()
             text = [b" ".join(raw[i:j].split()) for i, j in zip(s.start[begin].tolist(), s.end[last].tolist())]
-            rid = b.column("_rid").slice(s.first, s.n).to_numpy()
-            off = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                flat.field("h"), pa.array(rid[doc]), pa.array(first.astype(np.int32)), flat.field("deals"),
-                pa.ListArray.from_arrays(pa.array(off), pa.array(windows)), pa.array(text, pa.binary()).cast(pa.string())],
-                names=["h", "_rid", "first", "deals", "windows", "text"])
-            done += s.n
+            yield pa.RecordBatch.from_arrays([*(flat.field(k) for k in ("h", "kid", "c", "deals")), pa.array(text, pa.binary()).cast(pa.string())],
+                                             names=["h", "kid", "c", "deals", "text"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash of each window of each kind, with its place."""
+    for b in batches:
+        for s in slices(b.column("text")):
+            at, w = grams(s, s.word_hash(), WINDOW)
+            doc = np.searchsorted(s.woff, at, "right") - 1
+            take = pa.array(s.first + doc)
+            yield pa.RecordBatch.from_arrays([b.column("h").take(take), pa.array(w.view(np.int64)), b.column("kid").take(take),
+                                              b.column("c").take(take), pa.array((at - s.woff[doc]).astype(np.int32))],
+                                             names=["h", "w", "kid", "c", "at"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut phrases out of each stretch: successive confirmed windows that the same stretches have,
-    so that a phrase occurs wherever one of its windows does."""
+    """Cut phrases out of the kinds: successive confirmed windows that the same kinds have, so
+    that a phrase occurs wherever one of its windows does."""
     for b in batches:
         out = []
         for h, deals, text, at in zip(*(b.column(c).to_pylist() for c in ("h", "deals", "text", "at"))):
@@ -160,8 +173,8 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (shard, deal), phrases before stretches: compile, then stream."""
     here, auto, ready = None, Automaton(), False
     for b in batches:
-        rid, lo, hi = [], [], []
-        for shard, deal, row, first, text in zip(*(b.column(c).to_pylist() for c in ("shard", "deal", "_rid", "first", "text"))):
+        kid, lo, hi = [], [], []
+        for shard, deal, row, text in zip(*(b.column(c).to_pylist() for c in ("shard", "deal", "kid", "text"))):
             if (shard, deal) != here:
                 here, auto, ready = (shard, deal), Automaton(), False
             if row is None:
@@ -171,47 +184,49 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 auto.compile()
                 ready = True
             for a, z in auto.covered(text):
-                rid.append(row)
-                lo.append(first + a)
-                hi.append(first + z)
-        if rid:
-            yield pa.RecordBatch.from_pydict({"_rid": pa.array(rid, pa.int64()), "lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32())})
+                kid.append(row)
+                lo.append(a)
+                hi.append(z)
+        if kid:
+            yield pa.RecordBatch.from_pydict({"kid": pa.array(kid, pa.int64()), "lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32())})
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """_rid and the sorted word ranges (``lo``, ``hi``) that recurring windows cover, for the rows of
-    ``docs`` (_rid, text) that have any."""
-    found = stage(docs.select("_rid", "text").mapInArrow(_find, "_rid long, spots array<struct<h:long,first:int,n:int>>"), "anchors")
-    spots = found.select("_rid", F.explode("spots").alias("s")).select("_rid", "s.h", "s.first", "s.n")
-    again = (spots.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-             .select("h", F.ceil(F.col("c") / DEAL).cast("int").alias("deals")))
-    again = stage(again, "recurring-anchors")
+    """k1, k2 and the sorted word ranges (``lo``, ``hi``) that recurring windows cover, for the
+    different texts of ``docs`` (k1, k2, text) that have any."""
+    found = docs.mapInArrow(_find, "k1 long, k2 long, spots array<struct<h:long,kind:long,first:int,n:int>>")
+    once = stage(found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("m"), F.first("spots").alias("spots")), "anchors")
+    spots = once.select(*KEY, "m", F.explode("spots").alias("s")).select(*KEY, "m", "s.*")
+    again = stage(spots.groupBy("h").agg(F.sum("m").alias("c"), F.count(F.lit(1)).alias("rows")).where("c > 1")
+                  .select("h", F.ceil(F.col("rows") / DEAL).cast("int").alias("deals")), "recurring-anchors")
     shards = max(1, -(-again.count() // ANCHORS_A_SHARD))
-    by_text = (spots.join(again, "h").groupBy("_rid")
-               .agg(F.sort_array(F.collect_list(F.struct("first", "n", "h", "deals"))).alias("spots")))
-    stretches = stage(docs.select("_rid", "text").join(by_text, "_rid").mapInArrow(
-        _stretches, "h long, _rid long, first int, deals int, windows array<long>, text string"), "stretches")
-
-    # confirm: equal stretches are counted first, so that their windows are spread once
-    kinds = stretches.groupBy("h", "deals", "windows").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("_rid", "first")).alias("one"))
-    kinds = stage(kinds, "kinds")
-    window = kinds.select("h", "c", "one", F.posexplode("windows").alias("at", "w"))
-    twice = window.groupBy("h", "w").agg(F.sum("c").alias("c"), F.min(F.struct("one", "at")).alias("k"),
-                                        F.bit_xor(F.xxhash64("one._rid", "one.first")).alias("in")).where("c > 1")
-    picked = twice.groupBy("h", F.col("k.one._rid").alias("_rid"), F.col("k.one.first").alias("first")).agg(
-        F.sort_array(F.collect_list(F.struct("k.at", "in"))).alias("at"))
-    phrases = (stretches.select("h", "_rid", "first", "deals", "text").join(picked, ["h", "_rid", "first"])
-               .select("h", "deals", "text", "at").mapInArrow(_runs, "h long, deals int, text string").distinct())
-
-    shard = F.pmod(F.col("h"), F.lit(shards)).cast("int")
-    left = phrases.select(F.when(F.col("deals") > 1, -1 - F.pmod("h", F.lit(1 << 30))).otherwise(shard).cast("int").alias("shard"),
-                          F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"),
-                          F.lit(None).cast("long").alias("_rid"), F.lit(None).cast("int").alias("first"), "text")
-    right = stretches.select(F.when(F.col("deals") > 1, -1 - F.pmod("h", F.lit(1 << 30))).otherwise(shard).cast("int").alias("shard"),
-                             F.pmod(F.xxhash64("_rid", "first"), F.col("deals")).cast("int").alias("deal"), "_rid", "first", "text")
-    return (left.unionAll(right).repartition("shard", "deal").sortWithinPartitions("shard", "deal", F.col("_rid").asc_nulls_first())
-            .mapInArrow(_locate, "_rid long, lo int, hi int")
-            .groupBy("_rid").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("ranges")))
+    # where a kind occurs
+    places = stage(spots.join(again, "h").select(*KEY, "m", "h", "deals", F.xxhash64("h", "kind").alias("kid"), "first", "n"), "places")
+    kinds = places.groupBy("kid").agg(F.sum("m").alias("c"), F.first("h").alias("h"), F.first("deals").alias("deals"),
+                                      F.min(F.struct(*KEY, "first", "n")).alias("one"))
+    stands = stage(kinds.groupBy(F.col("one.k1").alias("k1"), F.col("one.k2").alias("k2")).agg(
+        F.sort_array(F.collect_list(F.struct("one.first", "one.n", "h", "kid", "c", "deals"))).alias("spots")), "stands")
+    few = stands.count() <= BROADCAST_TEXTS
+    fetched = (docs.join(F.broadcast(stands.select(*KEY)) if few else stands.select(*KEY), KEY, "left_semi")
+               .groupBy(*KEY).agg(F.first("text").alias("text")).join(stands, KEY))
+    stretches = stage(fetched.select("text", "spots").mapInArrow(_stretches, "h long, kid long, c long, deals int, text string"), "stretches")
+
+    # confirm
+    twice = (stretches.select("h", "kid", "c", "text").mapInArrow(_windows, "h long, w long, kid long, c long, at int")
+             .groupBy("h", "w").agg(F.sum("c").alias("c"), F.min(F.struct("kid", "at")).alias("k"), F.bit_xor("kid").alias("in")).where("c > 1"))
+    picked = twice.groupBy("k.kid").agg(F.sort_array(F.collect_list(F.struct("k.at", "in"))).alias("at"))
+    phrases = (stretches.select("h", "kid", "deals", "text").join(picked, "kid")
+               .select("h", "deals", "text", "at").mapInArrow(_runs, "h long, deals int, text string"))
+
+    # locate; a dealt anchor has a shard of its own, below zero
+    shard = F.when(F.col("deals") > 1, -1 - F.pmod("h", F.lit(1 << 30))).otherwise(F.pmod("h", F.lit(shards))).cast("int").alias("shard")
+    left = phrases.select(shard, F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), F.lit(None).cast("long").alias("kid"), "text")
+    right = stretches.select(shard, F.pmod(F.xxhash64("kid"), F.col("deals")).cast("int").alias("deal"), "kid", "text")
+    located = (left.unionAll(right).repartition("shard", "deal").sortWithinPartitions("shard", "deal", F.col("kid").asc_nulls_first())
+               .mapInArrow(_locate, "kid long, lo int, hi int").groupBy("kid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
+    spans = places.select(*KEY, "kid", "first").join(located, "kid").select(
+        *KEY, F.explode(F.transform("spans", lambda r: F.struct((F.col("first") + r["lo"]).alias("lo"), (F.col("first") + r["hi"]).alias("hi")))).alias("r"))
+    return spans.groupBy(*KEY).agg(F.sort_array(F.collect_list("r")).alias("ranges"))
 
 
 def _remove(digest: bool):
@@ -246,9 +261,11 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), digest:
     Null and empty texts have no words. Repeated rows are texts of their own, so each is a
     repetition of the other. Columns of ``docs`` named like a result are replaced by it.
     """
-    rows = stage(packed(docs, F.col("text"), F.monotonically_increasing_id().alias("_rid"), keep=keep), "phrase-docs")
-    ranges = stage(repeated_ranges(rows.select("_rid", "text")), "ranges")
-    joined = rows.join(ranges, "_rid", "left").select("_row", "text", "ranges")
+    # a text is known by 128 bits of its content, so no numbering of rows has to outlive a lost executor
+    key = [F.xxhash64("text").alias("k1"), F.xxhash64(F.lit("second"), F.col("text")).alias("k2")]
+    ranges = stage(repeated_ranges(docs.where(F.col("text").isNotNull()).select(*key, "text")), "ranges")
+    rows = packed(docs, F.col("text"), *key, keep=keep)
+    joined = rows.join(ranges, KEY, "left").select("_row", "text", "ranges")
     schema = StructType([rows.schema["_row"], StructField("_words", LongType()), StructField("_removed", LongType()), StructField("_out", StringType())])
     names = ("n_words", "n_removed", "kept_sha256" if digest else "kept_text")
     return unpacked(joined.mapInArrow(_remove(digest), schema),
