@@ -372,7 +372,9 @@ def test_weights_are_those_of_the_context_tree(spark, monkeypatch):
     assert (ctw.text_log2(tree, rows, s) < 0).all()
 
 
-def test_language_model_base_and_gain(spark, texts, docs):
+def test_language_model_base_and_gain(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     got = {r["doc_id"]: r for r in ctw.op10(docs).collect()}
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     tokens = {i: [*WORD.findall(t.translate(low)), None] for i, t in texts.items()}
