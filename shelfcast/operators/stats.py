@@ -35,112 +35,74 @@ def to_long(df: DataFrame, cols, value_type: str | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- medians
 
-def approx_medians(df: DataFrame, cols, relative_error: float = MEDIAN_RELATIVE_ERROR) -> dict[str, float]:
-    """Approximate lower median per column (null and NaN ignored); all-null -> 0.0.
+#: Tasks that merge sketches before the last merge, and values one task ranks.
+SKETCH_GROUPS, RANKED_ROWS = 256, 2_000_000
 
-    One global aggregate with a mergeable quantile sketch per column: the sketch size
-    depends on the accuracy, not on the data, so this is safe at any scale.
-    """
-    accuracy = int(round(1.0 / relative_error))
-    row = df.agg(*[
-        F.percentile_approx(_no_nan(_q(c).cast("double")), F.lit(0.5), F.lit(accuracy)).alias(f"m{i}")
-        for i, c in enumerate(cols)
-    ]).first()
-    return {c: (float(row[f"m{i}"]) if row[f"m{i}"] is not None else 0.0) for i, c in enumerate(cols)}
+
+def _sketch_size(relative_error: float) -> int:
+    """Size of a KLL sketch whose rank error stays below ``relative_error`` (its error is about
+    2.3 / k**0.9)."""
+    return int(min(65535, max(200, (2.5 / relative_error) ** (1 / 0.9))))
 
 
 def approx_medians_frame(df: DataFrame, cols, relative_error: float = MEDIAN_RELATIVE_ERROR) -> DataFrame:
-    """Lazy ``(column, median)`` rows: approximate lower median per column (all-null -> 0.0)."""
-    accuracy = int(round(1.0 / relative_error))
-    v = F.col("value")
-    return to_long(df, cols, "double").groupBy(F.col("name").alias("column")).agg(
-        F.coalesce(F.percentile_approx(F.when(~F.isnan(v), v), F.lit(0.5), F.lit(accuracy)), F.lit(0.0)).alias("median")
-    )
+    """Lazy ``(column, median)`` rows: approximate lower median per column, null and NaN ignored
+    (all-null -> 0.0).
+
+    Mergeable quantile sketches, merged in two levels: those of all input splits meet in
+    SKETCH_GROUPS tasks, and only their results in the last ones. A sketch's size depends on the
+    accuracy, not on the data.
+    """
+    k = _sketch_size(relative_error)
+    long = to_long(df, cols, "double").withColumn("part", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
+    value = F.when(~F.isnan("value"), F.col("value"))
+    some = long.groupBy("name", "part").agg(F.kll_sketch_agg_double(value, F.lit(k)).alias("s"), F.count(value).alias("n"))
+    whole = some.where("n > 0").groupBy("name").agg(F.kll_merge_agg_double("s", F.lit(k)).alias("s"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "name string")
+    half = F.kll_sketch_get_quantile_double("s", F.lit(0.5))
+    return names.join(whole, "name", "left").select(F.col("name").alias("column"), F.coalesce(half, F.lit(0.0)).alias("median"))
+
+
+def approx_medians(df: DataFrame, cols, relative_error: float = MEDIAN_RELATIVE_ERROR) -> dict[str, float]:
+    """``approx_medians_frame`` as a dict."""
+    return {r["column"]: float(r["median"]) for r in approx_medians_frame(df, cols, relative_error).collect()}
 
 
-def exact_medians(
-    df: DataFrame,
-    cols,
-    finish_rows: int = 2_000_000,
-    accuracy: int = 10_000,
-    max_rounds: int = 6,
-) -> dict[str, float]:
+def exact_medians(df: DataFrame, cols, rows_per_task: int = RANKED_ROWS) -> dict[str, float]:
     """Exact lower median (the ceil(N/2)-th smallest value) per column; all-null -> 0.0.
 
-    Pass 1 counts rows and estimates distinct values per column. Columns with few distinct
-    values (the common case: counts, flags, prices in cents) go straight to the final step:
-    rows counted per distinct value, then ranked. Columns with many distinct values are
-    narrowed first by distributed selection: a quantile sketch brackets the target rank,
-    exact counts verify the bracket, and only the rows inside it go on (about 4/accuracy of
-    them per round; the narrowed set is checkpointed). No step holds more than
-    ``finish_rows`` distinct values of one column in one task.
+    Rows are counted per (column, value) with partial aggregation. Up to ``rows_per_task`` values
+    are ranked directly; more are range-partitioned by (column, value), the partitions' sums
+    (one row a column and partition) tell which partition holds each column's rank, and only
+    those partitions are ranked. Exact and deterministic; no task holds more than a partition.
     """
     cols = list(cols)
-    cand = to_long(df, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    first = cand.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value", 0.05).alias("d")).collect()
-    sizes = {r["name"]: r["n"] for r in first}
-    distinct = {r["name"]: r["d"] for r in first}
-    # rank (1-based) of the wanted value inside the current candidate set, per column
-    rank = {c: (sizes[c] + 1) // 2 for c in sizes}
-    size = dict(sizes)
-    # only columns with many distinct values need narrowing (20% margin on the estimate)
-    narrowing = {c for c in sizes if distinct[c] * 1.2 > finish_rows}
-    for _ in range(max_rounds):
-        big = [c for c in rank if c in narrowing and size[c] > finish_rows]
-        if not big:
-            break
-        eps = 1.0 / accuracy
-        aggs = []
-        for i, c in enumerate(big):
-            p = rank[c] / size[c]
-            lo_p, hi_p = max(0.0, p - 2 * eps), min(1.0, p + 2 * eps)
-            v = F.when(F.col("name") == c, F.col("value"))
-            aggs.append(F.percentile_approx(v, F.array(F.lit(lo_p), F.lit(hi_p)), F.lit(accuracy)).alias(f"b{i}"))
-        bounds = cand.agg(*aggs).first()
-        lo = {c: bounds[f"b{i}"][0] for i, c in enumerate(big)}
-        hi = {c: bounds[f"b{i}"][1] for i, c in enumerate(big)}
-        # exact verification: rows below the bracket and rows inside it
-        checks = []
-        for i, c in enumerate(big):
-            is_c = F.col("name") == c
-            checks += [
-                F.sum(F.when(is_c & (F.col("value") < lo[c]), 1).otherwise(0)).alias(f"below{i}"),
-                F.sum(F.when(is_c & F.col("value").between(lo[c], hi[c]), 1).otherwise(0)).alias(f"inside{i}"),
-            ]
-        counts = cand.agg(*checks).first()
-        keep = F.lit(False)
-        narrowed = False
-        for i, c in enumerate(big):
-            below, inside = counts[f"below{i}"], counts[f"inside{i}"]
-            is_c = F.col("name") == c
-            if below < rank[c] <= below + inside and inside < size[c]:
-                keep = keep | (is_c & F.col("value").between(lo[c], hi[c]))
-                rank[c] -= below
-                size[c] = inside
-                narrowed = True
-            else:  # no progress (ties, or a missed bracket): stop narrowing this column
-                keep = keep | is_c
-                narrowing.discard(c)
-        rest = [c for c in rank if c not in big]
-        if rest:
-            keep = keep | F.col("name").isin(rest)
-        if not narrowed:
-            continue
-        cand = reliable_checkpoint(cand.where(keep))
-    # final: rank the distinct values of each column's candidates
-    per_value = cand.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = to_long(df, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counts = reliable_checkpoint(long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")))
+    parts = max(1, -(-counts.count() // rows_per_task))
+    if parts > 1:
+        counts = reliable_checkpoint(counts.repartitionByRange(parts, "name", "value").withColumn("pid", F.spark_partition_id()))
+    else:
+        counts = counts.withColumn("pid", F.lit(0))
+    sums: dict[str, list[tuple[int, int]]] = {}
+    for r in counts.groupBy("name", "pid").agg(F.sum("n").alias("n")).collect():
+        sums.setdefault(r["name"], []).append((r["pid"], r["n"]))
+    where, rank = F.lit(False), {}
+    for c, held in sums.items():
+        wanted = (sum(n for _, n in held) + 1) // 2
+        for pid, n in sorted(held):
+            if wanted <= n:
+                rank[c] = wanted
+                where = where | ((F.col("name") == c) & (F.col("pid") == pid))
+                break
+            wanted -= n
+    if not rank:
+        return dict.fromkeys(cols, 0.0)
     w = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = per_value.withColumn("cum", F.sum("n").over(w))
-    target = F.create_map(*[x for c in rank for x in (F.lit(c), F.lit(rank[c]))]) if rank else None
-    result = {}
-    if target is not None:
-        rows = (
-            ranked.where(F.col("cum") >= target[F.col("name")])
-            .groupBy("name").agg(F.min("value").alias("median"))
-            .collect()
-        )
-        result = {r["name"]: float(r["median"]) for r in rows}
+    target = F.create_map(*[x for c in rank for x in (F.lit(c), F.lit(rank[c]))])
+    rows = (counts.where(where).withColumn("cum", F.sum("n").over(w)).where(F.col("cum") >= target[F.col("name")])
+            .groupBy("name").agg(F.min("value").alias("median")).collect())
+    result = {r["name"]: float(r["median"]) for r in rows}
     return {c: result.get(c, 0.0) for c in cols}
 
 

@@ -30,7 +30,7 @@ def run(spark: SparkSession, input_uri: str, output_uri: str, spec: PanelSpec =
     ensure_checkpoint_dir(spark)
     raw = read_panel(spark, input_uri)
     result = build_training_matrix(raw, spec, median_method=median_method, materialize=materialize, order=order)
-    train_path, val_path = write_matrices(result.train, result.validation, output_uri, fmt, single_file)
+    train_path, val_path = write_matrices(result.train, result.validation, output_uri, fmt, single_file, order != "none")
     fit_dir = save_fit(spark, result, output_uri)
     report = {
         "fit": fit_dir,
@@ -50,9 +50,9 @@ def save_fit(spark: SparkSession, result, output_uri: str) -> str:
     """Persist the fitted state next to the matrices: imputer statistics (JSON text) and
     the label table (Parquet), so scoring and later runs can reuse them."""
     base = f"{output_uri.rstrip('/')}/_fit"
+    result.labels.save(f"{base}/labels")
     spark.createDataFrame([(result.imputer.to_json(),)], "value string").coalesce(1).write.mode(
         "overwrite").text(f"{base}/imputer")
-    result.labels.save(f"{base}/labels")
     return base
 
 

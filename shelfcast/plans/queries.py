@@ -9,7 +9,9 @@ can check them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators import stats
@@ -20,14 +22,18 @@ from shelfcast.operators.features import (
     lag_features,
     price_features,
     rolling_features,
+    series_window,
 )
 from shelfcast.operators.impute import apply_imputer, fill_categorical, fill_numeric, fit_imputer
 from shelfcast.operators.metrics import row_metrics_frame
 from shelfcast.operators.shaping import assemble_output, cast_numeric, drop_leaky, parse_date, prepare_raw
-from shelfcast.operators.split import drop_incomplete, split_train, split_validation
+from shelfcast.operators.split import drop_incomplete, sort_by_date, split_train, split_validation
 from shelfcast.plans import scoring as S
-from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests
+from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests, line_items
+from shelfcast.session import ensure_checkpoint_dir, reliable_checkpoint
+from shelfcast.sources.panel import read_matrix, read_panel, write_matrix
 from shelfcast.spec import RETAIL
+from shelfcast.streaming.arrival import on_arrival
 
 # Fixed value: the split date used with the panel derived from the supplied tables
 # (its dates run from 1995 to 2001).
@@ -35,6 +41,10 @@ PANEL_CUTOFF = "2000-01-01"
 SPEC = RETAIL.with_(cutoff=PANEL_CUTOFF)
 SPEC_SUNDAY0 = SPEC.with_(week_start="sunday0")
 KEYS = ["Store ID", "Product ID", "Date"]
+#: Rows a chunk of ``lags_with_ties``: small, so that the query is cut into chunks at every scale.
+HOT_TIES = 25
+#: Boosting rounds of ``model_rmse``: enough to beat the naive forecast.
+MODEL_ROUNDS = 10
 ROUNDED = ("demand_roll_std_7", "demand_roll_std_30")
 
 
@@ -118,7 +128,17 @@ def q_median_exact(spark, sf):
 
 
 def q_median_approx(spark, sf):
-    return stats.approx_medians_frame(typed_panel(spark, sf), list(SPEC.typed_numerics))
+    """Per column: rows counted, and whether the approximate median's rank is within 0.001 of the middle."""
+    typed = typed_panel(spark, sf)
+    cols = list(SPEC.typed_numerics)
+    found = stats.approx_medians_frame(typed, cols).withColumnRenamed("column", "name")
+    long = stats.to_long(typed, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    r = (long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(found), "name")
+         .groupBy(F.col("name").alias("column")).agg(
+             F.sum("n").cast("bigint").alias("n_values"), F.sum(F.when(F.col("value") < F.col("median"), F.col("n")).otherwise(0)).alias("below"),
+             F.sum(F.when(F.col("value") <= F.col("median"), F.col("n")).otherwise(0)).alias("upto")))
+    middle, slack = F.floor((F.col("n_values") + 1) / 2), F.lit(0.001) * F.col("n_values")
+    return r.select("column", "n_values", ((F.col("below") + 1 - slack <= middle) & (middle <= F.col("upto") + slack)).alias("within"))
 
 
 def q_modes(spark, sf):
@@ -147,22 +167,28 @@ def q_impute_missing(spark, sf):
 
 # ------------------------------------------------------------------ 2.4-2.6 features
 
+def _keyed_panel(spark, sf):
+    """The typed panel with its two keys filled; calendar columns need no other statistic."""
+    typed = typed_panel(spark, sf)
+    return fill_categorical(typed, stats.modes(typed, list(SPEC.series_keys)))
+
+
 def q_dow_monday0(spark, sf):
     cal = calendar_features(SPEC)
-    return imputed_panel(spark, sf).select(*[_q(c) for c in KEYS], cal["day_of_week"].alias("day_of_week"),
-                                           cal["is_weekend"].alias("is_weekend"))
+    return _keyed_panel(spark, sf).select(*[_q(c) for c in KEYS], cal["day_of_week"].alias("day_of_week"),
+                                          cal["is_weekend"].alias("is_weekend"))
 
 
 def q_dow_sunday0(spark, sf):
     cal = calendar_features(SPEC_SUNDAY0)
-    return imputed_panel(spark, sf).select(*[_q(c) for c in KEYS], cal["day_of_week"].alias("day_of_week"),
-                                           cal["is_weekend"].alias("is_weekend"))
+    return _keyed_panel(spark, sf).select(*[_q(c) for c in KEYS], cal["day_of_week"].alias("day_of_week"),
+                                          cal["is_weekend"].alias("is_weekend"))
 
 
 def q_calendar_parts(spark, sf):
     cal = calendar_features(SPEC)
     names = ["day_of_month", "week_of_year", "month", "quarter", "year"]
-    return imputed_panel(spark, sf).select(*[_q(c) for c in KEYS], *[cal[n].alias(n) for n in names])
+    return _keyed_panel(spark, sf).select(*[_q(c) for c in KEYS], *[cal[n].alias(n) for n in names])
 
 
 def q_price_features(spark, sf):
@@ -170,21 +196,34 @@ def q_price_features(spark, sf):
     return typed_panel(spark, sf).select(*[_q(c) for c in KEYS], *[v.alias(k) for k, v in pf.items()])
 
 
+def _windowed(spark, sf, columns):
+    typed = typed_panel(spark, sf)
+    cols = columns(SPEC, series_window(SPEC, columns=typed.columns))
+    return typed, cols
+
+
 def q_demand_lags(spark, sf):
-    lags = lag_features(SPEC)
-    return typed_panel(spark, sf).select(*[_q(c) for c in KEYS], *[v.alias(k) for k, v in lags.items()])
+    typed, lags = _windowed(spark, sf, lag_features)
+    return typed.select(*[_q(c) for c in KEYS], *[v.alias(k) for k, v in lags.items()])
 
 
 def q_rolling_mean(spark, sf):
-    roll = rolling_features(SPEC)
-    cols = [k for k in roll if "mean" in k]
-    return typed_panel(spark, sf).select(*[_q(c) for c in KEYS], *[roll[k].alias(k) for k in cols])
+    typed, roll = _windowed(spark, sf, rolling_features)
+    return typed.select(*[_q(c) for c in KEYS], *[v.alias(k) for k, v in roll.items() if "mean" in k])
 
 
 def q_rolling_std(spark, sf):
-    roll = rolling_features(SPEC)
-    cols = [k for k in roll if "std" in k]
-    return _round_inexact(typed_panel(spark, sf).select(*[_q(c) for c in KEYS], *[roll[k].alias(k) for k in cols]))
+    typed, roll = _windowed(spark, sf, rolling_features)
+    return _round_inexact(typed.select(*[_q(c) for c in KEYS], *[v.alias(k) for k, v in roll.items() if "std" in k]))
+
+
+def q_lags_with_ties(spark, sf):
+    """Lags over single line items, many of which share series and day: the total order (date, then
+    every other column) decides, however a series is cut."""
+    spec = SPEC.with_(hot_series_rows=HOT_TIES, windows=(7,))
+    lines = line_items(spark, sf)
+    out = engineer_features(lines, spec)
+    return out.select(*lines.columns, *[c for c in out.columns if c.startswith(("demand_lag", "demand_roll_mean"))])
 
 
 def q_engineer_features(spark, sf):
@@ -248,20 +287,73 @@ def q_rmse_baseline(spark, sf):
     return rmse_frame(val, SPEC.target, "demand_lag_7", "rmse_baseline")
 
 
-def q_model_rmse(spark, sf):
-    """Train boosted trees on the training matrix; RMSE on train and validation (one row)."""
-    from shelfcast.plans.model import evaluate, train_model
-
+def _checkpointed_matrices(spark, sf):
+    """Both matrices, computed once: boosting reads its input every round."""
     train, val, _ = _encoded(spark, sf)
-    train, val = assemble_output(train, SPEC), assemble_output(drop_unseen(val, SPEC), SPEC)
-    model = train_model(train, SPEC)
-    ev = evaluate(model, train, val, SPEC)
-    return model.transform(val).agg(
-        F.lit(ev.train_rmse).alias("train_rmse"),
-        F.sqrt(F.avg((F.col(SPEC.target) - F.col("prediction")) ** 2)).alias("validation_rmse"),
-        F.lit(ev.baseline_rmse).alias("baseline_rmse"),
-        F.count(F.lit(1)).alias("validation_rows"),
-    )
+    return (reliable_checkpoint(assemble_output(train, SPEC)), reliable_checkpoint(assemble_output(drop_unseen(val, SPEC), SPEC)))
+
+
+def q_model_rmse(spark, sf):
+    """Train boosted trees, save and reload the model; one row of properties: rows of both matrices,
+    whether the model beats the naive ``demand_lag_7`` forecast on validation, and whether the
+    reloaded model predicts the same. Each matrix is scored once a model."""
+    from shelfcast.plans.model import load_model, save_model, train_model
+
+    train, val = _checkpointed_matrices(spark, sf)
+    model = train_model(train, SPEC, rounds=MODEL_ROUNDS)
+    again = load_model(save_model(model, f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"))
+    scored = again.transform(model.transform(val).withColumnRenamed("prediction", "first").drop("features"))
+    err = lambda c: F.sqrt(F.avg((F.col(SPEC.target) - F.col(c)) ** 2))
+    return scored.agg(F.lit(train.count()).cast("bigint").alias("train_rows"), F.count(F.lit(1)).alias("validation_rows"),
+                      (err("prediction") < err("demand_lag_7")).alias("beats_naive"),
+                      (F.max(F.abs(F.col("prediction") - F.col("first"))) == 0).alias("reload_agrees"))
+
+
+def q_matrix_round_trip(spark, sf):
+    """The training matrix written as headerless CSV and read back."""
+    path = f"{ensure_checkpoint_dir(spark)}/matrix-{uuid.uuid4().hex}"
+    write_matrix(_round_inexact(assemble_output(_encoded(spark, sf)[0], SPEC)), path)
+    return read_matrix(spark, path, SPEC)
+
+
+def q_panel_round_trip(spark, sf):
+    """The raw panel written as CSV files with two column orders and read back by header name."""
+    path = f"{ensure_checkpoint_dir(spark)}/panel-{uuid.uuid4().hex}"
+    raw = demand_panel_raw(spark, sf)
+    early = F.col("Date") < "1998-01-01"
+    raw.where(early).write.option("header", True).csv(f"{path}/a")
+    raw.where(~early).select(*reversed(raw.columns)).write.option("header", True).csv(f"{path}/b")
+    return read_panel(spark, f"{path}/*")
+
+
+def q_arrival_matrix(spark, sf):
+    """The training matrix after two arrivals, the first too short for any complete row (incremental
+    mode: nothing is fitted or written before the second)."""
+    base = f"{ensure_checkpoint_dir(spark)}/arrival-{uuid.uuid4().hex}"
+    raw = demand_panel_raw(spark, sf)
+    start = raw.select(F.min(F.to_date("Date"))).first()[0]
+    head = F.to_date("Date") < F.date_add(F.lit(start), 20)
+    raw.where(head).coalesce(1).write.option("header", True).csv(f"{base}/in/a")
+    raw.where(~head).select(*reversed(raw.columns)).coalesce(1).write.option("header", True).csv(f"{base}/in/b")
+    query = on_arrival(spark, f"{base}/in/*", f"{base}/out", f"{base}/progress", SPEC, median_method="exact",
+                       max_files_per_trigger=1, mode="incremental", buckets=16)
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return _round_inexact(spark.read.parquet(f"{base}/out/train").select(*[_q(c) for c in SPEC.output_cols]))
+
+
+def q_sorted_export(spark, sf):
+    """The training matrix exported in date order, with each row's day and its place by day."""
+    train = split_train(complete_panel(spark, sf), SPEC)
+    path = f"{ensure_checkpoint_dir(spark)}/sorted-{uuid.uuid4().hex}"
+    sort_by_date(train, SPEC).select("Date").write.parquet(path)
+    # files and rows in them keep the order written: a day never comes after a later one
+    rows = spark.read.parquet(path).select("Date", F.col("_metadata.file_name").alias("f"))
+    span = rows.groupBy("f").agg(F.min("Date").alias("lo"), F.max("Date").alias("hi"))
+    w = Window.orderBy("f")  # one row a file
+    bad = span.select((F.lag("hi").over(w) > F.col("lo")).alias("bad")).agg(F.coalesce(F.max("bad"), F.lit(False)).alias("bad"))
+    return rows.groupBy("Date").agg(F.count(F.lit(1)).alias("n_rows")).join(F.broadcast(bad)).select("Date", "n_rows", (~F.col("bad")).alias("in_order"))
 
 
 # ------------------------------------------------------------------ 2.11 request scoring
@@ -271,16 +363,21 @@ def stand_in_forecast(d):
     return F.dayofmonth(d).cast("double") + F.month(d) / F.lit(100.0)
 
 
+#: First texts of some replies: no number, three that only some parsers take, and NaN.
+ODD_REPLIES = ("n/a", "1.5d", "0x1p3", "1_000", "nan")
+
+
 def stand_in_replies(valid: DataFrame) -> DataFrame:
     """Newline-separated reply text per valid request, as an external scorer returns it.
-    Every 11th request gets one value fewer than days, every 13th a non-number first."""
+    Every 11th request gets one value fewer than days, every 13th an odd first text."""
     h = F.col("horizon").cast("int")
     vals = F.transform(F.sequence(F.lit(1), h), lambda i: stand_in_forecast(F.date_add(F.col("date"), i)).cast("string"))
     rid = F.col("request_id")
     vals = F.when(F.pmod(rid, F.lit(11)) == 0, F.slice(vals, 1, h - 1)).otherwise(vals)
     n = F.size(vals)
+    odd = F.get(F.array(*[F.lit(x) for x in ODD_REPLIES]), F.pmod(F.floor(rid / 13), F.lit(len(ODD_REPLIES))).cast("int"))
     vals = F.when((F.pmod(rid, F.lit(13)) == 0) & (n > 0),
-                  F.concat(F.array(F.lit("n/a")), F.slice(vals, 2, n - 1))).otherwise(vals)
+                  F.concat(F.array(odd), F.slice(vals, 2, n - 1))).otherwise(vals)
     return valid.select("request_id", F.concat(F.array_join(vals, "\n"), F.lit("\n")).alias("reply"))
 
 
@@ -372,7 +469,7 @@ def q_model_scored_responses(spark, sf):
     """Requests scored by a boosted-tree model trained on the serving view of the matrix."""
     from shelfcast.plans.model import train_serving_model
 
-    model = train_serving_model(q_training_matrix(spark, sf), SPEC)
+    model = train_serving_model(reliable_checkpoint(q_training_matrix(spark, sf)), SPEC, rounds=MODEL_ROUNDS)
     resp = S.score_requests(forecast_requests(spark, sf), S.ModelScorer(model))
     return resp.select("request_id", "status", "error", _n_predictions())
 
@@ -386,6 +483,11 @@ QUERIES = {
     "row_metrics": q_row_metrics,
     "median_exact": q_median_exact,
     "median_approx": q_median_approx,
+    "lags_with_ties": q_lags_with_ties,
+    "panel_round_trip": q_panel_round_trip,
+    "matrix_round_trip": q_matrix_round_trip,
+    "sorted_export": q_sorted_export,
+    "arrival_matrix": q_arrival_matrix,
     "modes": q_modes,
     "value_counts": q_value_counts,
     "fill_numeric": q_fill_numeric,

@@ -229,17 +229,31 @@ class ModelScorer:
         return self.model.transform(features)
 
 
+# Fixed value: the text forms a Python ``float()`` takes (after stripping blanks).
+_DIGITS = "[0-9](?:_?[0-9])*"
+FLOAT_TEXT = rf"(?i)^[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?|inf(?:inity)?|nan)$"
+
+
+def python_float(text: Column) -> Column:
+    """Double of a text that is a Python float literal (``1_000``, ``nan``, ``1.``), else null
+    (``1.5d`` and hexadecimal forms, which a bare cast would take)."""
+    t = F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.when(t.rlike(FLOAT_TEXT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+
+
 def parse_predictions(replies: DataFrame, text_col: str = "reply", key: str = "request_id", keep=()) -> DataFrame:
     """Reply text -> ``predictions`` array<double>: strip, split on newlines, cast each.
     A value that is not a number sets ``prediction_error`` (the request then fails with 500)."""
     stripped = F.regexp_replace(F.col(text_col), r"^\s+|\s+$", "")
     parts = F.split(stripped, "\n")
-    values = F.transform(parts, lambda s: s.try_cast("double"))
-    first_bad = F.try_element_at(F.filter(parts, lambda s: s.try_cast("double").isNull()), F.lit(1))
-    return replies.select(
+    # each part is parsed once; a part that fails is found by its place among the values
+    parsed = replies.select(key, *keep, parts.alias("_parts"), F.transform(parts, python_float).alias("_values"))
+    at = F.array_position(F.transform("_values", lambda v: v.isNull()), True)
+    first_bad = F.when(at > 0, F.get("_parts", (at - 1).cast("int")))
+    return parsed.select(
         key,
         *keep,
-        values.alias("predictions"),
+        F.col("_values").alias("predictions"),
         F.when(first_bad.isNotNull(), F.concat(F.lit(R.MSG_INFERENCE_FAILED + "could not convert string to float: '"),
                                                 first_bad, F.lit("'"))).alias("prediction_error"),
     )
@@ -318,7 +332,9 @@ def assemble_responses(scored: DataFrame) -> DataFrame:
         F.col("status") == R.STATUS_OK,
         F.concat(
             F.lit('{"store_id":'), F.col("store_json"), F.lit(',"item_id":'), F.col("item_json"),
-            F.lit(',"predictions":'), F.to_json(F.col("predictions")), F.lit("}"),
+            # forecasts stay numbers: to_json would quote the values that JSON has no numeral for
+            F.lit(',"predictions":'),
+            F.regexp_replace(F.to_json(F.col("predictions")), r'"forecast":"(NaN|-?Infinity)"', r'"forecast":$1'), F.lit("}"),
         ),
     ).otherwise(F.to_json(F.struct(F.col("error").alias("error"))))
     return out.withColumn("response_body", body).drop("store_json", "item_json")

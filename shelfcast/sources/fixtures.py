@@ -161,6 +161,20 @@ def demand_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(*[cols[c].alias(c) for c in RAW_COLUMN_ORDER])
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single line items as a panel with ties: many rows share store, product and day."""
+    li = read_table(spark, sf_dir, "lineitem")
+    pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return (li.join(pa, li["l_partkey"] == pa["p_partkey"]).join(su, li["l_suppkey"] == su["s_suppkey"])
+            .join(na, F.col("s_nationkey") == na["n_nationkey"])
+            .select(F.to_date("l_shipdate").alias("Date"), F.col("n_name").alias("Store ID"), F.col("p_brand").alias("Product ID"),
+                    F.col("l_quantity").cast("double").alias("Demand"), (F.round(F.col("l_extendedprice") * 100).cast("bigint") / F.lit(100.0)).alias("Price"),
+                    F.lit(0.0).alias("Discount"), F.lit(1.0).alias("Competitor Pricing"),
+                    F.col("l_orderkey").cast("bigint").alias("order_key"), F.col("l_linenumber").cast("bigint").alias("line")))
+
+
 def forecast_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture Q: ``request_id`` (order key) and a JSON ``body`` with invalid variants."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from shelfcast.spec import RAW_COLUMN_ORDER, RETAIL, PanelSpec
@@ -19,28 +23,55 @@ def matrix_schema(spec: PanelSpec = RETAIL) -> StructType:
     return StructType([StructField(c, DoubleType(), True) for c in spec.output_cols])
 
 
-def read_panel(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
-    """Header CSV files under ``path``; every column is text, empty fields are null.
+def header_layouts(spark: SparkSession, paths: list[str], columns=RAW_COLUMN_ORDER) -> dict[tuple[str, ...], list[str]]:
+    """Column order -> the files that have it, from the header line of every non-empty file.
 
-    The header is checked against the expected names (``enforceSchema=false``) whenever
-    columns are read, so a file with renamed or reordered columns fails instead of being
-    read into the wrong columns.
+    One light text scan finds the header lines (those that hold every needed name). A file
+    without one fails here, by name, instead of being read into the wrong columns.
+    """
+    named = F.lit(True)
+    for c in columns:
+        named = named & F.col("value").contains(c)
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    per_file = lines.groupBy("file").agg(F.min(F.when(named, F.col("value"))).alias("header"), F.max(F.length("value")).alias("longest"))
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    missing = []
+    for row in per_file.collect():  # one row a file, as many as Spark's own file listing holds
+        names = tuple(next(csv.reader([row["header"].lstrip("\ufeff")]))) if row["header"] else ()
+        if set(columns) <= set(names):
+            layouts.setdefault(names, []).append(unquote(row["file"]))
+        elif row["longest"]:
+            missing.append(row["file"])
+    if missing:
+        raise ValueError(f"no header with all of {list(columns)} in {sorted(missing)[:5]}")
+    return layouts
+
+
+def read_panel(spark: SparkSession, path: str | list[str], columns=RAW_COLUMN_ORDER) -> DataFrame:
+    """Header CSV files at ``path`` (or paths); every column is text, empty fields are null.
+
+    Columns are taken by header name, whatever their order in each file; extra columns are
+    left out, and a file that lacks a needed one fails. Files of one layout are read together,
+    with their headers checked again (``enforceSchema=false``).
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    layouts = header_layouts(spark, [path] if isinstance(path, str) else list(path), columns)
+    out = spark.createDataFrame([], raw_schema(columns))
+    parts = [spark.read.schema(raw_schema(names)).option("header", True).option("enforceSchema", False)
+             .option("mode", "PERMISSIVE").csv(sorted(files)).select(*[F.col(f"`{c}`") for c in columns])
+             for names, files in sorted(layouts.items())]
+    for i, part in enumerate(parts):
+        out = part if i == 0 else out.unionAll(part)
+    return out
 
 
-def write_matrix(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False) -> None:
+def write_matrix(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False, ordered: bool = False) -> None:
     """Overwrite ``path`` with the matrix: headerless CSV (target first) or Parquet.
 
     ``single_file`` funnels everything through one task; keep it off for large outputs.
     """
-    out = df.coalesce(1) if single_file else df
+    # repartition, not coalesce: only the write is single and the work above stays parallel;
+    # but a sorted frame (``ordered``) keeps its order through coalesce alone
+    out = (df.coalesce(1) if ordered else df.repartition(1)) if single_file else df
     writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", False).csv(path)
@@ -51,11 +82,11 @@ def write_matrix(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
 
 
 def write_matrices(train: DataFrame, validation: DataFrame, base: str, fmt: str = "csv",
-                   single_file: bool = False) -> tuple[str, str]:
+                   single_file: bool = False, ordered: bool = False) -> tuple[str, str]:
     base = base.rstrip("/")
     train_path, val_path = f"{base}/train/", f"{base}/validation/"
-    write_matrix(train, train_path, fmt, single_file)
-    write_matrix(validation, val_path, fmt, single_file)
+    write_matrix(train, train_path, fmt, single_file, ordered)
+    write_matrix(validation, val_path, fmt, single_file, ordered)
     return train_path, val_path
 
 

@@ -1,7 +1,7 @@
 """File-arrival job: new raw panel files under a folder update the model matrices.
 
 A file-source stream watches the input folder. Each micro-batch holds the rows of the
-newly arrived files; ``foreachBatch`` first appends them to a history table (one folder
+newly arrived files, which are read by header name as in a batch run; ``foreachBatch`` first appends them to a history table (one folder
 per batch id, overwritten on retry, so a replayed batch is idempotent). Row-frame
 windows are not supported on streaming frames, which is why the feature work runs in
 batch inside ``foreachBatch``. Two modes:
@@ -9,7 +9,8 @@ batch inside ``foreachBatch``. Two modes:
 * ``full`` -- refit and rebuild both matrices over the whole history: the same result
   as one batch run over every file that has arrived.
 * ``incremental`` -- statistics (medians, modes, labels) are fitted once, on the first
-  batch, and frozen (stored next to the output, reused after a restart). The matrices
+  history that has complete training rows, and frozen (published next to the output, reused after
+  a restart). Until then batches are kept as history and nothing is written. The matrices
   are partitioned by a hash bucket of the series key; a batch recomputes only the
   buckets its rows touch (lags need each touched series' whole history) and overwrites
   just those partitions. Refit by starting over with a new output folder.
@@ -21,6 +22,7 @@ restarted job resumes at the first unprocessed file.
 from __future__ import annotations
 
 import logging
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +31,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.encode import LabelModel
 from shelfcast.operators.impute import ImputerStats
-from shelfcast.plans.etl import save_fit
 from shelfcast.plans.model import train_job
 from shelfcast.plans.training import apply_training_matrix, build_training_matrix
-from shelfcast.sources.panel import RAW_SCHEMA, write_matrices
+from shelfcast.sources.panel import RAW_SCHEMA, read_panel, write_matrices
 from shelfcast.spec import RETAIL, PanelSpec
 
 log = logging.getLogger("shelfcast.stream")
@@ -81,13 +82,32 @@ def _full_batch(spark, output, spec, median_method, fmt, model_output, model_par
     return process
 
 
-def load_frozen_fit(spark: SparkSession, output: str, spec: PanelSpec) -> tuple[ImputerStats, LabelModel] | None:
-    path = fit_path(output)
+def fit_version(output: str, batch_id: int) -> str:
+    return f"{fit_path(output)}/version={batch_id:012d}"
+
+
+def publish_fit(spark: SparkSession, result, output: str, batch_id: int) -> None:
+    """Store the fit in a folder of its own; the marker, written last, makes it visible."""
+    base = fit_version(output, batch_id)
+    result.labels.save(f"{base}/labels")
+    spark.createDataFrame([(result.imputer.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/imputer")
+    spark.createDataFrame([(base,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/published")
+
+
+def published_fit(spark: SparkSession, output: str) -> str | None:
+    """Folder of the newest published fit; one without a marker was never finished and is passed over."""
     try:
-        text = spark.read.text(f"{path}/imputer").first()["value"]
-    except AnalysisException:  # nothing stored yet
+        return spark.read.text(f"{fit_path(output)}/version=*/published").agg({"value": "max"}).first()[0]
+    except AnalysisException:  # nothing published yet
         return None
-    labels = LabelModel.load(spark, f"{path}/labels", [c for c in spec.categoricals])
+
+
+def load_frozen_fit(spark: SparkSession, output: str, spec: PanelSpec) -> tuple[ImputerStats, LabelModel] | None:
+    base = published_fit(spark, output)
+    if base is None:
+        return None
+    text = spark.read.text(f"{base}/imputer").first()["value"]
+    labels = LabelModel.load(spark, f"{base}/labels", [c for c in spec.categoricals])
     return ImputerStats.from_json(text), labels
 
 
@@ -95,17 +115,23 @@ def _incremental_batch(spark, output, spec, median_method, fmt, buckets):
     def process(batch: DataFrame, batch_id: int) -> None:
         _append_history(batch, output, batch_id)
         history = _read_history(spark, output)
-        frozen = load_frozen_fit(spark, output, spec)
-        if frozen is None:
-            save_fit(spark, build_training_matrix(history, spec, median_method=median_method), output)
-            frozen = load_frozen_fit(spark, output, spec)
-        imputer, labels = frozen
+        if published_fit(spark, output) is None:
+            result = build_training_matrix(history, spec, median_method=median_method)
+            if not any(result.labels.sizes.values()):
+                log.info("batch %s: no complete training row yet, history kept", batch_id)
+                return
+            publish_fit(spark, result, output, batch_id)
+        imputer, labels = load_frozen_fit(spark, output, spec)
         bucket = series_bucket(spec, buckets, imputer.modes)
-        touched = batch.select(bucket.alias(BUCKET_COL)).distinct()  # at most ``buckets`` rows
-        hist = history.withColumn(BUCKET_COL, bucket).join(F.broadcast(touched), BUCKET_COL, "left_semi")
+        hist = history.withColumn(BUCKET_COL, bucket)
+        if published_fit(spark, output) != fit_version(output, batch_id):
+            # earlier batches are written already; only the touched buckets change
+            touched = batch.select(bucket.alias(BUCKET_COL)).distinct()  # at most ``buckets`` rows
+            hist = hist.join(F.broadcast(touched), BUCKET_COL, "left_semi")
         train, val = apply_training_matrix(hist, imputer, labels, spec, keep=(BUCKET_COL,))
         for df, name in ((train, "train"), (val, "validation")):
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # one task a bucket, so a batch writes at most ``buckets`` files a split
+            (df.repartition(BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BUCKET_COL).format(fmt).save(f"{output.rstrip('/')}/{name}"))
         log.info("batch %s updated buckets", batch_id)
 
@@ -127,9 +153,16 @@ def on_arrival(spark: SparkSession, input_dir: str, output: str, checkpoint: str
         fn = _incremental_batch(spark, output, spec, median_method, fmt, buckets)
     else:
         raise ValueError(f"mode must be 'full' or 'incremental', got {mode!r}")
-    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True)
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    writer = reader.csv(input_dir).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+
+    def process(lines: DataFrame, batch_id: int) -> None:
+        # the stream finds the new files; their rows come through the batch reader, by header name
+        files = [unquote(r["file"]) for r in lines.select("file").distinct().collect()]
+        fn(read_panel(lines.sparkSession, files) if files else spark.createDataFrame([], RAW_SCHEMA), batch_id)
+
+    found = reader.load(input_dir).select(F.col("_metadata.file_path").alias("file"))
+    writer = found.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
