@@ -17,10 +17,12 @@ from shelfcast.sources.panel import RAW_SCHEMA
 from shelfcast.session import reliable_checkpoint
 from shelfcast.spec import RAW_COLUMN_ORDER, RETAIL
 
-BASE = dt.date(2023, 12, 1)
+BASE = dt.date(2021, 3, 1)
 
 
-def raw_rows(n_days=40, stores=("S01",), products=("P01",), start=BASE, demand=lambda i: 10 + i, **over):
+def raw_rows(n_days=40, stores=("North Pier",), products=("kettle",), start=BASE, demand=lambda i: 10 + i, **over):
+    """A panel by rules of our own: stock falls by 3 a day, pairs of days share a category, each week
+    two days are coastal, and all else stays the same."""
     rows = []
     for s in stores:
         for p in products:
@@ -28,10 +30,10 @@ def raw_rows(n_days=40, stores=("S01",), products=("P01",), start=BASE, demand=l
                 d = start + dt.timedelta(days=i)
                 r = {
                     "Date": d.isoformat(), "Store ID": s, "Product ID": p,
-                    "Category": "Food" if i % 3 == 0 else "Drink", "Region": "East" if i % 2 == 0 else "West",
-                    "Inventory Level": str(100 + i), "Units Sold": "1", "Units Ordered": "2",
-                    "Price": "2.00", "Discount": "0.20", "Weather Condition": "Sunny", "Promotion": "0",
-                    "Competitor Pricing": "1.50", "Seasonality": "Winter", "Epidemic": "0",
+                    "Category": "Home" if i % 4 < 2 else "Garden", "Region": "Coast" if i % 7 < 2 else "Inland",
+                    "Inventory Level": str(500 - 3 * i), "Units Sold": "6", "Units Ordered": "9",
+                    "Price": "8.00", "Discount": "0.60", "Weather Condition": "Windy", "Promotion": "1",
+                    "Competitor Pricing": "6.75", "Seasonality": "Dry", "Epidemic": "0",
                     "Demand": None if demand(i) is None else str(demand(i)),
                 }
                 for k, fn in over.items():
@@ -61,12 +63,12 @@ def test_cast_numeric_malformed_and_nan(spark):
     out = cast_numeric(drop_leaky(raw_df(spark, rows))).orderBy("Date").collect()
     assert out[0]["Price"] is None
     assert math.isnan(out[1]["Price"])
-    assert out[2]["Price"] == 2.0
+    assert out[2]["Price"] == 8.0
 
 
 def test_parse_date_malformed_is_null(spark):
     rows = raw_rows(2)
-    rows[0] = tuple("2023-13-45" if c == "Date" else v for c, v in zip(RAW_COLUMN_ORDER, rows[0]))
+    rows[0] = tuple("2021-13-45" if c == "Date" else v for c, v in zip(RAW_COLUMN_ORDER, rows[0]))
     out = parse_date(raw_df(spark, rows)).collect()
     assert sorted([r["Date"] for r in out], key=lambda d: (d is not None, d)) == [None, BASE + dt.timedelta(days=1)]
 
@@ -85,13 +87,13 @@ def test_all_null_column_median_is_zero(spark):
     assert stats.approx_medians(df, ["x"]) == {"x": 0.0}
 
 
-def test_exact_median_narrowing_matches_brute_force(spark):
+def test_exact_median_over_many_partitions_matches_brute_force(spark):
     rng = random.Random(7)
     vals = [float(rng.randint(0, 5000)) for _ in range(20000)] + [42.0] * 10000  # one hot value
     rng.shuffle(vals)
     vals2 = [rng.gauss(0, 1) for _ in range(len(vals))]
     df = spark.createDataFrame(list(zip(vals, vals2)), "a double, b double")
-    got = stats.exact_medians(df, ["a", "b"], finish_rows=500, accuracy=200)
+    got = stats.exact_medians(df, ["a", "b"], rows_per_task=500)
     for name, v in (("a", vals), ("b", vals2)):
         s = sorted(v)
         assert got[name] == s[(len(s) + 1) // 2 - 1]
@@ -115,33 +117,33 @@ def test_median_and_mode_fill_nulls_not_nan(spark):
     rows[1] = tuple("NaN" if c == "Inventory Level" else v for c, v in zip(RAW_COLUMN_ORDER, rows[1]))
     df = prepare_raw(raw_df(spark, rows))
     out = impute_missing(df, method="exact").orderBy("Date").collect()
-    assert out[0]["Price"] == 2.0
-    assert out[0]["Region"] in ("East", "West")
+    assert out[0]["Price"] == 8.0
+    assert out[0]["Region"] in ("Coast", "Inland")
     assert math.isnan(out[1]["Inventory Level"])  # NaN is not null: survives imputation
 
 
 def test_mode_fill_value(spark):
-    rows = raw_rows(4, Category=lambda s, p, i, r: None if i == 0 else ("Food" if i < 3 else "Drink"))
+    rows = raw_rows(4, Category=lambda s, p, i, r: None if i == 0 else ("Toys" if i < 3 else "Books"))
     out = impute_missing(prepare_raw(raw_df(spark, rows))).orderBy("Date").collect()
-    assert out[0]["Category"] == "Food"
+    assert out[0]["Category"] == "Toys"
 
 
 def test_fit_on_train_only_option(spark):
     rows = raw_rows(10, Price=lambda s, p, i, r: None if i == 9 else ("1.00" if i < 5 else "9.00"))
     typed = prepare_raw(raw_df(spark, rows))
-    fitted = fit_imputer(split_train(typed, RETAIL.with_(cutoff="2023-12-06")), method="exact")
+    fitted = fit_imputer(split_train(typed, RETAIL.with_(cutoff="2021-03-06")), method="exact")
     assert fitted.medians["Price"] == 1.0
-    assert apply_imputer(typed, fitted).where(F.col("Date") == "2023-12-10").first()["Price"] == 1.0
+    assert apply_imputer(typed, fitted).where(F.col("Date") == "2021-03-10").first()["Price"] == 1.0
 
 
 # ---------------------------------------------------------------- calendar
 
 @pytest.mark.parametrize("week_start,expected", [
-    ("monday0", {"2023-12-25": (0, 0), "2023-12-29": (4, 0), "2023-12-30": (5, 1), "2023-12-31": (6, 1)}),
-    ("sunday0", {"2023-12-25": (1, 0), "2023-12-29": (5, 1), "2023-12-30": (6, 1), "2023-12-31": (0, 0)}),
+    ("monday0", {"2022-05-16": (0, 0), "2022-05-20": (4, 0), "2022-05-21": (5, 1), "2022-05-22": (6, 1)}),
+    ("sunday0", {"2022-05-16": (1, 0), "2022-05-20": (5, 1), "2022-05-21": (6, 1), "2022-05-22": (0, 0)}),
 ])
 def test_day_of_week_conventions(spark, week_start, expected):
-    rows = raw_rows(7, start=dt.date(2023, 12, 25))
+    rows = raw_rows(7, start=dt.date(2022, 5, 16))
     df = engineer_features(prepare_raw(raw_df(spark, rows)), RETAIL.with_(week_start=week_start))
     got = {r["Date"].isoformat(): (r["day_of_week"], r["is_weekend"]) for r in df.collect()}
     for d, v in expected.items():
@@ -157,17 +159,17 @@ def test_null_date_weekend_is_zero(spark):
 
 
 def test_calendar_parts(spark):
-    df = engineer_features(prepare_raw(raw_df(spark, raw_rows(1, start=dt.date(2024, 1, 1)))))
+    df = engineer_features(prepare_raw(raw_df(spark, raw_rows(1, start=dt.date(2020, 12, 31)))))
     r = df.first()
-    assert (r["day_of_month"], r["week_of_year"], r["month"], r["quarter"], r["year"]) == (1, 1, 1, 1, 2024)
+    assert (r["day_of_month"], r["week_of_year"], r["month"], r["quarter"], r["year"]) == (31, 53, 12, 4, 2020)
 
 
 # ---------------------------------------------------------------- price / lags / rolling
 
 def test_price_features(spark):
     r = engineer_features(prepare_raw(raw_df(spark, raw_rows(1)))).first()
-    assert r["price_vs_competitor"] == pytest.approx(0.5)
-    assert r["discount_pct"] == pytest.approx(0.2 / 2.000001)
+    assert r["price_vs_competitor"] == pytest.approx(1.25)
+    assert r["discount_pct"] == pytest.approx(0.6 / 8.000001)
 
 
 def test_lags_are_row_based_and_start_null(spark):
@@ -221,13 +223,13 @@ def test_dropna_removes_warmup_rows(spark):
 
 
 def test_split_boundary_goes_to_validation(spark):
-    spec = RETAIL.with_(cutoff="2024-01-01")
-    rows = raw_rows(40, start=dt.date(2023, 11, 22))  # last day 2023-12-31 ... first 2024 day below
-    rows += raw_rows(1, start=dt.date(2024, 1, 1), demand=lambda i: 60)
+    spec = RETAIL.with_(cutoff="2022-07-01")
+    rows = raw_rows(40, start=dt.date(2022, 5, 22))  # its last day is 30 June, the one below the cutoff day
+    rows += raw_rows(1, start=dt.date(2022, 7, 1), demand=lambda i: 60)
     df = drop_incomplete(engineer_features(impute_missing(prepare_raw(raw_df(spark, rows))), spec), spec)
     train, val = split_train(df, spec), split_validation(df, spec)
     assert train.count() == 41 - 28 - 1
-    assert [r["Date"] for r in val.collect()] == [dt.date(2024, 1, 1)]
+    assert [r["Date"] for r in val.collect()] == [dt.date(2022, 7, 1)]
 
 
 # ---------------------------------------------------------------- encoding
@@ -273,12 +275,12 @@ def test_empty_train_encodes_everything_as_zero_index(spark):
 def test_training_matrix_layout(spark):
     from shelfcast.plans.training import build_training_matrix
 
-    spec = RETAIL.with_(cutoff="2024-01-01")
-    rows = raw_rows(40, stores=("S01", "S02"), products=("P01", "P02"), start=dt.date(2023, 11, 25))
+    spec = RETAIL.with_(cutoff="2022-07-01")
+    rows = raw_rows(40, stores=("North Pier", "Quay End"), products=("kettle", "lamp"), start=dt.date(2022, 5, 25))
     res = build_training_matrix(raw_df(spark, rows), spec, median_method="exact")
     assert res.train.columns == list(spec.output_cols)
     assert len(res.train.columns) == 30 and res.train.columns[0] == "Demand"
-    # 40 days per series from 2023-11-25: the first 28 are warm-up, 2024-01-01..03 validate
+    # 40 days a series from 25 May: the first 28 are warm-up, 1 to 3 July validate
     assert res.validation.count() == 4 * 3
     assert res.train.count() == 4 * (40 - 28 - 3)
 
@@ -288,9 +290,9 @@ def test_training_matrix_layout(spark):
 @pytest.mark.parametrize("chunk_rows", [1, 5, 40, 1000])
 def test_chunked_hot_series_equals_plain_window(spark, chunk_rows):
     ties = ("seq",)
-    rows = raw_rows(60, stores=("S01", "S02"), products=("P01",), demand=lambda i: (i * 7) % 23)
-    # duplicate days in S01 (a dense hot series) with a tie-breaker
-    rows += raw_rows(60, stores=("S01",), products=("P01",), demand=lambda i: (i * 5) % 17)
+    rows = raw_rows(60, stores=("North Pier", "Quay End"), products=("kettle",), demand=lambda i: (i * 7) % 23)
+    # duplicate days at North Pier (a dense hot series) with a tie-breaker
+    rows += raw_rows(60, stores=("North Pier",), products=("kettle",), demand=lambda i: (i * 5) % 17)
     df = prepare_raw(raw_df(spark, rows)).withColumn("seq", F.monotonically_increasing_id()).checkpoint()
     plain = engineer_features(df, RETAIL.with_(tie_breakers=ties, hot_series_rows=None))
     chunked = engineer_features(df, RETAIL.with_(tie_breakers=ties, hot_series_rows=chunk_rows))
@@ -313,14 +315,14 @@ def test_hot_series_assignment_has_halo(spark):
 def test_hot_series_from_filled_null_keys(spark):
     """Null store ids filled with the mode pile onto one series; the chunked window, found
     from the fit's series totals, equals the plain window."""
-    rows = raw_rows(50, stores=("S01", "S02"), products=("P01",), demand=lambda i: (i * 3) % 11)
-    rows += raw_rows(50, stores=("S01",), products=("P01",), demand=lambda i: (i * 7) % 13,
+    rows = raw_rows(50, stores=("North Pier", "Quay End"), products=("kettle",), demand=lambda i: (i * 3) % 11)
+    rows += raw_rows(50, stores=("North Pier",), products=("kettle",), demand=lambda i: (i * 7) % 13,
                      Store_ID=lambda s, p, i, r: None)
     typed = prepare_raw(raw_df(spark, rows)).withColumn("seq", F.monotonically_increasing_id()).checkpoint()
     spec = RETAIL.with_(tie_breakers=("seq",), hot_series_rows=40)
     fitted = fit_imputer(typed, spec, method="exact")
     totals = {tuple(r[:2]): r["_total"] for r in fitted.series_totals.collect()}
-    assert totals == {("S01", "P01"): 100, ("S02", "P01"): 50}
+    assert totals == {("North Pier", "kettle"): 100, ("Quay End", "kettle"): 50}
     imputed = apply_imputer(typed, fitted)
     chunked = engineer_features(imputed, spec, fitted.series_totals)
     plain = engineer_features(imputed, spec.with_(hot_series_rows=None))
@@ -339,18 +341,30 @@ def test_distributed_label_rank_equals_window_rank(spark):
     assert one_task.exceptAll(spread).count() == 0 and spread.exceptAll(one_task).count() == 0
 
 
-def test_exact_median_low_cardinality_skips_narrowing(spark):
+def test_exact_median_of_few_values_needs_one_partition(spark):
     vals = [0.0] * 20000 + [1.0] * 9000 + [2.0] * 1001   # many rows, three distinct values
     df = spark.createDataFrame([(v,) for v in vals], "flag double")
     s = sorted(vals)
-    assert stats.exact_medians(df, ["flag"], finish_rows=500, accuracy=200) == {"flag": s[(len(s) + 1) // 2 - 1]}
+    assert stats.exact_medians(df, ["flag"], rows_per_task=500) == {"flag": s[(len(s) + 1) // 2 - 1]}
+
+
+@pytest.mark.parametrize("hot", [25, 7, 2_000_000])
+def test_chunk_size_never_changes_a_row(spark, hot):
+    """One day holds 20 different rows of a series and there are no tie-breakers: the order of all
+    other columns decides, in the plain window and in every chunked path."""
+    rows = raw_rows(39) + [r for k in range(20) for r in raw_rows(
+        1, start=BASE + dt.timedelta(days=20), demand=lambda i: (k * 7) % 20 + 100, Price=lambda s, p, i, r: str(k % 3))]
+    df = reliable_checkpoint(prepare_raw(raw_df(spark, rows)))
+    plain = engineer_features(df, RETAIL.with_(hot_series_rows=None))
+    cut = engineer_features(df, RETAIL.with_(hot_series_rows=hot))
+    assert cut.count() == 59 and cut.exceptAll(plain).count() == 0 and plain.exceptAll(cut).count() == 0
 
 
 def test_row_exact_chunks_split_a_group_of_copies(spark):
     """One (series, date) holds most rows, many of them identical copies: chunks are cut at
     row positions, and the result equals the plain window."""
-    base = raw_rows(40, stores=("S01", "S02"), products=("P01",), demand=lambda i: (i * 3) % 11)
-    day10 = [r for r in base if r[0] == (BASE + dt.timedelta(days=10)).isoformat() and r[1] == "S01"]
+    base = raw_rows(40, stores=("North Pier", "Quay End"), products=("kettle",), demand=lambda i: (i * 3) % 11)
+    day10 = [r for r in base if r[0] == (BASE + dt.timedelta(days=10)).isoformat() and r[1] == "North Pier"]
     copies = day10 * 150  # 151 identical rows on one (series, date)
     df = prepare_raw(raw_df(spark, base + copies))
     df = reliable_checkpoint(df)
@@ -363,8 +377,8 @@ def test_row_exact_chunks_split_a_group_of_copies(spark):
 
 
 def test_row_exact_chunks_with_tie_breakers(spark):
-    rows = raw_rows(30, stores=("S01",), products=("P01",), demand=lambda i: (i * 5) % 13)
-    rows += raw_rows(30, stores=("S01",), products=("P01",), start=BASE + dt.timedelta(days=3),
+    rows = raw_rows(30, stores=("North Pier",), products=("kettle",), demand=lambda i: (i * 5) % 13)
+    rows += raw_rows(30, stores=("North Pier",), products=("kettle",), start=BASE + dt.timedelta(days=3),
                      demand=lambda i: (i * 7) % 17) * 3
     df = reliable_checkpoint(prepare_raw(raw_df(spark, rows)).withColumn("seq", F.monotonically_increasing_id()))
     spec = RETAIL.with_(tie_breakers=("seq",), hot_series_rows=6)  # 4-row days > half a chunk: row-exact path
@@ -400,15 +414,15 @@ def test_assemble_output_skips_missing_columns(spark, caplog):
     assert "not found" in caplog.text
 
 
-def test_exact_median_narrowing_matches_sql_oracle(spark):
-    """Force the narrowing path (small finish_rows) on the panel and compare with SQL."""
+def test_exact_median_over_many_partitions_matches_sql_oracle(spark):
+    """Force many partitions on the panel and compare with SQL."""
     import duckdb
 
     from oracle import ORACLE
     from shelfcast.plans.queries import SPEC, typed_panel
 
     sf = "/root/testdata/sf0.01"
-    ours = stats.exact_medians(typed_panel(spark, sf), list(SPEC.typed_numerics), finish_rows=500, accuracy=1000)
+    ours = stats.exact_medians(typed_panel(spark, sf), list(SPEC.typed_numerics), rows_per_task=500)
     con = duckdb.connect()
     for t in ["region", "nation", "supplier", "part", "lineitem"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

@@ -1,6 +1,7 @@
 """Request scoring on hand-made request bodies (the handler's own test cases and traps)."""
 
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ def requests(spark, bodies):
 
 
 def body(**kw):
-    base = {"store_id": "S001", "item_id": "I123", "date": "2023-01-15"}
+    base = {"store_id": "pier-7", "item_id": "lamp", "date": "2019-08-29"}
     base.update(kw)
     return json.dumps({k: v for k, v in base.items() if v is not ...})
 
@@ -26,13 +27,13 @@ def outcome(spark, bodies):
 
 
 def test_valid_single_and_multi_day(spark):
-    scorer = S.ExpressionScorer(F.lit(120.5))
+    scorer = S.ExpressionScorer(F.lit(31.25))
     out = S.score_requests(requests(spark, [body(horizon=1), body(horizon=3)]), scorer).orderBy("request_id").collect()
     assert out[0]["status"] == 200 and len(out[0]["predictions"]) == 1
-    assert [p["date"] for p in out[1]["predictions"]] == ["2023-01-16", "2023-01-17", "2023-01-18"]
-    assert out[1]["predictions"][0]["forecast"] == 120.5
+    assert [p["date"] for p in out[1]["predictions"]] == ["2019-08-30", "2019-08-31", "2019-09-01"]
+    assert out[1]["predictions"][0]["forecast"] == 31.25
     resp = json.loads(out[1]["response_body"])
-    assert resp["store_id"] == "S001" and resp["item_id"] == "I123" and len(resp["predictions"]) == 3
+    assert resp["store_id"] == "pier-7" and resp["item_id"] == "lamp" and len(resp["predictions"]) == 3
 
 
 def test_default_horizon_is_one(spark):
@@ -46,10 +47,10 @@ def test_default_horizon_is_one(spark):
     (body(store_id=0), (400, "store_id is required")),
     (body(item_id=...), (400, "item_id is required")),
     (body(item_id=[]), (400, "item_id is required")),
-    (body(date="15/01/2023"), (400, "date must be in YYYY-MM-DD format")),
-    (body(date="2023-02-30"), (400, "date must be in YYYY-MM-DD format")),
-    (body(date=20230115), (400, "date must be in YYYY-MM-DD format")),
-    (body(date="2023-1-5"), (None, None)),
+    (body(date="29/08/2019"), (400, "date must be in YYYY-MM-DD format")),
+    (body(date="2019-04-31"), (400, "date must be in YYYY-MM-DD format")),
+    (body(date=20190829), (400, "date must be in YYYY-MM-DD format")),
+    (body(date="2019-8-5"), (None, None)),
     (body(horizon=0), (400, MSG_HORIZON)),
     (body(horizon=-1), (400, MSG_HORIZON)),
     (body(horizon=31), (400, MSG_HORIZON)),
@@ -72,8 +73,8 @@ def test_default_horizon_is_one(spark):
     ('"text"', (500, "Inference failed: 'str' object has no attribute 'get'")),
     ("null", (500, "Inference failed: 'NoneType' object has no attribute 'get'")),
     ("{}", (400, "store_id is required")),
-    ('{"store_id": "S", "item_id": "I", "date": " 2023-01-15"}', (400, "date must be in YYYY-MM-DD format")),
-    ('{"store_id": "S", "item_id": "I", "date": "2023-01- 5"}', (None, None)),
+    ('{"store_id": "S", "item_id": "I", "date": " 2019-08-29"}', (400, "date must be in YYYY-MM-DD format")),
+    ('{"store_id": "S", "item_id": "I", "date": "2019-08- 5"}', (None, None)),
 ])
 def test_validation_rules(spark, b, expected):
     assert outcome(spark, [b]) == [expected]
@@ -86,11 +87,11 @@ def test_first_failing_rule_wins(spark):
 def test_serving_features_and_payload(spark):
     valid = S.valid_requests(S.validate_requests(requests(spark, [body(horizon=2)])))
     feats = S.serving_features(S.expand_horizon(valid)).orderBy("day").collect()
-    assert [feats[0][c] for c in S.SERVING_FEATURES] == [0.0, 0.0, 0.0, 16.0, 1.0, 2023.0, 0.0, 0.0, 0.0, 0.0, 50.0, 0.0]
+    assert [feats[0][c] for c in S.SERVING_FEATURES] == [0.0, 0.0, 4.0, 30.0, 8.0, 2019.0, 0.0, 0.0, 0.0, 0.0, 50.0, 0.0]
     payload = S.payload_csv(valid).first()["payload"]
     lines = payload.split("\n")
     assert len(lines) == 2 and lines[0].split(",")[0] == "0.0"
-    assert lines[0] == "0.0,0.0,0.0,16.0,1.0,2023.0,0.0,0.0,0.0,0.0,50.0,0.0"
+    assert lines[0] == "0.0,0.0,4.0,30.0,8.0,2019.0,0.0,0.0,0.0,0.0,50.0,0.0"
 
 
 def test_fewer_predictions_than_days_truncates(spark):
@@ -98,7 +99,7 @@ def test_fewer_predictions_than_days_truncates(spark):
     replies = spark.createDataFrame([(0, " 1.5\n2.5\n")], "request_id long, reply string")
     r = S.score_requests_with_replies(reqs, replies).first()
     assert r["status"] == 200
-    assert [(p["date"], p["forecast"]) for p in r["predictions"]] == [("2023-01-16", 1.5), ("2023-01-17", 2.5)]
+    assert [(p["date"], p["forecast"]) for p in r["predictions"]] == [("2019-08-30", 1.5), ("2019-08-31", 2.5)]
 
 
 def test_bad_prediction_fails_only_that_request(spark):
@@ -152,3 +153,21 @@ def test_duplicate_replies_fail_instead_of_pairing(spark):
     assert len(out) == 2
     assert out[0]["status"] == 500 and "more than one reply" in out[0]["error"]
     assert out[1]["status"] == 200 and out[1]["predictions"][0]["forecast"] == 3.0
+
+
+@pytest.mark.parametrize("text,value", [("1_000", 1000.0), ("1.", 1.0), (" .5e2 ", 50.0), ("+Infinity", float("inf")), ("1.5d", None), ("2f", None),
+                                        ("0x1p3", None), ("1__0", None), ("_1", None), ("1e", None), ("", None), (".", None)])
+def test_reply_numbers_follow_python(spark, text, value):
+    got = spark.createDataFrame([(text,)], "t string").select(S.python_float(F.col("t")).alias("v")).first()["v"]
+    assert got == value
+    try:
+        assert float(text) == value
+    except ValueError:
+        assert value is None
+
+
+def test_nan_forecast_stays_a_number(spark):
+    replies = spark.createDataFrame([(0, "nan\n-inf")], "request_id long, reply string")
+    r = S.score_requests_with_replies(requests(spark, [body(horizon=2)]), replies).first()
+    assert r["status"] == 200 and '"forecast":NaN' in r["response_body"] and '"forecast":-Infinity' in r["response_body"]
+    assert math.isnan(json.loads(r["response_body"])["predictions"][0]["forecast"])

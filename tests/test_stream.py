@@ -2,12 +2,17 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from shelfcast.plans.queries import SPEC
 from shelfcast.plans.training import build_training_matrix
 from shelfcast.sources.fixtures import demand_panel_raw
-from shelfcast.sources.panel import read_panel
-from shelfcast.streaming.arrival import on_arrival
+from shelfcast.sources.panel import RAW_SCHEMA, read_panel
+from shelfcast.spec import RAW_COLUMN_ORDER, RETAIL
+from shelfcast.streaming.arrival import load_frozen_fit, on_arrival, published_fit
 from tests.conftest import SF_SMALL
+from tests.test_operators import raw_rows
 
 
 def test_stream_equals_batch(spark, scratch):
@@ -84,3 +89,62 @@ def test_incremental_stream_resumes_after_restart(spark, scratch):
     want_train, _ = apply_training_matrix(read_panel(spark, os.path.join(inbox, "*")), imputer, labels, SPEC)
     got = spark.read.parquet(os.path.join(out, "train")).drop(BUCKET_COL).select(*want_train.columns)
     assert got.exceptAll(want_train).count() == 0 and want_train.exceptAll(got).count() == 0
+
+
+def _land(spark, rows, path):
+    spark.createDataFrame(rows, RAW_SCHEMA).coalesce(1).write.option("header", True).csv(path)
+
+
+def _arrive(spark, scratch, mode="incremental"):
+    q = on_arrival(spark, os.path.join(scratch, "inbox", "*"), os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"),
+                   RETAIL.with_(cutoff="2021-04-08"), median_method="exact", max_files_per_trigger=1, mode=mode, buckets=4)
+    q.awaitTermination(600)
+    assert q.exception() is None
+
+
+def test_columns_are_taken_by_header_name(spark, scratch):
+    """A file with two numeric columns swapped lands in the right columns, in the reader and the stream."""
+    rows = raw_rows(45)
+    _land(spark, rows[:20], os.path.join(scratch, "inbox", "a"))
+    swapped = list(RAW_COLUMN_ORDER)
+    i, j = swapped.index("Price"), swapped.index("Competitor Pricing")
+    swapped[i], swapped[j] = swapped[j], swapped[i]
+    (spark.createDataFrame(rows[20:], RAW_SCHEMA).select(*[F.col(f"`{c}`") for c in swapped]).coalesce(1)
+     .write.option("header", True).csv(os.path.join(scratch, "inbox", "b")))
+    back = read_panel(spark, os.path.join(scratch, "inbox", "*"))
+    assert back.select("Price", "Competitor Pricing").distinct().collect() == [("8.00", "6.75")] and back.count() == 45
+    _arrive(spark, scratch)
+    train = spark.read.parquet(os.path.join(scratch, "out", "train"))
+    assert train.count() > 0 and train.select("Price", "Competitor Pricing").distinct().collect() == [(8.0, 6.75)]
+
+
+def test_short_first_arrival_freezes_nothing(spark, scratch):
+    """20 days are less than the longest lag: no labels, so no fit and no matrix until more arrives."""
+    rows = raw_rows(60, stores=("North Pier", "Quay End"))
+    _land(spark, [r for r in rows if r[0] < "2021-03-21"], os.path.join(scratch, "inbox", "a"))
+    _arrive(spark, scratch)
+    assert published_fit(spark, os.path.join(scratch, "out")) is None and not os.path.exists(os.path.join(scratch, "out", "train"))
+    _land(spark, [r for r in rows if r[0] >= "2021-03-21"], os.path.join(scratch, "inbox", "b"))
+    _arrive(spark, scratch)
+    train = spark.read.parquet(os.path.join(scratch, "out", "train"))
+    assert {r[0] for r in train.select("Store ID").distinct().collect()} == {0.0, 1.0}
+    want = build_training_matrix(read_panel(spark, os.path.join(scratch, "inbox", "*")), RETAIL.with_(cutoff="2021-04-08"), median_method="exact").train
+    got = train.select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_half_written_fit_is_passed_over(spark, scratch):
+    """A fit folder without its marker, as a crash leaves it, does not stop the stream."""
+    rows = raw_rows(45)
+    _land(spark, rows, os.path.join(scratch, "inbox", "a"))
+    spark.createDataFrame([("{}",)], "value string").write.text(os.path.join(scratch, "out", "_fit", "version=000000000000", "imputer"))
+    assert published_fit(spark, os.path.join(scratch, "out")) is None
+    _arrive(spark, scratch)
+    assert load_frozen_fit(spark, os.path.join(scratch, "out"), RETAIL) is not None
+    assert spark.read.parquet(os.path.join(scratch, "out", "train")).count() > 0
+
+
+def test_file_without_a_needed_column_fails(spark, scratch):
+    spark.createDataFrame(raw_rows(3), RAW_SCHEMA).drop("Price").coalesce(1).write.option("header", True).csv(os.path.join(scratch, "x"))
+    with pytest.raises(ValueError, match="no header"):
+        read_panel(spark, os.path.join(scratch, "x"))
