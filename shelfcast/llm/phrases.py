@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -103,36 +104,38 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = begin + flat.field("n").to_numpy() + WINDOW - 2
             raw = s.data.tobytes()
             text = [b" ".join(raw[i:j].split()) for i, j in zip(s.start[begin].tolist(), s.end[last].tolist())]
-            yield pa.RecordBatch.from_arrays([*(flat.field(k) for k in ("h", "kid", "c", "deals")), pa.array(text, pa.binary()).cast(pa.string())],
-                                             names=["h", "kid", "c", "deals", "text"])
+            at = pa.array(s.first + doc)
+            yield pa.RecordBatch.from_arrays([b.column("tid").take(at), *(flat.field(k) for k in ("h", "kid", "c", "deals", "first")),
+                                              pa.array(text, pa.binary()).cast(pa.string())], names=["tid", "h", "kid", "c", "deals", "first", "text"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A hash of each window of each kind, with its place."""
+    """A hash of each window of each kind, with its place in the text that stands for the kind."""
     for b in batches:
         for s in slices(b.column("text")):
             at, w = grams(s, s.word_hash(), WINDOW)
             doc = np.searchsorted(s.woff, at, "right") - 1
             take = pa.array(s.first + doc)
-            yield pa.RecordBatch.from_arrays([b.column("h").take(take), pa.array(w.view(np.int64)), b.column("kid").take(take),
-                                              b.column("c").take(take), pa.array((at - s.woff[doc]).astype(np.int32))],
-                                             names=["h", "w", "kid", "c", "at"])
+            first = b.column("first").take(take).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [b.column("h").take(take), pa.array(w.view(np.int64)), b.column("kid").take(take), pc.greater(b.column("c").take(take), 1),
+                 b.column("tid").take(take), pa.array((first + at - s.woff[doc]).astype(np.int32))],
+                names=["h", "w", "kid", "many", "tid", "start"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut phrases out of the kinds: successive confirmed windows that the same kinds have, so
-    that a phrase occurs wherever one of its windows does."""
+    """Cut phrases out of texts: successive confirmed windows of one anchor that the same kinds
+    have, so that a phrase occurs wherever one of its windows does."""
     for b in batches:
         out = []
-        for h, deals, text, at in zip(*(b.column(c).to_pylist() for c in ("h", "deals", "text", "at"))):
-            words = text.split(" ")
+        for text, at in zip(b.column("text").to_pylist(), b.column("at").to_pylist()):
+            words = text.encode().split()
             begin = at[0]["at"]
             for this, after in zip(at, [*at[1:], None]):
-                if after is None or after["at"] != this["at"] + 1 or after["in"] != this["in"]:
-                    out.append((h, deals, " ".join(words[begin:this["at"] + WINDOW])))
+                if after is None or after["h"] != this["h"] or after["at"] != this["at"] + 1 or after["in"] != this["in"]:
+                    out.append((this["h"], b" ".join(words[begin:this["at"] + WINDOW]).decode()))
                     begin = after["at"] if after else 0
-        yield pa.RecordBatch.from_pydict({"h": pa.array([o[0] for o in out], pa.int64()), "deals": pa.array([o[1] for o in out], pa.int32()),
-                                          "text": pa.array([o[2] for o in out], pa.string())})
+        yield pa.RecordBatch.from_pydict({"h": pa.array([o[0] for o in out], pa.int64()), "text": pa.array([o[1] for o in out], pa.string())})
 
 
 class Automaton:
@@ -194,14 +197,15 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """k1, k2 and the sorted word ranges (``lo``, ``hi``) that recurring windows cover, for the
     different texts of ``docs`` (k1, k2, text) that have any."""
+    # anchors are found twice, from the input, rather than kept: they would take half its size
     found = docs.mapInArrow(_find, "k1 long, k2 long, spots array<struct<h:long,kind:long,first:int,n:int>>")
-    once = stage(found.groupBy(*KEY).agg(F.count(F.lit(1)).alias("m"), F.first("spots").alias("spots")), "anchors")
-    spots = once.select(*KEY, "m", F.explode("spots").alias("s")).select(*KEY, "m", "s.*")
-    again = stage(spots.groupBy("h").agg(F.sum("m").alias("c"), F.count(F.lit(1)).alias("rows")).where("c > 1")
-                  .select("h", F.ceil(F.col("rows") / DEAL).cast("int").alias("deals")), "recurring-anchors")
+    spots = found.select(*KEY, F.explode("spots").alias("s")).select(*KEY, "s.*")
+    again = stage(spots.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+                  .select("h", F.ceil(F.col("c") / DEAL).cast("int").alias("deals")), "recurring-anchors")
     shards = max(1, -(-again.count() // ANCHORS_A_SHARD))
-    # where a kind occurs
-    places = stage(spots.join(again, "h").select(*KEY, "m", "h", "deals", F.xxhash64("h", "kind").alias("kid"), "first", "n"), "places")
+    # where a kind occurs, equal texts once with their number
+    places = stage(spots.join(again, "h").groupBy(*KEY, "h", "deals", F.xxhash64("h", "kind").alias("kid"), "first", "n")
+                   .agg(F.count(F.lit(1)).alias("m")), "places")
     kinds = places.groupBy("kid").agg(F.sum("m").alias("c"), F.first("h").alias("h"), F.first("deals").alias("deals"),
                                       F.min(F.struct(*KEY, "first", "n")).alias("one"))
     stands = stage(kinds.groupBy(F.col("one.k1").alias("k1"), F.col("one.k2").alias("k2")).agg(
@@ -209,14 +213,19 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     few = stands.count() <= BROADCAST_TEXTS
     fetched = (docs.join(F.broadcast(stands.select(*KEY)) if few else stands.select(*KEY), KEY, "left_semi")
                .groupBy(*KEY).agg(F.first("text").alias("text")).join(stands, KEY))
-    stretches = stage(fetched.select("text", "spots").mapInArrow(_stretches, "h long, kid long, c long, deals int, text string"), "stretches")
+    fetched = stage(fetched.select(F.monotonically_increasing_id().alias("tid"), "text", "spots"), "fetched")
+    stretches = fetched.mapInArrow(_stretches, "tid long, h long, kid long, c long, deals int, first int, text string")
 
     # confirm
-    twice = (stretches.select("h", "kid", "c", "text").mapInArrow(_windows, "h long, w long, kid long, c long, at int")
-             .groupBy("h", "w").agg(F.sum("c").alias("c"), F.min(F.struct("kid", "at")).alias("k"), F.bit_xor("kid").alias("in")).where("c > 1"))
-    picked = twice.groupBy("k.kid").agg(F.sort_array(F.collect_list(F.struct("k.at", "in"))).alias("at"))
-    phrases = (stretches.select("h", "kid", "deals", "text").join(picked, "kid")
-               .select("h", "deals", "text", "at").mapInArrow(_runs, "h long, deals int, text string"))
+    # of one kind alone, the exclusive or of the kinds that have a window is its least kind
+    twice = (stretches.mapInArrow(_windows, "h long, w long, kid long, many boolean, tid long, start int")
+             .groupBy("h", "w").agg(F.max("many").alias("many"), F.min(F.struct("tid", "start")).alias("k"),
+                                    F.min("kid").alias("lo"), F.bit_xor("kid").alias("in")).where("many or lo <> in"))
+    # a window stands where its first text has it; successive ones of one anchor make a phrase
+    picked = twice.groupBy(F.col("k.tid").alias("tid")).agg(
+        F.sort_array(F.collect_list(F.struct("h", F.col("k.start").alias("at"), "in"))).alias("at"))
+    phrases = (fetched.select("tid", "text").join(picked, "tid").select("text", "at").mapInArrow(_runs, "h long, text string")
+               .join(again, "h"))
 
     # locate; a dealt anchor has a shard of its own, below zero
     shard = F.when(F.col("deals") > 1, -1 - F.pmod("h", F.lit(1 << 30))).otherwise(F.pmod("h", F.lit(shards))).cast("int").alias("shard")
