@@ -29,7 +29,8 @@ from shelfcast.operators.metrics import row_metrics_frame
 from shelfcast.operators.shaping import assemble_output, cast_numeric, drop_leaky, parse_date, prepare_raw
 from shelfcast.operators.split import drop_incomplete, sort_by_date, split_train, split_validation
 from shelfcast.plans import scoring as S
-from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests, line_items
+from shelfcast.plans.history import KNOWN, attach_history
+from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests, history_requests, line_items
 from shelfcast.session import ensure_checkpoint_dir, reliable_checkpoint
 from shelfcast.sources.panel import read_matrix, read_panel, write_matrix
 from shelfcast.spec import RETAIL
@@ -474,6 +475,25 @@ def q_model_scored_responses(spark, sf):
     return resp.select("request_id", "status", "error", _n_predictions())
 
 
+def _with_history(spark, sf):
+    """Requests for real stores and products, with features from the imputed panel before their date."""
+    imputed, fitted = _imputed(spark, sf)
+    imputed = reliable_checkpoint(imputed)
+    labels = fit_labels(split_train(drop_incomplete(engineer_features(imputed, SPEC, fitted.series_totals), SPEC), SPEC), SPEC)
+    return attach_history(S.validate_requests(history_requests(spark, sf)), imputed, labels, SPEC)
+
+
+def q_history_lookup(spark, sf):
+    return _with_history(spark, sf).select("request_id", "status", *KNOWN)
+
+
+def q_history_scored_responses(spark, sf):
+    """An expression over the history features, scored day by day."""
+    expr = F.col("rolling_mean_7") + F.col("lag_1_sales") * 100 + F.col("day_of_month") / 64 + F.col("store_id_encoded")
+    resp = S.assemble_responses(S.score_days(_with_history(spark, sf), S.ExpressionScorer(expr), KNOWN))
+    return resp.select("request_id", "status", F.inline_outer("predictions")).withColumn("forecast", F.round("forecast", 6))
+
+
 QUERIES = {
     "demand_panel": q_demand_panel,
     "drop_leaky": q_drop_leaky,
@@ -526,5 +546,7 @@ QUERIES = {
     "responses": q_responses,
     "scored_responses": q_scored_responses,
     "scored_responses_by_row": q_scored_responses_by_row,
+    "history_lookup": q_history_lookup,
+    "history_scored_responses": q_history_scored_responses,
     "model_scored_responses": q_model_scored_responses,
 }

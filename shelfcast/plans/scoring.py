@@ -157,15 +157,16 @@ def serving_calendar(d: Column) -> dict[str, Column]:
     }
 
 
-def serving_feature_columns(d: Column) -> dict[str, Column]:
-    """The 12 serving features of forecast date ``d``, in payload order."""
+def serving_feature_columns(d: Column, known: tuple[str, ...] = ()) -> dict[str, Column]:
+    """The 12 serving features of forecast date ``d``, in payload order; ``known`` ones are columns."""
     cal = serving_calendar(d)
-    return {n: cal[n] if n in cal else F.lit(SERVING_PLACEHOLDERS[n]).cast("double") for n in SERVING_FEATURES}
+    return {n: F.col(n) if n in known else cal[n] if n in cal else F.lit(SERVING_PLACEHOLDERS[n]).cast("double")
+            for n in SERVING_FEATURES}
 
 
-def serving_features(expanded: DataFrame, date_col: str = "forecast_date") -> DataFrame:
+def serving_features(expanded: DataFrame, date_col: str = "forecast_date", known: tuple[str, ...] = ()) -> DataFrame:
     """The 12 serving features in payload order (placeholders where no history is used)."""
-    return expanded.withColumns(serving_feature_columns(F.col(date_col)))
+    return expanded.withColumns(serving_feature_columns(F.col(date_col), known))
 
 
 def feature_row_text(cols=SERVING_FEATURES) -> Column:
@@ -269,7 +270,7 @@ def zip_predictions(dates: Column, predictions: Column) -> Column:
 REQUEST_COLS = ("request_id", "status", "error", "store_id", "item_id", "store_json", "item_json", "date", "horizon")
 
 
-def score_days(validated: DataFrame, scorer: Scorer) -> DataFrame:
+def score_days(validated: DataFrame, scorer: Scorer, known: tuple[str, ...] = ()) -> DataFrame:
     """Per request (valid or not): ``predictions`` array<double> in day order.
 
     One pass: valid requests explode into their forecast days (``explode_outer`` keeps
@@ -280,11 +281,11 @@ def score_days(validated: DataFrame, scorer: Scorer) -> DataFrame:
     valid = F.col("status").isNull()
     # A row id assigned before the explode keys the regroup: each group is one request
     # (at most 30 day rows) even when many requests share a request_id.
-    keyed = validated.select(*REQUEST_COLS, F.monotonically_increasing_id().alias("_row"))
+    keyed = validated.select(*REQUEST_COLS, *known, F.monotonically_increasing_id().alias("_row"))
     days = keyed.select(
         "*", F.explode_outer(F.when(valid, F.sequence(F.lit(1), F.col("horizon").cast("int")))).alias("day"),
     ).withColumn("forecast_date", F.date_add(F.col("date"), F.col("day")))
-    scored = scorer(serving_features(days))
+    scored = scorer(serving_features(days, known=known))
     pair = F.when(F.col("day").isNotNull(), F.struct("day", F.col("prediction").cast("double").alias("p")))
     return scored.groupBy("_row", *REQUEST_COLS).agg(
         F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["p"]).alias("predictions")

@@ -198,3 +198,16 @@ def forecast_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.alias("request_id"),
         F.when(_every(key, 97), F.lit("not json")).otherwise(body).alias("body"),
     )
+
+
+def history_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for the panel's own stores and products (every 11th for a store that it lacks)."""
+    o = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("bigint").alias("k"), F.col("o_custkey").cast("bigint").alias("c"), "o_orderdate")
+    n = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("nk"), "n_name")
+    k = F.col("k")
+    store = F.when(_every(k, 11), F.lit("NOWHERE")).otherwise(F.col("n_name"))
+    digit = lambda x: (F.lit(1) + F.pmod(x, F.lit(5))).cast("string")
+    item = F.concat(F.lit("Brand#"), digit(k), digit(F.floor(k / 5)))
+    body = F.concat(F.lit('{"store_id":"'), store, F.lit('","item_id":"'), item, F.lit('","date":"'),
+                    F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd"), F.lit('","horizon":'), F.pmod(k, F.lit(7)).cast("string"), F.lit("}"))
+    return o.join(n, F.pmod(F.col("c"), F.lit(25)) == F.col("nk")).select(k.alias("request_id"), body.alias("body"))
