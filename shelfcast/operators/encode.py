@@ -8,7 +8,8 @@ The fitted labels stay a DataFrame ``(column, value, count, index)``. Counting i
 distributed aggregate over all categoricals at once; numbering sorts the distinct
 labels of each column (in one task per column up to ``rank_in_one_task`` labels, by a
 distributed rank beyond that). Applying is a left join per column: broadcast when that
-column's label count is under ``broadcast_limit`` (checked at fit time), a shuffle
+column's label count is under ``broadcast_limit`` and the text of all labels under
+``DEFAULT_BROADCAST_BYTES`` (both counted at fit time), a shuffle
 join otherwise, so the encoded table never passes through the driver.
 """
 
@@ -24,6 +25,8 @@ from shelfcast.spec import RETAIL, PanelSpec
 from shelfcast.session import reliable_checkpoint
 
 DEFAULT_BROADCAST_LIMIT = 1_000_000
+#: Label text, over all columns together, up to which label tables are broadcast.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 @dataclass
@@ -32,6 +35,11 @@ class LabelModel:
     sizes: dict[str, int]
     columns: list[str]
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT
+    label_bytes: int = 0  # text of all labels of all columns
+
+    def small(self, column: str) -> bool:
+        """Whether a column's table may be broadcast: few labels, and all tables together small."""
+        return self.sizes.get(column, 0) <= self.broadcast_limit and self.label_bytes <= DEFAULT_BROADCAST_BYTES
 
     def save(self, path: str) -> None:
         self.labels.write.mode("overwrite").parquet(path)
@@ -40,8 +48,9 @@ class LabelModel:
     def load(cls, spark: SparkSession, path: str, columns: list[str],
              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> "LabelModel":
         labels = spark.read.parquet(path)
-        sizes = {r["column"]: r["n"] for r in labels.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-        return cls(labels, {c: sizes.get(c, 0) for c in columns}, list(columns), broadcast_limit)
+        found = labels.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()
+        sizes = {r["column"]: r["n"] for r in found}
+        return cls(labels, {c: sizes.get(c, 0) for c in columns}, list(columns), broadcast_limit, sum(r["b"] or 0 for r in found))
 
 
 DEFAULT_RANK_IN_ONE_TASK = 2_000_000
@@ -87,7 +96,7 @@ def label_frame(df: DataFrame, cols, rank_in_one_task: int = DEFAULT_RANK_IN_ONE
     return _labels_and_sizes(df, cols, rank_in_one_task)[0]
 
 
-def _labels_and_sizes(df: DataFrame, cols, rank_in_one_task: int) -> tuple[DataFrame, dict[str, int]]:
+def _labels_and_sizes(df: DataFrame, cols, rank_in_one_task: int) -> tuple[DataFrame, dict[str, int], int]:
     counts = (
         to_long(df, cols, "string")
         .where(F.col("value").isNotNull())
@@ -95,25 +104,26 @@ def _labels_and_sizes(df: DataFrame, cols, rank_in_one_task: int) -> tuple[DataF
         .agg(F.count(F.lit(1)).alias("count"))
     )
     counts = reliable_checkpoint(counts)
-    sizes = {r["name"]: r["n"] for r in counts.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = counts.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("b")).collect()
+    sizes = {r["name"]: r["n"] for r in found}
     big = [c for c, n in sizes.items() if n > rank_in_one_task]
     small = counts.where(~F.col("name").isin(big)) if big else counts
     ranked = _rank_per_column(small)
     if big:
         ranked = ranked.unionByName(_rank_distributed(counts.where(F.col("name").isin(big)), rank_in_one_task))
-    return ranked.withColumnRenamed("name", "column"), sizes
+    return ranked.withColumnRenamed("name", "column"), sizes, sum(r["b"] or 0 for r in found)
 
 
 def fit_labels(train: DataFrame, spec: PanelSpec = RETAIL, cols=None,
                broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, materialize: bool = True,
                rank_in_one_task: int = DEFAULT_RANK_IN_ONE_TASK) -> LabelModel:
     cols = [c for c in (spec.categoricals if cols is None else cols) if c in train.columns]
-    labels, sizes = _labels_and_sizes(train, cols, rank_in_one_task)
+    labels, sizes, size_bytes = _labels_and_sizes(train, cols, rank_in_one_task)
     if materialize:
         # Reliable checkpoint in the shared checkpoint folder: the numbered label table is
         # computed once, and the label joins do not re-run the training lineage.
         labels = reliable_checkpoint(labels)
-    return LabelModel(labels, {c: sizes.get(c, 0) for c in cols}, cols, broadcast_limit)
+    return LabelModel(labels, {c: sizes.get(c, 0) for c in cols}, cols, broadcast_limit, size_bytes)
 
 
 def apply_labels(df: DataFrame, model: LabelModel, unseen: str = "index") -> DataFrame:
@@ -129,7 +139,7 @@ def apply_labels(df: DataFrame, model: LabelModel, unseen: str = "index") -> Dat
             continue
         v, ix = f"__label_value_{i}", f"__label_index_{i}"
         m = model.labels.where(F.col("column") == c).select(F.col("value").alias(v), F.col("index").alias(ix))
-        if model.sizes.get(c, 0) <= model.broadcast_limit:
+        if model.small(c):
             m = F.broadcast(m)
         how = "left" if unseen == "index" else "inner"
         out = out.join(m, F.col(f"`{c}`").cast("string") == F.col(v), how)

@@ -49,7 +49,7 @@ def attach_history(validated: DataFrame, history: DataFrame, labels: LabelModel,
     for name, column, key in zip(CODES, spec.series_keys, ("store_id", "item_id")):
         codes = labels.labels.where(F.col("column") == column).select(F.col("value").alias("_v"), F.col("index").alias("_i"))
         n = labels.sizes.get(column, 0)
-        codes = F.broadcast(codes) if n <= labels.broadcast_limit else codes
+        codes = F.broadcast(codes) if labels.small(column) else codes
         found = (found.join(codes, F.col(key) == F.col("_v"), "left")
                  .withColumn(name, F.coalesce(F.col("_i"), F.lit(n)).cast("double")).drop("_v", "_i"))
     known = [F.coalesce(F.col(f"state.{s}"), F.lit(SERVING_PLACEHOLDERS[s])).alias(s) for s in STATE]

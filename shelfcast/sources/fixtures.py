@@ -2,8 +2,9 @@
 
 The supplied tables hold no retail panel, so one is derived from them:
 ``lineitem`` joined to ``part``, ``supplier``, ``nation`` and ``region``, grouped by
-(nation, brand, ship day). The key is unique by construction and every row count
-grows with ``lineitem``. Money is aggregated as integer cents (and the discount in
+(nation, brand, ship day). The key is unique by construction. Rows grow with
+``lineitem`` up to 25 nations x 25 brands x some 2,500 days, and series stop at 625;
+``line_items`` and the requests grow with their tables without end. Money is aggregated as integer cents (and the discount in
 basis points), so sums are order-free and the text form of every number is exact and
 identical in any SQL engine.
 
