@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from oracle import ORACLE
+from shelfcast.operators import stats
+from shelfcast.plans.queries import QUERIES, SPEC, typed_panel
 from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-SLOW = {"model_rmse"}
 
 
 def _norm(v):
@@ -28,7 +30,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns
@@ -42,8 +44,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_oracle_or_is_known_rows_only():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"median_approx", "model_rmse", "model_scored_responses"}
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+    assert set(QUERIES) - set(ORACLE) == {"model_scored_responses"}
 
 
 def test_entry_runs(spark):
@@ -54,14 +56,15 @@ def test_entry_runs(spark):
 
 
 def test_median_approx_close_to_exact(spark):
-    approx = {r["column"]: r["median"] for r in E.queries()["median_approx"](spark, SF_SMALL).collect()}
-    exact = {r["column"]: r["median"] for r in E.queries()["median_exact"](spark, SF_SMALL).collect()}
+    typed = typed_panel(spark, SF_SMALL)
+    approx = stats.approx_medians(typed, list(SPEC.typed_numerics))
+    exact = stats.exact_medians(typed, list(SPEC.typed_numerics))
     assert approx.keys() == exact.keys()
     for k in exact:
         assert abs(approx[k] - exact[k]) <= 0.01 * max(1.0, abs(exact[k])) + 1e-9
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_rows_only_queries_run(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert df.count() > 0
