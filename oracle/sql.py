@@ -281,12 +281,10 @@ ORACLE = {
     "parse_date": with_(PANEL_GROUPS, PANEL_RAW)
     + 'SELECT "Store ID", "Product ID", "Date", CAST(TRY_STRPTIME("Date_bad", \'%Y-%m-%d\') AS DATE) AS "Date_bad" FROM panel_raw',
     "assemble_output": with_(*COMPLETED) + rounded_select(OUTPUT, "complete"),
-    "row_metrics": with_(*FEATURED) + f"""
-SELECT CAST(COUNT(*) AS BIGINT) AS rows_before_drop,
-       CAST(SUM(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS rows_after_drop,
-       CAST(SUM(CASE WHEN ok AND "Date" < DATE '{CUTOFF}' THEN 1 ELSE 0 END) AS BIGINT) AS train_rows,
-       CAST(SUM(CASE WHEN ok AND "Date" >= DATE '{CUTOFF}' THEN 1 ELSE 0 END) AS BIGINT) AS validation_rows
-FROM (SELECT "Date", (""" + " AND ".join(_present(c) for c in REQUIRED) + """) AS ok FROM feat)""",
+    "row_metrics": with_(*ENCODED) + "SELECT " + ", ".join(
+        f"(SELECT CAST(COUNT(*) AS BIGINT) FROM {src}) AS {name}" for name, src in (
+            ("rows_raw", "panel_raw"), ("rows_imputed", "panel_imputed"), ("rows_before_drop", "feat"), ("rows_after_drop", "complete"),
+            ("train_rows", "train"), ("validation_rows", "val"), ("train_rows_encoded", "enc_train"), ("validation_rows_encoded", "enc_val"))),
     "median_exact": with_(*BASE, MEDIANS) + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", CAST(med.{qi(c)} AS DOUBLE) AS median FROM med" for c in TYPED_NUMS
     ),

@@ -25,10 +25,10 @@ from shelfcast.operators.features import (
     series_window,
 )
 from shelfcast.operators.impute import apply_imputer, fill_categorical, fill_numeric, fit_imputer
-from shelfcast.operators.metrics import row_metrics_frame
 from shelfcast.operators.shaping import assemble_output, cast_numeric, drop_leaky, parse_date, prepare_raw
 from shelfcast.operators.split import drop_incomplete, sort_by_date, split_train, split_validation
 from shelfcast.plans import scoring as S
+from shelfcast.plans.training import build_training_matrix
 from shelfcast.plans.history import KNOWN, attach_history
 from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests, history_requests, line_items
 from shelfcast.session import ensure_checkpoint_dir, reliable_checkpoint
@@ -112,8 +112,19 @@ def q_assemble_output(spark, sf):
     return _round_inexact(assemble_output(complete_panel(spark, sf), SPEC))
 
 
+#: Observation -> column of ``row_metrics``, at the eight points of the pipeline.
+METRIC_NAMES = {"raw": "rows_raw", "imputed": "rows_imputed", "before_drop": "rows_before_drop", "after_drop": "rows_after_drop",
+                "train_before_encoding": "train_rows", "validation_before_encoding": "validation_rows",
+                "train": "train_rows_encoded", "validation": "validation_rows_encoded"}
+
+
 def q_row_metrics(spark, sf):
-    return row_metrics_frame(featured_panel(spark, sf), SPEC)
+    """The eight row counts, as the observations of one pipeline run give them."""
+    result = build_training_matrix(demand_panel_raw(spark, sf), SPEC, median_method="exact", materialize="checkpoint")
+    for matrix in (result.train, result.validation):
+        matrix.write.format("noop").mode("overwrite").save()
+    rows = {k: v["rows"] for k, v in result.metrics.get().items()}
+    return spark.createDataFrame([tuple(int(rows[k]) for k in METRIC_NAMES)], ", ".join(f"{c} bigint" for c in METRIC_NAMES.values()))
 
 
 # ------------------------------------------------------------------ 2.2 statistics
