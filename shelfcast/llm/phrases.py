@@ -27,7 +27,6 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -118,9 +117,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = pa.array(s.first + doc)
             first = b.column("first").take(take).to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [b.column("h").take(take), pa.array(w.view(np.int64)), b.column("kid").take(take), pc.greater(b.column("c").take(take), 1),
+                [b.column("h").take(take), pa.array(w.view(np.int64)), b.column("kid").take(take), b.column("c").take(take),
                  b.column("tid").take(take), pa.array((first + at - s.woff[doc]).astype(np.int32))],
-                names=["h", "w", "kid", "many", "tid", "start"])
+                names=["h", "w", "kid", "c", "tid", "start"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,6 +193,22 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"kid": pa.array(kid, pa.int64()), "lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32())})
 
 
+def _join_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Join the sorted ranges of each text that meet or overlap: a copied passage is one range."""
+    for b in batches:
+        out = []
+        for ranges in b.column("ranges").to_pylist():
+            joined: list[dict] = []
+            for r in ranges:
+                if joined and r["lo"] <= joined[-1]["hi"]:
+                    joined[-1]["hi"] = max(joined[-1]["hi"], r["hi"])
+                else:
+                    joined.append(r)
+            out.append(joined)
+        yield pa.RecordBatch.from_arrays([*(b.column(k) for k in KEY), pa.array(out, pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])))],
+                                         names=[*KEY, "ranges"])
+
+
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """k1, k2 and the sorted word ranges (``lo``, ``hi``) that recurring windows cover, for the
     different texts of ``docs`` (k1, k2, text) that have any."""
@@ -217,10 +232,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     stretches = fetched.mapInArrow(_stretches, "tid long, h long, kid long, c long, deals int, first int, text string")
 
     # confirm
-    # of one kind alone, the exclusive or of the kinds that have a window is its least kind
-    twice = (stretches.mapInArrow(_windows, "h long, w long, kid long, many boolean, tid long, start int")
-             .groupBy("h", "w").agg(F.max("many").alias("many"), F.min(F.struct("tid", "start")).alias("k"),
-                                    F.min("kid").alias("lo"), F.bit_xor("kid").alias("in")).where("many or lo <> in"))
+    twice = (stretches.mapInArrow(_windows, "h long, w long, kid long, c long, tid long, start int")
+             .groupBy("h", "w").agg(F.sum("c").alias("c"), F.min(F.struct("tid", "start")).alias("k"), F.bit_xor("kid").alias("in")).where("c > 1"))
     # a window stands where its first text has it; successive ones of one anchor make a phrase
     picked = twice.groupBy(F.col("k.tid").alias("tid")).agg(
         F.sort_array(F.collect_list(F.struct("h", F.col("k.start").alias("at"), "in"))).alias("at"))
@@ -235,7 +248,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
                .mapInArrow(_locate, "kid long, lo int, hi int").groupBy("kid").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
     spans = places.select(*KEY, "kid", "first").join(located, "kid").select(
         *KEY, F.explode(F.transform("spans", lambda r: F.struct((F.col("first") + r["lo"]).alias("lo"), (F.col("first") + r["hi"]).alias("hi")))).alias("r"))
-    return spans.groupBy(*KEY).agg(F.sort_array(F.collect_list("r")).alias("ranges"))
+    ranges = "array<struct<lo:int,hi:int>>"
+    return spans.groupBy(*KEY).agg(F.sort_array(F.collect_list("r")).alias("ranges")).mapInArrow(_join_ranges, f"k1 long, k2 long, ranges {ranges}")
 
 
 def _remove(digest: bool):
