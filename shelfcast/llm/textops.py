@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
-#: Bytes of text handled at a time inside a task; bounds the temporaries to some 80 MB.
-SLICE_BYTES = 2 << 20
+#: Bytes of text handled at a time inside a task; bounds the temporaries to some 20 MB.
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240607))
