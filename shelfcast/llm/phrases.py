@@ -220,7 +220,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     shards = max(1, -(-again.count() // ANCHORS_A_SHARD))
     # where a kind occurs, equal texts once with their number
     places = stage(spots.join(again, "h").groupBy(*KEY, "h", "deals", F.xxhash64("h", "kind").alias("kid"), "first", "n")
-                   .agg(F.count(F.lit(1)).alias("m")), "places")
+                   .agg(F.count(F.lit(1)).alias("m")), "places", release=True)
     kinds = places.groupBy("kid").agg(F.sum("m").alias("c"), F.first("h").alias("h"), F.first("deals").alias("deals"),
                                       F.min(F.struct(*KEY, "first", "n")).alias("one"))
     stands = stage(kinds.groupBy(F.col("one.k1").alias("k1"), F.col("one.k2").alias("k2")).agg(
@@ -228,7 +228,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     few = stands.count() <= BROADCAST_TEXTS
     fetched = (docs.join(F.broadcast(stands.select(*KEY)) if few else stands.select(*KEY), KEY, "left_semi")
                .groupBy(*KEY).agg(F.first("text").alias("text")).join(stands, KEY))
-    fetched = stage(fetched.select(F.monotonically_increasing_id().alias("tid"), "text", "spots"), "fetched")
+    fetched = stage(fetched.select(F.monotonically_increasing_id().alias("tid"), "text", "spots"), "fetched", release=True)
     stretches = fetched.mapInArrow(_stretches, "tid long, h long, kid long, c long, deals int, first int, text string")
 
     # confirm
@@ -286,7 +286,7 @@ def remove_repeats(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), digest:
     """
     # a text is known by 128 bits of its content, so no numbering of rows has to outlive a lost executor
     key = [F.xxhash64("text").alias("k1"), F.xxhash64(F.lit("second"), F.col("text")).alias("k2")]
-    ranges = stage(repeated_ranges(docs.where(F.col("text").isNotNull()).select(*key, "text")), "ranges")
+    ranges = stage(repeated_ranges(docs.where(F.col("text").isNotNull()).select(*key, "text")), "ranges", release=True)
     rows = packed(docs, F.col("text"), *key, keep=keep)
     joined = rows.join(ranges, KEY, "left").select("_row", "text", "ranges")
     schema = StructType([rows.schema["_row"], StructField("_words", LongType()), StructField("_removed", LongType()), StructField("_out", StringType())])
