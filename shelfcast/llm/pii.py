@@ -30,7 +30,7 @@ BASE = {
 _PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: Looser shapes of whole tokens, for candidates.
 LOOSE = {
-    "email": r"(?<!\S)[^\s@\[(]++(?:@|\[at\]|\(at\))[^\s,;]*+[A-Za-z0-9]",
+    "email": r"(?<!\S)[^\s@\[(]++(?:@|\[at\]|\(at\))[^\s,;]*[A-Za-z0-9]",
     "ip": r"(?<!\S)(?:[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}+|[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3})(?=[.,;]?(?:\s|$))",
     "card": r"(?<!\S)[0-9](?:[\x20-]?[0-9]){11,18}+(?=[.,;]?(?:\s|$))",
     "phone": r"(?<!\S)\(?[0-9]{2,4}\)?(?:[\x20.-][0-9]{2,5}){1,4}+(?=[.,;]?(?:\s|$))",

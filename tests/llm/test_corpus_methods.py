@@ -98,6 +98,20 @@ def test_pii_discovers(spark):
     assert got[21]["spans"] == got[22]["spans"] == "" and got[0]["n_added"] == 0
 
 
+@pytest.mark.parametrize(("kind", "seed", "loose", "after"), [
+    ("email", "joe{}@site.example", "bob[at]site.example", ", soon"), ("email", "joe{}@site.example", "bob(at)site.example", ""),
+    ("email", "joe{}@site.example", "bob@localhost", ". Then"), ("ip", "10.1.7.1{}", "2001:db8::17", " soon"),
+    ("ip", "10.1.7.1{}", "10[.]0[.]0[.]9", ", soon"), ("card", "411111111111111{}", "4111 1111 1111 1119", ". Then")])
+def test_pii_discovers_each_kind(spark, kind, seed, loose, after):
+    seeds = [t for t in map(seed.format, range(100)) if kind != "card" or luhn(t)][:6]
+    rows = [(i, f"{' '.join(make(i, 12))} reach me at {t} {' '.join(make(50 + i, 9))}") for i, t in enumerate(seeds)]
+    rows += [(20, f"{' '.join(make(70, 9))} reach me at {loose}{after}"), (21, f"{' '.join(make(71, 9))} w7 {loose}{after}")]
+    got = {r["doc_id"]: r for r in pii.op1(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    at = rows[-2][1].index(loose)
+    assert got[20]["spans"] == f"{kind}:{at}:{at + len(loose)}" and got[20]["n_added"] == 1 and got[20][f"n_{kind}"] == 0
+    assert got[21]["spans"] == "" and got[0]["n_added"] == 0 and got[0][f"n_{kind}"] == 1
+
+
 # op2
 
 def removed_by_force(texts, window=35):
