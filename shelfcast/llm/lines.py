@@ -56,21 +56,21 @@ def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_ratio: fl
     have it. An empty table gives no rows.
 
     At most (lines per page / max_ratio) lines of a host can be above the ratio, so each host's
-    boilerplate is one short array, joined to the pages by host.
+    boilerplate is one short array, joined to the pages by host. Lines below the ratio are left out
+    before the arrays are gathered.
     """
     base = pages.withColumn("_host", F.coalesce(F.concat(F.lit("h"), host), F.lit("-")))
     keyed = base.select("_host", F.array_distinct(F.transform(F.filter(lines, lambda l: F.trim(l) != ""), _key)).alias("_keys"))
-    # one pass: the page itself travels as the null key, so totals and line counts share a shuffle
-    counts = (keyed.select("_host", F.explode(F.concat(F.array(F.lit(None).cast("struct<a:bigint,b:int>")), F.col("_keys"))).alias("_key"))
-              .groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_key").isNull() | (F.col("_n") >= min_pages)))
-    site = (counts.groupBy("_host").agg(
-        F.max(F.when(F.col("_key").isNull(), F.col("_n"))).alias("_total"),
-        F.collect_list(F.when(F.col("_key").isNotNull(), F.struct("_n", "_key"))).alias("_seen"))
-        .select("_host", F.transform(F.filter("_seen", lambda s: s["_n"] > F.lit(max_ratio) * F.col("_total")),
-                                     lambda s: s["_key"]).alias("_boilerplate")))
+    # outer: a plain explode infers a filter on the array's size, which parses every page again
+    counts = (keyed.select("_host", F.explode_outer("_keys").alias("_key")).where(F.col("_key").isNotNull())
+              .groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_pages))
+    totals = stage(base.groupBy("_host").agg(F.count(F.lit(1)).alias("_total")), "site-totals")
+    # filtered and staged before it is gathered, so that the join can be split where a host is hot
+    # and no task ever gathers more of a host than its boilerplate
+    common = stage(counts.join(totals, "_host").where(F.col("_n") > F.lit(max_ratio) * F.col("_total"))
+                   .select("_host", "_key"), "site-common")
     # a table of its own: the join below can then be broadcast, or split where a host is hot
-    site = stage(site.where(F.size("_boilerplate") > 0), "site-lines")
+    site = stage(common.groupBy("_host").agg(F.collect_list("_key").alias("_boilerplate")), "site-lines")
     joined = base.join(site, "_host", "left").withColumn("_all", lines)
     kept = F.filter("_all", lambda l: (F.trim(l) == "") | ~F.coalesce(F.array_contains("_boilerplate", _key(l)), F.lit(False)))
     full = lambda c: F.size(F.filter(c, lambda l: F.trim(l) != "")).cast("long")

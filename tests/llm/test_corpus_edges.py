@@ -131,6 +131,23 @@ def test_page_lines(spark):
     assert lines.op9(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_only_boilerplate_is_gathered(spark, tmp_path, monkeypatch):
+    """40 lines stand on 5 of 100 pages each and one on 20: the arrays are gathered from that one alone."""
+    rows = [(i, "http://a.example/x", f"<p>line {i % 20} a</p><p>line {i % 20} b</p>" + "<p>menu</p>" * (i < 20)) for i in range(100)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages")
+    gathered, stage = [], lines.stage
+
+    def seen(df, name, *a, **k):
+        if name == "site-lines":
+            gathered.append(spark.read.parquet(*df.inputFiles()).count())
+        return stage(df, name, *a, **k)
+
+    monkeypatch.setattr(lines, "stage", seen)
+    out = {r["page_id"]: r for r in lines.op9(spark.read.parquet(f"{tmp_path}/pages")).collect()}
+    assert gathered == [1]
+    assert out[3]["text"] == "line 3 a\nline 3 b" and sum(r["n_dropped"] for r in out.values()) == 20
+
+
 def test_hosts(spark):
     urls = ["HTTP://U:p@A.example:80/x?y", "https://b.example", "nothing", None, "x://c.example#z"]
     got = spark.createDataFrame([(u,) for u in urls], "u string").select(lines.host_of(F.col("u")).alias("h")).collect()
