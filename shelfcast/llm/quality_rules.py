@@ -19,12 +19,12 @@ from shelfcast.llm.common import stage
 from shelfcast.llm.textops import Slice, grams, slices
 
 #: A group's own sketch counts from this many documents on; a fence lies FENCE interquartile
-#: ranges outside the quartiles, each range being at least its floor below.
+#: ranges outside the quartiles; where the quartiles are equal, the range below counts.
 MIN_GROUP, FENCE = 200, 3.0
-#: measure -> (smallest range that counts, least threshold). Each measure is a share or a mean
-#: for which higher is worse, so only upper fences are used.
-RULES = {"symbol_share": (0.01, 0.05), "dup_line_share": (0.05, 0.3), "repeat_share": (0.05, 0.3),
-         "same_next_share": (0.02, 0.2), "upper_share": (0.05, 0.4), "mean_word": (0.5, 9.0)}
+#: measure -> range of a group without spread. Each measure is a share or a mean for which higher
+#: is worse, so only upper fences are used.
+RULES = {"symbol_share": 0.01, "dup_line_share": 0.05, "repeat_share": 0.05,
+         "same_next_share": 0.02, "upper_share": 0.05, "mean_word": 0.5}
 #: Texts with fewer words are too short for the sketches and for the adaptive rules.
 MIN_WORDS = 20
 
@@ -33,7 +33,7 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A"):ord("Z") + 1] = True
 
-SCHEMA = "_rid long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_same_next long, n_upper long"
+SCHEMA = "_rid long, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, n_same_next long, n_upper long"
 
 
 def later_copies(doc: np.ndarray, code: np.ndarray, first_too: bool) -> np.ndarray:
@@ -76,7 +76,7 @@ def measure(s: Slice) -> dict[str, np.ndarray]:
     same = np.flatnonzero((codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1]))
     return {
         "n_words": np.diff(s.woff), "word_chars": np.bincount(doc, chars[s.end] - chars[s.start], s.n).astype(np.int64),
-        "n_symbols": s.per_text(_SYMBOL[s.data]), "n_dup_lines": by_text(line_doc[dup]),
+        "n_symbols": s.per_text(_SYMBOL[s.data]), "n_lines": by_text(line_doc), "n_dup_lines": by_text(line_doc[dup]),
         "n_repeat_words": by_text(doc[repeated_words(s, codes)]), "n_same_next": by_text(doc[same]),
         "n_upper": s.per_text(_UPPER[s.data]),
     }
@@ -104,7 +104,7 @@ def measures(docs: DataFrame) -> DataFrame:
     words = F.greatest(F.col("n_words"), F.lit(1))
     chars = F.greatest(F.col("word_chars"), F.lit(1))
     m = m.withColumns({
-        "symbol_share": F.col("n_symbols") / chars, "dup_line_share": F.col("n_dup_lines") / words,
+        "symbol_share": F.col("n_symbols") / chars, "dup_line_share": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
         "repeat_share": F.col("n_repeat_words") / words, "same_next_share": F.col("n_same_next") / words,
         "upper_share": F.col("n_upper") / chars, "mean_word": F.col("word_chars") / words})
     return stage(m, "measures")
@@ -119,9 +119,10 @@ def thresholds(m: DataFrame, min_group: int = MIN_GROUP, fence: float = FENCE) -
 
     def limits(d: DataFrame, mark: str) -> list:
         out = []
-        for r, (least, floor) in RULES.items():
+        for r, least in RULES.items():
             q = F.kll_sketch_get_quantile_double(F.col(f"k_{r}"), F.array(F.lit(0.25), F.lit(0.75)))
-            out.append(F.greatest(F.lit(floor), q[1] + fence * F.greatest(q[1] - q[0], F.lit(least))).alias(f"{mark}_{r}"))
+            spread = F.when(q[1] > q[0], q[1] - q[0]).otherwise(F.lit(least))
+            out.append((q[1] + fence * spread).alias(f"{mark}_{r}"))
         return out
 
     own = group.select("lang", "source", F.col("n").alias("own_n"), *limits(group, "own"))

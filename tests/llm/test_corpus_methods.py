@@ -232,6 +232,20 @@ def test_quality_verdict_follows_the_group(spark):
     assert not got.pop(5000) and all(got.values())
 
 
+def test_quality_fences_are_the_groups_own(spark):
+    """Against a source of plain lines: repeated lines, repeated passages (under 30 %), symbols and capitals,
+    all below any cutoff that would suit every source."""
+    plain = [(i, "\n".join(" ".join(make(100 * i + j, 10)) for j in range(10))) for i in range(300)]
+    passage = " ".join(make(7, 10))
+    odd = [(5000, plain[0][1] + "\n" + "\n".join([" ".join(make(1, 3))] * 4)),
+           (5001, plain[0][1] + "\n" + "\n".join([passage + " x", passage + " y"])),
+           (5002, plain[0][1] + " ########## ##########"), (5003, plain[0][1] + " " + "ABCDEFGHIJ" * 9)]
+    rows = [(i, t, "en", "plain", 0) for i, t in plain + odd]
+    got = {r["doc_id"]: r for r in quality_rules.op4(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if not r["kept"]} == {i for i, _ in odd}
+
+
 # op5
 
 def test_common_prefix(spark):
