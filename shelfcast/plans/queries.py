@@ -44,8 +44,6 @@ SPEC_SUNDAY0 = SPEC.with_(week_start="sunday0")
 KEYS = ["Store ID", "Product ID", "Date"]
 #: Rows a chunk of ``lags_with_ties``: small, so that the query is cut into chunks at every scale.
 HOT_TIES = 25
-#: Boosting rounds of ``model_rmse``: enough to beat the naive forecast.
-MODEL_ROUNDS = 10
 ROUNDED = ("demand_roll_std_7", "demand_roll_std_30")
 
 
@@ -305,6 +303,15 @@ def _checkpointed_matrices(spark, sf):
     return (reliable_checkpoint(assemble_output(train, SPEC)), reliable_checkpoint(assemble_output(drop_unseen(val, SPEC), SPEC)))
 
 
+def model_rmse_values(spark, sf):
+    """RMSE of the operator's own model on both parts, beside the naive forecast's: trained values, so
+    no registered query (``model_rmse`` returns what SQL can state)."""
+    from shelfcast.plans.model import evaluate, train_model
+
+    train, val = _checkpointed_matrices(spark, sf)
+    return evaluate(train_model(train, SPEC), train, val, SPEC)
+
+
 def q_model_rmse(spark, sf):
     """Train boosted trees, save and reload the model; one row of properties: rows of both matrices,
     whether the model beats the naive ``demand_lag_7`` forecast on validation, and whether the
@@ -312,7 +319,7 @@ def q_model_rmse(spark, sf):
     from shelfcast.plans.model import load_model, save_model, train_model
 
     train, val = _checkpointed_matrices(spark, sf)
-    model = train_model(train, SPEC, rounds=MODEL_ROUNDS)
+    model = train_model(train, SPEC)
     again = load_model(save_model(model, f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"))
     scored = again.transform(model.transform(val).withColumnRenamed("prediction", "first").drop("features"))
     err = lambda c: F.sqrt(F.avg((F.col(SPEC.target) - F.col(c)) ** 2))
@@ -481,7 +488,7 @@ def q_model_scored_responses(spark, sf):
     """Requests scored by a boosted-tree model trained on the serving view of the matrix."""
     from shelfcast.plans.model import train_serving_model
 
-    model = train_serving_model(reliable_checkpoint(q_training_matrix(spark, sf)), SPEC, rounds=MODEL_ROUNDS)
+    model = train_serving_model(reliable_checkpoint(q_training_matrix(spark, sf)), SPEC)
     resp = S.score_requests(forecast_requests(spark, sf), S.ModelScorer(model))
     return resp.select("request_id", "status", "error", _n_predictions())
 
