@@ -136,6 +136,13 @@ class Slice:
         return self.data[self.off[i] : self.off[i + 1]].tobytes().split()
 
 
+def lower_words(s: Slice) -> Slice:
+    """Lower-case A-Z alone and cut words at everything but letters, digits and bytes above ASCII."""
+    s.data = _FOLD[s.data]
+    s._words(_IS_ALNUM)
+    return s
+
+
 def slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """Cut a column of texts into slices of about ``limit`` bytes; a text is never cut."""
     if isinstance(texts, pa.ChunkedArray):
