@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfcast.llm import ctw, decontaminate, knn_quality, lines, manifest, mixing, near_dups, phrases, pii, preference, quality_rules, resample
+from shelfcast.llm import ctw, decontaminate, knn_quality, lines, manifest, mixing, near_dups, phrases, pii, preference, quality_rules, resample, substrings
 from shelfcast.llm.common import table
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_ctw": lambda spark, d: ctw.op10(table(spark, d, "documents")),
     "op9_line_dedup": lambda spark, d: lines.op9(table(spark, d, "pages")),
     "op11_resample": lambda spark, d: resample.op11(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op12_substrings": lambda spark, d: substrings.op12(table(spark, d, "documents")),
     "op13_manifest": lambda spark, d: manifest.op13(table(spark, d, "documents")),
 }
 ORACLE = {"op5_preference": preference.OP5_SQL, "op9_line_dedup": lines.OP9_SQL, "op11_resample": resample.OP11_SQL, "op13_manifest": manifest.OP13_SQL}
