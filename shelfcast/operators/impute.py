@@ -35,7 +35,7 @@ class ImputerStats:
         return cls(medians=d["medians"], modes=d["modes"])
 
 
-def fit_numeric(df: DataFrame, spec: PanelSpec = RETAIL, method: str = "approx",
+def fit_numeric(df: DataFrame, spec: PanelSpec = RETAIL, method: str = "exact",
                 relative_error: float = MEDIAN_RELATIVE_ERROR) -> dict[str, float]:
     cols = [c for c in spec.typed_numerics if c in df.columns]
     return stats.medians(df, cols, method, relative_error)
@@ -62,7 +62,7 @@ def fit_categorical_with_series(df: DataFrame, spec: PanelSpec = RETAIL) -> tupl
     return modes, totals
 
 
-def fit_imputer(df: DataFrame, spec: PanelSpec = RETAIL, method: str = "approx",
+def fit_imputer(df: DataFrame, spec: PanelSpec = RETAIL, method: str = "exact",
                 relative_error: float = MEDIAN_RELATIVE_ERROR) -> ImputerStats:
     modes, totals = fit_categorical_with_series(df, spec)
     return ImputerStats(fit_numeric(df, spec, method, relative_error), modes, totals)
@@ -85,7 +85,7 @@ def apply_imputer(df: DataFrame, fitted: ImputerStats) -> DataFrame:
     return fill_categorical(fill_numeric(df, fitted.medians), fitted.modes)
 
 
-def impute_missing(df: DataFrame, spec: PanelSpec = RETAIL, method: str = "approx",
+def impute_missing(df: DataFrame, spec: PanelSpec = RETAIL, method: str = "exact",
                    fit_on: DataFrame | None = None) -> DataFrame:
     """Fill numerics (target included) with medians and categoricals with modes.
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.spec import MEDIAN_RELATIVE_ERROR, UNKNOWN_CATEGORY
-from shelfcast.session import reliable_checkpoint
 
 
 def _q(name: str) -> Column:
@@ -35,78 +34,87 @@ def to_long(df: DataFrame, cols, value_type: str | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- medians
 
-#: Tasks that merge sketches before the last merge, and values one task ranks.
-SKETCH_GROUPS, RANKED_ROWS = 256, 2_000_000
+#: Cells a column that one selection pass counts.
+CELLS = 1 << 16
+#: Cells of one power of two in the first pass.
+_SUB = 16
 
 
-def _sketch_size(relative_error: float) -> int:
-    """Size of a KLL sketch whose rank error stays below ``relative_error`` (its error is about
-    2.3 / k**0.9)."""
-    return int(min(65535, max(200, (2.5 / relative_error) ** (1 / 0.9))))
+def _first_cell(v: Column) -> Column:
+    """Cell of a value in the first pass: sign, power of two and a sixteenth of it. Never falls as
+    the value grows (rounding at a power's edge moves whole neighbourhoods)."""
+    a = F.abs(v)
+    power = F.floor(F.log2(a))
+    part = F.least(F.greatest(F.floor((a / F.pow(F.lit(2.0), power) - 1) * _SUB), F.lit(0)), F.lit(_SUB - 1))
+    cell = F.when(a == 0, 0).when(a == float("inf"), 2200 * _SUB).otherwise((power + 1100) * _SUB + part)
+    return F.when(v < 0, -cell).otherwise(cell).cast("int")
 
 
-def approx_medians_frame(df: DataFrame, cols, relative_error: float = MEDIAN_RELATIVE_ERROR) -> DataFrame:
-    """Lazy ``(column, median)`` rows: approximate lower median per column, null and NaN ignored
-    (all-null -> 0.0).
+def _next_cell(v: Column, lo: float, hi: float) -> Column:
+    """Cell of a value of ``[lo, hi]`` in a later pass, null for one outside: equal steps from lo to hi."""
+    cell = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * CELLS), F.lit(CELLS - 1))
+    return F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), cell).cast("int")
 
-    Mergeable quantile sketches, merged in two levels: those of all input splits meet in
-    SKETCH_GROUPS tasks, and only their results in the last ones. A sketch's size depends on the
-    accuracy, not on the data.
+
+def select_quantile(df: DataFrame, cols, fraction: float = 0.5, relative_error: float = 0.0) -> dict[str, float]:
+    """The ceil(fraction * N)-th smallest value per column by radix selection, null and NaN ignored;
+    all-null -> 0.0.
+
+    The first pass counts every column's values by sign, power of two and sixteenth, each later one by
+    CELLS equal steps of the range that is left, and only the cell that holds the wanted rank goes
+    on. Cells never fall as values grow, so ranks are exact. A cell of the first pass spans at most
+    2**48 doubles of one power of two and every later pass divides that by 2**16, so four passes suffice;
+    a column is done as soon as its cell holds one value. A pass is one aggregation with at most
+    CELLS rows a column, summed up before the shuffle; values are neither shuffled nor kept.
+
+    With ``relative_error`` a column is also done when its cell holds at most that share of its values; the
+    answer is then the cell's least value, whose rank is off by less than that, guaranteed. Either way the
+    same table gives the same answer, however it is split.
     """
-    k = _sketch_size(relative_error)
-    long = to_long(df, cols, "double").withColumn("part", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
-    value = F.when(~F.isnan("value"), F.col("value"))
-    some = long.groupBy("name", "part").agg(F.kll_sketch_agg_double(value, F.lit(k)).alias("s"), F.count(value).alias("n"))
-    whole = some.where("n > 0").groupBy("name").agg(F.kll_merge_agg_double("s", F.lit(k)).alias("s"))
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "name string")
-    half = F.kll_sketch_get_quantile_double("s", F.lit(0.5))
-    return names.join(whole, "name", "left").select(F.col("name").alias("column"), F.coalesce(half, F.lit(0.0)).alias("median"))
+    cols = list(cols)
+    result, open_, span, wanted, total = dict.fromkeys(cols, 0.0), cols, {}, {}, {}
+    while open_:
+        entries = []
+        for c in open_:
+            v = _q(c).cast("double") + F.lit(0.0)  # -0.0 is 0.0
+            cell = F.when(~F.isnan(v), _first_cell(v)) if c not in span else _next_cell(v, *span[c])
+            entries.append(F.struct(F.lit(c).alias("name"), v.alias("value"), cell.alias("cell")))
+        cells = (df.select(F.inline(F.array(*entries))).where(F.col("cell").isNotNull()).groupBy("name", "cell")
+                 .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
+        by_name = Window.partitionBy("name")  # at most 2 * 2200 * 16 or CELLS rows a column
+        ranked = cells.withColumn("upto", F.sum("n").over(by_name.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)))
+        known = F.create_map(*[x for c in wanted for x in (F.lit(c), F.lit(wanted[c]))])[F.col("name")] if wanted else None
+        rank = F.ceil(F.lit(fraction) * F.sum("n").over(by_name)) if known is None else known
+        ranked = ranked.withColumn("rank", F.greatest(rank, F.lit(1)).cast("long")).withColumn("all", F.sum("n").over(by_name))
+        held = {r["name"]: r for r in ranked.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).collect()}
+        still = []
+        for c in open_:
+            r = held.get(c)
+            if r is None:  # no value at all
+                continue
+            total.setdefault(c, r["all"])
+            if r["lo"] == r["hi"] or r["n"] <= relative_error * total[c]:
+                result[c] = float(r["lo"])
+                continue
+            span[c], wanted[c] = (r["lo"], r["hi"]), r["rank"] - (r["upto"] - r["n"])
+            still.append(c)
+        wanted = {c: wanted[c] for c in still}
+        open_ = still
+    return result
 
 
 def approx_medians(df: DataFrame, cols, relative_error: float = MEDIAN_RELATIVE_ERROR) -> dict[str, float]:
-    """``approx_medians_frame`` as a dict."""
-    return {r["column"]: float(r["median"]) for r in approx_medians_frame(df, cols, relative_error).collect()}
+    """Lower medians whose rank is off by less than ``relative_error`` of a column's values, guaranteed and
+    the same on every run; all-null -> 0.0."""
+    return select_quantile(df, cols, 0.5, relative_error)
 
 
-def exact_medians(df: DataFrame, cols, rows_per_task: int = RANKED_ROWS) -> dict[str, float]:
-    """Exact lower median (the ceil(N/2)-th smallest value) per column; all-null -> 0.0.
+def exact_medians(df: DataFrame, cols) -> dict[str, float]:
+    """Exact lower median (the ceil(N/2)-th smallest value) per column; all-null -> 0.0."""
+    return select_quantile(df, cols)
 
-    Rows are counted per (column, value) with partial aggregation. Up to ``rows_per_task`` values
-    are ranked directly; more are range-partitioned by (column, value), the partitions' sums
-    (one row a column and partition) tell which partition holds each column's rank, and only
-    those partitions are ranked. Exact and deterministic; no task holds more than a partition.
-    """
-    cols = list(cols)
-    long = to_long(df, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = reliable_checkpoint(long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")))
-    parts = max(1, -(-counts.count() // rows_per_task))
-    if parts > 1:
-        counts = reliable_checkpoint(counts.repartitionByRange(parts, "name", "value").withColumn("pid", F.spark_partition_id()))
-    else:
-        counts = counts.withColumn("pid", F.lit(0))
-    sums: dict[str, list[tuple[int, int]]] = {}
-    for r in counts.groupBy("name", "pid").agg(F.sum("n").alias("n")).collect():
-        sums.setdefault(r["name"], []).append((r["pid"], r["n"]))
-    where, rank = F.lit(False), {}
-    for c, held in sums.items():
-        wanted = (sum(n for _, n in held) + 1) // 2
-        for pid, n in sorted(held):
-            if wanted <= n:
-                rank[c] = wanted
-                where = where | ((F.col("name") == c) & (F.col("pid") == pid))
-                break
-            wanted -= n
-    if not rank:
-        return dict.fromkeys(cols, 0.0)
-    w = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    target = F.create_map(*[x for c in rank for x in (F.lit(c), F.lit(rank[c]))])
-    rows = (counts.where(where).withColumn("cum", F.sum("n").over(w)).where(F.col("cum") >= target[F.col("name")])
-            .groupBy("name").agg(F.min("value").alias("median")).collect())
-    result = {r["name"]: float(r["median"]) for r in rows}
-    return {c: result.get(c, 0.0) for c in cols}
-
-
-def medians(df: DataFrame, cols, method: str = "approx", relative_error: float = MEDIAN_RELATIVE_ERROR) -> dict[str, float]:
+
+def medians(df: DataFrame, cols, method: str = "exact", relative_error: float = MEDIAN_RELATIVE_ERROR) -> dict[str, float]:
     if method == "approx":
         return approx_medians(df, cols, relative_error)
     if method == "exact":

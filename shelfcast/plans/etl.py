@@ -25,7 +25,7 @@ log = logging.getLogger("shelfcast.etl")
 
 
 def run(spark: SparkSession, input_uri: str, output_uri: str, spec: PanelSpec = RETAIL,
-        median_method: str = "approx", fmt: str = "csv", single_file: bool = False,
+        median_method: str = "exact", fmt: str = "csv", single_file: bool = False,
         materialize: str = "checkpoint", order: str = "none") -> dict:
     ensure_checkpoint_dir(spark)
     raw = read_panel(spark, input_uri)
@@ -62,7 +62,7 @@ def main(argv=None) -> None:
     ap.add_argument("--output", required=True, help="base folder for train/ and validation/")
     ap.add_argument("--cutoff", default=RETAIL.cutoff, help="first validation day (yyyy-MM-dd)")
     ap.add_argument("--week-start", default=RETAIL.week_start, choices=["monday0", "sunday0"])
-    ap.add_argument("--median", default="approx", choices=["approx", "exact"])
+    ap.add_argument("--median", default="exact", choices=["approx", "exact"])
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--single-file", action="store_true")
     ap.add_argument("--order", default="none", choices=["none", "partition", "global"])

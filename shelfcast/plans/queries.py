@@ -141,7 +141,7 @@ def q_median_approx(spark, sf):
     """Per column: rows counted, and whether the approximate median's rank is within 0.001 of the middle."""
     typed = typed_panel(spark, sf)
     cols = list(SPEC.typed_numerics)
-    found = stats.approx_medians_frame(typed, cols).withColumnRenamed("column", "name")
+    found = _stat_frame(spark, stats.approx_medians(typed, cols)).withColumnRenamed("column", "name")
     long = stats.to_long(typed, cols, "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
     r = (long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(found), "name")
          .groupBy(F.col("name").alias("column")).agg(

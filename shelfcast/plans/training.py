@@ -33,7 +33,7 @@ class MatrixResult:
     metrics: RowMetrics = field(default_factory=RowMetrics)
 
 
-def featured_panel(raw: DataFrame, spec: PanelSpec = RETAIL, median_method: str = "approx",
+def featured_panel(raw: DataFrame, spec: PanelSpec = RETAIL, median_method: str = "exact",
                    fit_on: str = "all", imputer: ImputerStats | None = None,
                    metrics: RowMetrics | None = None) -> tuple[DataFrame, ImputerStats]:
     """Shape, impute and engineer features (before the completeness filter)."""
@@ -58,7 +58,7 @@ def featured_panel(raw: DataFrame, spec: PanelSpec = RETAIL, median_method: str
 def build_training_matrix(
     raw: DataFrame,
     spec: PanelSpec = RETAIL,
-    median_method: str = "approx",
+    median_method: str = "exact",
     fit_on: str = "all",
     unseen: str = "index",
     materialize: str = "none",

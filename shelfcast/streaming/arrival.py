@@ -139,7 +139,7 @@ def _incremental_batch(spark, output, spec, median_method, fmt, buckets):
 
 
 def on_arrival(spark: SparkSession, input_dir: str, output: str, checkpoint: str, spec: PanelSpec = RETAIL,
-               median_method: str = "approx", fmt: str = "parquet", available_now: bool = True,
+               median_method: str = "exact", fmt: str = "parquet", available_now: bool = True,
                max_files_per_trigger: int | None = None, mode: str = "full", buckets: int = 256,
                model_output: str | None = None, model_params: dict | None = None) -> StreamingQuery:
     """Start the file-arrival stream; ``available_now`` processes what is there and stops.

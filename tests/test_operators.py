@@ -87,16 +87,39 @@ def test_all_null_column_median_is_zero(spark):
     assert stats.approx_medians(df, ["x"]) == {"x": 0.0}
 
 
-def test_exact_median_over_many_partitions_matches_brute_force(spark):
+def test_radix_selection_matches_brute_force(spark):
+    """A hot value, both signs, all powers of two, neighbouring doubles, infinities and zeros."""
     rng = random.Random(7)
-    vals = [float(rng.randint(0, 5000)) for _ in range(20000)] + [42.0] * 10000  # one hot value
+    vals = [float(rng.randint(0, 5000)) for _ in range(9000)] + [42.0] * 5000
     rng.shuffle(vals)
-    vals2 = [rng.gauss(0, 1) for _ in range(len(vals))]
-    df = spark.createDataFrame(list(zip(vals, vals2)), "a double, b double")
-    got = stats.exact_medians(df, ["a", "b"], rows_per_task=500)
-    for name, v in (("a", vals), ("b", vals2)):
-        s = sorted(v)
-        assert got[name] == s[(len(s) + 1) // 2 - 1]
+    columns = {
+        "a": vals,
+        "b": [rng.gauss(0, 1) for _ in vals],
+        "c": [math.ldexp(rng.choice([-1, 1]) * (1 + rng.random()), rng.randint(-1074, 1020)) for _ in vals],
+        "d": [1.0 + rng.randint(0, 5000) * 2.0**-52 for _ in vals],
+        "e": [rng.choice([float("inf"), float("-inf"), 0.0, -0.0, 5e-324, 1.7976931348623157e308, -3.5]) for _ in vals],
+        "f": [math.nextafter(2.0 ** rng.randint(-3, 3), rng.choice([0, 9])) for _ in vals],
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    for fraction in (0.5, 0.01, 1.0):
+        got = stats.select_quantile(df, list(columns), fraction)
+        for c, v in columns.items():
+            assert got[c] == sorted(v)[max(1, math.ceil(fraction * len(v))) - 1], (c, fraction)
+    near = stats.select_quantile(df, list(columns), 0.5, 0.01)
+    for c, v in columns.items():  # rank within the guaranteed error
+        assert sum(x < near[c] for x in v) - 0.01 * len(v) <= (len(v) + 1) // 2 <= sum(x <= near[c] for x in v) + 0.01 * len(v)
+
+
+def test_radix_selection_takes_four_passes_at_most(spark, monkeypatch):
+    """Passes are counted by their cell functions; distinct values are never shuffled."""
+    rng = random.Random(3)
+    df = spark.createDataFrame([(1.0 + rng.randint(0, 2**50) * 2.0**-52,) for _ in range(3000)], "x double")
+    passes, real = [], stats._next_cell
+    monkeypatch.setattr(stats, "_next_cell", lambda v, lo, hi: passes.append(hi - lo) or real(v, lo, hi))
+    v = sorted(r[0] for r in df.collect())
+    assert stats.exact_medians(df, ["x"]) == {"x": v[1499]} and len(passes) <= 3
+    monkeypatch.setattr(stats, "_next_cell", lambda v, lo, hi: pytest.fail("a column of few values needs one pass"))
+    assert stats.exact_medians(spark.createDataFrame([(float(i % 3),) for i in range(300)], "x double"), ["x"]) == {"x": 1.0}
 
 
 def test_mode_tie_smallest_value_and_unknown(spark):
@@ -341,13 +364,6 @@ def test_distributed_label_rank_equals_window_rank(spark):
     assert one_task.exceptAll(spread).count() == 0 and spread.exceptAll(one_task).count() == 0
 
 
-def test_exact_median_of_few_values_needs_one_partition(spark):
-    vals = [0.0] * 20000 + [1.0] * 9000 + [2.0] * 1001   # many rows, three distinct values
-    df = spark.createDataFrame([(v,) for v in vals], "flag double")
-    s = sorted(vals)
-    assert stats.exact_medians(df, ["flag"], rows_per_task=500) == {"flag": s[(len(s) + 1) // 2 - 1]}
-
-
 @pytest.mark.parametrize("hot", [25, 7, 2_000_000])
 def test_chunk_size_never_changes_a_row(spark, hot):
     """One day holds 20 different rows of a series and there are no tie-breakers: the order of all
@@ -402,7 +418,7 @@ def test_approx_median_within_rank_error_of_approx_quantile(spark):
             lo = sum(1 for x in vals if x < v)
             hi = sum(1 for x in vals if x <= v)
             target = (n + 1) // 2
-            assert lo - 0.002 * n <= target <= hi + 0.002 * n
+            assert lo - 0.001 * n <= target <= hi + 0.001 * n
 
 
 def test_assemble_output_skips_missing_columns(spark, caplog):
@@ -414,15 +430,14 @@ def test_assemble_output_skips_missing_columns(spark, caplog):
     assert "not found" in caplog.text
 
 
-def test_exact_median_over_many_partitions_matches_sql_oracle(spark):
-    """Force many partitions on the panel and compare with SQL."""
+def test_exact_median_of_a_spread_panel_matches_sql_oracle(spark):
     import duckdb
 
     from oracle import ORACLE
     from shelfcast.plans.queries import SPEC, typed_panel
 
     sf = "/root/testdata/sf0.01"
-    ours = stats.exact_medians(typed_panel(spark, sf), list(SPEC.typed_numerics), rows_per_task=500)
+    ours = stats.exact_medians(typed_panel(spark, sf).repartition(40), list(SPEC.typed_numerics))
     con = duckdb.connect()
     for t in ["region", "nation", "supplier", "part", "lineitem"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
