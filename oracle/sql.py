@@ -296,6 +296,7 @@ ORACLE = {
     "matrix_round_trip": with_(*ENCODED) + "SELECT " + ", ".join(f"CAST({qi(c)} AS DOUBLE) AS {qi(c)}" for c in OUTPUT)
     + " FROM (" + rounded_select(OUTPUT, "enc_train") + ")",
     "arrival_matrix": with_(*ENCODED) + rounded_select(OUTPUT, "enc_train"),
+    "late_arrival_matrix": with_(*ENCODED) + rounded_select(OUTPUT, "enc_train"),
     "sorted_export": with_(*COMPLETED, SPLITS) + 'SELECT "Date", CAST(COUNT(*) AS BIGINT) AS n_rows, TRUE AS in_order FROM train GROUP BY "Date"',
     "lags_with_ties": """
 WITH li AS (

@@ -34,7 +34,7 @@ from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_
 from shelfcast.session import ensure_checkpoint_dir, reliable_checkpoint
 from shelfcast.sources.panel import read_matrix, read_panel, write_matrix
 from shelfcast.spec import RETAIL
-from shelfcast.streaming.arrival import on_arrival
+from shelfcast.streaming.arrival import adopt_fit, on_arrival
 
 # Fixed value: the split date used with the panel derived from the supplied tables
 # (its dates run from 1995 to 2001).
@@ -362,6 +362,23 @@ def q_arrival_matrix(spark, sf):
     return _round_inexact(spark.read.parquet(f"{base}/out/train").select(*[_q(c) for c in SPEC.output_cols]))
 
 
+def q_late_arrival_matrix(spark, sf):
+    """The training matrix after three arrivals, each with days out of order all over the panel's time (incremental
+    mode, frozen fit of the whole panel): every later arrival's rows enter the middle of their series."""
+    base = f"{ensure_checkpoint_dir(spark)}/late-{uuid.uuid4().hex}"
+    raw = demand_panel_raw(spark, sf)
+    deal = F.pmod(F.xxhash64("Date"), F.lit(8))
+    # half of the days first, then the other half in two parts
+    for name, part in (("a", deal < 4), ("b", deal.isin(4, 5)), ("c", deal > 5)):
+        raw.where(part).coalesce(1).write.option("header", True).csv(f"{base}/in/{name}")
+    adopt_fit(spark, build_training_matrix(raw, SPEC), f"{base}/out")
+    query = on_arrival(spark, f"{base}/in/*", f"{base}/out", f"{base}/progress", SPEC, max_files_per_trigger=1, mode="incremental", buckets=16)
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return _round_inexact(spark.read.parquet(f"{base}/out/train").select(*[_q(c) for c in SPEC.output_cols]))
+
+
 def q_sorted_export(spark, sf):
     """The training matrix exported in date order, with each row's day and its place by day."""
     train = split_train(complete_panel(spark, sf), SPEC)
@@ -526,6 +543,7 @@ QUERIES = {
     "matrix_round_trip": q_matrix_round_trip,
     "sorted_export": q_sorted_export,
     "arrival_matrix": q_arrival_matrix,
+    "late_arrival_matrix": q_late_arrival_matrix,
     "modes": q_modes,
     "value_counts": q_value_counts,
     "fill_numeric": q_fill_numeric,

@@ -115,8 +115,14 @@ def apply_training_matrix(
     """Matrices from an already fitted imputer and label table (no fitting): the same
     transforms as ``build_training_matrix`` with frozen statistics. ``keep`` carries extra
     columns (e.g. a partition column) through to the output."""
-    featured, _ = featured_panel(raw, spec, imputer=imputer)
-    complete = drop_incomplete(featured, spec)
+    return matrices_from_imputed(apply_imputer(prepare_raw(raw, spec), imputer), labels, spec, unseen, keep)
+
+
+def matrices_from_imputed(imputed: DataFrame, labels: LabelModel, spec: PanelSpec = RETAIL, unseen: str = "index",
+                          keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(train, validation) of imputed rows with fitted labels; ``keep`` columns stand last among the
+    input's, so that they order rows only where all else is equal."""
+    complete = drop_incomplete(engineer_features(imputed, spec), spec)
     train = apply_labels(split_train(complete, spec), labels, "index")
     val = apply_labels(split_validation(complete, spec), labels, unseen)
     if unseen == "index":

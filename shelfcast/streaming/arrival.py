@@ -10,10 +10,10 @@ batch inside ``foreachBatch``. Two modes:
   as one batch run over every file that has arrived.
 * ``incremental`` -- statistics (medians, modes, labels) are fitted once, on the first
   history that has complete training rows, and frozen (published next to the output, reused after
-  a restart). Until then batches are kept as history and nothing is written. The matrices
-  are partitioned by a hash bucket of the series key; a batch recomputes only the
-  buckets its rows touch (lags need each touched series' whole history) and overwrites
-  just those partitions. Refit by starting over with a new output folder.
+  a restart; ``adopt_fit`` starts from one that was made elsewhere). Until then batches are kept as
+  history and nothing is written. Afterwards a batch costs what it brings: rows that follow those of
+  their series read the series' last rows and are appended; rows that arrive late have the months
+  around them computed anew (see ``series_store``). Refit by starting over with a new output folder.
 
 The stream's progress is kept in ``checkpoint`` (a shared, reliable folder), so a
 restarted job resumes at the first unprocessed file.
@@ -22,24 +22,21 @@ restarted job resumes at the first unprocessed file.
 from __future__ import annotations
 
 import logging
-from urllib.parse import unquote
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.operators.encode import LabelModel
 from shelfcast.operators.impute import ImputerStats
 from shelfcast.plans.model import train_job
-from shelfcast.plans.training import apply_training_matrix, build_training_matrix
+from shelfcast.plans.training import build_training_matrix
+from shelfcast.sources import files
 from shelfcast.sources.panel import RAW_SCHEMA, read_panel, write_matrices
 from shelfcast.spec import RETAIL, PanelSpec
+from shelfcast.streaming.series_store import BUCKET_COL, SeriesStore
 
 log = logging.getLogger("shelfcast.stream")
 
-BUCKET_COL = "series_bucket"
-
+__all__ = ["BUCKET_COL", "adopt_fit", "load_frozen_fit", "on_arrival", "published_fit"]
 
 def history_path(output: str) -> str:
     return f"{output.rstrip('/')}/_history"
@@ -49,14 +46,6 @@ def fit_path(output: str) -> str:
     return f"{output.rstrip('/')}/_fit"
 
 
-def series_bucket(spec: PanelSpec, buckets: int, modes: dict | None = None):
-    """Hash bucket of the series key, with null keys filled by ``modes`` first (the series
-    a row joins after imputation)."""
-    modes = modes or {}
-    keys = [F.coalesce(F.col(f"`{k}`"), F.lit(modes[k])) if k in modes else F.col(f"`{k}`") for k in spec.series_keys]
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
 def _append_history(batch: DataFrame, output: str, batch_id: int) -> None:
     # idempotent append: a retried batch overwrites its own folder
     batch.write.mode("overwrite").parquet(f"{history_path(output)}/batch_id={batch_id}")
@@ -66,6 +55,11 @@ def _read_history(spark: SparkSession, output: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(history_path(output)).drop("batch_id")
 
 
+def _history_of(spark: SparkSession, output: str, batch_id: int) -> DataFrame:
+    """The rows of one batch, from its own folder: a text file is parsed once."""
+    return spark.read.schema(RAW_SCHEMA).parquet(f"{history_path(output)}/batch_id={batch_id}")
+
+
 def _full_batch(spark, output, spec, median_method, fmt, model_output, model_params):
     def process(batch: DataFrame, batch_id: int) -> None:
         _append_history(batch, output, batch_id)
@@ -91,15 +85,20 @@ def publish_fit(spark: SparkSession, result, output: str, batch_id: int) -> None
     base = fit_version(output, batch_id)
     result.labels.save(f"{base}/labels")
     spark.createDataFrame([(result.imputer.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/imputer")
-    spark.createDataFrame([(base,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/published")
+    files.write_text(spark, f"{base}/published", base)
+
+
+def adopt_fit(spark: SparkSession, result, output: str) -> None:
+    """Freeze a fit made elsewhere (the result of a batch build) before the first arrival, in place of one on it."""
+    publish_fit(spark, result, output, 0)
 
 
 def published_fit(spark: SparkSession, output: str) -> str | None:
-    """Folder of the newest published fit; one without a marker was never finished and is passed over."""
-    try:
-        return spark.read.text(f"{fit_path(output)}/version=*/published").agg({"value": "max"}).first()[0]
-    except AnalysisException:  # nothing published yet
-        return None
+    """Folder of the newest published fit; one without a marker was never finished and is passed over.
+    Only a missing folder counts as nothing published: other faults are raised."""
+    base = fit_path(output)
+    done = [v for v in files.children(spark, base) if v.startswith("version=") and files.exists(spark, f"{base}/{v}/published")]
+    return f"{base}/{max(done)}" if done else None
 
 
 def load_frozen_fit(spark: SparkSession, output: str, spec: PanelSpec) -> tuple[ImputerStats, LabelModel] | None:
@@ -112,28 +111,22 @@ def load_frozen_fit(spark: SparkSession, output: str, spec: PanelSpec) -> tuple[
 
 
 def _incremental_batch(spark, output, spec, median_method, fmt, buckets):
+    store = SeriesStore(spark, output, spec, buckets, fmt)
+
     def process(batch: DataFrame, batch_id: int) -> None:
         _append_history(batch, output, batch_id)
-        history = _read_history(spark, output)
-        if published_fit(spark, output) is None:
-            result = build_training_matrix(history, spec, median_method=median_method)
+        fit = load_frozen_fit(spark, output, spec)
+        if fit is None:
+            result = build_training_matrix(_read_history(spark, output), spec, median_method=median_method)
             if not any(result.labels.sizes.values()):
                 log.info("batch %s: no complete training row yet, history kept", batch_id)
                 return
             publish_fit(spark, result, output, batch_id)
-        imputer, labels = load_frozen_fit(spark, output, spec)
-        bucket = series_bucket(spec, buckets, imputer.modes)
-        hist = history.withColumn(BUCKET_COL, bucket)
-        if published_fit(spark, output) != fit_version(output, batch_id):
-            # earlier batches are written already; only the touched buckets change
-            touched = batch.select(bucket.alias(BUCKET_COL)).distinct()  # at most ``buckets`` rows
-            hist = hist.join(F.broadcast(touched), BUCKET_COL, "left_semi")
-        train, val = apply_training_matrix(hist, imputer, labels, spec, keep=(BUCKET_COL,))
-        for df, name in ((train, "train"), (val, "validation")):
-            # one task a bucket, so a batch writes at most ``buckets`` files a split
-            (df.repartition(BUCKET_COL).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET_COL).format(fmt).save(f"{output.rstrip('/')}/{name}"))
-        log.info("batch %s updated buckets", batch_id)
+            fit = load_frozen_fit(spark, output, spec)
+        # the first batch after the fit brings in all that was kept before it
+        first = store.started() in (None, batch_id)
+        rows = _read_history(spark, output) if first else _history_of(spark, output, batch_id)
+        log.info("batch %s: %s", batch_id, store.add(rows, *fit, batch_id))
 
     return process
 
@@ -153,16 +146,17 @@ def on_arrival(spark: SparkSession, input_dir: str, output: str, checkpoint: str
         fn = _incremental_batch(spark, output, spec, median_method, fmt, buckets)
     else:
         raise ValueError(f"mode must be 'full' or 'incremental', got {mode!r}")
-    reader = spark.readStream.format("text")
+    # the stream finds the new files by their paths (their content is not read here); their rows
+    # come through the batch reader, by header name
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
-    def process(lines: DataFrame, batch_id: int) -> None:
-        # the stream finds the new files; their rows come through the batch reader, by header name
-        files = [unquote(r["file"]) for r in lines.select("file").distinct().collect()]
-        fn(read_panel(lines.sparkSession, files) if files else spark.createDataFrame([], RAW_SCHEMA), batch_id)
+    def process(found: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in found.collect()]  # one row a file, as in Spark's own listing
+        fn(read_panel(found.sparkSession, paths) if paths else spark.createDataFrame([], RAW_SCHEMA), batch_id)
 
-    found = reader.load(input_dir).select(F.col("_metadata.file_path").alias("file"))
+    found = reader.load(input_dir).select("path")
     writer = found.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

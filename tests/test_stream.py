@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.plans.queries import SPEC
-from shelfcast.plans.training import build_training_matrix
+from shelfcast.plans.training import apply_training_matrix, build_training_matrix
 from shelfcast.sources.fixtures import demand_panel_raw
 from shelfcast.sources.panel import RAW_SCHEMA, read_panel
 from shelfcast.spec import RAW_COLUMN_ORDER, RETAIL
-from shelfcast.streaming.arrival import load_frozen_fit, on_arrival, published_fit
+from shelfcast.streaming.arrival import adopt_fit, load_frozen_fit, on_arrival, published_fit
+from shelfcast.streaming.series_store import SeriesStore
 from tests.conftest import SF_SMALL
 from tests.test_operators import raw_rows
 
@@ -148,3 +149,103 @@ def test_file_without_a_needed_column_fails(spark, scratch):
     spark.createDataFrame(raw_rows(3), RAW_SCHEMA).drop("Price").coalesce(1).write.option("header", True).csv(os.path.join(scratch, "x"))
     with pytest.raises(ValueError, match="no header"):
         read_panel(spark, os.path.join(scratch, "x"))
+
+
+def _files(base):
+    """Modification time of every data file below a folder."""
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(base) for f in names if f.startswith("part-")}
+
+
+def _same_matrices(spark, scratch, spec):
+    out = os.path.join(scratch, "out")
+    fit = load_frozen_fit(spark, out, spec)
+    for name, want in zip(("train", "validation"), apply_training_matrix(read_panel(spark, os.path.join(scratch, "inbox", "*")), *fit, spec)):
+        got = spark.read.parquet(os.path.join(out, name)).select(*want.columns)
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_arrivals_in_order_read_tails_alone(spark, scratch):
+    """Rows that follow their series need the series' last 30 rows and the batch: everything older is made
+    unreadable here, and what was written before keeps its files."""
+    rows = raw_rows(80, stores=("North Pier", "Quay End", "Old Mill"))
+    _land(spark, [r for r in rows if r[0] < "2021-05-01"], os.path.join(scratch, "inbox", "a"))
+    _arrive(spark, scratch)
+    before = _files(os.path.join(scratch, "out", "train")) | _files(os.path.join(scratch, "out", "validation"))
+    hidden = [p for t in ("_history", "_panel") for p in _files(os.path.join(scratch, "out", t))]
+    assert before and hidden
+    kept = {}
+    for p in hidden:
+        with open(p, "rb") as f:
+            kept[p] = f.read()
+        with open(p, "wb") as f:
+            f.write(b"not a table")
+    _land(spark, [r for r in rows if r[0] >= "2021-05-01"], os.path.join(scratch, "inbox", "b"))
+    _arrive(spark, scratch)
+    now = _files(os.path.join(scratch, "out", "train")) | _files(os.path.join(scratch, "out", "validation"))
+    assert len(now) > len(before) and all(now[p] == t for p, t in before.items())
+    tail = spark.read.parquet(os.path.join(scratch, "out", "_tail"))
+    assert tail.groupBy("Store ID", "batch").count().agg(F.max("count")).first()[0] == 30
+    _same_matrices(spark, scratch, RETAIL.with_(cutoff="2021-04-08"))
+
+
+def test_late_rows_change_their_months_alone(spark, scratch):
+    """One late day of one store: partitions of other buckets, and months out of its reach, keep their files."""
+    days = 400
+    rows = raw_rows(days, stores=("North Pier", "Quay End", "Old Mill", "Fish Gate"))
+    late = [r for r in rows if r[1] == "Quay End" and r[0] == "2021-08-10"]
+    assert late
+    _land(spark, [r for r in rows if r not in late], os.path.join(scratch, "inbox", "a"))
+    _arrive(spark, scratch)
+    out = os.path.join(scratch, "out")
+    before = {p: t for n in ("train", "validation") for p, t in _files(os.path.join(out, n)).items()}
+    _land(spark, late, os.path.join(scratch, "inbox", "b"))
+    _arrive(spark, scratch)
+    now = {p: t for n in ("train", "validation") for p, t in _files(os.path.join(out, n)).items()}
+    gone = {os.path.dirname(os.path.dirname(p)) for p in before if p not in now}
+    # the day's month and the next: 21 later rows in August, so nine in September, whatever the series' lengths
+    assert {os.path.basename(g) for g in gone} == {"month_key=202108", "month_key=202109"}
+    assert len({os.path.basename(os.path.dirname(g)) for g in gone}) == 1  # one bucket
+    assert all(now[p] == t for p, t in before.items() if p in now)
+    _same_matrices(spark, scratch, RETAIL.with_(cutoff="2021-04-08"))
+
+
+def test_shuffled_days_and_repeated_rows(spark, scratch):
+    """Days arrive in any order, some rows twice, some without a date or a key, on sparse series as well."""
+    import random
+
+    rows = raw_rows(150, stores=("North Pier", "Quay End", "Old Mill"))
+    r = random.Random(4)
+    rows = [x for x in rows if x[1] != "Old Mill" or r.random() < 0.3]
+    rows += r.sample(rows, 15)
+    odd = [list(x) for x in r.sample(rows, 12)]
+    for i, x in enumerate(odd):
+        x[0 if i % 2 else 1] = None
+    rows += [tuple(x) for x in odd]
+    r.shuffle(rows)
+    spec = RETAIL.with_(cutoff="2021-04-08")
+    whole = build_training_matrix(spark.createDataFrame(rows, RAW_SCHEMA), spec)
+    adopt_fit(spark, whole, os.path.join(scratch, "out"))
+    for i in range(3):
+        _land(spark, rows[i::3], os.path.join(scratch, "inbox", f"p{i}"))
+    _arrive(spark, scratch)
+    _same_matrices(spark, scratch, spec)
+
+
+def test_second_try_of_a_batch_changes_nothing(spark, scratch):
+    """A batch that failed after its writes is tried again: same tables, no row twice."""
+    rows = raw_rows(90, stores=("North Pier", "Quay End"))
+    spec = RETAIL.with_(cutoff="2021-04-08")
+    out = os.path.join(scratch, "out")
+    frame = lambda part: spark.createDataFrame(part, RAW_SCHEMA)
+    adopt_fit(spark, build_training_matrix(frame(rows), spec), out)
+    fit = load_frozen_fit(spark, out, spec)
+    store = SeriesStore(spark, out, spec, 4)
+    parts = [rows[:60] + rows[90:150], rows[62:90] + rows[150:], rows[60:62]]
+    for i, part in enumerate(parts):
+        first = store.add(frame(part), *fit, i)
+        assert store.add(frame(part), *fit, i) == first
+    assert first["late"] == first["touched"] and len(first["late"]) == 1
+    for name, want in zip(("train", "validation"), apply_training_matrix(frame(rows), *fit, spec)):
+        got = spark.read.parquet(os.path.join(out, name)).select(*want.columns)
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
