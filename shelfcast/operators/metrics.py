@@ -6,6 +6,8 @@ the plan anyway (the writes), so counting costs no extra scan.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -21,16 +23,18 @@ class RowMetrics:
         self._obs[name] = (obs, len(df.columns))
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
-    def get(self) -> dict[str, dict[str, int]]:
-        """Counters of every observation. Call after the actions that run the plans (the
-        matrix writes): an observation waits for the first action over its plan."""
+    def get(self, timeout: float = 0.5) -> dict[str, dict[str, int]]:
+        """Counters of every observation, null for those whose plan no action has run.
+
+        Spark reports an observation shortly after its action; ``timeout`` (seconds, for all together) bounds
+        the wait for that, so a plan that never runs does not block.
+        """
+        end = time.monotonic() + timeout
         out = {}
         for name, (obs, ncols) in self._obs.items():
-            try:
-                rows = obs.get["rows"]
-            except Exception:  # plan not executed yet
-                rows = None
-            out[name] = {"rows": rows, "columns": ncols}
+            while not (done := obs._jo.future().isCompleted()) and time.monotonic() < end:
+                time.sleep(0.02)
+            out[name] = {"rows": obs.get["rows"] if done else None, "columns": ncols}
         return out
 
 

@@ -2,8 +2,9 @@
 
     python -m shelfcast.plans.etl --input <dir> --output <dir> [--cutoff 2024-01-01]
 
-Jobs: one median aggregate, one mode aggregate, a checkpoint of the complete panel
-(reliable, in the session's checkpoint folder), one label aggregate, two writes. Row
+Jobs: the typed input staged once, median passes over its numeric columns, one mode aggregate, the
+complete panel staged by split, one label aggregate, two writes. Staged tables lie in the
+session's checkpoint folder while the job runs. Row
 counts come from observations attached to the plan, not from extra count jobs. The
 session is never stopped here: it belongs to the caller.
 """
@@ -17,7 +18,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from shelfcast.plans.training import build_training_matrix
-from shelfcast.session import ensure_checkpoint_dir
+from shelfcast.session import ensure_checkpoint_dir, job_folder
 from shelfcast.sources.panel import read_panel, write_matrices
 from shelfcast.spec import RETAIL, PanelSpec
 
@@ -28,10 +29,11 @@ def run(spark: SparkSession, input_uri: str, output_uri: str, spec: PanelSpec =
         median_method: str = "exact", fmt: str = "csv", single_file: bool = False,
         materialize: str = "checkpoint", order: str = "none") -> dict:
     ensure_checkpoint_dir(spark)
-    raw = read_panel(spark, input_uri)
-    result = build_training_matrix(raw, spec, median_method=median_method, materialize=materialize, order=order)
-    train_path, val_path = write_matrices(result.train, result.validation, output_uri, fmt, single_file, order != "none")
-    fit_dir = save_fit(spark, result, output_uri)
+    with job_folder(spark):  # what the job stages is deleted at its end
+        raw = read_panel(spark, input_uri)
+        result = build_training_matrix(raw, spec, median_method=median_method, materialize=materialize, order=order)
+        train_path, val_path = write_matrices(result.train, result.validation, output_uri, fmt, single_file, order != "none")
+        fit_dir = save_fit(spark, result, output_uri)
     report = {
         "fit": fit_dir,
         "train": train_path,
@@ -39,7 +41,7 @@ def run(spark: SparkSession, input_uri: str, output_uri: str, spec: PanelSpec =
         "medians": result.imputer.medians,
         "modes": result.imputer.modes,
         "labels": result.labels.sizes,
-        "rows": result.metrics.get(),
+        "rows": result.metrics.get(timeout=60),
         "columns": len(spec.output_cols),
     }
     log.info("pipeline complete: %s", json.dumps(report, default=str))

@@ -121,7 +121,7 @@ def q_row_metrics(spark, sf):
     result = build_training_matrix(demand_panel_raw(spark, sf), SPEC, median_method="exact", materialize="checkpoint")
     for matrix in (result.train, result.validation):
         matrix.write.format("noop").mode("overwrite").save()
-    rows = {k: v["rows"] for k, v in result.metrics.get().items()}
+    rows = {k: v["rows"] for k, v in result.metrics.get(timeout=60).items()}
     return spark.createDataFrame([tuple(int(rows[k]) for k in METRIC_NAMES)], ", ".join(f"{c} bigint" for c in METRIC_NAMES.values()))
 
 
@@ -355,7 +355,7 @@ def q_arrival_matrix(spark, sf):
     raw.where(head).coalesce(1).write.option("header", True).csv(f"{base}/in/a")
     raw.where(~head).select(*reversed(raw.columns)).coalesce(1).write.option("header", True).csv(f"{base}/in/b")
     query = on_arrival(spark, f"{base}/in/*", f"{base}/out", f"{base}/progress", SPEC, median_method="exact",
-                       max_files_per_trigger=1, mode="incremental", buckets=16)
+                       max_files_per_trigger=1, mode="incremental", buckets=4, months=12)
     query.awaitTermination()
     if query.exception():
         raise query.exception()
@@ -372,7 +372,7 @@ def q_late_arrival_matrix(spark, sf):
     for name, part in (("a", deal < 4), ("b", deal.isin(4, 5)), ("c", deal > 5)):
         raw.where(part).coalesce(1).write.option("header", True).csv(f"{base}/in/{name}")
     adopt_fit(spark, build_training_matrix(raw, SPEC), f"{base}/out")
-    query = on_arrival(spark, f"{base}/in/*", f"{base}/out", f"{base}/progress", SPEC, max_files_per_trigger=1, mode="incremental", buckets=16)
+    query = on_arrival(spark, f"{base}/in/*", f"{base}/out", f"{base}/progress", SPEC, max_files_per_trigger=1, mode="incremental", buckets=4, months=12)
     query.awaitTermination()
     if query.exception():
         raise query.exception()

@@ -2,9 +2,10 @@
 
 Jobs at scale: one aggregate for the medians; one for the modes, which also yields the
 rows per series used to find hot series; one for the label table; then the two matrix
-writes. The post-filter panel, which feeds the label fit and both splits, can be cut
-from its lineage by a reliable checkpoint in the shared folder. Row counts ride along
-as observations (no extra jobs).
+writes. The typed input and the post-filter panel can be staged as Parquet in the shared folder:
+the input text is then parsed once, the fits read their columns alone, and the panel is partitioned by
+split, so that the label fit reads the categoricals of the training part and each matrix its own part.
+Row counts ride along as observations (no extra jobs).
 """
 
 from __future__ import annotations
@@ -21,7 +22,10 @@ from shelfcast.operators.metrics import RowMetrics
 from shelfcast.operators.shaping import assemble_output, output_columns, prepare_raw
 from shelfcast.operators.split import drop_incomplete, sort_by_date, split_train, split_validation
 from shelfcast.spec import RETAIL, PanelSpec
-from shelfcast.session import reliable_checkpoint
+from shelfcast.session import staged
+
+#: Partition column of the staged panel.
+SPLIT_COL = "_split"
 
 
 @dataclass
@@ -35,9 +39,12 @@ class MatrixResult:
 
 def featured_panel(raw: DataFrame, spec: PanelSpec = RETAIL, median_method: str = "exact",
                    fit_on: str = "all", imputer: ImputerStats | None = None,
-                   metrics: RowMetrics | None = None) -> tuple[DataFrame, ImputerStats]:
-    """Shape, impute and engineer features (before the completeness filter)."""
+                   metrics: RowMetrics | None = None, stage: bool = False) -> tuple[DataFrame, ImputerStats]:
+    """Shape, impute and engineer features (before the completeness filter). ``stage``: the typed rows are written
+    and read back, for the passes of the fit and the features."""
     typed = prepare_raw(raw, spec)
+    if stage:
+        typed = staged(typed, "typed")
     totals = None
     if imputer is None:
         if fit_on == "all":
@@ -67,22 +74,29 @@ def build_training_matrix(
 ) -> MatrixResult:
     """Raw text panel -> (train, validation) model matrices in output column order.
 
-    ``materialize``: ``"checkpoint"`` writes the complete panel to the session's
-    checkpoint folder once (reliable, survives executor loss); ``"none"`` keeps one lazy plan.
+    ``materialize``: ``"checkpoint"`` stages the typed input and the complete panel, by split, below the session's
+    checkpoint folder (reliable, survives executor loss; inside ``job_folder`` deleted with the job);
+    ``"none"`` keeps one lazy plan.
     ``order``: ``"none"``; ``"partition"`` sorts rows by date inside each output partition
     (no shuffle); ``"global"`` sorts each split by date (a range-partitioned shuffle).
     """
     metrics = metrics or RowMetrics()
+    if materialize not in ("checkpoint", "none"):
+        raise ValueError(f"materialize must be 'checkpoint' or 'none', got {materialize!r}")
+    stage = materialize == "checkpoint"
     raw = metrics.observe(raw, "raw")
-    featured, imputer = featured_panel(raw, spec, median_method, fit_on, metrics=metrics)
+    featured, imputer = featured_panel(raw, spec, median_method, fit_on, metrics=metrics, stage=stage)
     featured = metrics.observe(featured, "before_drop")
     complete = metrics.observe(drop_incomplete(featured, spec), "after_drop")
-    if materialize == "checkpoint":
-        complete = reliable_checkpoint(complete)
-    elif materialize != "none":
-        raise ValueError(f"materialize must be 'checkpoint' or 'none', got {materialize!r}")
-    train_raw = metrics.observe(split_train(complete, spec), "train_before_encoding")
-    val_raw = metrics.observe(split_validation(complete, spec), "validation_before_encoding")
+    if stage:
+        day, cutoff = F.col(f"`{spec.date}`"), F.to_date(F.lit(spec.cutoff))
+        part = F.when(day >= cutoff, "validation").when(day < cutoff, "train").otherwise("none")
+        complete = staged(complete.withColumn(SPLIT_COL, part), "panel", partition_by=SPLIT_COL)
+        train_raw, val_raw = (complete.where(F.col(SPLIT_COL) == name).drop(SPLIT_COL) for name in ("train", "validation"))
+    else:
+        train_raw, val_raw = split_train(complete, spec), split_validation(complete, spec)
+    train_raw = metrics.observe(train_raw, "train_before_encoding")
+    val_raw = metrics.observe(val_raw, "validation_before_encoding")
     labels = fit_labels(train_raw, spec)
     train = apply_labels(train_raw, labels, "index")
     val = apply_labels(val_raw, labels, unseen)

@@ -29,6 +29,7 @@ from shelfcast.operators.encode import LabelModel
 from shelfcast.operators.impute import ImputerStats
 from shelfcast.plans.model import train_job
 from shelfcast.plans.training import build_training_matrix
+from shelfcast.session import job_folder
 from shelfcast.sources import files
 from shelfcast.sources.panel import RAW_SCHEMA, read_panel, write_matrices
 from shelfcast.spec import RETAIL, PanelSpec
@@ -63,10 +64,10 @@ def _history_of(spark: SparkSession, output: str, batch_id: int) -> DataFrame:
 def _full_batch(spark, output, spec, median_method, fmt, model_output, model_params):
     def process(batch: DataFrame, batch_id: int) -> None:
         _append_history(batch, output, batch_id)
-        result = build_training_matrix(_read_history(spark, output), spec, median_method=median_method,
-                                       materialize="checkpoint")
-        train_path, val_path = write_matrices(result.train, result.validation, output, fmt)
-        log.info("batch %s rebuilt matrices: %s", batch_id, result.metrics.get())
+        with job_folder(spark):
+            result = build_training_matrix(_read_history(spark, output), spec, median_method=median_method, materialize="checkpoint")
+            train_path, val_path = write_matrices(result.train, result.validation, output, fmt)
+        log.info("batch %s rebuilt matrices: %s", batch_id, result.metrics.get(timeout=60))
         if model_output:
             # the arrival also retrains: one model version per processed batch
             report = train_job(spark, train_path, val_path, model_output, spec, fmt,
@@ -110,18 +111,19 @@ def load_frozen_fit(spark: SparkSession, output: str, spec: PanelSpec) -> tuple[
     return ImputerStats.from_json(text), labels
 
 
-def _incremental_batch(spark, output, spec, median_method, fmt, buckets):
-    store = SeriesStore(spark, output, spec, buckets, fmt)
+def _incremental_batch(spark, output, spec, median_method, fmt, buckets, months):
+    store = SeriesStore(spark, output, spec, buckets, fmt, months)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         _append_history(batch, output, batch_id)
         fit = load_frozen_fit(spark, output, spec)
         if fit is None:
-            result = build_training_matrix(_read_history(spark, output), spec, median_method=median_method)
-            if not any(result.labels.sizes.values()):
-                log.info("batch %s: no complete training row yet, history kept", batch_id)
-                return
-            publish_fit(spark, result, output, batch_id)
+            with job_folder(spark):
+                result = build_training_matrix(_read_history(spark, output), spec, median_method=median_method)
+                if not any(result.labels.sizes.values()):
+                    log.info("batch %s: no complete training row yet, history kept", batch_id)
+                    return
+                publish_fit(spark, result, output, batch_id)
             fit = load_frozen_fit(spark, output, spec)
         # the first batch after the fit brings in all that was kept before it
         first = store.started() in (None, batch_id)
@@ -134,8 +136,9 @@ def _incremental_batch(spark, output, spec, median_method, fmt, buckets):
 def on_arrival(spark: SparkSession, input_dir: str, output: str, checkpoint: str, spec: PanelSpec = RETAIL,
                median_method: str = "exact", fmt: str = "parquet", available_now: bool = True,
                max_files_per_trigger: int | None = None, mode: str = "full", buckets: int = 256,
-               model_output: str | None = None, model_params: dict | None = None) -> StreamingQuery:
+               model_output: str | None = None, model_params: dict | None = None, months: int = 1) -> StreamingQuery:
     """Start the file-arrival stream; ``available_now`` processes what is there and stops.
+    Incremental tables are partitioned by ``buckets`` of series and periods of ``months``.
 
     With ``model_output`` (full mode), each processed batch also trains and saves a model
     version (``<model_output>/batch-<id>``), as the arrival event's training step.
@@ -143,7 +146,7 @@ def on_arrival(spark: SparkSession, input_dir: str, output: str, checkpoint: str
     if mode == "full":
         fn = _full_batch(spark, output, spec, median_method, fmt, model_output, model_params)
     elif mode == "incremental":
-        fn = _incremental_batch(spark, output, spec, median_method, fmt, buckets)
+        fn = _incremental_batch(spark, output, spec, median_method, fmt, buckets, months)
     else:
         raise ValueError(f"mode must be 'full' or 'incremental', got {mode!r}")
     # the stream finds the new files by their paths (their content is not read here); their rows

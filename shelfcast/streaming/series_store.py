@@ -38,15 +38,17 @@ def series_bucket(spec: PanelSpec, buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in spec.series_keys]), F.lit(buckets)).cast("int")
 
 
-def month_key(spec: PanelSpec) -> Column:
-    """Year and month as one number; 0 for a null date, which comes first."""
+def month_key(spec: PanelSpec, months: int = 1) -> Column:
+    """Year and first month of a period of so many months, as one number; 0 for a null date, which comes first."""
     d = F.col(f"`{spec.date}`")
-    return F.coalesce(F.year(d) * 100 + F.month(d), F.lit(0)).cast("int")
+    return F.coalesce(F.year(d) * 100 + F.month(d) - (F.month(d) - 1) % months, F.lit(0)).cast("int")
 
 
 class SeriesStore:
-    def __init__(self, spark: SparkSession, output: str, spec: PanelSpec, buckets: int, fmt: str = "parquet"):
-        self.spark, self.base, self.spec, self.buckets, self.fmt = spark, output.rstrip("/"), spec, buckets, fmt
+    """``months``: length of the periods by which tables are partitioned, for sparse series or short histories more than one."""
+
+    def __init__(self, spark: SparkSession, output: str, spec: PanelSpec, buckets: int, fmt: str = "parquet", months: int = 1):
+        self.spark, self.base, self.spec, self.buckets, self.fmt, self.months = spark, output.rstrip("/"), spec, buckets, fmt, months
         self.keys = [f"`{k}`" for k in spec.series_keys]
 
     # ------------------------------------------------------------ reading
@@ -103,7 +105,7 @@ class SeriesStore:
         spec, look = self.spec, self.spec.max_lookback
         imputed = apply_imputer(prepare_raw(raw, spec), imputer)
         schema = imputed.schema
-        rows = imputed.withColumns({BUCKET_COL: series_bucket(spec, self.buckets), MONTH_COL: month_key(spec), BATCH_COL: F.lit(batch_id)})
+        rows = imputed.withColumns({BUCKET_COL: series_bucket(spec, self.buckets), MONTH_COL: month_key(spec, self.months), BATCH_COL: F.lit(batch_id)})
         self._write(rows, "_panel", [BUCKET_COL, MONTH_COL, BATCH_COL])
         # from here on the batch is read from its own partitions of the panel
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + f", {MONTH_COL} int"

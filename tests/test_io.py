@@ -140,7 +140,7 @@ def test_unseen_drop_changes_validation_counts(spark):
                                 unseen="drop")
     res.train.write.format("noop").mode("overwrite").save()
     res.validation.write.format("noop").mode("overwrite").save()
-    rows = {k: v["rows"] for k, v in res.metrics.get().items()}
+    rows = {k: v["rows"] for k, v in res.metrics.get(timeout=60).items()}
     assert rows["validation_before_encoding"] == 15295
     assert rows["validation"] == 15276  # rows with a category unseen in training are dropped
 
@@ -156,3 +156,54 @@ def test_partition_ordered_export_sorts_within_partitions_without_shuffle(spark)
     for rows in parts:
         keys = [(r["year"], r["month"], r["day_of_month"]) for r in rows]
         assert keys == sorted(keys)
+
+
+def test_metrics_of_a_plan_that_never_ran_do_not_block(spark):
+    import time
+
+    from shelfcast.operators.metrics import RowMetrics
+
+    m = RowMetrics()
+    ran, idle = m.observe(spark.range(7), "ran"), m.observe(spark.range(9), "idle")
+    ran.collect()
+    began = time.monotonic()
+    got = m.get(timeout=0.8)
+    assert time.monotonic() - began < 1.5 and got == {"ran": {"rows": 7, "columns": 1}, "idle": {"rows": None, "columns": 1}}
+    assert idle.count() == 9
+
+
+def test_batch_job_is_repeatable_and_leaves_nothing_staged(spark, scratch):
+    """Two runs write the same matrices, and the checkpoint folder holds what it held before."""
+    from shelfcast.plans.etl import run
+    from shelfcast.plans.queries import SPEC
+    from shelfcast.session import ensure_checkpoint_dir
+    from shelfcast.sources.files import data_files
+
+    src = os.path.join(scratch, "data")
+    demand_panel_raw(spark, "/root/testdata/sf0.01").repartition(5).write.option("header", True).csv(src)
+    before = data_files(spark, ensure_checkpoint_dir(spark))
+    first, second = (run(spark, src, os.path.join(scratch, name), SPEC) for name in ("one", "two"))
+    assert first["medians"] == second["medians"]
+    for split in ("train", "validation"):
+        a, b = spark.read.text(first[split]), spark.read.text(second[split])
+        assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+    assert data_files(spark, ensure_checkpoint_dir(spark)) == before
+
+
+def test_label_fit_reads_the_categoricals_of_the_training_part(spark, monkeypatch):
+    import shelfcast.plans.training as T
+    from shelfcast.operators.stats import to_long
+    from shelfcast.plans.queries import SPEC
+    from shelfcast.session import job_folder
+
+    seen, real = [], T.fit_labels
+    monkeypatch.setattr(T, "fit_labels", lambda df, *a, **k: seen.append(df) or real(df, *a, **k))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    with job_folder(spark):
+        T.build_training_matrix(demand_panel_raw(spark, SF_SMALL), SPEC, materialize="checkpoint")
+        counted = to_long(seen[0], SPEC.categoricals, "string").groupBy("name", "value").count()
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = plan[plan.index("ReadSchema"):].split("\n")[0]
+    assert all(c in scan for c in SPEC.categoricals) and "Price" not in scan and "Demand" not in scan and "demand_lag" not in scan
+    assert "PartitionFilters: [isnotnull(_split" in plan and "_split#" in plan and "= train)" in plan
