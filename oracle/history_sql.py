@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.sql import COMPLETED, LABELS, SPLITS, with_
+from oracle.sql import CATS, COMPLETED, LABELS, LAGS, NUMS, OUTPUT, PRICE_SQL, SPLITS, WINDOWS, _mode_subquery, calendar_sql, encoded_cte, qi, with_
 
 HISTORY = """
 hist AS (
@@ -26,10 +26,33 @@ known AS (
   LEFT JOIN labels ls ON ls."column" = 'Store ID' AND ls.value = a.s
   LEFT JOIN labels li ON li."column" = 'Product ID' AND li.value = a.p)"""
 
+# the whole matrix row of each forecast day: the series' last row before the request, or the fitted fills
+_OWN = 'PARTITION BY "Store ID", "Product ID" ORDER BY "Date" NULLS FIRST'
+_LAGGED = {f"demand_lag_{k}": f'lag("Demand", {k - 1}) OVER ({_OWN})' for k in LAGS}
+for _n in WINDOWS:
+    _LAGGED[f"demand_roll_mean_{_n}"] = f'avg("Demand") OVER ({_OWN} ROWS BETWEEN {_n - 1} PRECEDING AND CURRENT ROW)'
+    _LAGGED[f"demand_roll_std_{_n}"] = f'stddev_samp("Demand") OVER ({_OWN} ROWS BETWEEN {_n - 1} PRECEDING AND CURRENT ROW)'
+_OTHERS = [c for c in CATS if c not in ("Store ID", "Product ID")]
+MATRIX_DAYS = f"""
+whole AS (SELECT *, {", ".join(f"{v} AS {k}" for k, v in _LAGGED.items())} FROM panel_imputed),
+held AS (
+  SELECT a.request_id, a.d AS asked, a.h, a.s AS "Store ID", a.p AS "Product ID",
+         {", ".join(f"COALESCE(x.{qi(c)}, {_mode_subquery(c)}) AS {qi(c)}" for c in _OTHERS)},
+         {", ".join(f"COALESCE(x.{qi(c)}, med.{qi(c)}) AS {qi(c)}" for c in NUMS)},
+         {", ".join(f"CAST(COALESCE(x.{k}, 0) AS DOUBLE) AS {k}" for k in _LAGGED)}
+  FROM asked a ASOF LEFT JOIN whole x ON a.s = x."Store ID" AND a.p = x."Product ID" AND a.d > x."Date", med
+  WHERE a.h >= 1),
+days AS (
+  SELECT * EXCLUDE (asked, h), CAST(asked + CAST(day AS INTEGER) * INTERVAL 1 DAY AS DATE) AS "Date"
+  FROM (SELECT *, CAST(unnest(range(1, h + 1)) AS INTEGER) AS day FROM held)),
+dated AS (SELECT *, {", ".join(f"{v} AS {k}" for k, v in (PRICE_SQL | calendar_sql()).items())} FROM days)"""
+
 _NAMES = ("store_id_encoded", "item_id_encoded", "lag_1_sales", "lag_7_sales", "rolling_mean_7", "price", "promo")
 _BASE = with_(*COMPLETED, SPLITS, LABELS, HISTORY)
 
 HISTORY_ORACLE = {
+    "history_matrix_rows": with_(*COMPLETED, SPLITS, LABELS, HISTORY, MATRIX_DAYS, encoded_cte("dated", "enc")) + "SELECT request_id, day, "
+    + ", ".join(f"round({c}, 6) AS {c}" if "std" in c else qi(c) for c in OUTPUT[1:]) + " FROM enc",
     "history_lookup": _BASE + "SELECT request_id, CASE WHEN h < 1 THEN CAST(400 AS INTEGER) END AS status, "
     + ", ".join(f"CASE WHEN h >= 1 THEN {n} END AS {n}" for n in _NAMES) + " FROM known",
     "history_scored_responses": _BASE + """

@@ -29,7 +29,7 @@ from shelfcast.operators.shaping import assemble_output, cast_numeric, drop_leak
 from shelfcast.operators.split import drop_incomplete, sort_by_date, split_train, split_validation
 from shelfcast.plans import scoring as S
 from shelfcast.plans.training import build_training_matrix
-from shelfcast.plans.history import KNOWN, attach_history
+from shelfcast.plans.history import KNOWN, attach_history, attach_matrix_features, matrix_day_features
 from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests, history_requests, line_items
 from shelfcast.session import ensure_checkpoint_dir, reliable_checkpoint
 from shelfcast.sources.panel import read_matrix, read_panel, write_matrix
@@ -510,12 +510,26 @@ def q_model_scored_responses(spark, sf):
     return resp.select("request_id", "status", "error", _n_predictions())
 
 
-def _with_history(spark, sf):
-    """Requests for real stores and products, with features from the imputed panel before their date."""
+def _fitted_history(spark, sf):
+    """Imputed panel, frozen fit and validated requests for real stores and products."""
     imputed, fitted = _imputed(spark, sf)
     imputed = reliable_checkpoint(imputed)
     labels = fit_labels(split_train(drop_incomplete(engineer_features(imputed, SPEC, fitted.series_totals), SPEC), SPEC), SPEC)
-    return attach_history(S.validate_requests(history_requests(spark, sf)), imputed, labels, SPEC)
+    return imputed, fitted, labels, S.validate_requests(history_requests(spark, sf))
+
+
+def _with_history(spark, sf):
+    """Requests for real stores and products, with features from the imputed panel before their date."""
+    imputed, _, labels, requests = _fitted_history(spark, sf)
+    return attach_history(requests, imputed, labels, SPEC)
+
+
+def q_history_matrix_rows(spark, sf):
+    """The 29-feature matrix row of every forecast day of every valid request, from the frozen fit and the series' history."""
+    imputed, fitted, labels, requests = _fitted_history(spark, sf)
+    rows = attach_matrix_features(requests, imputed, fitted, labels, SPEC)
+    days = matrix_day_features(S.expand_horizon(S.valid_requests(rows)), SPEC)
+    return _round_inexact(days.select("request_id", "day", *[_q(c) for c in SPEC.output_cols[1:]]))
 
 
 def q_history_lookup(spark, sf):
@@ -583,6 +597,7 @@ QUERIES = {
     "scored_responses": q_scored_responses,
     "scored_responses_by_row": q_scored_responses_by_row,
     "history_lookup": q_history_lookup,
+    "history_matrix_rows": q_history_matrix_rows,
     "history_scored_responses": q_history_scored_responses,
     "model_scored_responses": q_model_scored_responses,
 }

@@ -270,9 +270,13 @@ def zip_predictions(dates: Column, predictions: Column) -> Column:
 REQUEST_COLS = ("request_id", "status", "error", "store_id", "item_id", "store_json", "item_json", "date", "horizon")
 
 
-def score_days(validated: DataFrame, scorer: Scorer, known: tuple[str, ...] = ()) -> DataFrame:
+def score_days(validated: DataFrame, scorer: Scorer, known: tuple[str, ...] = (),
+               day_features: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Per request (valid or not): ``predictions`` array<double> in day order.
 
+    ``known`` columns of the requests stay as they are; ``day_features`` adds the rest to the day rows (by
+    default those of the 12 serving features that are not known).
+
     One pass: valid requests explode into their forecast days (``explode_outer`` keeps
     rejected requests as one row without a day), the scorer runs on the day rows, and
     one regroup by request collects the predictions. The request columns ride along in
@@ -281,11 +285,11 @@ def score_days(validated: DataFrame, scorer: Scorer, known: tuple[str, ...] = ()
     valid = F.col("status").isNull()
     # A row id assigned before the explode keys the regroup: each group is one request
     # (at most 30 day rows) even when many requests share a request_id.
-    keyed = validated.select(*REQUEST_COLS, *known, F.monotonically_increasing_id().alias("_row"))
+    keyed = validated.select(*REQUEST_COLS, *[F.col(f"`{c}`") for c in known], F.monotonically_increasing_id().alias("_row"))
     days = keyed.select(
         "*", F.explode_outer(F.when(valid, F.sequence(F.lit(1), F.col("horizon").cast("int")))).alias("day"),
     ).withColumn("forecast_date", F.date_add(F.col("date"), F.col("day")))
-    scored = scorer(serving_features(days, known=known))
+    scored = scorer(day_features(days) if day_features else serving_features(days, known=known))
     pair = F.when(F.col("day").isNotNull(), F.struct("day", F.col("prediction").cast("double").alias("p")))
     return scored.groupBy("_row", *REQUEST_COLS).agg(
         F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["p"]).alias("predictions")
