@@ -55,6 +55,9 @@ HISTORY_ORACLE = {
     + ", ".join(f"round({c}, 6) AS {c}" if "std" in c else qi(c) for c in OUTPUT[1:]) + " FROM enc",
     "history_lookup": _BASE + "SELECT request_id, CASE WHEN h < 1 THEN CAST(400 AS INTEGER) END AS status, "
     + ", ".join(f"CASE WHEN h >= 1 THEN {n} END AS {n}" for n in _NAMES) + " FROM known",
+    "history_model_responses": _BASE + """
+SELECT request_id, CAST(CASE WHEN h < 1 THEN 400 ELSE 200 END AS INTEGER) AS status, CASE WHEN h >= 1 THEN h END AS n_predictions,
+       CASE WHEN h >= 1 THEN TRUE END AS agree FROM known""",
     "history_scored_responses": _BASE + """
 SELECT request_id, CAST(200 AS INTEGER) AS status, strftime(f, '%Y-%m-%d') AS "date",
        round(rolling_mean_7 + lag_1_sales * 100 + dayofmonth(f) / 64.0 + store_id_encoded, 6) AS forecast

@@ -207,5 +207,13 @@ FROM pred_err p, LATERAL (SELECT generate_subscripts(p.preds, 1) AS pos, unnest(
     "zip_predictions": _with(*BASE, REPLIES) + 'SELECT request_id, "date", forecast FROM zipped',
     "responses": _with(*BASE, REPLIES) + "SELECT * FROM responses",
     "scored_responses": _with(*BASE, SCORED) + "SELECT * FROM scored",
+    # what SQL can state of a trained model's responses: status, error, and how many days from when to when
+    "model_scored_responses": _with(*BASE) + """
+SELECT request_id, CAST(COALESCE(status, 200) AS INTEGER) AS status, error,
+       CASE WHEN status IS NULL THEN CAST(horizon AS INTEGER) END AS n_predictions,
+       CASE WHEN status IS NULL THEN strftime("date" + INTERVAL 1 DAY, '%Y-%m-%d') END AS first_date,
+       CASE WHEN status IS NULL THEN strftime("date" + CAST(horizon AS INTEGER) * INTERVAL 1 DAY, '%Y-%m-%d') END AS last_date,
+       CASE WHEN status IS NULL THEN TRUE END AS all_finite
+FROM validated""",
     "scored_responses_by_row": _with(*BASE, SCORED) + "SELECT * FROM scored",
 }

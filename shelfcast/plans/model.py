@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
-import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,6 +18,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.plans import trees
 from shelfcast.spec import RETAIL, PanelSpec
 
 # Boosting hyperparameters and the version-stamp format.
@@ -94,10 +94,8 @@ def rmse_frame(df: DataFrame, label: str, prediction: str, name: str = "rmse") -
 
 
 def rmse_per_round(model: PipelineModel, df: DataFrame, spec: PanelSpec = RETAIL) -> list[float]:
-    """RMSE after each boosting round (the per-round evaluation log of a boosting job)."""
-    assembled = model.stages[0].transform(df)
-    gbt = model.stages[-1]
-    return [math.sqrt(x) for x in gbt.evaluateEachIteration(assembled, "squared")]
+    """RMSE after each boosting round (the per-round evaluation log of a boosting job), from one scan."""
+    return trees.rmse_per_round(model, df, spec.target)
 
 
 @dataclass

@@ -29,7 +29,7 @@ from shelfcast.operators.shaping import assemble_output, cast_numeric, drop_leak
 from shelfcast.operators.split import drop_incomplete, sort_by_date, split_train, split_validation
 from shelfcast.plans import scoring as S
 from shelfcast.plans.training import build_training_matrix
-from shelfcast.plans.history import KNOWN, attach_history, attach_matrix_features, matrix_day_features
+from shelfcast.plans.history import KNOWN, attach_history, attach_matrix_features, matrix_day_features, matrix_known
 from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests, history_requests, line_items
 from shelfcast.session import ensure_checkpoint_dir, reliable_checkpoint
 from shelfcast.sources.panel import read_matrix, read_panel, write_matrix
@@ -502,12 +502,40 @@ def q_scored_responses_by_row(spark, sf):
 
 
 def q_model_scored_responses(spark, sf):
-    """Requests scored by a boosted-tree model trained on the serving view of the matrix."""
+    """Requests scored by a boosted-tree model (all rounds) trained on the serving view of the matrix, its trees walked
+    inside each request row. SQL cannot state the forecasts: the days they stand for, and that all are numbers."""
     from shelfcast.plans.model import train_serving_model
+    from shelfcast.plans.trees import TreeEnsemble, TreeScorer
 
     model = train_serving_model(reliable_checkpoint(q_training_matrix(spark, sf)), SPEC)
-    resp = S.score_requests(forecast_requests(spark, sf), S.ModelScorer(model))
-    return resp.select("request_id", "status", "error", _n_predictions())
+    # a hundred trees a day are much work for a short request: dealt out before they are walked
+    requests = forecast_requests(spark, sf).repartition("request_id")
+    resp = S.score_requests(requests, TreeScorer(TreeEnsemble.of(model), S.serving_feature_columns))
+    days = F.col("predictions")
+    return resp.select("request_id", "status", "error", _n_predictions(), days[0]["date"].alias("first_date"),
+                       F.element_at(days, -1)["date"].alias("last_date"),
+                       F.forall(days, lambda p: F.abs(p["forecast"]) < float("inf")).alias("all_finite"))
+
+
+def q_history_model_responses(spark, sf):
+    """Requests scored by the 29-column matrix model (all rounds) on their matrix rows: through day rows by the model itself,
+    and walked as data in the same rows. Days per request, and whether both ways agree."""
+    from shelfcast.plans.model import train_model
+    from shelfcast.plans.training import matrices_from_imputed
+    from shelfcast.plans.trees import TreeEnsemble
+
+    imputed, fitted, labels, requests = _fitted_history(spark, sf)
+    model = train_model(reliable_checkpoint(matrices_from_imputed(imputed, labels, SPEC)[0]), SPEC)
+    trees = TreeEnsemble.of(model)
+    rows = attach_matrix_features(requests, imputed, fitted, labels, SPEC)
+
+    def both(days):
+        scored = S.ModelScorer(model)(days)
+        far = F.abs(F.col("prediction") - trees.prediction([_q(c) for c in trees.inputs])) > 1e-6
+        return scored.withColumn("prediction", F.when(far, float("nan")).otherwise(F.col("prediction")))
+
+    resp = S.assemble_responses(S.score_days(rows, both, matrix_known(SPEC), lambda d: matrix_day_features(d, SPEC)))
+    return resp.select("request_id", "status", _n_predictions(), F.forall("predictions", lambda p: ~F.isnan(p["forecast"])).alias("agree"))
 
 
 def _fitted_history(spark, sf):
@@ -598,6 +626,7 @@ QUERIES = {
     "scored_responses_by_row": q_scored_responses_by_row,
     "history_lookup": q_history_lookup,
     "history_matrix_rows": q_history_matrix_rows,
+    "history_model_responses": q_history_model_responses,
     "history_scored_responses": q_history_scored_responses,
     "model_scored_responses": q_model_scored_responses,
 }

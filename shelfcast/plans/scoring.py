@@ -345,19 +345,20 @@ def assemble_responses(scored: DataFrame) -> DataFrame:
     return out.withColumn("response_body", body).drop("store_json", "item_json")
 
 
-def score_in_row(validated: DataFrame, scorer: FeatureExpressionScorer) -> DataFrame:
-    """Per request: predictions computed inside the row (narrow, no shuffle)."""
-    return validated.select(
-        *REQUEST_COLS,
-        F.when(F.col("status").isNull(), scorer.predictions()).alias("predictions"),
-        F.lit(None).cast("string").alias("prediction_error"),
-    )
+def score_in_row(validated: DataFrame, scorer) -> DataFrame:
+    """Per request: predictions computed inside the row (narrow, no shuffle). ``scorer`` gives the array of the
+    request's days as a column."""
+    scored = F.struct(F.when(F.col("status").isNull(), scorer.predictions()).alias("predictions"),
+                      F.lit(None).cast("string").alias("prediction_error"))
+    # through a one-row generator, as the validated request: what follows then reads the predictions
+    # instead of computing them again for every column made of them
+    return validated.select(*REQUEST_COLS, F.inline(F.array(scored)))
 
 
 def score_requests(requests: DataFrame, scorer) -> DataFrame:
     """End to end: requests -> responses (status, error, store_id, item_id, predictions, body)."""
     validated = validate_requests(requests)
-    if isinstance(scorer, FeatureExpressionScorer):
+    if hasattr(scorer, "predictions"):  # scores a request's days within its row
         return assemble_responses(score_in_row(validated, scorer))
     return assemble_responses(score_days(validated, scorer))
 
