@@ -27,7 +27,7 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: Looser shapes of whole tokens, for candidates.
 LOOSE = {
     "email": r"(?<!\S)[^\s@\[(]++(?:@|\[at\]|\(at\))[^\s,;]*[A-Za-z0-9]",

@@ -78,7 +78,8 @@ def base_spans(text):
 
 def test_pii_base(spark, docs, texts):
     tricky = {9001: "a@b.c+d@e.f x@y a@b.c.d@e.fg", 9002: "1.2.3.4.5.6.7.8 0255.1.1.1 256.1.1.1 1.2.3", 9003: "ü\U0001F600 4111 1111-1111 1111, 41111111111111112",
-              9004: "+1 (375) 555-4393 +12345678 +1+1 555 555 5555x", 9005: " ".join(["4111111111111111 x"] * 700), 9006: None}
+              9004: "+1 (375) 555-4393 +12345678 +1+1 555 555 5555x", 9005: " ".join(["4111111111111111 x"] * 700), 9006: None,
+              9007: "0.0.0.0 10.0.0.1 127.0.0.1, 1.2.3.00 000.0255.1.1 0256.1.1.1 " + "0" * 3000 + ".1.2.3"}
     extra = spark.createDataFrame([(k, v) for k, v in tricky.items()], "doc_id long, text string")
     got = {r["doc_id"]: r for r in pii.op1(docs.select("doc_id", "text").unionAll(extra)).collect()}
     for i, t in {**texts, **tricky}.items():
