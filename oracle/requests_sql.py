@@ -146,17 +146,17 @@ ok_resp AS (
          CASE WHEN p.prediction_error IS NULL THEN
            (SELECT CAST(COUNT(*) AS INTEGER) FROM zipped z WHERE z.request_id = v.request_id) END AS n_predictions,
          CASE WHEN p.prediction_error IS NULL THEN
-           '{{"store_id":' || v.store_json || ',"item_id":' || v.item_json || ',"predictions":[' ||
-           COALESCE((SELECT string_agg('{{"date":"' || z."date" || '","forecast":' || CASE WHEN isnan(z.forecast) THEN 'NaN' ELSE CAST(z.forecast AS VARCHAR) END || '}}', ','
+           '{{"store_id": ' || v.store_json || ', "item_id": ' || v.item_json || ', "predictions": [' ||
+           COALESCE((SELECT string_agg('{{"date": "' || z."date" || '", "forecast": ' || CASE WHEN isnan(z.forecast) THEN 'NaN' ELSE CAST(z.forecast AS VARCHAR) END || '}}', ', '
                                        ORDER BY z.day) FROM zipped z WHERE z.request_id = v.request_id), '') || ']}}'
-         ELSE '{{"error":' || to_json(p.prediction_error) || '}}' END AS response_body
+         ELSE '{{"error": ' || to_json(p.prediction_error) || '}}' END AS response_body
   FROM valid v JOIN pred_err p ON p.request_id = v.request_id
 ),
 responses AS (
   SELECT * FROM ok_resp
   UNION ALL
   SELECT request_id, status, error, store_id, item_id, CAST(NULL AS INTEGER) AS n_predictions,
-         '{{"error":' || to_json(error) || '}}' AS response_body
+         '{{"error": ' || to_json(error) || '}}' AS response_body
   FROM validated WHERE status IS NOT NULL
 )"""
 
@@ -165,12 +165,12 @@ scored_days AS (SELECT request_id, day, strftime(forecast_date, '%Y-%m-%d') AS "
 scored AS (
   SELECT v.request_id, CAST(200 AS INTEGER) AS status, CAST(NULL AS VARCHAR) AS error, v.store_id, v.item_id,
          CAST(v.horizon AS INTEGER) AS n_predictions,
-         '{{"store_id":' || v.store_json || ',"item_id":' || v.item_json || ',"predictions":[' ||
-         (SELECT string_agg('{{"date":"' || s."date" || '","forecast":' || CAST(s.forecast AS VARCHAR) || '}}', ','
+         '{{"store_id": ' || v.store_json || ', "item_id": ' || v.item_json || ', "predictions": [' ||
+         (SELECT string_agg('{{"date": "' || s."date" || '", "forecast": ' || CAST(s.forecast AS VARCHAR) || '}}', ', '
                             ORDER BY s.day) FROM scored_days s WHERE s.request_id = v.request_id) || ']}}' AS response_body
   FROM valid v
   UNION ALL
-  SELECT request_id, status, error, store_id, item_id, CAST(NULL AS INTEGER), '{{"error":' || to_json(error) || '}}'
+  SELECT request_id, status, error, store_id, item_id, CAST(NULL AS INTEGER), '{{"error": ' || to_json(error) || '}}'
   FROM validated WHERE status IS NOT NULL
 )"""
 

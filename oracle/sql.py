@@ -297,7 +297,7 @@ ORACLE = {
     + " FROM (" + rounded_select(OUTPUT, "enc_train") + ")",
     "arrival_matrix": with_(*ENCODED) + rounded_select(OUTPUT, "enc_train"),
     "late_arrival_matrix": with_(*ENCODED) + rounded_select(OUTPUT, "enc_train"),
-    "sorted_export": with_(*COMPLETED, SPLITS) + 'SELECT "Date", CAST(COUNT(*) AS BIGINT) AS n_rows, TRUE AS in_order FROM train GROUP BY "Date"',
+    "sorted_export": with_(*COMPLETED, SPLITS) + 'SELECT "Date", CAST(COUNT(*) AS BIGINT) AS n_rows, TRUE AS in_order, TRUE AS same_rows FROM train GROUP BY "Date"',
     "lags_with_ties": """
 WITH li AS (
   SELECT CAST(l.l_shipdate AS DATE) AS "Date", na.n_name AS "Store ID", pa.p_brand AS "Product ID",

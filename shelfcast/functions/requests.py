@@ -75,3 +75,17 @@ def horizon_value(h: Column, t: Column) -> Column:
         .when(t.isin(*INTEGER_TYPES), F.try_variant_get(h, "$", "bigint"))
         .when(t == "BOOLEAN", F.try_variant_get(h, "$", "boolean").cast("bigint"))
     )
+
+
+def dumps_text(compact: Column) -> Column:
+    """A compact JSON text as Python's ``json.dumps`` writes it: a blank after each comma and colon outside of
+    strings, and every character beyond ASCII as ``\\uXXXX`` (two of them beyond the basic plane)."""
+    spaced = F.regexp_replace(compact, r'\G((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+)([,:])', "$1$2 ")
+    unit = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
+
+    def escaped(c: Column) -> Column:
+        n = F.ascii(c)  # the code point
+        low, high = F.lit(0xDC00) + (n - 0x10000) % 0x400, F.lit(0xD800) + F.shiftright(n - 0x10000, 10)
+        return F.when(n < 0x80, c).when(n < 0x10000, unit(n)).otherwise(F.concat(unit(high), unit(low)))
+
+    return F.when(spaced.rlike(r"[^\x00-\x7F]"), F.array_join(F.transform(F.split(spaced, ""), escaped), "")).otherwise(spaced)

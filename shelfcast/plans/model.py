@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.plans import trees
+from shelfcast.sources import files
 from shelfcast.spec import RETAIL, PanelSpec
 
 # Boosting hyperparameters and the version-stamp format.
@@ -120,30 +121,47 @@ def version_stamp(now: _dt.datetime | None = None) -> str:
     return (now or _dt.datetime.now(_dt.timezone.utc)).strftime(VERSION_FORMAT)
 
 
+#: File of a version folder that is written last: a version without it was never finished.
+PUBLISHED = "_published"
+
+
 def save_model(model: PipelineModel, output: str, version: str | None = None, extra: dict | None = None) -> str:
-    """Write the model under ``<output>/<UTC version stamp>``; returns that path."""
+    """Write the model under ``<output>/<UTC version stamp>``; returns that path. The version counts once its marker is there."""
     path = f"{output.rstrip('/')}/{version or version_stamp()}"
+    spark = SparkSession.getActiveSession()
+    files.remove(spark, f"{path}/{PUBLISHED}")  # a version written again is unfinished meanwhile
     model.write().overwrite().save(f"{path}/model")
     if extra is not None:
-        spark = SparkSession.getActiveSession()
         spark.createDataFrame([(json.dumps(extra, sort_keys=True),)], "meta string").coalesce(1).write.mode(
             "overwrite").text(f"{path}/meta")
+    files.write_text(spark, f"{path}/{PUBLISHED}", path)
     return path
 
 
 def load_model(path: str) -> PipelineModel:
+    """A published version's model; one whose save did not finish is refused."""
+    if not files.exists(SparkSession.getActiveSession(), f"{path.rstrip('/')}/{PUBLISHED}"):
+        raise ValueError(f"{path}: no {PUBLISHED}, the model's save did not finish")
     return PipelineModel.load(f"{path.rstrip('/')}/model")
 
 
+def latest_model(output: str) -> str | None:
+    """Path of the newest published version below ``output`` (versions sort by name); None if there is none."""
+    spark, base = SparkSession.getActiveSession(), output.rstrip("/")
+    done = [v for v in files.children(spark, base) if files.exists(spark, f"{base}/{v}/{PUBLISHED}")]
+    return f"{base}/{max(done)}" if done else None
+
+
 def train_job(spark: SparkSession, train_path: str, validation_path: str, output: str, spec: PanelSpec = RETAIL,
               fmt: str = "csv", rounds: int = NUM_ROUNDS, depth: int = MAX_DEPTH, step: float = STEP_SIZE,
-              version: str | None = None) -> dict:
-    """Read the two matrix channels, train, evaluate per round on both, save a versioned model."""
+              version: str | None = None, check: bool = True) -> dict:
+    """Read the two matrix channels, train, evaluate per round on both, save a versioned model. ``check=False`` takes
+    matrix files made elsewhere, without a manifest."""
     from shelfcast.session import reliable_checkpoint
     from shelfcast.sources.panel import read_matrix
 
-    train = reliable_checkpoint(read_matrix(spark, train_path, spec, fmt))
-    val = read_matrix(spark, validation_path, spec, fmt)
+    train = reliable_checkpoint(read_matrix(spark, train_path, spec, fmt, check))
+    val = read_matrix(spark, validation_path, spec, fmt, check)
     if train.isEmpty():  # e.g. a first arrival shorter than the lag warm-up
         return {"skipped": "empty training matrix", "model_path": None}
     model = train_model(train, spec, rounds=rounds, depth=depth, step=step)
@@ -167,10 +185,11 @@ def main(argv=None) -> None:
     ap.add_argument("--rounds", type=int, default=NUM_ROUNDS)
     ap.add_argument("--depth", type=int, default=MAX_DEPTH)
     ap.add_argument("--step", type=float, default=STEP_SIZE)
+    ap.add_argument("--unchecked", action="store_true", help="matrix files made elsewhere, without a manifest")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("shelfcast-train").getOrCreate()
     report = train_job(spark, args.train, args.validation, args.output, RETAIL, args.format,
-                       args.rounds, args.depth, args.step)
+                       args.rounds, args.depth, args.step, check=not args.unchecked)
     summary = {k: v for k, v in report.items() if not k.endswith("per_round")}
     if report.get("validation_rmse_per_round"):
         summary["final_validation_rmse"] = report["validation_rmse_per_round"][-1]

@@ -380,16 +380,23 @@ def q_late_arrival_matrix(spark, sf):
 
 
 def q_sorted_export(spark, sf):
-    """The training matrix exported in date order, with each row's day and its place by day."""
+    """The training matrix exported in date order, all columns, read back: rows a day, whether the files keep the order, and whether
+    each day's rows are those of the matrix (by a sum of row hashes)."""
     train = split_train(complete_panel(spark, sf), SPEC)
     path = f"{ensure_checkpoint_dir(spark)}/sorted-{uuid.uuid4().hex}"
-    sort_by_date(train, SPEC).select("Date").write.parquet(path)
+    sort_by_date(train, SPEC).write.parquet(path)
     # files and rows in them keep the order written: a day never comes after a later one
-    rows = spark.read.parquet(path).select("Date", F.col("_metadata.file_name").alias("f"))
+    back = spark.read.parquet(path)
+    rows = back.select("Date", F.xxhash64(*[_q(c) for c in train.columns]).alias("h"), F.col("_metadata.file_name").alias("f"))
     span = rows.groupBy("f").agg(F.min("Date").alias("lo"), F.max("Date").alias("hi"))
     w = Window.orderBy("f")  # one row a file
     bad = span.select((F.lag("hi").over(w) > F.col("lo")).alias("bad")).agg(F.coalesce(F.max("bad"), F.lit(False)).alias("bad"))
-    return rows.groupBy("Date").agg(F.count(F.lit(1)).alias("n_rows")).join(F.broadcast(bad)).select("Date", "n_rows", (~F.col("bad")).alias("in_order"))
+    # decimal sums: of hashes a long would overflow
+    days = lambda df: df.groupBy("Date").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("h").cast("decimal(20,0)")).alias("hash"))
+    want = days(train.select("Date", F.xxhash64(*[_q(c) for c in train.columns]).alias("h"))).withColumnRenamed("n_rows", "_n").withColumnRenamed("hash", "_hash")
+    both = days(rows).join(want, "Date", "full").join(F.broadcast(bad))
+    same = F.coalesce((F.col("n_rows") == F.col("_n")) & (F.col("hash") == F.col("_hash")), F.lit(False))
+    return both.select("Date", "n_rows", (~F.col("bad")).alias("in_order"), same.alias("same_rows"))
 
 
 # ------------------------------------------------------------------ 2.11 request scoring

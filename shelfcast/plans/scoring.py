@@ -342,7 +342,7 @@ def assemble_responses(scored: DataFrame) -> DataFrame:
             F.regexp_replace(F.to_json(F.col("predictions")), r'"forecast":"(NaN|-?Infinity)"', r'"forecast":$1'), F.lit("}"),
         ),
     ).otherwise(F.to_json(F.struct(F.col("error").alias("error"))))
-    return out.withColumn("response_body", body).drop("store_json", "item_json")
+    return out.withColumn("response_body", R.dumps_text(body)).drop("store_json", "item_json")
 
 
 def score_in_row(validated: DataFrame, scorer) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import csv
+import json
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from shelfcast.sources import files
 from shelfcast.spec import RAW_COLUMN_ORDER, RETAIL, PanelSpec
 
 RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMN_ORDER])
@@ -64,21 +66,46 @@ def read_panel(spark: SparkSession, path: str | list[str], columns=RAW_COLUMN_OR
     return out
 
 
+#: Written last, so a folder that has it is whole; readers of tables skip names that begin with ``_``.
+MANIFEST = "_manifest.json"
+
+
 def write_matrix(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False, ordered: bool = False) -> None:
-    """Overwrite ``path`` with the matrix: headerless CSV (target first) or Parquet.
+    """Overwrite ``path`` with the matrix: headerless CSV (target first) or Parquet, and its manifest: files and
+    their bytes, rows (counted by the write itself), columns and format.
 
     ``single_file`` funnels everything through one task; keep it off for large outputs.
     """
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"fmt must be 'csv' or 'parquet', got {fmt!r}")
+    spark, seen = df.sparkSession, Observation()
     # repartition, not coalesce: only the write is single and the work above stays parallel;
     # but a sorted frame (``ordered``) keeps its order through coalesce alone
     out = (df.coalesce(1) if ordered else df.repartition(1)) if single_file else df
-    writer = out.write.mode("overwrite")
+    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", False).csv(path)
-    elif fmt == "parquet":
-        writer.parquet(path)
     else:
-        raise ValueError(f"fmt must be 'csv' or 'parquet', got {fmt!r}")
+        writer.parquet(path)
+    held = {"format": fmt, "columns": df.columns, "rows": seen.get["rows"], "files": files.data_files(spark, path)}
+    files.write_text(spark, f"{path.rstrip('/')}/{MANIFEST}", json.dumps(held, sort_keys=True))
+
+
+def check_matrix(spark: SparkSession, path: str, fmt: str | None = None) -> dict:
+    """The manifest of a matrix folder, if the folder holds what it names; a ``ValueError`` says what is amiss."""
+    base = path.rstrip("/")
+    if not files.exists(spark, f"{base}/{MANIFEST}"):
+        raise ValueError(f"{base}: no {MANIFEST}, so the write did not finish (or the files come from elsewhere: read them with check=False)")
+    held = json.loads(files.read_text(spark, f"{base}/{MANIFEST}"))
+    there = files.data_files(spark, base)
+    wrong = [f"{name} is missing" for name in sorted(held["files"].keys() - there.keys())]
+    wrong += [f"{name} is not of this matrix" for name in sorted(there.keys() - held["files"].keys())]
+    wrong += [f"{name} has {there[name]} bytes instead of {n}" for name, n in sorted(held["files"].items()) if name in there and there[name] != n]
+    if fmt and held["format"] != fmt:
+        wrong.append(f"it is {held['format']}, not {fmt}")
+    if wrong:
+        raise ValueError(f"{base}: incomplete matrix: {'; '.join(wrong[:5])}" + (f" and {len(wrong) - 5} more" if len(wrong) > 5 else ""))
+    return held
 
 
 def write_matrices(train: DataFrame, validation: DataFrame, base: str, fmt: str = "csv",
@@ -90,8 +117,11 @@ def write_matrices(train: DataFrame, validation: DataFrame, base: str, fmt: str
     return train_path, val_path
 
 
-def read_matrix(spark: SparkSession, path: str, spec: PanelSpec = RETAIL, fmt: str = "csv") -> DataFrame:
-    """Inverse of ``write_matrix``: headerless, target-first matrix files as doubles."""
+def read_matrix(spark: SparkSession, path: str, spec: PanelSpec = RETAIL, fmt: str = "csv", check: bool = True) -> DataFrame:
+    """Inverse of ``write_matrix``: target-first matrix files as doubles. A folder whose write did not finish, or that has
+    lost or gained files since, is refused; ``check=False`` reads matrix files made elsewhere."""
+    if check:
+        check_matrix(spark, path, fmt)
     if fmt == "csv":
         return spark.read.schema(matrix_schema(spec)).option("header", False).csv(path)
     return spark.read.parquet(path)

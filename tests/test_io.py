@@ -207,3 +207,46 @@ def test_label_fit_reads_the_categoricals_of_the_training_part(spark, monkeypatc
     scan = plan[plan.index("ReadSchema"):].split("\n")[0]
     assert all(c in scan for c in SPEC.categoricals) and "Price" not in scan and "Demand" not in scan and "demand_lag" not in scan
     assert "PartitionFilters: [isnotnull(_split" in plan and "_split#" in plan and "= train)" in plan
+
+
+def test_incomplete_matrix_is_refused_by_file_name(spark, scratch):
+    import pytest
+
+    from shelfcast.sources.panel import check_matrix, matrix_schema
+
+    rows = [(float(i),) * 30 for i in range(40)]
+    for fmt in ("csv", "parquet"):
+        path = os.path.join(scratch, fmt)
+        write_matrix(spark.createDataFrame(rows, matrix_schema()).repartition(4), path, fmt)
+        held = check_matrix(spark, path, fmt)
+        assert held["rows"] == 40 == read_matrix(spark, path, fmt=fmt).count() and len(held["files"]) == 4 and len(held["columns"]) == 30
+        with pytest.raises(ValueError, match=f"it is {fmt}"):
+            read_matrix(spark, path, fmt="csv" if fmt == "parquet" else "parquet")
+        name = sorted(held["files"])[1]
+        with open(os.path.join(path, name), "ab") as f:
+            f.write(b"x")
+        with pytest.raises(ValueError, match=f"{name} has"):
+            read_matrix(spark, path, fmt=fmt)
+        os.remove(os.path.join(path, name))
+        with pytest.raises(ValueError, match=f"{name} is missing"):
+            read_matrix(spark, path, fmt=fmt)
+        os.remove(os.path.join(path, "_manifest.json"))
+        with pytest.raises(ValueError, match="did not finish"):
+            read_matrix(spark, path, fmt=fmt)
+        assert read_matrix(spark, path, fmt=fmt, check=False).count() < 40
+
+
+def test_unpublished_model_is_refused(spark, scratch):
+    import pytest
+
+    from shelfcast.plans.model import SERVING_FROM_MATRIX, latest_model, load_model, save_model, train_serving_model
+
+    df = spark.createDataFrame([(float(j), *[float(i * j) for i in range(12)]) for j in range(30)], ["Demand", *SERVING_FROM_MATRIX.values()])
+    model = train_serving_model(df, rounds=1, depth=2)
+    first = save_model(model, scratch, "20240101-000000")
+    second = save_model(model, scratch, "20240102-000000")
+    assert latest_model(scratch) == second and load_model(second) is not None
+    os.remove(os.path.join(second, "_published"))
+    assert latest_model(scratch) == first
+    with pytest.raises(ValueError, match="did not finish"):
+        load_model(second)

@@ -169,5 +169,18 @@ def test_reply_numbers_follow_python(spark, text, value):
 def test_nan_forecast_stays_a_number(spark):
     replies = spark.createDataFrame([(0, "nan\n-inf")], "request_id long, reply string")
     r = S.score_requests_with_replies(requests(spark, [body(horizon=2)]), replies).first()
-    assert r["status"] == 200 and '"forecast":NaN' in r["response_body"] and '"forecast":-Infinity' in r["response_body"]
+    assert r["status"] == 200 and '"forecast": NaN' in r["response_body"] and '"forecast": -Infinity' in r["response_body"]
     assert math.isnan(json.loads(r["response_body"])["predictions"][0]["forecast"])
+
+
+def test_response_text_is_that_of_json_dumps(spark):
+    """Separators and escapes of ``json.dumps``, also inside echoed values of any JSON type."""
+    from shelfcast.plans.scoring import FeatureExpressionScorer
+
+    stores = ["Köln", "東京 \U0001F600", 'a "b", c: d\\', "tab\t,nl\n", ["x,y", "ü:z", 1], {"k": [1, 2], "l": {"m": "n: o"}}, 7, True]
+    bodies = [body(store_id=s, horizon=2) for s in stores] + [body(horizon=99)]
+    out = S.score_requests(requests(spark, bodies), FeatureExpressionScorer(lambda f: F.lit(1.5))).orderBy("request_id").collect()
+    for r in out:
+        assert r["response_body"] == json.dumps(json.loads(r["response_body"]))
+    assert [json.loads(r["response_body"])["store_id"] for r in out[:-1]] == stores
+    assert out[-1]["response_body"].startswith('{"error": "')
