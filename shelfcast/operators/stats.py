@@ -158,8 +158,46 @@ def modes_frame(df: DataFrame, cols, unknown: str = UNKNOWN_CATEGORY) -> DataFra
     return modes_from_counts(category_counts(df, cols), unknown)
 
 
+#: Values a column's frequent-item summary tracks, and candidates that are counted exactly.
+TRACKED, CANDIDATES = 10_000, 64
+
+
+def frequent_modes(df: DataFrame, cols) -> dict[str, str]:
+    """Modes of the columns whose most frequent value is provably found by a bounded summary; others are left out.
+
+    One aggregate of mergeable summaries (at most TRACKED values a column and task) names up to CANDIDATES
+    frequent values, a second pass counts just those exactly. A value that is not named has at most
+    7 / TRACKED of the column's values (twice the summary's error of 3.5 / TRACKED), or at most
+    the last name's estimate if the list is full. The best count is the mode's if it exceeds that bound, so the answer is
+    exact, ties included, and no distinct value but the candidates is shuffled.
+    """
+    cols = list(cols)
+    parts = [x for i, c in enumerate(cols) for x in (F.expr(f"approx_top_k(cast(`{c}` as string), {CANDIDATES}, {TRACKED})").alias(f"k{i}"),
+                                                     F.count(_q(c)).alias(f"n{i}"))]
+    found = df.agg(*parts).first()
+    named = {c: {r["item"]: r["count"] for r in found[f"k{i}"] or () if r["item"] is not None} for i, c in enumerate(cols)}
+    asked = [c for c in cols if named[c]]
+    if not asked:
+        return {}
+    entries = [F.struct(F.lit(c).alias("name"), F.when(_q(c).cast("string").isin(*named[c]), _q(c).cast("string")).alias("value")) for c in asked]
+    counts = (df.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull()).groupBy("name", "value")
+              .agg(F.count(F.lit(1)).alias("n")).collect())
+    out = {}
+    for i, c in enumerate(cols):
+        exact = [(-r["n"], r["value"]) for r in counts if r["name"] == c]
+        bound = max(7 * found[f"n{i}"] / TRACKED, min(named[c].values()) if len(named[c]) == CANDIDATES else 0)
+        if exact and -min(exact)[0] > bound:
+            out[c] = min(exact)[1]
+    return out
+
+
 def modes(df: DataFrame, cols, unknown: str = UNKNOWN_CATEGORY) -> dict[str, str]:
-    return collect_modes(modes_frame(df, cols, unknown), cols, unknown)
+    """Most frequent non-null value per column, ties -> smallest, all-null -> ``unknown``. Columns without a provably
+    frequent value (many values of about equal count) are counted value by value."""
+    cols = list(cols)
+    out = frequent_modes(df, cols) if cols else {}
+    rest = [c for c in cols if c not in out]
+    return {**out, **collect_modes(modes_frame(df, rest, unknown), rest, unknown)} if rest else out
 
 
 def collect_modes(frame: DataFrame, cols, unknown: str = UNKNOWN_CATEGORY) -> dict[str, str]:

@@ -152,7 +152,8 @@ def q_median_approx(spark, sf):
 
 
 def q_modes(spark, sf):
-    return stats.modes_frame(typed_panel(spark, sf), list(SPEC.categoricals))
+    found = stats.modes(typed_panel(spark, sf), list(SPEC.categoricals))
+    return spark.createDataFrame(list(found.items()), "column string, mode string")
 
 
 def q_value_counts(spark, sf):

@@ -127,6 +127,25 @@ def test_mode_tie_smallest_value_and_unknown(spark):
     assert stats.modes(df, ["c", "d"]) == {"c": "a", "d": "UNKNOWN"}
 
 
+def test_frequent_values_are_proven_without_counting_all(spark, monkeypatch):
+    """A tenth of the rows hold one value among half a million others: only candidates are counted."""
+    n = 500_000
+    df = spark.range(n).select(F.when(F.col("id") % 10 == 3, "hot").otherwise(F.concat(F.lit("v"), F.col("id"))).alias("a"),
+                               F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("string")).alias("b"))
+    df = df.unionAll(spark.createDataFrame([(None, "1"), (None, "1")], "a string, b string"))
+    monkeypatch.setattr(stats, "category_counts", lambda *a, **k: pytest.fail("all values are counted"))
+    assert stats.modes(df, ["a", "b"]) == {"a": "hot", "b": "1"}
+
+
+def test_modes_without_a_frequent_value_are_counted(spark):
+    """All values twice, and a tie of two: the bound proves nothing for the first, ties go to the smallest."""
+    df = spark.range(60_000).select(F.concat(F.lit("v"), F.lpad((F.col("id") % 30_000).cast("string"), 6, "0")).alias("a"),
+                                    F.when(F.col("id") % 2 == 0, "y").otherwise("x").alias("b"))
+    assert stats.frequent_modes(df, ["a", "b"]) == {"b": "x"}
+    assert stats.modes(df, ["a", "b"]) == {"a": "v000000", "b": "x"}
+    assert stats.modes(df.where("false"), ["a", "b"]) == {"a": "UNKNOWN", "b": "UNKNOWN"}
+
+
 def test_value_counts_order(spark):
     df = spark.createDataFrame([("x",), ("y",), ("y",), ("z",)], "c string")
     assert [tuple(r) for r in stats.value_counts(df, "c").collect()] == [("y", 2), ("x", 1), ("z", 1)]
