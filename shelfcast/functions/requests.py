@@ -77,10 +77,8 @@ def horizon_value(h: Column, t: Column) -> Column:
     )
 
 
-def dumps_text(compact: Column) -> Column:
-    """A compact JSON text as Python's ``json.dumps`` writes it: a blank after each comma and colon outside of
-    strings, and every character beyond ASCII as ``\\uXXXX`` (two of them beyond the basic plane)."""
-    spaced = F.regexp_replace(compact, r'\G((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+)([,:])', "$1$2 ")
+def ascii_json(text: Column) -> Column:
+    """JSON text with every character beyond ASCII as ``\\uXXXX`` (two of them beyond the basic plane)."""
     unit = lambda n: F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(n)), 4, "0"))
 
     def escaped(c: Column) -> Column:
@@ -88,4 +86,22 @@ def dumps_text(compact: Column) -> Column:
         low, high = F.lit(0xDC00) + (n - 0x10000) % 0x400, F.lit(0xD800) + F.shiftright(n - 0x10000, 10)
         return F.when(n < 0x80, c).when(n < 0x10000, unit(n)).otherwise(F.concat(unit(high), unit(low)))
 
-    return F.when(spaced.rlike(r"[^\x00-\x7F]"), F.array_join(F.transform(F.split(spaced, ""), escaped), "")).otherwise(spaced)
+    return F.when(F.octet_length(text) > F.char_length(text), F.array_join(F.transform(F.split(text, ""), escaped), "")).otherwise(text)
+
+
+def spaced_json(compact: Column) -> Column:
+    """JSON text with a blank after each comma and colon outside of strings; only arrays and objects have any."""
+    spaced = F.regexp_replace(compact, r'\G((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+)([,:])', "$1$2 ")
+    return F.when(F.substring(compact, 1, 1).isin("[", "{"), spaced).otherwise(compact)
+
+
+def error_body(error: Column) -> Column:
+    """``{"error": ...}`` as Python's ``json.dumps`` writes it."""
+    return ascii_json(F.concat(F.lit('{"error": '), F.substring(F.to_json(F.struct(error.alias("error"))), 10, 2**31 - 1)))
+
+
+def predictions_body(store_json: Column, item_json: Column, predictions: Column) -> Column:
+    """The body of a scored request as Python's ``json.dumps`` writes it, NaN and infinities by their names."""
+    days = F.transform(predictions, lambda p: F.concat(F.lit('{"date": "'), p["date"], F.lit('", "forecast": '), p["forecast"].cast("string"), F.lit("}")))
+    return F.concat(F.lit('{"store_id": '), ascii_json(spaced_json(store_json)), F.lit(', "item_id": '), ascii_json(spaced_json(item_json)),
+                    F.lit(', "predictions": ['), F.array_join(days, ", "), F.lit("]}"))

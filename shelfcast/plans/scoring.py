@@ -333,16 +333,8 @@ def assemble_responses(scored: DataFrame) -> DataFrame:
         "store_id", "item_id", "store_json", "item_json",
         F.when(valid & ~failed, pred_struct).alias("predictions"),
     )
-    body = F.when(
-        F.col("status") == R.STATUS_OK,
-        F.concat(
-            F.lit('{"store_id":'), F.col("store_json"), F.lit(',"item_id":'), F.col("item_json"),
-            # forecasts stay numbers: to_json would quote the values that JSON has no numeral for
-            F.lit(',"predictions":'),
-            F.regexp_replace(F.to_json(F.col("predictions")), r'"forecast":"(NaN|-?Infinity)"', r'"forecast":$1'), F.lit("}"),
-        ),
-    ).otherwise(F.to_json(F.struct(F.col("error").alias("error"))))
-    return out.withColumn("response_body", R.dumps_text(body)).drop("store_json", "item_json")
+    body = F.when(F.col("status") == R.STATUS_OK, R.predictions_body(F.col("store_json"), F.col("item_json"), F.col("predictions")))
+    return out.withColumn("response_body", body.otherwise(R.error_body(F.col("error")))).drop("store_json", "item_json")
 
 
 def score_in_row(validated: DataFrame, scorer) -> DataFrame:
