@@ -49,19 +49,20 @@ def field(v: Column, name: str) -> Column:
 FALSY_JSON = ("null", '""', "false", "[]", "{}")
 
 
-def is_truthy(x: Column, t: Column) -> Column:
-    """Python truthiness of a JSON value ``x`` whose type name is ``t``; absent (null) is falsy."""
-    numeric = t.isin(*INTEGER_TYPES, "DECIMAL", "DOUBLE", "FLOAT")
-    return (
-        F.when(x.isNull(), False)
-        .when(numeric, F.try_variant_get(x, "$", "double") != 0)
-        .otherwise(~F.to_json(x).isin(*FALSY_JSON))
-    )
+def is_text(json: Column) -> Column:
+    """Whether a JSON text is a string's."""
+    return F.substring(json, 1, 1) == '"'
+
+
+def is_truthy(json: Column) -> Column:
+    """Python truthiness of a JSON value, from its text; absent (null) is falsy. Only numbers have a numeral's text."""
+    number = F.when(F.substring(json, 1, 1).isin(*"-0123456789"), json.try_cast("double"))
+    return F.when(json.isNull(), False).when(number.isNotNull(), number != 0).otherwise(~json.isin(*FALSY_JSON))
 
 
-def as_text(x: Column, t: Column) -> Column:
+def as_text(x: Column, json: Column) -> Column:
     """A field echoed back as text: strings as they are, other JSON values as JSON text."""
-    return F.when(t == "STRING", F.try_variant_get(x, "$", "string")).otherwise(F.to_json(x))
+    return F.when(is_text(json), F.try_variant_get(x, "$", "string")).otherwise(json)
 
 
 def horizon_value(h: Column, t: Column) -> Column:
