@@ -45,17 +45,16 @@ def parse_requests(requests: DataFrame, body_col: str = "body") -> DataFrame:
     body = F.col(body_col)
     v = F.try_parse_json(body)
     with_v = requests.withColumn("v", v)
-    # a parsed text that begins with a brace is an object; the type is asked of the others alone
-    no_object = ~F.startswith(F.ltrim(body, F.lit(" \t\r\n")), F.lit("{"))
+    t = R.variant_type(F.col("v"))
     status = (
         F.when(body.isNull(), R.STATUS_FAILED)
         .when(F.col("v").isNull(), R.STATUS_BAD_REQUEST)
-        .when(no_object, R.STATUS_FAILED)
+        .when(t != "OBJECT", R.STATUS_FAILED)
     )
     error = (
         F.when(body.isNull(), F.lit(R.MSG_INFERENCE_FAILED + R.MSG_NULL_BODY))
         .when(F.col("v").isNull(), F.lit(R.MSG_INVALID_BODY))
-        .when(no_object, F.concat(F.lit(R.MSG_INFERENCE_FAILED + "'"), R.python_type_name(F.col("v")),
+        .when(t != "OBJECT", F.concat(F.lit(R.MSG_INFERENCE_FAILED + "'"), R.python_type_name(F.col("v")),
                                       F.lit("' object has no attribute 'get'")))
     )
     return with_v.withColumns({"parse_status": status, "parse_error": error})
@@ -65,10 +64,8 @@ def validate_requests(requests: DataFrame, body_col: str = "body") -> DataFrame:
     """Adds ``status`` (null while still valid), ``error``, and typed ``store_id``,
     ``item_id``, ``date``, ``horizon``, ``horizon_defaulted``.
 
-    Built in stages (fields, then their JSON texts, then the rules) so each variant lookup
-    is evaluated once per row and the generated code stays small. The first character of a field's JSON
-    text, which the response needs anyway, tells strings, numbers and the rest apart; a type is asked of the
-    horizon alone, where ``3`` and ``3.0`` differ.
+    Built in stages (fields, then their types, then the rules) so each variant lookup
+    is evaluated once per row and the generated code stays small.
     """
     p = parse_requests(requests, body_col)
     v = F.col("v")
@@ -79,14 +76,14 @@ def validate_requests(requests: DataFrame, body_col: str = "body") -> DataFrame:
     )
     typed = fields.select(
         "*",
-        F.to_json(F.col("_store")).alias("_store_j"), F.to_json(F.col("_item")).alias("_item_j"),
-        F.to_json(F.col("_date")).alias("_date_j"), R.variant_type(F.col("_horizon")).alias("_horizon_t"),
+        R.variant_type(F.col("_store")).alias("_store_t"), R.variant_type(F.col("_item")).alias("_item_t"),
+        R.variant_type(F.col("_date")).alias("_date_t"), R.variant_type(F.col("_horizon")).alias("_horizon_t"),
     )
-    date_text = F.when(R.is_text(F.col("_date_j")), F.try_variant_get(F.col("_date"), "$", "string"))
+    date_text = F.when(F.col("_date_t") == "STRING", F.try_variant_get(F.col("_date"), "$", "string"))
     checks = typed.select(
         "*",
-        R.is_truthy(F.col("_store_j")).alias("_store_ok"),
-        R.is_truthy(F.col("_item_j")).alias("_item_ok"),
+        R.is_truthy(F.col("_store"), F.col("_store_t")).alias("_store_ok"),
+        R.is_truthy(F.col("_item"), F.col("_item_t")).alias("_item_ok"),
         request_date(date_text).alias("_date_v"),
         R.horizon_value(F.col("_horizon"), F.col("_horizon_t")).alias("_h"),
     )
@@ -117,13 +114,13 @@ def validate_requests(requests: DataFrame, body_col: str = "body") -> DataFrame:
     outcome = F.struct(
         status.cast("int").alias("status"),
         error.alias("error"),
-        R.as_text(F.col("_store"), F.col("_store_j")).alias("store_id"),
-        R.as_text(F.col("_item"), F.col("_item_j")).alias("item_id"),
+        R.as_text(F.col("_store"), F.col("_store_t")).alias("store_id"),
+        R.as_text(F.col("_item"), F.col("_item_t")).alias("item_id"),
         F.col("_date_v").alias("date"),
         F.when(h_ok & ~parsed, h).alias("horizon"),
         F.col("_horizon").isNull().alias("horizon_defaulted"),
-        F.col("_store_j").alias("store_json"),
-        F.col("_item_j").alias("item_json"),
+        F.to_json(F.col("_store")).alias("store_json"),
+        F.to_json(F.col("_item")).alias("item_json"),
     )
     # The outcome leaves through a one-row generator: a later filter on ``status`` can not
     # be pushed below it, so the JSON is parsed once per row instead of being inlined
@@ -343,11 +340,12 @@ def assemble_responses(scored: DataFrame) -> DataFrame:
 def score_in_row(validated: DataFrame, scorer) -> DataFrame:
     """Per request: predictions computed inside the row (narrow, no shuffle). ``scorer`` gives the array of the
     request's days as a column."""
-    scored = F.struct(F.when(F.col("status").isNull(), scorer.predictions()).alias("predictions"),
-                      F.lit(None).cast("string").alias("prediction_error"))
-    # through a one-row generator, as the validated request: what follows then reads the predictions
-    # instead of computing them again for every column made of them
-    return validated.select(*REQUEST_COLS, F.inline(F.array(scored)))
+    columns = [F.when(F.col("status").isNull(), scorer.predictions()).alias("predictions"), F.lit(None).cast("string").alias("prediction_error")]
+    if getattr(scorer, "costly", False):
+        # through a one-row generator, as the validated request: what follows then reads the predictions
+        # instead of computing them again for every column made of them
+        return validated.select(*REQUEST_COLS, F.inline(F.array(F.struct(*columns))))
+    return validated.select(*REQUEST_COLS, *columns)
 
 
 def score_requests(requests: DataFrame, scorer) -> DataFrame:

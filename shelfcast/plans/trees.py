@@ -101,6 +101,7 @@ class TreeScorer:
 
     trees: TreeEnsemble
     features: Callable[[Column], dict[str, Column]]
+    costly = True
 
     def predictions(self) -> Column:
         def day(i: Column) -> Column:
