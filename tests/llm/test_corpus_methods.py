@@ -187,6 +187,46 @@ def test_star_of_copies_stays_one_class(spark):
     assert {x["class_id"] for x in got} == {0}
 
 
+def test_links_of_a_template_group_against_brute_force(spark):
+    """Texts from one template, some near each other and most not: classes against all pairs."""
+    r, base, texts = random.Random(5), make(31, 220), []
+    for _ in range(160):
+        copy = list(base)
+        for k in r.sample(range(0, 220, 6), r.choice((3, 5, 9, 14))):
+            copy[k] = f"z{r.randrange(10**6)}"
+        texts.append(copy)
+        if r.random() < 0.3:
+            texts.append([*copy[:-4], *make(r.randrange(999), 4)])
+    texts = [" ".join(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = near_dups.inverse_frequencies(docs)
+    (s,) = slices(pa.array(texts))
+    h, w, off = near_dups.shingles(s, idf)
+    own = [(h[off[i]:off[i + 1]], w[off[i]:off[i + 1]]) for i in range(len(texts))]
+    comp = list(range(len(texts)))
+
+    def top(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if near_dups.weighted_jaccard(*own[i], *own[j]) >= near_dups.MIN_SIMILARITY]
+    for i, j in links:
+        comp[max(top(i), top(j))] = min(top(i), top(j))
+    got = {x["doc_id"]: x["class_id"] for x in near_dups.op3(docs).collect()}
+    assert all(top(i) == top(got[i]) for i in got)  # nothing is joined that should not be
+    held = sum(got[i] == got[j] for i, j in links) / len(links)
+    assert len(set(map(top, comp))) > 20 and held >= 0.95, held
+
+
+def test_links_are_merged_into_known_components(spark):
+    label = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5)], "_rid long, comp long")
+    links = spark.createDataFrame([(2, 6, 0.9), (8, 9, 0.9), (9, 10, 0.9)], "a long, b long, similarity double")
+    got = {x["_rid"]: x["comp"] for x in near_dups.merged(label, links).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 6: 1, 8: 8, 9: 8, 10: 8}
+    assert near_dups.merged(label, links.limit(0)) is label
+
+
 def test_samples_estimate_the_similarity():
     idf = np.ones(1 << near_dups.CELL_BITS, np.float32)
     a = make(1, 600)
