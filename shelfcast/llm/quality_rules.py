@@ -1,8 +1,9 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
-One pass measures every text. Mergeable sketches (KLL) of each measure are kept per language
-and source, merged upwards to the language and to all documents; a group with few documents
-borrows its language's threshold, or that of all. Thresholds are far-out fences around the
+One pass measures every text. A mergeable sketch of each measure is kept per language and source:
+counts of logarithmic cells, which bound a quantile's relative error by ERROR and its size by the
+range of the values. Sketches are added up to the language and to all documents, the same on every run;
+a group with few documents (MIN_GROUP) borrows its language's threshold, or that of all. Thresholds are far-out fences around the
 quartiles, so a homogeneous source loses nothing. They are joined back to the measures.
 """
 
@@ -12,15 +13,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfcast.llm.common import stage
 from shelfcast.llm.textops import Slice, grams, slices
 
 #: A group's own sketch counts from this many documents on; a fence lies FENCE interquartile
-#: ranges outside the quartiles; where the quartiles are equal, the range below counts.
+#: ranges outside the quartiles; where the quartiles lie in one cell, the range below counts.
 MIN_GROUP, FENCE = 200, 3.0
+#: Relative width of a cell, by which a quantile may be off, and the cell of 0.
+ERROR, ZERO = 0.0005, -(2**31)
 #: measure -> range of a group without spread. Each measure is a share or a mean for which higher
 #: is worse, so only upper fences are used.
 RULES = {"symbol_share": 0.01, "dup_line_share": 0.05, "repeat_share": 0.05,
@@ -110,26 +114,38 @@ def measures(docs: DataFrame) -> DataFrame:
     return stage(m, "measures")
 
 
+def cell_of(x: Column) -> Column:
+    """The logarithmic cell of a value of 0 or more."""
+    return F.when(x <= 0, F.lit(ZERO)).otherwise(F.ceil(F.log(x) / float(np.log1p(ERROR))).cast("int"))
+
+
+def edge_of(cell: Column, upper: bool) -> Column:
+    """The upper edge of a cell, or the lower."""
+    return F.when(cell == ZERO, F.lit(0.0)).otherwise(F.pow(F.lit(1 + ERROR), cell if upper else cell - 1))
+
+
 def thresholds(m: DataFrame, min_group: int = MIN_GROUP, fence: float = FENCE) -> DataFrame:
     """(lang, source) -> one upper threshold per rule, from merged sketches."""
     fit = m.where(F.col("n_words") >= MIN_WORDS)
-    sketch = [F.kll_sketch_agg_double(F.col(r)).alias(f"k_{r}") for r in RULES]
-    merge = [F.kll_merge_agg_double(F.col(f"k_{r}")).alias(f"k_{r}") for r in RULES]
-    group = stage(fit.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *sketch), "sketches")
-
-    def limits(d: DataFrame, mark: str) -> list:
-        out = []
-        for r, least in RULES.items():
-            q = F.kll_sketch_get_quantile_double(F.col(f"k_{r}"), F.array(F.lit(0.25), F.lit(0.75)))
-            spread = F.when(q[1] > q[0], q[1] - q[0]).otherwise(F.lit(least))
-            out.append((q[1] + fence * spread).alias(f"{mark}_{r}"))
-        return out
-
-    own = group.select("lang", "source", F.col("n").alias("own_n"), *limits(group, "own"))
-    lang = group.groupBy("lang").agg(F.sum("n").alias("n"), *merge)
-    lang = lang.select(F.col("lang").alias("lang_"), F.col("n").alias("lang_n"), *limits(lang, "lang"))
-    every = group.groupBy().agg(F.sum("n").alias("n"), *merge).where(F.col("n").isNotNull())
-    every = every.select(F.lit(1).alias("one"), *limits(every, "all"))
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), cell_of(F.col(r)).alias("cell")) for r in RULES])).alias("x")
+    cells = stage(fit.select("lang", "source", each).groupBy("lang", "source", "x.rule", "x.cell").agg(F.count(F.lit(1)).alias("n")), "sketches")
+
+    def limits(by: list[str], mark: str) -> DataFrame:
+        group = Window.partitionBy(*by, "rule")
+        ranked = (cells.groupBy(*by, "rule", "cell").agg(F.sum("n").alias("n"))
+                  .withColumn("total", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("cell"))))
+        q = lambda part: F.min(F.when(F.col("upto") >= part * F.col("total"), F.col("cell")))
+        least = F.create_map(*[F.lit(x) for pair in RULES.items() for x in pair])
+        found = ranked.groupBy(*by, "rule").agg(q(0.25).alias("q1"), q(0.75).alias("q3"), F.max("total").alias("n"))
+        # the outer edges: a fence is never nearer than that of the exact quartiles
+        high, low = edge_of(F.col("q3"), True), edge_of(F.col("q1"), False)
+        spread = F.when(F.col("q3") > F.col("q1"), high - low).otherwise(least[F.col("rule")])
+        found = found.withColumn("limit", high + fence * spread)
+        return found.groupBy(*by).agg(F.max("n").alias(f"{mark}_n"), *[F.max(F.when(F.col("rule") == r, F.col("limit"))).alias(f"{mark}_{r}") for r in RULES])
+
+    own = limits(["lang", "source"], "own")
+    lang = limits(["lang"], "lang").withColumnRenamed("lang", "lang_")
+    every = limits([], "all").withColumn("one", F.lit(1))
     wide = (m.select("lang", "source").distinct().withColumn("one", F.lit(1)).alias("g")
             .join(own.alias("o"), F.col("g.lang").eqNullSafe(F.col("o.lang")) & F.col("g.source").eqNullSafe(F.col("o.source")), "left")
             .join(lang, F.col("g.lang").eqNullSafe(F.col("lang_")), "left").join(every, "one", "left"))

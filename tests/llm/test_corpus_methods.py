@@ -243,6 +243,30 @@ def test_samples_estimate_the_similarity():
 
 # op4
 
+def test_quality_thresholds_against_brute_force(spark):
+    """Fences within the stated error of the exact quartiles' ones; verdicts by them; the same on each run."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    first = quality_rules.quality_rules(docs, min_group=20).toPandas().sort_values("doc_id", ignore_index=True)
+    again = quality_rules.quality_rules(docs, min_group=20).toPandas().sort_values("doc_id", ignore_index=True)
+    assert first.equals(again)
+    fit = first[first.n_words >= quality_rules.MIN_WORDS]
+    over = np.zeros(len(first), bool)
+    for rule, least in quality_rules.RULES.items():
+        for i, row in first.iterrows():
+            own = fit[(fit.lang == row.lang) & (fit.source == row.source)]
+            lang = fit[fit.lang == row.lang]
+            use = own if len(own) >= 20 else lang if len(lang) >= 20 else fit
+            v = np.sort(use[rule].to_numpy())
+            q1, q3 = (v[int(np.ceil(p * len(v))) - 1] for p in (0.25, 0.75))
+            limit, e = row[f"max_{rule}"], quality_rules.ERROR
+            exact = q3 + 3 * (q3 - q1)
+            fence = exact - 1e-9 <= limit <= exact + 7 * q3 * e + 1e-9
+            alike = q3 <= q1 * (1 + e) and abs(limit - (q3 + 3 * least)) <= q3 * e + 1e-9
+            assert alike if q1 == q3 else fence or alike
+            over[i] |= row[rule] > limit
+    assert (first.kept == (~first.base_failed & ~over)).all()
+
+
 def test_quality_measures(spark, docs, texts):
     got = {r["doc_id"]: r for r in quality_rules.op4(docs).collect()}
     for i, t in texts.items():
