@@ -87,6 +87,8 @@ def engineer_features(df: DataFrame, spec: PanelSpec = RETAIL, series_totals: Da
 # ---------------------------------------------------------------- hot series
 
 _PART, _OWN, _HALO = "__series_part", "__series_chunk", "__series_halo"
+#: Rows of one range partition when rows are placed exactly (more where chunks are longer).
+RANGE_ROWS = 250_000
 
 
 def _null_safe(left_cols, right_names) -> Column:
@@ -180,8 +182,9 @@ def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame, tot
 
     Hot rows get their position in the series from a distributed rank: a range partition
     on the series order and a row id -- which splits only rows equal in every column -- checkpointed so partition ids are stable, numbered inside each
-    partition, plus the counts of earlier partitions. Chunks then hold exactly
-    ``hot_series_rows`` rows, and each row is also lent to the chunks whose first
+    partition, plus the counts of earlier partitions. The partitions hold RANGE_ROWS rows however
+    short the chunks are, which are cut by position: their number grows with the rows alone. Chunks
+    then hold exactly ``hot_series_rows`` rows, and each row is also lent to the chunks whose first
     ``max_lookback`` positions follow it. Cold series take the plain window.
     """
     m, look = int(spec.hot_series_rows), spec.max_lookback
@@ -195,7 +198,7 @@ def _row_exact_features(df: DataFrame, spec: PanelSpec, hot_keys: DataFrame, tot
     hot = df.join(hk, cond, "left_semi")
     order = series_order(spec, df.columns) + [F.asc("__row_id")]
     hot = hot.withColumn("__row_id", F.monotonically_increasing_id())
-    parts = max(1, -(-total // m))  # ``total``: hot rows, from the per-date counts
+    parts = max(1, -(-total // max(m, RANGE_ROWS)))  # ``total``: hot rows, from the per-date counts
     ranged = hot.repartitionByRange(parts, *keys, *order).withColumn("__pid", F.spark_partition_id())
     ranged = reliable_checkpoint(ranged)
     local = Window.partitionBy("__pid", *keys).orderBy(*order)
