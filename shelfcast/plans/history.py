@@ -71,7 +71,9 @@ def last_state(requests: DataFrame, history: DataFrame, spec: PanelSpec = RETAIL
     frame = Window.partitionBy("chunk", *_SERIES, "side").orderBy(*order).rowsBetween(1 - look, 0)
     # ``dated``: rows without a date come first in their series and are history to later rows, but no state of their own
     state = F.when(F.col("side") == 1, F.struct(F.col("recent"), F.col("last"), F.col("d").isNotNull().alias("dated")))
-    held = cut.repartition("chunk", *_SERIES).withColumn("recent", F.collect_list(F.struct("y")).over(frame)).withColumn("state", state)
+    # requests gather nothing: their frames hold nulls, which a list leaves out
+    target = F.when(F.col("side") == 1, F.struct("y"))
+    held = cut.repartition("chunk", *_SERIES).withColumn("recent", F.collect_list(target).over(frame)).withColumn("state", state)
     here = held.withColumn("here", F.last("state", ignorenulls=True).over(own.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
 
     # one summary a chunk and series, null where the chunk has requests alone

@@ -31,7 +31,7 @@ from shelfcast.plans import scoring as S
 from shelfcast.plans.training import build_training_matrix
 from shelfcast.plans.history import KNOWN, attach_history, attach_matrix_features, matrix_day_features, matrix_known
 from shelfcast.sources.fixtures import demand_panel, demand_panel_raw, forecast_requests, history_requests, line_items
-from shelfcast.session import ensure_checkpoint_dir, reliable_checkpoint
+from shelfcast.session import ensure_checkpoint_dir, reliable_checkpoint, staged
 from shelfcast.sources.panel import read_matrix, read_panel, write_matrix
 from shelfcast.spec import RETAIL
 from shelfcast.streaming.arrival import adopt_fit, on_arrival
@@ -62,7 +62,8 @@ def typed_panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _imputed(spark: SparkSession, sf: str, method: str = "exact"):
-    typed = typed_panel(spark, sf)
+    # the fits pass over the panel several times: derived from the line items once
+    typed = staged(typed_panel(spark, sf), "typed")
     fitted = fit_imputer(typed, SPEC, method)
     return apply_imputer(typed, fitted), fitted
 
@@ -80,8 +81,13 @@ def complete_panel(spark: SparkSession, sf: str) -> DataFrame:
     return drop_incomplete(featured_panel(spark, sf), SPEC)
 
 
+def _staged_complete(spark: SparkSession, sf: str) -> DataFrame:
+    """The complete panel, computed once for queries that read it more than once."""
+    return staged(complete_panel(spark, sf), "complete")
+
+
 def _encoded(spark: SparkSession, sf: str, unseen: str = "index"):
-    complete = complete_panel(spark, sf)
+    complete = _staged_complete(spark, sf)
     train, val = split_train(complete, SPEC), split_validation(complete, SPEC)
     model = fit_labels(train, SPEC)
     return apply_labels(train, model, "index"), apply_labels(val, model, unseen), model
@@ -262,8 +268,7 @@ def q_split_validation(spark, sf):
 # ------------------------------------------------------------------ 2.8 encoding
 
 def q_label_map(spark, sf):
-    complete = complete_panel(spark, sf)
-    return fit_labels(split_train(complete, SPEC), SPEC).labels
+    return fit_labels(split_train(complete_panel(spark, sf), SPEC), SPEC).labels
 
 
 def q_encode_train(spark, sf):
@@ -383,7 +388,7 @@ def q_late_arrival_matrix(spark, sf):
 def q_sorted_export(spark, sf):
     """The training matrix exported in date order, all columns, read back: rows a day, whether the files keep the order, and whether
     each day's rows are those of the matrix (by a sum of row hashes)."""
-    train = split_train(complete_panel(spark, sf), SPEC)
+    train = split_train(_staged_complete(spark, sf), SPEC)
     path = f"{ensure_checkpoint_dir(spark)}/sorted-{uuid.uuid4().hex}"
     sort_by_date(train, SPEC).write.parquet(path)
     # files and rows in them keep the order written: a day never comes after a later one
@@ -478,7 +483,8 @@ def q_parse_predictions(spark, sf):
 
 
 def _reply_responses(spark, sf):
-    validated = _validated(spark, sf)
+    # read for the replies and again for the responses: the bodies are parsed once
+    validated = staged(_validated(spark, sf), "validated")
     return S.assemble_responses(S.attach_replies(validated, stand_in_replies(S.valid_requests(validated))))
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from shelfcast.operators import features
 from shelfcast.operators.features import engineer_features
 from shelfcast.operators.shaping import prepare_raw
+from shelfcast.plans import queries as Q
 from shelfcast.plans.trees import TreeEnsemble
 from shelfcast.session import reliable_checkpoint
 from shelfcast.spec import RETAIL
+from tests.conftest import SF_SMALL
 from tests.test_operators import BASE, raw_df, raw_rows
 
 
@@ -73,3 +75,11 @@ def test_trees_are_walked_for_many_rows_at_once(spark):
     total = many.select(trees.prediction([F.col(c) for c in "abc"]).alias("p")).agg(F.sum("p")).first()[0]
     want = sum(one([float(i % 7), float(i % 5), float(i % 3)]) * (200_000 // 105 + (i < 200_000 % 105)) for i in range(105))
     assert total == pytest.approx(want) and time.time() - start < 60
+
+
+@pytest.mark.parametrize("name, table", [("encode_train", "lineitem"), ("validation_matrix", "lineitem"), ("sorted_export", "lineitem"),
+                                         ("history_matrix_rows", "lineitem"), ("responses", "orders")])
+def test_source_tables_are_read_once(spark, name, table):
+    """Queries that pass over a derived table several times read it from where it was written, not its sources again."""
+    df = Q.QUERIES[name](spark, SF_SMALL)
+    assert not [f for f in df.inputFiles() if table in f] and df.limit(1).count() == 1
