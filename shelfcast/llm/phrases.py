@@ -216,7 +216,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     found = docs.mapInArrow(_find, "k1 long, k2 long, spots array<struct<h:long,kind:long,first:int,n:int>>")
     spots = found.select(*KEY, F.explode("spots").alias("s")).select(*KEY, "s.*")
     again = stage(spots.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-                  .select("h", F.ceil(F.col("c") / DEAL).cast("int").alias("deals")), "recurring-anchors")
+                  .select("h", F.ceil(F.col("c") / DEAL).cast("int").alias("deals")), "recurring-anchors", release=True)
     shards = max(1, -(-again.count() // ANCHORS_A_SHARD))
     # where a kind occurs, equal texts once with their number
     places = stage(spots.join(again, "h").groupBy(*KEY, "h", "deals", F.xxhash64("h", "kind").alias("kid"), "first", "n")
@@ -239,6 +239,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("h", F.col("k.start").alias("at"), "in"))).alias("at"))
     phrases = (fetched.select("tid", "text").join(picked, "tid").select("text", "at").mapInArrow(_runs, "h long, text string")
                .join(again, "h"))
+    # a job of its own: the windows' shuffle files are gone before the phrases are located
+    phrases = stage(phrases, "phrases", release=True)
 
     # locate; a dealt anchor has a shard of its own, below zero
     shard = F.when(F.col("deals") > 1, -1 - F.pmod("h", F.lit(1 << 30))).otherwise(F.pmod("h", F.lit(shards))).cast("int").alias("shard")
