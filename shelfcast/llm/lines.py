@@ -26,8 +26,9 @@ def host_of(url: Column) -> Column:
 
 def html_lines(html: Column) -> Column:
     """Text lines of a raw page: scripts, styles and comments removed, block tags end a line."""
-    x = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", "")
-    x = F.regexp_replace(x, r"[\t\n\r ]+", " ")
+    x = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->)", "")
+    # single spaces, most of all blanks, are left as they are
+    x = F.regexp_replace(x, r" [\t\n\r ]+|[\t\n\r][\t\n\r ]*", " ")
     x = F.regexp_replace(x, rf"(?i)</?(?:{_BLOCK})\b[^>]*>", "\n")
     x = F.regexp_replace(x, r"<[^>]*>", "")
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
