@@ -18,12 +18,15 @@
 
    A pair of similarity s that nothing else joins meets in no bucket of a level of b bands of r
    rows with the probability (1 - s**r)**b: at 0.8 0.13 %, 0.24 % and 1.4 % at the three levels, at
-   0.85 below 0.01 % at each. The last level's buckets lose nothing: while the members of one that were no hubs yet
-   lie in several components, twice as many new hubs of it as before are compared with the rest, so any two texts
-   of such a bucket end up compared or in one component.
+   0.85 below 0.01 % at each.
+5. The last level's buckets lose nothing: where their members that were no hubs still lie in several
+   components, these are dealt to blocks of bounded size, and the texts of every two blocks of a bucket are
+   compared with each other by one product of their shingle matrices. What a block leaves are the few pairs that
+   join components, and those too close to the threshold to tell, which are verified like all others. So
+   any two texts of such a bucket end up compared or in one component, and no rows are formed for pairs.
    On a table with a group of 1,500 texts whose similarities scatter around 0.8, comparing all
-   pairs that share a bucket of the first level made 42,037 classes of 51,282 rows, this 42,042.
-5. Each row gets the class of its text. Texts are known by 128 bits of their content.
+   pairs that share a bucket of the first level made 42,037 classes of 51,282 rows, this 42,038.
+6. Each row gets the class of its text. Texts are known by 128 bits of their content.
 """
 
 from __future__ import annotations
@@ -47,6 +50,10 @@ CELL_BITS = 18
 DEAL_TEXTS = 256
 #: Candidate texts up to which their keys (24 bytes each) are broadcast to the scan that fetches them.
 BROADCAST_TEXTS = 500_000
+#: Texts and bytes of a block of an open bucket, and columns of a matrix of shingles.
+BLOCK_TEXTS, BLOCK_BYTES, COLUMNS = 256, 1 << 23, 4096
+#: Pairs this close to the least similarity are left to the verification, as sums differ in their last digits.
+SLACK = 1e-5
 KEY = ["k1", "k2"]
 _U = np.uint64
 
@@ -249,26 +256,91 @@ def in_components(members: DataFrame, label: DataFrame | None) -> DataFrame:
 
 
 def not_done(members: DataFrame, hub: DataFrame, label: DataFrame) -> DataFrame:
-    """The members other than hubs of the buckets where those lie in several components."""
+    """band, key, _rid, comp of the members other than hubs of the buckets where those lie in several components."""
     own = hub.select("band", "key", F.col("hub").alias("_rid"))
-    rest = in_components(members.select("band", "key", "_rid", "company").join(own, ["band", "key", "_rid"], "left_anti"), label)
+    # read twice
+    rest = stage(in_components(members.select("band", "key", "_rid").join(own, ["band", "key", "_rid"], "left_anti"), label), "others")
     open_ = rest.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
     return rest.join(open_.select("band", "key"), ["band", "key"], "left_semi")
 
 
-def undone(members: DataFrame, hub: DataFrame, label: DataFrame) -> DataFrame:
-    """_rid of texts in buckets whose members other than hubs lie in several components."""
-    return stage(not_done(members, hub, label).select("_rid").distinct(), "undone")
-
-
-def rounds() -> Iterator[tuple[int, int]]:
-    """Number and hubs a bucket of each round: the levels, then without end twice as many hubs as before for what the
-    last level's buckets leave open."""
-    for level, (_, _, hubs) in enumerate(LEVELS):
-        yield level, hubs
-    while True:
-        level, hubs = level + 1, 2 * hubs
-        yield level, hubs
+def similarities(left: list, right: list) -> np.ndarray:
+    """Weighted Jaccard similarities of two lists of texts (hashes and weights of their shingles), all with all."""
+    n, both = len(left), [*left, *right]
+    h, w = np.concatenate([x for x, _ in both]), np.concatenate([x for _, x in both]).astype(float)
+    owner = np.repeat(np.arange(len(both)), [len(x) for x, _ in both])
+    total = np.bincount(owner, w, len(both))
+    order = np.argsort(h, kind="stable")
+    h, w, owner = h[order], w[order], owner[order]
+    new = np.concatenate([[True], h[1:] != h[:-1]])
+    first, column = np.flatnonzero(new), np.cumsum(new) - 1
+    shared = (owner[first] < n) & (np.maximum.reduceat(owner, first) >= n)
+    # a shingle as frequent in all texts that have it is a column of a product of matrices
+    even = shared & (np.maximum.reduceat(w, first) <= np.minimum.reduceat(w, first) * (1 + 1e-6))
+    overlap = np.zeros((n, len(right)))
+    use = even[column]
+    col, at, weight = (np.cumsum(even) - 1)[column[use]], owner[use], w[use]
+    for c in range(0, int(even.sum()), COLUMNS):
+        lo, hi = np.searchsorted(col, (c, c + COLUMNS))
+        rows = np.zeros((len(both), COLUMNS))
+        rows[at[lo:hi], col[lo:hi] - c] = np.where(at[lo:hi] < n, weight[lo:hi], 1.0)
+        overlap += rows[:n] @ rows[n:].T
+    end = np.append(first[1:], len(h))
+    for t in np.flatnonzero(shared & ~even):
+        i, x = owner[first[t]:end[t]], w[first[t]:end[t]]
+        cut = np.searchsorted(i, n)
+        overlap[np.ix_(i[:cut], i[cut:] - n)] += np.minimum.outer(x[:cut], x[cut:])
+    return overlap / np.maximum(total[:n, None] + total[None, n:] - overlap, 1e-12)
+
+
+def joining(sim: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs that decide which components (``left``, ``right``) the similarities join: of those well above
+    the least no more than join components, and those next to it unless the others join theirs."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for sure in (True, False):
+        i, j = np.nonzero((left[:, None] != right) & (sim >= least + SLACK if sure else abs(sim - least) < SLACK))
+        if sure:  # one pair for each two components
+            _, k = np.unique(np.sort(np.stack([left[i], right[j]]), axis=0), axis=1, return_index=True)
+            i, j = i[k], j[k]
+        for a, b in zip(i.tolist(), j.tolist()):
+            x, y = top(int(left[a])), top(int(right[b]))
+            if x != y:
+                out.append((a, b))
+                if sure:
+                    root[max(x, y)] = min(x, y)
+    found = np.array(out, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
+def blocked(rest: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
+    """The (a, b) pairs among the members of each bucket of ``rest`` that decide which of their components are joined."""
+    sized = rest.join(texts.select("_rid", F.octet_length("text").alias("size")), "_rid")
+    n = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_BYTES), F.lit(1)).cast("int")
+    dealt = (rest.join(sized.groupBy("band", "key").agg(n.alias("n")), ["band", "key"])
+             .withColumn("own", F.pmod(F.xxhash64("_rid", "key"), "n").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))))
+    two = dealt.select("band", "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "_rid", "comp")
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        sets = [(h[off[j]:off[j + 1]], w[off[j]:off[j + 1]]) for c in t.column("text").chunks for s in slices(c)
+                for h, w, off in [shingles(s, idf.value)] for j in range(s.n)]
+        rid, comp, own = (t.column(c).to_numpy() for c in ("_rid", "comp", "own"))
+        lo, hi = (np.flatnonzero(own == k.as_py()) for k in key[2:])
+        a = b = np.zeros(0, np.int64)
+        if len(lo) and len(hi):
+            i, j = joining(similarities([sets[x] for x in lo], [sets[x] for x in hi]), comp[lo], comp[hi], least)
+            a, b = rid[lo[i]], rid[hi[j]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return two.join(texts, "_rid").groupBy("band", "key", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
 
 
 def near_classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
@@ -280,9 +352,9 @@ def near_classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     rep = stage(signatures(docs, idf, KEY).groupBy(*KEY).agg(F.first("bands").alias("bands")).withColumn("_rid", F.monotonically_increasing_id()), "signatures")
     members, texts = candidates(docs, rep)
     label = tried = None
-    for level, hubs in rounds():
-        if 0 < level < len(LEVELS):
-            left = undone(members, hub, label)
+    for level, (_, _, hubs) in enumerate(LEVELS):
+        if level:
+            left = stage(not_done(members, hub, label).select("_rid").distinct(), "undone")
             n = left.count()
             if not n:
                 break
@@ -290,11 +362,7 @@ def near_classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
             dealt = stage(signatures(some, idf, ["_rid"], level), "dealt")
             near = buckets(dealt, "buckets")
             members = near.join(near.groupBy("_rid").agg(F.sum("n").alias("company")), "_rid")
-        elif level:
-            members = stage(not_done(members, hub, label), "rest")
-            if members.isEmpty():
-                break
-        members = stage(in_components(members.drop("comp"), label), "members")
+        members = stage(in_components(members, label), "members")
         best = F.max(F.struct("company", (-F.col("_rid")).alias("id"), "comp")).alias("h")
         slot = F.pmod(F.xxhash64("_rid", F.lit(level)), F.lit(hubs))
         hub = members.groupBy("band", "key", slot.alias("slot")).agg(best)
@@ -305,6 +373,11 @@ def near_classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
         links = stage(verified(pairs, texts, idf, least), "verified")
         tried = pairs if tried is None else tried.unionAll(pairs)
         label = merged(label, links)
+    else:
+        rest = stage(not_done(members, hub, label), "rest")
+        if not rest.isEmpty():
+            pairs = stage(blocked(rest, texts, idf, least), "pairs")
+            label = merged(label, stage(verified(pairs, texts, idf, least), "verified"))
     return rep.select("_rid", *KEY).join(label, "_rid", "left").select(*KEY, F.coalesce("comp", "_rid").alias("class"))
 
 
