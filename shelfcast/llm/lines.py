@@ -82,7 +82,9 @@ def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_ratio: fl
 def dedup_page_lines(pages: DataFrame, **params) -> DataFrame:
     """page_id, url, text (lines left), n_lines, n_dropped of raw ``pages``."""
     lines = F.filter(F.transform(html_lines(F.col("html")), lambda l: F.trim(l)), lambda l: l != "")
-    out = drop_site_lines(pages.select("page_id", "url", "html"), host_of(F.col("url")), lines, **params)
+    # lines are counted and then dropped: raw pages are parsed once
+    parsed = stage(pages.select("page_id", "url", host_of(F.col("url")).alias("_site"), lines.alias("_parsed")), "page-lines")
+    out = drop_site_lines(parsed, F.col("_site"), F.col("_parsed"), **params)
     return out.select("page_id", "url", F.array_join("_lines", "\n").alias("text"),
                       F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
 
