@@ -220,7 +220,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     shards = max(1, -(-again.count() // ANCHORS_A_SHARD))
     # where a kind occurs, equal texts once with their number
     places = stage(spots.join(again, "h").groupBy(*KEY, "h", "deals", F.xxhash64("h", "kind").alias("kid"), "first", "n")
-                   .agg(F.count(F.lit(1)).alias("m")), "places", release=True)
+                   .agg(F.count(F.lit(1)).alias("m")), "places", release=True, codec="zstd")
     kinds = places.groupBy("kid").agg(F.sum("m").alias("c"), F.first("h").alias("h"), F.first("deals").alias("deals"),
                                       F.min(F.struct(*KEY, "first", "n")).alias("one"))
     stands = stage(kinds.groupBy(F.col("one.k1").alias("k1"), F.col("one.k2").alias("k2")).agg(
@@ -228,19 +228,21 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     few = stands.count() <= BROADCAST_TEXTS
     fetched = (docs.join(F.broadcast(stands.select(*KEY)) if few else stands.select(*KEY), KEY, "left_semi")
                .groupBy(*KEY).agg(F.first("text").alias("text")).join(stands, KEY))
-    fetched = stage(fetched.select(F.monotonically_increasing_id().alias("tid"), "text", "spots"), "fetched", release=True)
+    fetched = stage(fetched.select(F.monotonically_increasing_id().alias("tid"), "text", "spots"), "fetched", release=True, codec="zstd")
     stretches = fetched.mapInArrow(_stretches, "tid long, h long, kid long, c long, deals int, first int, text string")
 
     # confirm
     twice = (stretches.mapInArrow(_windows, "h long, w long, kid long, c long, tid long, start int")
              .groupBy("h", "w").agg(F.sum("c").alias("c"), F.min(F.struct("tid", "start")).alias("k"), F.bit_xor("kid").alias("in")).where("c > 1"))
+    # a job of its own: the shuffle files of all windows are gone before the texts of the recurring ones are gathered
+    twice = stage(twice.select("h", "k", "in"), "twice", release=True, codec="zstd")
     # a window stands where its first text has it; successive ones of one anchor make a phrase
     picked = twice.groupBy(F.col("k.tid").alias("tid")).agg(
         F.sort_array(F.collect_list(F.struct("h", F.col("k.start").alias("at"), "in"))).alias("at"))
     phrases = (fetched.select("tid", "text").join(picked, "tid").select("text", "at").mapInArrow(_runs, "h long, text string")
                .join(again, "h"))
-    # a job of its own: the windows' shuffle files are gone before the phrases are located
-    phrases = stage(phrases, "phrases", release=True)
+    # and so are those of the texts before the phrases are located
+    phrases = stage(phrases, "phrases", release=True, codec="zstd")
 
     # locate; a dealt anchor has a shard of its own, below zero
     shard = F.when(F.col("deals") > 1, -1 - F.pmod("h", F.lit(1 << 30))).otherwise(F.pmod("h", F.lit(shards))).cast("int").alias("shard")

@@ -1,6 +1,6 @@
 """What an operator reads or parses more than once is written once."""
 
-from shelfcast.llm import lines
+from shelfcast.llm import lines, phrases
 
 
 def test_pages_are_parsed_once(spark):
@@ -11,3 +11,20 @@ def test_pages_are_parsed_once(spark):
     assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = {r["page_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in out.collect()}
     assert got == {i: (f"Text {i} of this page", 3, 2) for i in range(20)} | {None: ("", 0, 0)}
+
+
+def test_windows_are_counted_in_a_job_of_their_own(spark, monkeypatch):
+    """The shuffle of all windows is over before the texts of phrases are gathered, so their files never add up."""
+    plans = {}
+    stage = phrases.stage
+
+    def seen(df, name, *args, **kwargs):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, name, *args, **kwargs)
+
+    monkeypatch.setattr(phrases, "stage", seen)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"{passage} own{i}") for i in range(3)] + [(7, "a b c"), (8, None)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in phrases.op2(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: (41, 40), 1: (41, 40), 2: (41, 40), 7: (3, 0), 8: (0, 0)}
+    assert "bit_xor" in plans["twice"] and "bit_xor" not in plans["phrases"]
