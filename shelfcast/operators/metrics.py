@@ -24,7 +24,8 @@ class RowMetrics:
         return df.observe(obs, F.count(F.lit(1)).alias("rows"))
 
     def get(self, timeout: float = 0.5) -> dict[str, dict[str, int]]:
-        """Counters of every observation, null for those whose plan no action has run.
+        """Counters of every observation, null for those whose plan no action has run, or whose part of it Spark has
+        left out (beside an empty table, say): such observations end without a row.
 
         Spark reports an observation shortly after its action; ``timeout`` (seconds, for all together) bounds
         the wait for that, so a plan that never runs does not block.
@@ -34,7 +35,8 @@ class RowMetrics:
         for name, (obs, ncols) in self._obs.items():
             while not (done := obs._jo.future().isCompleted()) and time.monotonic() < end:
                 time.sleep(0.02)
-            out[name] = {"rows": obs.get["rows"] if done else None, "columns": ncols}
+            counted = done and obs._jo.getRow().length() > 0
+            out[name] = {"rows": obs.get["rows"] if counted else None, "columns": ncols}
         return out
 
 
