@@ -502,7 +502,7 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
 
 
 def test_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 11)} and set(ORACLE) <= set(QUERIES)
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{i}" for i in range(1, 14)} and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -511,11 +511,11 @@ def test_oracle(spark, name):
 
     con = duckdb.connect()
     d = "/root/testdata/sf0.01"
-    for t in ("pages", "conversations"):
+    for t in ("pages", "conversations", "documents", "benchmark"):
         con.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
     want = con.execute(ORACLE[name]).df()
     got = QUERIES[name](spark, d).toPandas()
     assert sorted(got.columns) == sorted(want.columns)
     cols = sorted(got.columns)
-    order = lambda x: x[cols].astype(str).sort_values(cols).reset_index(drop=True)
+    order = lambda x: x[cols].convert_dtypes().astype(str).sort_values(cols).reset_index(drop=True)
     assert order(got).equals(order(want))
