@@ -569,9 +569,9 @@ def _with_history(spark, sf):
 def q_history_matrix_rows(spark, sf):
     """The 29-feature matrix row of every forecast day of every valid request, from the frozen fit and the series' history."""
     imputed, fitted, labels, requests = _fitted_history(spark, sf)
-    rows = attach_matrix_features(requests, imputed, fitted, labels, SPEC)
+    rows = _round_inexact(attach_matrix_features(requests, imputed, fitted, labels, SPEC))  # once a request, not once a day
     days = matrix_day_features(S.expand_horizon(S.valid_requests(rows)), SPEC)
-    return _round_inexact(days.select("request_id", "day", *[_q(c) for c in SPEC.output_cols[1:]]))
+    return days.select("request_id", "day", *[_q(c) for c in SPEC.output_cols[1:]])
 
 
 def q_history_lookup(spark, sf):

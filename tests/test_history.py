@@ -127,3 +127,25 @@ def test_the_matrix_model_scores_requests(spark, fitted):
     out = S.assemble_responses(S.score_days(rows, S.ModelScorer(model), matrix_known(), matrix_day_features)).collect()
     assert len(out) == 120 and {r["status"] for r in out} == {200, 400}
     assert all(p["forecast"] is not None for r in out if r["status"] == 200 for p in r["predictions"])
+
+
+def test_a_state_is_looked_up_once_for_requests_that_share_it(spark, fitted, monkeypatch):
+    """Forty requests of one series and date are one event and one parse; each still gets its row."""
+    seen, real = [], H.reliable_checkpoint
+    monkeypatch.setattr(H, "reliable_checkpoint", lambda df: seen.append(out := real(df)) or out)
+    imputed, fit, labels = fitted
+    parsed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            parsed.add(b.num_rows)
+            yield b
+
+    one = requests(spark).where("status is null").limit(1).localCheckpoint()
+    many = one.drop("request_id").crossJoin(spark.range(40).withColumnRenamed("id", "request_id")).select(*one.columns).coalesce(1)
+    rows = attach_matrix_features(many.mapInArrow(count, many.schema), imputed, fit, labels)
+    got = rows.collect()
+    assert sorted(r["request_id"] for r in got) == list(range(40)) and len({tuple(r)[1:] for r in got}) == 1
+    assert parsed.value == 40
+    cut = next(x for x in seen if "rid" in x.columns)
+    assert cut.where("side = 0").count() == 1 and cut.where("side = 1").count() == imputed.count()
